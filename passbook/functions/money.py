@@ -14,6 +14,21 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(bottom != 0, numerator.cast("double") / bottom)
 
 
+def rounded(value: Column, places: int) -> Column:
+    """Half away from zero on the scaled double, the way the marts round.
+
+    ``F.round`` works on the shortest decimal text of a double instead, which
+    differs for values such as 0.285.
+    """
+    scale = 10**places
+    return F.round(value * scale) / scale
+
+
+def double_to_decimal(value: Column, precision: int, scale: int) -> Column:
+    """Safe cast of a double, rounded like ``rounded``; NULL when too large."""
+    return rounded(value, scale).try_cast(f"decimal({precision},{scale})")
+
+
 def mean_of_cents(total: Column, count: Column) -> Column:
     """Average of a decimal(.., 2) column from its exact sum, as double."""
     return (total * 100).cast("double") / (count * 100)

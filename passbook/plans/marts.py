@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passbook.functions.calendar import AsOf, as_date, up_to_day_of_month, utinyint
-from passbook.functions.money import decimal_or_zero, flipped, mean_of_cents, ratio
+from passbook.functions.money import (
+    decimal_or_zero,
+    double_to_decimal,
+    flipped,
+    mean_of_cents,
+    ratio,
+    rounded,
+)
 from passbook.functions.text import (
     BALANCE_TRANSFER_WORDS,
     EXPENSE_TRANSFER_WORDS,
@@ -166,9 +173,9 @@ def rpt_monthly_savings(
             "total_spend",
             "total_earned",
             decimal_or_zero(F.when(kept > 0, kept), "decimal(38,2)").alias("dollars_saved"),
-            saved.cast("decimal(36,4)").alias("pcnt_saved"),
+            double_to_decimal(saved, 36, 4).alias("pcnt_saved"),
             decimal_or_zero(F.when(kept <= 0, kept), "decimal(38,2)").alias("dollars_lost"),
-            lost.cast("decimal(36,4)").alias("pcnt_lost"),
+            double_to_decimal(lost, 36, 4).alias("pcnt_lost"),
         ),
         "rpt_monthly_savings",
     )
@@ -209,12 +216,13 @@ def rpt_mom_performance(
 
     def change(name: str) -> Column:
         delta = F.col(name) - F.col(f"last_{name}")
-        return F.round(delta, 2).try_cast("decimal(12,2)")
+        whole = rounded(delta, 2) if name == "spend" else delta
+        return whole.try_cast("decimal(12,2)")
 
     def relative(name: str) -> Column:
         delta = F.col(name) - F.col(f"last_{name}")
         share = ratio(delta, F.abs(F.col(f"last_{name}")))
-        return F.round(share, 2).try_cast("decimal(14,4)")
+        return rounded(share, 2).try_cast("decimal(14,4)")
 
     def dollars(name: str) -> Column:
         return F.col(name).try_cast("decimal(12,2)")
@@ -259,7 +267,10 @@ def rpt_top_expenses(merchants: DataFrame, corrected: bool = False) -> DataFrame
     dollars per transaction.
     """
     total, count = F.col("total_amount"), F.col("total_transactions")
-    average = -ratio(total, count) if corrected else -ratio(count, total)
+    if corrected:
+        average = F.round(-total / count, 2).cast("decimal(38,2)")
+    else:
+        average = double_to_decimal(-ratio(count, total), 38, 2)
     spent = merchants.where((total < 0) & (F.col("merchant_category") != "transfers"))
     return enforce_contract(
         spent.select(
@@ -274,7 +285,7 @@ def rpt_top_expenses(merchants: DataFrame, corrected: bool = False) -> DataFrame
             "earliest_txn_at",
             "latest_txn_at",
             "total_transactions",
-            F.round(average, 2).try_cast("decimal(38,2)").alias("avg_spend_per_txn"),
+            average.alias("avg_spend_per_txn"),
         ),
         "rpt_top_expenses",
     )

@@ -13,7 +13,7 @@ from passbook.functions.calendar import (
     iso_weekday,
     utinyint,
 )
-from passbook.functions.money import ratio
+from passbook.functions.money import double_to_decimal, ratio
 from passbook.functions.text import merchant_key
 from passbook.operators.categorize import categorize
 from passbook.operators.contract import enforce_contract
@@ -135,9 +135,9 @@ def fact_daily_pay(
         paid.select(
             F.col("full_date").alias("calendar_date"),
             F.col("date_quarter").alias("calendar_quarter"),
-            ratio(monthly, F.col("total_days_in_month"))
-            .try_cast("decimal(12,2)")
-            .alias("daily_income"),
+            double_to_decimal(
+                ratio(monthly, F.col("total_days_in_month")), 12, 2
+            ).alias("daily_income"),
             F.col("employer_name").alias("from_employer"),
         ),
         "fact_daily_pay",

@@ -4,133 +4,200 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT = T.StringType()
+BIGINT = T.LongType()
+INT = T.IntegerType()
+# Unsigned 8-bit columns are held as SMALLINT; see functions.calendar.utinyint.
+BYTE = T.ShortType()
+FLAG = T.BooleanType()
+DATE = T.DateType()
+INSTANT = T.TimestampType()
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _money(precision: int, scale: int = 2) -> T.DecimalType:
+    return T.DecimalType(precision, scale)
 
-TRANSACTION = _struct(
-    "id string, posted bigint, amount string, description string, payee string,"
-    " memo string, transacted_at bigint, mcc string"
-)
 
-ORG = _struct("domain string, name string, `sfin-url` string, url string, id string")
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
 
-ACCOUNT = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("currency", T.StringType()),
-        T.StructField("balance", T.StringType()),
-        T.StructField("available-balance", T.StringType()),
-        T.StructField("balance-date", T.LongType()),
-        T.StructField("transactions", T.ArrayType(TRANSACTION)),
-        T.StructField("holdings", T.ArrayType(T.StringType())),
-        T.StructField("org", ORG),
-    ]
-)
 
-SNAPSHOT = T.StructType(
-    [
-        T.StructField("errors", T.ArrayType(T.StringType())),
-        T.StructField("accounts", T.ArrayType(ACCOUNT)),
-    ]
+TRANSACTION = _struct(
+    id=TEXT,
+    posted=BIGINT,
+    amount=TEXT,
+    description=TEXT,
+    payee=TEXT,
+    memo=TEXT,
+    transacted_at=BIGINT,
+    mcc=TEXT,
 )
 
-# One row per transaction per snapshot, before deduplication.
-FLAT_TRANSACTION = _struct(
-    "bank_account_id string, bank_account_name string, txn_id string,"
-    " txn_description string, payee string, amount decimal(14,2),"
-    " posted_at_timestamp timestamp, filename string"
-)
+ORG = _struct(domain=TEXT, name=TEXT, **{"sfin-url": TEXT}, url=TEXT, id=TEXT)
 
-_MOM_COUNTS = ",".join(
-    f" total_{c}_days smallint, last_month_total_{c}_days smallint,"
-    f" mom_total_{c}_days_change decimal(12,2), pcnt_mom_total_{c}_days decimal(14,4)"
-    for c in ("green", "red", "grey", "black")
+ACCOUNT = _struct(
+    id=TEXT,
+    name=TEXT,
+    currency=TEXT,
+    balance=TEXT,
+    **{"available-balance": TEXT, "balance-date": BIGINT},
+    transactions=T.ArrayType(TRANSACTION),
+    holdings=T.ArrayType(TEXT),
+    org=ORG,
 )
 
-# Unsigned 8-bit columns are SMALLINT here; see functions.calendar.utinyint.
+SNAPSHOT = _struct(errors=T.ArrayType(TEXT), accounts=T.ArrayType(ACCOUNT))
+
+_MOM_COUNTS = {
+    name: dtype
+    for color in ("green", "red", "grey", "black")
+    for name, dtype in (
+        (f"total_{color}_days", BYTE),
+        (f"last_month_total_{color}_days", BYTE),
+        (f"mom_total_{color}_days_change", _money(12)),
+        (f"pcnt_mom_total_{color}_days", _money(14, 4)),
+    )
+}
+
 CONTRACTS: dict[str, T.StructType] = {
     "map_merchant_category_regex": _struct(
-        "merchant_category string, merchant_subcategory string,"
-        " regex_match_pat string, match_priority int"
+        merchant_category=TEXT,
+        merchant_subcategory=TEXT,
+        regex_match_pat=TEXT,
+        match_priority=INT,
     ),
     "stg_payrate": _struct(
-        "employer_name string, employer_address string,"
-        " biweekly_paycheck_posttax_amount decimal(12,2),"
-        " effective_start_date date, effective_end_date date"
+        employer_name=TEXT,
+        employer_address=TEXT,
+        biweekly_paycheck_posttax_amount=_money(12),
+        effective_start_date=DATE,
+        effective_end_date=DATE,
     ),
     "dim_accounts": _struct(
-        "bank_account_id string, bank_account_name string, currency string,"
-        " actual_balance decimal(14,2), available_balance decimal(14,2),"
-        " balance_as_of_timestamp timestamp, filename string,"
-        " record_loaded_at_timestamp timestamp"
+        bank_account_id=TEXT,
+        bank_account_name=TEXT,
+        currency=TEXT,
+        actual_balance=_money(14),
+        available_balance=_money(14),
+        balance_as_of_timestamp=INSTANT,
+        filename=TEXT,
+        record_loaded_at_timestamp=INSTANT,
     ),
     "fact_transactions": _struct(
-        "bank_account_id string, bank_account_name string, txn_id string,"
-        " txn_description string, merchant_category_key string, payee string,"
-        " amount decimal(14,2), posted_at_timestamp timestamp, filename string,"
-        " record_loaded_at_timestamp timestamp"
+        bank_account_id=TEXT,
+        bank_account_name=TEXT,
+        txn_id=TEXT,
+        txn_description=TEXT,
+        merchant_category_key=TEXT,
+        payee=TEXT,
+        amount=_money(14),
+        posted_at_timestamp=INSTANT,
+        filename=TEXT,
+        record_loaded_at_timestamp=INSTANT,
     ),
     "dim_date": _struct(
-        "full_date date, date_year smallint, date_quarter smallint,"
-        " date_month smallint, name_date_month string,"
-        " total_days_in_month smallint, date_week smallint, day_of_week smallint,"
-        " name_day_of_week string, is_weekend_ind boolean"
+        full_date=DATE,
+        date_year=BYTE,
+        date_quarter=BYTE,
+        date_month=BYTE,
+        name_date_month=TEXT,
+        total_days_in_month=BYTE,
+        date_week=BYTE,
+        day_of_week=BYTE,
+        name_day_of_week=TEXT,
+        is_weekend_ind=FLAG,
     ),
     "fact_daily_pay": _struct(
-        "calendar_date date, calendar_quarter smallint,"
-        " daily_income decimal(12,2), from_employer string"
+        calendar_date=DATE,
+        calendar_quarter=BYTE,
+        daily_income=_money(12),
+        from_employer=TEXT,
     ),
     "dim_merchant": _struct(
-        "merchant_category_key string, merchant_name string,"
-        " merchant_category string, merchant_subcategory string,"
-        " earliest_txn_at timestamp, latest_txn_at timestamp,"
-        " total_transactions bigint, amount_past_day decimal(38,2),"
-        " amount_past_week decimal(38,2), amount_past_month decimal(38,2),"
-        " amount_past_quarter decimal(38,2), amount_past_year decimal(38,2),"
-        " total_amount decimal(38,2), record_updated_at timestamp"
+        merchant_category_key=TEXT,
+        merchant_name=TEXT,
+        merchant_category=TEXT,
+        merchant_subcategory=TEXT,
+        earliest_txn_at=INSTANT,
+        latest_txn_at=INSTANT,
+        total_transactions=BIGINT,
+        amount_past_day=_money(38),
+        amount_past_week=_money(38),
+        amount_past_month=_money(38),
+        amount_past_quarter=_money(38),
+        amount_past_year=_money(38),
+        total_amount=_money(38),
+        record_updated_at=INSTANT,
     ),
     "rpt_expenses_detail": _struct(
-        "posted_at_timestamp timestamp, merchant_category string,"
-        " merchant_subcategory string, merchant string, txn_description string,"
-        " account string, amount_spent decimal(18,2)"
+        posted_at_timestamp=INSTANT,
+        merchant_category=TEXT,
+        merchant_subcategory=TEXT,
+        merchant=TEXT,
+        txn_description=TEXT,
+        account=TEXT,
+        amount_spent=_money(18),
     ),
     "rpt_income_detail": _struct(
-        "posted_at_timestamp timestamp, merchant_category string,"
-        " merchant_subcategory string, merchant string, txn_description string,"
-        " account string, amount_earned decimal(14,2)"
+        posted_at_timestamp=INSTANT,
+        merchant_category=TEXT,
+        merchant_subcategory=TEXT,
+        merchant=TEXT,
+        txn_description=TEXT,
+        account=TEXT,
+        amount_earned=_money(14),
     ),
     "rpt_unknown_transactions": _struct(
-        "amount decimal(14,2), posted_at_timestamp timestamp, payee string,"
-        " txn_description string, merchant_category string"
+        amount=_money(14),
+        posted_at_timestamp=INSTANT,
+        payee=TEXT,
+        txn_description=TEXT,
+        merchant_category=TEXT,
     ),
     "rpt_daily_overunder": _struct(
-        "calendar_date date, daily_income decimal(12,2), daily_spend decimal(12,2),"
-        " dollars_over decimal(12,2), dollars_under decimal(12,2), day_color string"
+        calendar_date=DATE,
+        daily_income=_money(12),
+        daily_spend=_money(12),
+        dollars_over=_money(12),
+        dollars_under=_money(12),
+        day_color=TEXT,
     ),
     "rpt_monthly_savings": _struct(
-        "year_month date, total_spend decimal(38,2), total_earned decimal(38,2),"
-        " dollars_saved decimal(38,2), pcnt_saved decimal(36,4),"
-        " dollars_lost decimal(38,2), pcnt_lost decimal(36,4)"
+        year_month=DATE,
+        total_spend=_money(38),
+        total_earned=_money(38),
+        dollars_saved=_money(38),
+        pcnt_saved=_money(36, 4),
+        dollars_lost=_money(38),
+        pcnt_lost=_money(36, 4),
     ),
     "rpt_mom_performance": _struct(
-        "as_of_date date, year smallint, month smallint,"
-        " current_monthly_balance decimal(12,2),"
-        " this_time_last_month_balance decimal(12,2),"
-        " dollars_mom_balance_delta decimal(12,2),"
-        " pcnt_mom_balance_delta decimal(14,4), avg_daily_spend decimal(12,2),"
-        " last_month_avg_daily_spend decimal(12,2),"
-        " dollars_mom_avg_daily_spend_delta decimal(12,2),"
-        " pcnt_mom_avg_daily_spend_delta decimal(14,4)," + _MOM_COUNTS
+        as_of_date=DATE,
+        year=BYTE,
+        month=BYTE,
+        current_monthly_balance=_money(12),
+        this_time_last_month_balance=_money(12),
+        dollars_mom_balance_delta=_money(12),
+        pcnt_mom_balance_delta=_money(14, 4),
+        avg_daily_spend=_money(12),
+        last_month_avg_daily_spend=_money(12),
+        dollars_mom_avg_daily_spend_delta=_money(12),
+        pcnt_mom_avg_daily_spend_delta=_money(14, 4),
+        **_MOM_COUNTS,
     ),
     "rpt_top_expenses": _struct(
-        "merchant_name string, category string, subcategory string,"
-        " total_spend decimal(38,2), past_day decimal(38,2),"
-        " past_week decimal(38,2), past_month decimal(38,2),"
-        " past_quarter decimal(38,2), past_year decimal(38,2),"
-        " earliest_txn_at timestamp, latest_txn_at timestamp,"
-        " total_transactions bigint, avg_spend_per_txn decimal(38,2)"
+        merchant_name=TEXT,
+        category=TEXT,
+        subcategory=TEXT,
+        total_spend=_money(38),
+        past_day=_money(38),
+        past_week=_money(38),
+        past_month=_money(38),
+        past_quarter=_money(38),
+        past_year=_money(38),
+        earliest_txn_at=INSTANT,
+        latest_txn_at=INSTANT,
+        total_transactions=BIGINT,
+        avg_spend_per_txn=_money(38),
     ),
 }

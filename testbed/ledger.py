@@ -46,6 +46,9 @@ PAY_RATES = [
     ("Acme Works", "1 Mill Lane", "40000.00", "1995-01-01", "1996-12-31"),
     ("Borden Supply", "2 Quay Street", "55000.00", "1997-04-01", "1999-12-31"),
     ("Carver Tools", "3 Hill Road", "75000.00", "1999-07-01", "9999-12-31"),
+    ("Level Pay", "4 Even Lane", "4790.85", "1996-06-10", "1996-06-10"),
+    ("Level Pay", "4 Even Lane", "26371.65", "1998-09-09", "1998-09-09"),
+    ("Level Pay", "4 Even Lane", "78040.95", "2000-11-20", "2000-11-20"),
 ]
 
 
