@@ -1,0 +1,18 @@
+"""Spread work when the input arrives in too few pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_scan(scan: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a scan that has fewer splits than the cluster has cores.
+
+    A few files or row groups would otherwise keep every later narrow step in as
+    many tasks.  Large tables have more splits than cores and pass unchanged.
+    ``keys`` should together be near unique, so that no value gathers rows.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)

@@ -57,12 +57,21 @@ def balances_as_of(
         F.col("end_balance").cast("decimal(38,2)").alias("end_balance"),
         F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"),
     )
+    # Peers of a step share its running sum, so asked-for steps and movements
+    # meet in one window without a join.
     so_far = Window.partitionBy("account").orderBy("step")
+    timeline = grid.withColumn("asked", F.lit(True)).unionByName(
+        moved.withColumn("asked", F.lit(False)), allowMissingColumns=True
+    )
     later = F.coalesce(F.sum("moved").over(so_far), F.lit(0))
-    return grid.join(moved, ["account", "step"], "left").select(
-        "account",
-        _days_back(as_of, F.col("step"), every_days).alias("as_of_date"),
-        (F.col("end_balance") - later).cast("decimal(38,2)").alias("balance"),
+    return (
+        timeline.withColumn("balance", (F.col("end_balance") - later).cast("decimal(38,2)"))
+        .where("asked")
+        .select(
+            "account",
+            _days_back(as_of, F.col("step"), every_days).alias("as_of_date"),
+            "balance",
+        )
     )
 
 

@@ -69,9 +69,9 @@ def latest_transactions(flat: DataFrame) -> DataFrame:
     )
 
 
-def fact_from_flat(flat: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
-    """The transaction fact from flattened snapshot rows."""
-    fact = latest_transactions(flat).withColumns(
+def as_fact(latest: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
+    """Merchant key and load time added to rows that are unique by id."""
+    fact = latest.withColumns(
         {
             "merchant_category_key": merchant_key(
                 F.col("payee"), F.col("txn_description")
@@ -82,6 +82,11 @@ def fact_from_flat(flat: DataFrame, loaded_at: Column | str | None = None) -> Da
     return enforce_contract(fact, "fact_transactions")
 
 
+def fact_from_flat(flat: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
+    """The transaction fact from flattened snapshot rows."""
+    return as_fact(latest_transactions(flat), loaded_at)
+
+
 def fact_transactions(
     snapshots: DataFrame, loaded_at: Column | str | None = None
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from passbook.operators.contract import enforce_contract
 from passbook.schemas import CONTRACTS
 from passbook.sources.defaults import MERCHANT_CATALOG, PLACEHOLDER_PAYRATE
+from passbook.sources.inline import literal_table
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +37,7 @@ def merchant_catalog(
     table = "map_merchant_category_regex"
     if replacement:
         return typed(read_csv(spark, replacement), table)
-    catalog = spark.createDataFrame(MERCHANT_CATALOG, CONTRACTS[table])
+    catalog = literal_table(spark, MERCHANT_CATALOG, CONTRACTS[table])
     if overlay:
         catalog = catalog.unionByName(typed(read_csv(spark, overlay), table))
     return catalog
@@ -47,6 +48,4 @@ def pay_rates(spark: SparkSession, replacement: str | None = None) -> DataFrame:
     table = "stg_payrate"
     if replacement:
         return typed(read_csv(spark, replacement), table)
-    names = CONTRACTS[table].fieldNames()
-    text = ", ".join(f"{name} string" for name in names)
-    return typed(spark.createDataFrame([PLACEHOLDER_PAYRATE], text), table)
+    return literal_table(spark, [PLACEHOLDER_PAYRATE], CONTRACTS[table])

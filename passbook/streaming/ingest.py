@@ -18,16 +18,27 @@ from passbook.plans.history import WINDOW_DAYS
 from passbook.plans.star import latest_accounts, latest_transactions
 
 
+SALTS = 16
+
+
 def first_seen(flat: DataFrame, delay_days: int = 2 * WINDOW_DAYS) -> DataFrame:
     """A stream of transactions not seen before, by id.
 
     State is kept for ``delay_days`` of posting time, twice the window of a
     snapshot, so a pull may arrive a whole window late.  Rows older than that
     are late for this stream; ``LatestStore`` takes them at any age.
+
+    The first step deduplicates per id and task, which spreads an id that is
+    repeated very often; the second sees a few rows per id.
     """
-    return flat.withWatermark(
-        "posted_at_timestamp", f"{delay_days} days"
-    ).dropDuplicatesWithinWatermark(["txn_id"])
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    return (
+        flat.withWatermark("posted_at_timestamp", f"{delay_days} days")
+        .withColumn("_salt", salt)
+        .dropDuplicatesWithinWatermark(["txn_id", "_salt"])
+        .drop("_salt")
+        .dropDuplicatesWithinWatermark(["txn_id"])
+    )
 
 
 @dataclass(frozen=True)
@@ -50,23 +61,29 @@ class LatestStore:
 
     def current(self, spark: SparkSession) -> DataFrame:
         """One row per key: the newest of everything absorbed so far."""
-        log = spark.read.parquet(f"{self.path}/log")
+        log = self._log(spark)
         base, through = self._base(spark)
         if base is None:
             return self.pick(log.drop("batch_id"))
+        if through == self._newest(spark):
+            return base
         newer = log.where(F.col("batch_id") > through).drop("batch_id")
         return self.pick(base.unionByName(newer))
 
     def compact(self, spark: SparkSession) -> None:
         """Store the current rows; log folders up to now are no longer read."""
-        through = (
-            spark.read.parquet(f"{self.path}/log").agg(F.max("batch_id")).first()[0]
-        )
-        folder = f"{self.path}/base/through={through}"
-        _, done = self._base(spark)
-        if done != through:
+        newest = self._newest(spark)
+        _, through = self._base(spark)
+        if through != newest:
+            folder = f"{self.path}/base/through={newest}"
             self.current(spark).write.mode("overwrite").parquet(folder)
 
+    def _log(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/log")
+
+    def _newest(self, spark: SparkSession) -> int:
+        return self._log(spark).agg(F.max("batch_id")).first()[0]
+
     def _base(self, spark: SparkSession) -> tuple[DataFrame | None, int | None]:
         try:
             bases = spark.read.parquet(f"{self.path}/base")
@@ -100,10 +117,12 @@ def absorb_available(flat: DataFrame, store: LatestStore, checkpoint: str) -> St
     return query
 
 
-def append_available(flat: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_available(
+    flat: DataFrame, path: str, checkpoint: str, delay_days: int = 2 * WINDOW_DAYS
+) -> StreamingQuery:
     """Append first-seen transactions to a parquet sink, then stop."""
     query = (
-        first_seen(flat)
+        first_seen(flat, delay_days)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)

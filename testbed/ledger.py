@@ -7,9 +7,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passbook.operators.partitioning import spread_small_scan
 from passbook.plans import marts, star
 from passbook.schemas import CONTRACTS
 from passbook.session import configure, shared_dir
+from passbook.sources.inline import literal_table
 from passbook.sources.tables import read_table, write_table
 
 AS_OF = "2001-06-15"
@@ -70,7 +72,22 @@ def cents(price: Column) -> Column:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat ledger rows, with repeated ids and near duplicates."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread_small_scan(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            "l_extendedprice",
+            "l_returnflag",
+            "l_linestatus",
+            "l_shipdate",
+        ),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_shipdate",
+    )
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     part = table(spark, sf_dir, "part")
@@ -115,7 +132,12 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot document per order, holding its customer's two accounts."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_small_scan(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+        ),
+        "o_orderkey",
+    )
     customer = table(spark, sf_dir, "customer")
     epoch = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     product = _mapped(F.col("c_mktsegment"), PRODUCTS)
@@ -169,14 +191,11 @@ def transaction_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATALOG, CONTRACTS["map_merchant_category_regex"])
+    return literal_table(spark, CATALOG, CONTRACTS["map_merchant_category_regex"])
 
 
 def pay_rates(spark: SparkSession) -> DataFrame:
-    names = CONTRACTS["stg_payrate"].fieldNames()
-    raw = spark.createDataFrame(PAY_RATES, ", ".join(f"{n} string" for n in names))
-    contract = CONTRACTS["stg_payrate"]
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract])
+    return literal_table(spark, PAY_RATES, CONTRACTS["stg_payrate"])
 
 
 class Warehouse:
