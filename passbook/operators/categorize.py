@@ -66,7 +66,7 @@ def joined_categories(
         [
             df.join(
                 F.broadcast(patterns.where(slice_of == number)),
-                F.col(text).rlike(F.col("_pattern")),
+                F.rlike(F.col(text), F.col("_pattern")),
                 "left",
             )
             for number in range(slices)

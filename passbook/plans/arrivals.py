@@ -37,9 +37,8 @@ def freshness_from_content(snapshots: DataFrame) -> DataFrame:
 def stored_recently(freshness: DataFrame, now: dt.datetime | str) -> DataFrame:
     """Stored files in the folders of today and yesterday."""
     today = as_timestamp(now).cast("date")
-    folder = F.to_date(
-        F.regexp_extract("filename", r"/(\d{4}/\d{2}/\d{2})/[^/]*$", 1), "yyyy/MM/dd"
-    )
+    dated = F.regexp_extract("filename", r"/(\d{4}/\d{2}/\d{2})/[^/]*$", 1)
+    folder = F.try_to_timestamp(dated, F.lit("yyyy/MM/dd")).cast("date")
     return freshness.where(folder.isin(today, F.date_sub(today, 1)))
 
 

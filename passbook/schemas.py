@@ -48,6 +48,18 @@ ACCOUNT = _struct(
 
 SNAPSHOT = _struct(errors=T.ArrayType(TEXT), accounts=T.ArrayType(ACCOUNT))
 
+# One row per transaction per snapshot, before deduplication.
+FLAT_TRANSACTION = _struct(
+    bank_account_id=TEXT,
+    bank_account_name=TEXT,
+    txn_id=TEXT,
+    txn_description=TEXT,
+    payee=TEXT,
+    amount=_money(14),
+    posted_at_timestamp=INSTANT,
+    filename=TEXT,
+)
+
 _MOM_COUNTS = {
     name: dtype
     for color in ("green", "red", "grey", "black")
