@@ -11,7 +11,13 @@ def order_by_all(df: DataFrame) -> DataFrame:
 
 
 def newest_first(df: DataFrame, column: str) -> DataFrame:
-    return df.orderBy(F.col(column).desc_nulls_last())
+    """Newest rows first; the other columns break ties.
+
+    A range-partitioned sort cannot split equal keys, so the ties also keep a
+    date that holds much of the listing from landing in one task.
+    """
+    ties = [F.col(name).asc_nulls_last() for name in df.columns if name != column]
+    return df.orderBy(F.col(column).desc_nulls_last(), *ties)
 
 
 def with_total_row(df: DataFrame, measures: list[str]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +17,15 @@ SALTS = 64
 def salted_lookup(
     rows: DataFrame,
     lookup: DataFrame,
-    key: str,
+    keys: list[str],
     weight: str,
     spread: str,
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` on ``key``, spreading hot keys over salts.
+    """Join ``rows`` to ``lookup`` on ``keys``, spreading hot keys over salts.
 
-    ``lookup`` is unique by ``key`` and its ``weight`` column counts the rows of
+    ``lookup`` is unique by ``keys`` and its ``weight`` column counts the rows of
     each key.  Hot keys are broadcast (fewer than ``HOT_SHARE`` of them) to mark
     their rows, which are spread by a hash of the ``spread`` column; the lookup
     row is copied once per salt.  All other keys use salt 0.
@@ -30,14 +33,15 @@ def salted_lookup(
     total = lookup.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * HOT_SHARE > total
 
-    hot_keys = lookup.where(is_hot).select(key, F.lit(True).alias("_hot"))
+    hot_keys = lookup.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
+    no_key = reduce(or_, [F.col(key).isNull() for key in keys])
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    spread_rows = rows.join(F.broadcast(hot_keys), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0)
+    spread_rows = rows.join(F.broadcast(hot_keys), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0)
     )
 
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = lookup.withColumn(
         "_salt", F.explode(F.coalesce(copies, F.array(F.lit(0))))
     )
-    return spread_rows.join(salted, [key, "_salt"], how).drop("_salt", "_hot", weight)
+    return spread_rows.join(salted, [*keys, "_salt"], how).drop("_salt", "_hot", weight)

@@ -54,15 +54,16 @@ def missing(df: DataFrame, column: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child values without a parent, with their row counts.
 
-    The child is counted per value first, so a hot value crosses the network as
-    one row per task.
+    Both sides are reduced to one row per value first, so a hot value crosses
+    the network as one row per task.
     """
     values = (
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("n_records"))
     )
-    return values.join(parent.select(F.col(key).alias("value")), "value", "left_anti")
+    known = parent.select(F.col(key).alias("value")).distinct()
+    return values.join(known, "value", "left_anti")
 
 
 def run_checks(checks: list[Check]) -> DataFrame:

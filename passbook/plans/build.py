@@ -9,7 +9,7 @@ from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN
 from passbook.operators.quality import ERROR, WARN, Check
 from passbook.plans import marts, star
-from passbook.session import configure
+from passbook.session import configure, scratch_path
 from passbook.sources.defaults import CALENDAR_END, CALENDAR_START
 from passbook.sources.seeds import merchant_catalog, pay_rates
 from passbook.sources.snapshots import read_snapshots
@@ -56,11 +56,13 @@ def build_all(
     pay = store("fact_daily_pay", star.fact_daily_pay(days, rates, as_of))
     merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
 
-    expenses = store("rpt_expenses_detail", marts.rpt_expenses_detail(fact, merchants))
-    income = store("rpt_income_detail", marts.rpt_income_detail(fact, merchants))
-    unknown = store(
-        "rpt_unknown_transactions", marts.rpt_unknown_transactions(fact, merchants)
-    )
+    # One collapse and one join of the fact serve all three detail marts.
+    shared = scratch_path(spark, "labelled-transactions")
+    marts.labelled_transactions(fact, merchants).write.parquet(shared)
+    labelled = spark.read.parquet(shared)
+    expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
+    income = store("rpt_income_detail", marts.income_of(labelled))
+    unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))
     overunder = store("rpt_daily_overunder", marts.rpt_daily_overunder(expenses, pay))
     store("rpt_monthly_savings", marts.rpt_monthly_savings(expenses, income))
     store("rpt_mom_performance", marts.rpt_mom_performance(fact, overunder, as_of))

@@ -118,7 +118,7 @@ def trailing_snapshots(
     sizes = fact.groupBy(account).agg(F.count("*").alias("_rows")).withColumn(
         "_chunks", F.ceil(F.col("_rows") / F.lit(max_chunk)).cast("int")
     )
-    sized = salted_lookup(fact, sizes, key=account, weight="_rows", spread="txn_id")
+    sized = salted_lookup(fact, sizes, [account], weight="_rows", spread="txn_id")
     chunked = sized.withColumn("chunk", F.pmod(F.xxhash64("txn_id"), "_chunks").cast("int"))
     windowed = trailing_windows(chunked, as_of, start, every_days, window_days)
 

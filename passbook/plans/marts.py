@@ -30,35 +30,36 @@ GREY_BAND = 25
 
 COLORS = ("green", "red", "grey", "black")
 
-_LOOKUP = ("merchant_category_key", "merchant_category", "total_transactions")
-
-
-def _labelled(rows: DataFrame, merchants: DataFrame, *extra: str) -> DataFrame:
+def labelled_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     """Near duplicates collapsed, then the merchant's columns attached.
 
-    The collapse keys fix the merchant key, so collapsing before the join gives
-    the rows that collapsing after it would.
+    The three detail marts are filters over this.  What they filter on is either
+    a collapse key or fixed by one, so collapsing first gives the same rows, and
+    Catalyst still moves the filters below the collapse and the join.
     """
     return salted_lookup(
-        collapse_near_duplicates(rows),
-        merchants.select(*_LOOKUP, *extra),
-        key="merchant_category_key",
+        collapse_near_duplicates(fact),
+        merchants.select(
+            "merchant_category_key",
+            "merchant_category",
+            "merchant_subcategory",
+            F.col("total_amount").alias("merchant_total"),
+            "total_transactions",
+        ),
+        ["merchant_category_key"],
         weight="total_transactions",
         spread="txn_id",
     )
 
 
-def rpt_expenses_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+def expenses_of(labelled: DataFrame) -> DataFrame:
     """Spending with merchants whose lifetime net is negative.
 
     Refunds of such a merchant show as negative spending.
     """
-    spending = fact.where(
-        counts_as_spending(F.col("txn_description"), EXPENSE_TRANSFER_WORDS)
-    )
-    net_spent = merchants.where(F.col("total_amount") < 0)
+    spending = counts_as_spending(F.col("txn_description"), EXPENSE_TRANSFER_WORDS)
     return enforce_contract(
-        _labelled(spending, net_spent, "merchant_subcategory").select(
+        labelled.where((F.col("merchant_total") < 0) & spending).select(
             "posted_at_timestamp",
             "merchant_category",
             "merchant_subcategory",
@@ -71,12 +72,11 @@ def rpt_expenses_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     )
 
 
-def rpt_income_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+def income_of(labelled: DataFrame) -> DataFrame:
     """Money in, other than transfers."""
-    earned = fact.where(F.col("amount") >= 0)
-    not_transfers = merchants.where(~mentions(F.col("merchant_category"), "transfer"))
+    transfers = mentions(F.col("merchant_category"), "transfer")
     return enforce_contract(
-        _labelled(earned, not_transfers, "merchant_subcategory").select(
+        labelled.where(~transfers & (F.col("amount") >= 0)).select(
             "posted_at_timestamp",
             "merchant_category",
             "merchant_subcategory",
@@ -89,11 +89,10 @@ def rpt_income_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     )
 
 
-def rpt_unknown_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+def unknown_of(labelled: DataFrame) -> DataFrame:
     """Transactions of merchants without a category."""
-    unknown = merchants.where(mentions(F.col("merchant_category"), "unkn"))
     return enforce_contract(
-        _labelled(fact, unknown).select(
+        labelled.where(mentions(F.col("merchant_category"), "unkn")).select(
             "amount",
             "posted_at_timestamp",
             "payee",
@@ -104,6 +103,18 @@ def rpt_unknown_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame
     )
 
 
+def rpt_expenses_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+    return expenses_of(labelled_transactions(fact, merchants))
+
+
+def rpt_income_detail(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+    return income_of(labelled_transactions(fact, merchants))
+
+
+def rpt_unknown_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+    return unknown_of(labelled_transactions(fact, merchants))
+
+
 def rpt_daily_overunder(expenses: DataFrame, daily_pay: DataFrame) -> DataFrame:
     """Income against spending per calendar day, with a colour.
 

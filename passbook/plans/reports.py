@@ -201,7 +201,8 @@ def flt_chart_col_expenses(
 
 
 def unique_merch_cats(expenses: DataFrame) -> DataFrame:
-    return rows_all_expenses(expenses).select("category").distinct().orderBy("category")
+    categories = rows_all_expenses(expenses).select("category").distinct()
+    return categories.orderBy(F.col("category").asc_nulls_last())
 
 
 def expenses_detail_bounds(expenses: DataFrame) -> DataFrame:
