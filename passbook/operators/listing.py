@@ -10,11 +10,11 @@ def order_by_all(df: DataFrame) -> DataFrame:
     return df.orderBy(*[F.col(name).asc_nulls_last() for name in df.columns])
 
 
-def newest_first(df: DataFrame, column: str) -> DataFrame:
-    """Newest rows first; the other columns break ties.
+def largest_first(df: DataFrame, column: str) -> DataFrame:
+    """Descending by one column; the other columns break ties.
 
     A range-partitioned sort cannot split equal keys, so the ties also keep a
-    date that holds much of the listing from landing in one task.
+    value that holds much of the listing from landing in one task.
     """
     ties = [F.col(name).asc_nulls_last() for name in df.columns if name != column]
     return df.orderBy(F.col(column).desc_nulls_last(), *ties)
@@ -22,9 +22,7 @@ def newest_first(df: DataFrame, column: str) -> DataFrame:
 
 def with_total_row(df: DataFrame, measures: list[str]) -> DataFrame:
     """The listing plus one row of grand totals, flagged by ``is_total``."""
-    totals = df.agg(
-        *[F.sum(name).cast(df.schema[name].dataType).alias(name) for name in measures]
-    )
+    totals = df.agg(*[F.sum(name).alias(name) for name in measures])
     return df.withColumn("is_total", F.lit(False)).unionByName(
         totals.withColumn("is_total", F.lit(True)), allowMissingColumns=True
     )

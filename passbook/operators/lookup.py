@@ -8,10 +8,11 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are
-# fewer than HOT_SHARE hot keys however large the data is.
-HOT_SHARE = 1000
-SALTS = 64
+# Rows are cut into pieces of at most 1/PIECES of all rows; a key that holds
+# more is hot.  So there are fewer than PIECES hot keys, and fewer than twice
+# PIECES copies of their lookup rows, however large the data is.
+PIECES = 100_000
+MIN_PIECE = 100_000
 
 
 def salted_lookup(
@@ -21,27 +22,31 @@ def salted_lookup(
     weight: str,
     spread: str,
     how: str = "inner",
-    salts: int = SALTS,
+    min_piece: int = MIN_PIECE,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on ``keys``, spreading hot keys over salts.
 
     ``lookup`` is unique by ``keys`` and its ``weight`` column counts the rows of
-    each key.  Hot keys are broadcast (fewer than ``HOT_SHARE`` of them) to mark
-    their rows, which are spread by a hash of the ``spread`` column; the lookup
-    row is copied once per salt.  All other keys use salt 0.
+    each key.  A hot key gets one salt per piece it holds; its rows, marked by a
+    broadcast of the hot keys, are spread by a hash of the ``spread`` column, and
+    its lookup row is copied once per salt.  All other keys use salt 0.  Keys
+    lighter than ``min_piece`` rows are never hot.
     """
     total = lookup.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * HOT_SHARE > total
+    piece = F.greatest(total / F.lit(PIECES), F.lit(min_piece))
+    salts = F.ceil(F.col(weight) / piece).cast("int")
+    sized = lookup.withColumn("_salts", salts)
 
-    hot_keys = lookup.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
+    hot_keys = sized.where(F.col("_salts") > 1).select(*keys, "_salts")
     no_key = reduce(or_, [F.col(key).isNull() for key in keys])
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    spread_rows = rows.join(F.broadcast(hot_keys), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0)
+    salts_of_row = F.when(no_key, F.lit(PIECES)).otherwise(F.col("_salts"))
+    salt = F.pmod(F.xxhash64(spread), salts_of_row).cast("int")
+    spread_rows = (
+        rows.join(F.broadcast(hot_keys), keys, "left")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        .drop("_salts")
     )
 
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = lookup.withColumn(
-        "_salt", F.explode(F.coalesce(copies, F.array(F.lit(0))))
-    )
-    return spread_rows.join(salted, [*keys, "_salt"], how).drop("_salt", "_hot", weight)
+    every_salt = F.sequence(F.lit(0), F.greatest("_salts", F.lit(1)) - 1)
+    copies = sized.withColumn("_salt", F.explode(every_salt)).drop("_salts")
+    return spread_rows.join(copies, [*keys, "_salt"], how).drop("_salt", weight)

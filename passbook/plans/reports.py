@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from passbook.functions.calendar import AsOf, day_span, month_span, trailing_months
 from passbook.functions.money import safe_input
 from passbook.functions.text import mentions
-from passbook.operators.listing import newest_first, order_by_all
+from passbook.operators.listing import largest_first, order_by_all
 
 # Report parameters and the bounds used when an input is blank.
 TRAILING_MONTHS = 6
@@ -111,7 +111,7 @@ def chart_coe_expenses_detail(
 def rows_all_expenses(expenses: DataFrame, excluded: str = EXCLUDED_WORD) -> DataFrame:
     """The expense listing without one excluded word."""
     label = F.concat("merchant_category", "merchant_subcategory")
-    return newest_first(
+    return largest_first(
         expenses.where(~mentions(label, excluded)).select(
             _posted_date(),
             "amount_spent",
@@ -130,10 +130,9 @@ def _trailing_listing(
 ) -> DataFrame:
     """Recent rows, newest posting first; the sort key itself is not shown."""
     posted = F.col("posted_at_timestamp")
-    recent = newest_first(
-        expenses.where(trailing_months(posted, months, as_of)), "posted_at_timestamp"
-    )
-    return recent.select(*columns)
+    recent = expenses.where(trailing_months(posted, months, as_of))
+    shown = largest_first(recent.select(*columns, posted), "posted_at_timestamp")
+    return shown.drop("posted_at_timestamp")
 
 
 def rows_cc_interest_payments(
@@ -170,7 +169,7 @@ def rows_mortgage_payment(
 
 def rows_cc_spend(expenses: DataFrame) -> DataFrame:
     listing = rows_all_expenses(expenses)
-    return newest_first(
+    return largest_first(
         listing.where(mentions(F.col("account"), CARD_ACCOUNT)), "posted_date"
     )
 
@@ -220,7 +219,12 @@ def flt_rows_all_expenses(
     categories: Sequence[str] | None = None,
 ) -> DataFrame:
     rows = _chosen(rows_all_expenses(expenses), "category", categories)
-    return newest_first(_between_days(rows, "posted_date", lower, upper), "posted_date")
+    return largest_first(_between_days(rows, "posted_date", lower, upper), "posted_date")
+
+
+def top_expenses_ranked(top: DataFrame) -> DataFrame:
+    """The stored ranking in its reading order, largest spend first."""
+    return largest_first(top, "total_spend")
 
 
 # Daily and monthly --------------------------------------------------------
@@ -281,7 +285,7 @@ def rows_income(
     income: DataFrame, as_of: AsOf = None, months: int = TRAILING_MONTHS
 ) -> DataFrame:
     recent = income.where(trailing_months(F.col("posted_at_timestamp"), months, as_of))
-    return newest_first(
+    return largest_first(
         recent.select(
             _posted_date(),
             "amount_earned",
@@ -301,4 +305,4 @@ def unique_inc_types(income: DataFrame, as_of: AsOf = None) -> DataFrame:
 def flt_rows_all_income(
     income: DataFrame, types: Sequence[str] | None = None, as_of: AsOf = None
 ) -> DataFrame:
-    return newest_first(_chosen(rows_income(income, as_of), "income_type", types), "posted_date")
+    return largest_first(_chosen(rows_income(income, as_of), "income_type", types), "posted_date")

@@ -18,9 +18,6 @@ from passbook.plans.history import WINDOW_DAYS
 from passbook.plans.star import latest_accounts, latest_transactions
 
 
-SALTS = 16
-
-
 def first_seen(flat: DataFrame, delay_days: int = 2 * WINDOW_DAYS) -> DataFrame:
     """A stream of transactions not seen before, by id.
 
@@ -28,15 +25,14 @@ def first_seen(flat: DataFrame, delay_days: int = 2 * WINDOW_DAYS) -> DataFrame:
     snapshot, so a pull may arrive a whole window late.  Rows older than that
     are late for this stream; ``LatestStore`` takes them at any age.
 
-    The first step deduplicates per id and task, which spreads an id that is
-    repeated very often; the second sees a few rows per id.
+    The first step deduplicates per id and input task, which spreads an id that
+    is repeated very often; the second sees one row per id and task.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
     return (
         flat.withWatermark("posted_at_timestamp", f"{delay_days} days")
-        .withColumn("_salt", salt)
-        .dropDuplicatesWithinWatermark(["txn_id", "_salt"])
-        .drop("_salt")
+        .withColumn("_task", F.spark_partition_id())
+        .dropDuplicatesWithinWatermark(["txn_id", "_task"])
+        .drop("_task")
         .dropDuplicatesWithinWatermark(["txn_id"])
     )
 

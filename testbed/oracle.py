@@ -330,6 +330,8 @@ SELECTS: dict[str, str] = {
         {_MOM_COLUMNS} FROM mom""",
     "mom_performance_corrected": f"""SELECT y::INTEGER AS year, {_MOM_COLUMNS} FROM mom""",
     "top_expenses": _top("-(txns::DOUBLE / total::DOUBLE)"),
+    "top_expenses_ranked": _top("-(txns::DOUBLE / total::DOUBLE)")
+    + " ORDER BY total_spend DESC",
     "top_expenses_corrected": _top(
         # Whole cents, halves up: (2c + n) div 2n.
         "((2 * (-total * 100)::HUGEINT + txns) // (2 * txns))::DECIMAL(38,0) / 100"

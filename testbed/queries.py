@@ -231,7 +231,7 @@ def _overlapping_files(spark: SparkSession, rows: DataFrame, at: str, name: str)
 
 def _stream_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    return reader.option("maxFilesPerTrigger", 24).parquet(path)
+    return reader.option("maxFilesPerTrigger", 32).parquet(path)
 
 
 def _ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +312,7 @@ QUERIES: dict[str, Query] = {
     ),
     "top_expenses": _built("rpt_top_expenses"),
     "top_expenses_corrected": _report(marts.rpt_top_expenses, MERCHANT, corrected=True),
+    "top_expenses_ranked": _report(reports.top_expenses_ranked, "rpt_top_expenses"),
     # Report queries
     "q01_total_assets_minus_mortgage": _report(reports.total_assets_minus_mortgage, ACCOUNTS),
     "q02_total_cc_debt": _report(reports.total_cc_debt, ACCOUNTS),

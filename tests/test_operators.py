@@ -36,7 +36,9 @@ def test_salted_lookup_equals_a_plain_join(spark, how):
         .groupBy("k")
         .agg(F.count("*").alias("n"), F.min("row_id").alias("label"))
     )
-    got = salted_lookup(rows, lookup, ["k"], weight="n", spread="row_id", how=how)
+    got = salted_lookup(
+        rows, lookup, ["k"], weight="n", spread="row_id", how=how, min_piece=100
+    )
     want = rows.join(lookup.drop("n"), "k", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -50,7 +52,9 @@ def test_hot_key_is_spread_over_salts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_lookup(rows, lookup, ["k"], weight="n", spread="row_id")
+        joined = salted_lookup(
+            rows, lookup, ["k"], weight="n", spread="row_id", min_piece=50
+        )
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
