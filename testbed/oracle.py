@@ -468,10 +468,9 @@ SELECTS: dict[str, str] = {
         FROM fact CROSS JOIN as_of_days GROUP BY ALL""",
     "trailing_snapshot": """
         SELECT moment::TIMESTAMP AS as_of_date, account_name AS bank_account_name,
-               0::INTEGER AS chunk, count(*) AS n_transactions,
-               string_agg(txn_id, ',' ORDER BY posted DESC, txn_id) AS txn_ids
-        FROM fact JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment
-        GROUP BY ALL""",
+               txn_id AS id, epoch(posted)::BIGINT AS posted,
+               amount::VARCHAR AS amount, description, payee
+        FROM fact JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment""",
     "snapshot_scan_fact": """
         SELECT account_name AS bank_account_name, txn_id, description AS txn_description,
                merchant AS merchant_category_key, payee, amount::DOUBLE AS amount,
