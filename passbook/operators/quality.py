@@ -82,6 +82,22 @@ def run_checks(checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def null_checks(table: str, df: DataFrame, severities: dict[str, str]) -> DataFrame:
+    """Check rows for the NULLs of several columns, from one pass over a table."""
+    counts = null_counts(df, list(severities))
+    warn_only = [name for name, severity in severities.items() if severity == WARN]
+    lenient = F.col("column_name").isin(*warn_only) if warn_only else F.lit(False)
+    return counts.select(
+        F.concat(F.lit(f"not_null {table}."), "column_name").alias("check_name"),
+        F.when(lenient, WARN).otherwise(ERROR).alias("severity"),
+        F.col("n_nulls").alias("n_failures"),
+        F.when(F.col("n_nulls") == 0, "pass")
+        .when(lenient, "warn")
+        .otherwise("fail")
+        .alias("status"),
+    )
+
+
 def raise_on_errors(report: DataFrame) -> DataFrame:
     """Raise when an ``error`` check failed; warnings pass through."""
     failed = [row.check_name for row in report.where("status = 'fail'").collect()]
@@ -113,6 +129,14 @@ def coverage_summary(merchants: DataFrame, unknown: str) -> DataFrame:
     )
 
 
+def require_coverage(merchants: DataFrame, unknown: str) -> DataFrame:
+    """The merchants, or an error when one has no category."""
+    missing_keys = coverage_summary(merchants, unknown).first().unknown_keys
+    if missing_keys:
+        raise QualityError(f"{missing_keys} merchant keys without a category")
+    return merchants
+
+
 def unknown_merchants(merchants: DataFrame, unknown: str) -> DataFrame:
     """Merchants to map next, busiest first."""
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from passbook.functions.calendar import AsOf
@@ -78,80 +80,70 @@ def build_all(
         "rpt_unknown_transactions": unknown,
         "rpt_top_expenses": top,
     }
-    return quality.run_checks(table_checks(tables))
-
-
-def table_checks(tables: dict[str, DataFrame]) -> list[Check]:
-    """The standing checks of the built tables."""
-    not_null = {
-        "map_merchant_category_regex": {
-            "merchant_category": WARN,
-            "merchant_subcategory": ERROR,
-            "regex_match_pat": ERROR,
-            "match_priority": ERROR,
-        },
-        "stg_payrate": {
-            "employer_name": ERROR,
-            "biweekly_paycheck_posttax_amount": ERROR,
-            "effective_start_date": ERROR,
-            "effective_end_date": ERROR,
-        },
-        "dim_accounts": {
-            "bank_account_id": WARN,
-            "actual_balance": WARN,
-            "available_balance": WARN,
-            "balance_as_of_timestamp": WARN,
-        },
-        "fact_transactions": {"bank_account_id": ERROR, "txn_id": ERROR},
-        "dim_merchant": {
-            "merchant_category_key": ERROR,
-            "merchant_name": WARN,
-            "merchant_category": WARN,
-            "merchant_subcategory": WARN,
-        },
-        "rpt_top_expenses": {
-            "merchant_name": ERROR,
-            "avg_spend_per_txn": WARN,
-            "total_spend": WARN,
-        },
-    }
-    unique = {
-        "map_merchant_category_regex": "merchant_subcategory",
-        "dim_accounts": "bank_account_id",
-        "fact_transactions": "txn_id",
-    }
+    return check_tables(tables)
+
+
+# Columns that must not be NULL, with the severity of a failure.
+NOT_NULL = {
+    "map_merchant_category_regex": {
+        "merchant_category": WARN,
+        "merchant_subcategory": ERROR,
+        "regex_match_pat": ERROR,
+        "match_priority": ERROR,
+    },
+    "stg_payrate": {
+        "employer_name": ERROR,
+        "biweekly_paycheck_posttax_amount": ERROR,
+        "effective_start_date": ERROR,
+        "effective_end_date": ERROR,
+    },
+    "dim_accounts": {
+        "bank_account_id": WARN,
+        "actual_balance": WARN,
+        "available_balance": WARN,
+        "balance_as_of_timestamp": WARN,
+    },
+    "fact_transactions": {"bank_account_id": ERROR, "txn_id": ERROR},
+    "dim_merchant": {
+        "merchant_category_key": ERROR,
+        "merchant_name": WARN,
+        "merchant_category": WARN,
+        "merchant_subcategory": WARN,
+    },
+    "rpt_top_expenses": {
+        "merchant_name": ERROR,
+        "avg_spend_per_txn": WARN,
+        "total_spend": WARN,
+    },
+}
+
+UNIQUE = {
+    "map_merchant_category_regex": ("merchant_subcategory", ERROR),
+    "dim_accounts": ("bank_account_id", ERROR),
+    "fact_transactions": ("txn_id", ERROR),
+    "fact_daily_pay": ("calendar_date", WARN),
+}
+
+
+def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """The standing checks of the built tables, one row each."""
     checks = [
-        Check(f"not_null {table}.{column}", quality.missing(tables[table], column), severity)
-        for table, columns in not_null.items()
-        for column, severity in columns.items()
+        Check(f"unique {table}.{column}", quality.duplicated(tables[table], column), severity)
+        for table, (column, severity) in UNIQUE.items()
     ]
+    key = "merchant_category_key"
+    unparented = quality.orphans(
+        tables["fact_transactions"], key, tables["dim_merchant"], key
+    )
     checks += [
-        Check(f"unique {table}.{column}", quality.duplicated(tables[table], column))
-        for table, column in unique.items()
+        Check(f"relationship fact_transactions.{key}", unparented, WARN),
+        Check("no unknown merchants", tables["rpt_unknown_transactions"], WARN),
     ]
-    checks.append(
-        Check(
-            "unique fact_daily_pay.calendar_date",
-            quality.duplicated(tables["fact_daily_pay"], "calendar_date"),
-            WARN,
-        )
-    )
-    checks.append(
-        Check(
-            "relationship fact_transactions.merchant_category_key",
-            quality.orphans(
-                tables["fact_transactions"],
-                "merchant_category_key",
-                tables["dim_merchant"],
-                "merchant_category_key",
-            ),
-            WARN,
-        )
-    )
-    checks.append(
-        Check("no unknown merchants", tables["rpt_unknown_transactions"], WARN)
-    )
-    return checks
+    nulls = [
+        quality.null_checks(table, tables[table], severities)
+        for table, severities in NOT_NULL.items()
+    ]
+    return reduce(DataFrame.unionByName, nulls, quality.run_checks(checks))
 
 
 def coverage(merchants: DataFrame) -> DataFrame:

@@ -405,6 +405,13 @@ SELECTS: dict[str, str] = {
     "quality_not_null": "SELECT unnest(['txn_id', 'payee', 'amount']) AS column_name,"
     " unnest([count(*) - count(txn_id), count(*) - count(payee),"
     " count(*) - count(amount)]) AS n_nulls FROM fact",
+    "quality_not_null_checks": """
+        SELECT 'not_null fact.txn_id' AS check_name, 'error' AS severity,
+               count(*) AS n_failures, 'pass' AS status FROM fact WHERE txn_id IS NULL
+        UNION ALL SELECT 'not_null fact.payee', 'warn', count(*), 'warn' FROM fact
+          WHERE payee IS NULL
+        UNION ALL SELECT 'not_null fact.amount', 'error', count(*), 'pass' FROM fact
+          WHERE amount IS NULL""",
     "quality_relationships": f"""SELECT c_custkey AS value, count(*) AS n_records
         FROM customer WHERE {_MISSING.format(parent="supplier", key="s_suppkey", value="c_custkey")}
         GROUP BY 1""",

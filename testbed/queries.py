@@ -280,6 +280,11 @@ def _calendar_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Warehouse(spark, sf_dir).calendar(corrected=True)
 
 
+def _null_checks(fact: DataFrame) -> DataFrame:
+    severities = {"txn_id": quality.ERROR, "payee": quality.WARN, "amount": quality.ERROR}
+    return quality.null_checks("fact", fact, severities)
+
+
 def _cc_spend_with_total(expenses: DataFrame) -> DataFrame:
     return with_total_row(reports.rows_cc_spend(expenses), ["amount_spent"])
 
@@ -362,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "quality_not_null": _report(
         quality.null_counts, FACT, columns=["txn_id", "payee", "amount"]
     ),
+    "quality_not_null_checks": _report(_null_checks, FACT),
     "quality_relationships": quality_relationships,
     "quality_checks": quality_checks,
     "quality_category_coverage": _report(quality.category_coverage, MERCHANT),

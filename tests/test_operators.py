@@ -13,7 +13,7 @@ from passbook.operators.lookup import salted_lookup
 from passbook.operators.partitioning import spread_small_scan
 from passbook.operators.quality import WARN, Check, QualityError
 from passbook.plans import arrivals, catalog, history
-from passbook.plans.build import table_checks
+from passbook.plans.build import check_tables
 from passbook.sources.snapshots import flatten_transactions
 from tests.rows import at, epoch, fact, flat_row
 
@@ -103,10 +103,23 @@ def test_standing_checks_cover_the_contract_tests(spark):
     from passbook.schemas import CONTRACTS
 
     empty = {name: spark.createDataFrame([], schema) for name, schema in CONTRACTS.items()}
-    names = {check.name for check in table_checks(empty)}
-    assert "unique fact_transactions.txn_id" in names
-    assert "relationship fact_transactions.merchant_category_key" in names
-    assert len(names) == 27
+    rows = {r.check_name: r for r in check_tables(empty).collect()}
+    assert len(rows) == 27 and {r.status for r in rows.values()} == {"pass"}
+    assert rows["unique fact_transactions.txn_id"].severity == "error"
+    assert rows["relationship fact_transactions.merchant_category_key"].severity == "warn"
+    assert rows["not_null dim_merchant.merchant_name"].severity == "warn"
+    assert rows["not_null fact_transactions.txn_id"].severity == "error"
+
+
+def test_coverage_can_be_required(spark):
+    merchants = spark.createDataFrame(
+        [("k1", "food", 2), ("k2", "**UNKNOWN**", 3)],
+        "merchant_category_key string, merchant_category string, total_transactions bigint",
+    )
+    known = merchants.where("merchant_category = 'food'")
+    assert quality.require_coverage(known, "**UNKNOWN**") is known
+    with pytest.raises(QualityError, match="1 merchant"):
+        quality.require_coverage(merchants, "**UNKNOWN**")
 
 
 # Catalog ------------------------------------------------------------------
