@@ -22,7 +22,7 @@ def salted_lookup(
     weight: str,
     spread: str,
     how: str = "inner",
-    min_piece: int = MIN_PIECE,
+    min_piece: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on ``keys``, spreading hot keys over salts.
 
@@ -30,14 +30,17 @@ def salted_lookup(
     each key.  A hot key gets one salt per piece it holds; its rows, marked by a
     broadcast of the hot keys, are spread by a hash of the ``spread`` column, and
     its lookup row is copied once per salt.  All other keys use salt 0.  Keys
-    lighter than ``min_piece`` rows are never hot.
+    lighter than ``min_piece`` rows (``MIN_PIECE`` by default) are never hot.
     """
+    least = MIN_PIECE if min_piece is None else min_piece
     total = lookup.agg(F.sum(weight)).scalar()
-    piece = F.greatest(total / F.lit(PIECES), F.lit(min_piece))
+    piece = F.greatest(total / F.lit(PIECES), F.lit(least))
     salts = F.ceil(F.col(weight) / piece).cast("int")
     sized = lookup.withColumn("_salts", salts)
 
-    hot_keys = sized.where(F.col("_salts") > 1).select(*keys, "_salts")
+    # The first condition follows from the second; it is one a scan can use.
+    is_hot = (F.col(weight) > least) & (F.col("_salts") > 1)
+    hot_keys = sized.where(is_hot).select(*keys, "_salts")
     no_key = reduce(or_, [F.col(key).isNull() for key in keys])
     salts_of_row = F.when(no_key, F.lit(PIECES)).otherwise(F.col("_salts"))
     salt = F.pmod(F.xxhash64(spread), salts_of_row).cast("int")

@@ -100,6 +100,18 @@ def test_one_row_per_key_when_payee_holds_the_separator(spark):
     assert shop.total_amount == Decimal("-1.00")
 
 
+def test_period_sums_grow_by_inclusion(spark):
+    rows = [
+        flat_row(str(i), f"2026-{1 + i % 6:02d}-{1 + i % 28:02d}T00:00:00", f"-{i}.25", f"shop {i % 5}")
+        for i in range(1, 120)
+    ]
+    dim = star.dim_merchant(fact(spark, rows), catalog(spark, RULES))
+    names = ["day", "week", "month", "quarter", "year"]
+    for row in dim.collect():
+        sums = [-row[f"amount_past_{name}"] for name in names]
+        assert sums == sorted(sums) and sums[-1] <= -row.total_amount
+
+
 TEXTS = [
     "corner shop",
     "corner market",
