@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from passbook.functions.text import java_pattern, java_pattern_column
@@ -25,27 +25,32 @@ def _best_first() -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in CATALOG_ORDER]
 
 
-def inline_categories(df: DataFrame, text: str, patterns: list) -> DataFrame:
-    """One ``coalesce`` over constant patterns, best first.
+def _literal(text: str | None) -> str:
+    """A SQL string literal; the dollar is escaped against variable substitution."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
+    return f"'{escaped}'"
+
+
+def inline_categories(df: DataFrame, text: str, patterns: list[Row]) -> DataFrame:
+    """One CASE over constant patterns, best first.
 
     A projection: no join, no fan-out, no shuffle.  Constant patterns compile
-    once per task and evaluation stops at the first hit.
+    once per task and evaluation stops at the first hit.  Written as one SQL
+    expression, since a long catalog costs a driver call per Column otherwise.
     """
-    hits = [
-        F.when(
-            F.col(text).rlike(java_pattern(row.regex_match_pat)),
-            F.struct(
-                F.lit(row.merchant_category).cast("string").alias("category"),
-                F.lit(row.merchant_subcategory).cast("string").alias("subcategory"),
-                F.lit(row.match_priority).cast("int").alias("priority"),
-            ),
-        )
+    nothing = "CAST(NULL AS STRUCT<category: STRING, subcategory: STRING, priority: INT>)"
+    branches = [
+        f"WHEN `{text}` RLIKE {_literal(java_pattern(row.regex_match_pat))}"
+        f" THEN named_struct('category', {_literal(row.merchant_category)},"
+        f" 'subcategory', {_literal(row.merchant_subcategory)},"
+        f" 'priority', CAST({'NULL' if row.match_priority is None else row.match_priority}"
+        " AS INT))"
         for row in patterns
     ]
-    nothing = F.lit(None).cast(
-        "struct<category:string,subcategory:string,priority:int>"
-    )
-    return df.withColumn("_hit", F.coalesce(*hits, nothing))
+    case = f"CASE {' '.join(branches)} ELSE {nothing} END" if branches else nothing
+    return df.withColumn("_hit", F.expr(case))
 
 
 def joined_categories(

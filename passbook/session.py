@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Results depend on the first two; the rest let Spark re-plan at run time.
+# Results depend on the first three; the others let Spark re-plan at run time.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.parser.escapedStringLiterals": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

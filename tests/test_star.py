@@ -26,6 +26,9 @@ RULES = [
     ("fees", "ends", "^fee$", 10),
     ("none", "null pattern", None, 1),
     ("last", "no priority", "^.*(corner market).*$", None),
+    ("it's", "a \\ b\"c", "(o'neil's|[$]{2}|\\$a)", 10),
+    (None, "first of all", "^.*(zero).*$", 0),
+    ("late", "also zero", "^.*(zero).*$", 1),
 ]
 
 
@@ -125,6 +128,10 @@ TEXTS = [
     "",
     None,
     "transfer from shop",
+    "o'neil's",
+    "$$",
+    "x$a",
+    "zero shop",
 ]
 
 
