@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from testbed import oracle, queries
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = oracle.oracle_sql()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
