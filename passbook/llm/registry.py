@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from passbook.llm import exact
+from passbook.llm import exact, language
 
 
 def queries() -> dict:
     return {
+        "op7_language_id": language.op7_language_id,
         "op10_exact_dedup": exact.op10_exact_dedup,
     }
 
