@@ -35,7 +35,7 @@ def squeezed(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
@@ -57,7 +57,7 @@ def _members(rows: DataFrame) -> DataFrame:
     first = parted.select("row", F.col("next").alias("group"), ended.alias("ended"))
     texts = rows.select("row", squeezed(F.col("document.text")).cast("binary").alias("rest"))
     rest = F.when(~F.col("ended"), F.expr(f"substring(rest, {width + 1})"))
-    level = _stored(
+    level = stored(
         first.join(texts, "row").select("row", "group", "ended", rest.alias("rest")), "radix"
     )
     while True:
@@ -74,7 +74,7 @@ def _members(rows: DataFrame) -> DataFrame:
         )
         kept = active.select("row", F.expr(f"substring(rest, {width + 1})").alias("rest"))
         rest = F.when(~F.col("ended"), F.col("rest"))
-        level = _stored(
+        level = stored(
             parted.join(kept, "row").select("row", "group", "ended", rest.alias("rest")), "radix"
         )
 
@@ -89,7 +89,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """
     document = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
     whole = docs.select(document).withColumn("norm", squeezed(F.col("document.text")))
-    rows = _stored(
+    rows = stored(
         whole.select(
             F.monotonically_increasing_id().alias("row"),
             "document",
