@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passbook.session import scratch_path
+from passbook.llm.tables import stored
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 FIRST_DIGIT = 32
@@ -35,17 +35,11 @@ def squeezed(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _shared(digits: DataFrame, keys: list[str]) -> DataFrame:
     """Members of the groups of at least two rows, with the new group's number."""
     groups = digits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("next"))
-    return digits.join(groups.where("n > 1").drop("n"), keys)
+    # Stored, so that both sides of the join are exchanged and a hot group can be split.
+    return digits.join(stored(groups.where("n > 1").drop("n"), "groups"), keys)
 
 
 def _members(rows: DataFrame) -> DataFrame:
@@ -107,7 +101,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct((-F.col("points")).alias("p"), "doc_id", "row")).alias("best"),
     )
-    decided = grouped.join(best, "group").select(
+    decided = grouped.join(stored(best, "best"), "group").select(
         "row",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",

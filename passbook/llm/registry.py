@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from passbook.llm import exact, language, packing
+from passbook.llm import exact, language, minhash, packing
 
 
 def queries() -> dict:
     return {
+        "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_language_id": language.op7_language_id,
         "op10_exact_dedup": exact.op10_exact_dedup,
