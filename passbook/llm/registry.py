@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from passbook.llm import exact, language, minhash, packing, substrings
+from passbook.llm import decontaminate, exact, language, minhash, packing, substrings
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_language_id": language.op7_language_id,
+        "op8_decontamination": decontaminate.op8_decontamination,
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_exact_dedup": exact.op10_exact_dedup,
     }
@@ -17,5 +18,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_decontamination": decontaminate.OP8_SQL,
         "op10_exact_dedup": exact.OP10_SQL,
     }
