@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from passbook.llm import decontaminate, exact, language, minhash, packing, substrings
+from passbook.llm import decontaminate, exact, language, minhash, packing, pii, substrings
 
 
 def queries() -> dict:
     return {
         "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
+        "op5_pii": pii.op5_pii,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
         "op7_language_id": language.op7_language_id,
         "op8_decontamination": decontaminate.op8_decontamination,
