@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from passbook.llm import decontaminate, exact, language, minhash, packing, pii, substrings
 
 
@@ -14,6 +15,7 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_exact_dedup": exact.op10_exact_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
