@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from passbook.llm import decontaminate, exact, language, minhash, packing, pii, substrings
+from passbook.llm import decontaminate, exact, language, line_dedup, minhash, packing, pii, substrings
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
         "op5_pii": pii.op5_pii,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
@@ -21,6 +22,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": line_dedup.OP1_SQL,
         "op8_decontamination": decontaminate.OP8_SQL,
         "op10_exact_dedup": exact.OP10_SQL,
     }
