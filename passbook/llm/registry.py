@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from passbook.llm import decontaminate, exact, language, line_dedup, minhash, packing, pii, substrings
+from passbook.llm import (
+    decontaminate,
+    exact,
+    language,
+    line_dedup,
+    minhash,
+    packing,
+    pii,
+    substrings,
+    token_counts,
+    token_output,
+)
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_token_counts": token_counts.op2_token_counts,
+        "op3_token_output": token_output.op3_token_output,
         "op4_minhash_near_dedup": minhash.op4_minhash_near_dedup,
         "op5_pii": pii.op5_pii,
         "op6_best_fit_packing": packing.op6_best_fit_packing,
