@@ -12,10 +12,11 @@ BLOCK_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and its n + 1 offsets; NULL counts as empty."""
+    """All bytes of a string or binary column and its n + 1 offsets; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    if column.type != pa.large_binary():
+        column = pc.fill_null(column, "").cast(pa.large_string())
     size = len(column)
     if size == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

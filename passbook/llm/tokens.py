@@ -16,9 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from passbook.llm.texts import blocks, utf8
+from passbook.llm.words import lowered
 
 TOKENIZER = "word_bpe_49k.json"
-STORED_CHUNKS = 400_000
+STORED_CHUNKS = 800_000
+BLOCK = 4 << 20
 STORED_CHUNK_BYTES = 64
 IDS = np.dtype("<u4")
 
@@ -59,27 +61,40 @@ def coder(path: str) -> ChunkCoder:
     return _coders[path]
 
 
-def _take_ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places starts[i] .. starts[i] + sizes[i] - 1, for every i in turn."""
-    ends = np.cumsum(sizes)
-    step = np.repeat(starts - (ends - sizes), sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + step
+def chunked(texts: pa.Array) -> pa.Array:
+    """The texts rewritten so that more chunks are alike; their ids stay the same.
+
+    The tokenizer lowers letters itself, and always parts a letter or digit from a
+    stop or comma, so white space may stand between them.  Texts with marks like those
+    of special tokens, which are told by case, are left alone.
+    """
+    data, offsets = utf8(texts)
+    start, offsets = offsets[0], offsets - offsets[0]
+    data = data[start : start + offsets[-1]]
+    if not ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
+        data = lowered(data)
+    alphanumeric = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
+    stop = (data[1:] == ord(".")) | (data[1:] == ord(","))
+    at = np.flatnonzero(stop & alphanumeric[:-1]) + 1
+    moved = offsets + np.searchsorted(at, offsets)
+    out = np.full(len(data) + len(at), 32, np.uint8)
+    kept = np.ones(len(out), bool)
+    kept[at + np.arange(len(at))] = False
+    out[kept] = data
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(moved), pa.py_buffer(out))
 
 
 def chunk_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For a block of texts: flat ids, ids per chunk, chunks per text."""
-    split = pc.ascii_split_whitespace(texts)
+    split = pc.ascii_split_whitespace(chunked(texts))
     coded = split.flatten().dictionary_encode()
     distinct = coder(path).code(coded.dictionary.cast(pa.large_binary()).to_pylist())
-    sizes = np.array([len(ids) for ids in distinct], np.int64) // IDS.itemsize
-    flat = np.frombuffer(b"".join(distinct), IDS)
-    which = coded.indices.to_numpy(zero_copy_only=False)
-    if len(which) == 0:
-        return flat[:0], sizes[:0], np.zeros(len(texts), np.int64)
-    starts = np.cumsum(sizes) - sizes
-    lengths = sizes[which]
-    ids = flat[_take_ragged(starts[which], lengths)]
-    return ids, lengths, np.diff(split.offsets.to_numpy())
+    chunks = np.diff(split.offsets.to_numpy())
+    if len(coded) == 0:
+        return np.zeros(0, IDS), np.zeros(0, np.int64), chunks
+    taken = pa.array(distinct, pa.large_binary()).take(coded.indices)
+    data, offsets = utf8(taken)
+    return data.view(IDS), np.diff(offsets) // IDS.itemsize, chunks
 
 
 def token_blocks(
@@ -88,7 +103,7 @@ def token_blocks(
     """First and last row, flat ids, ids per chunk and chunks per text of each block."""
     texts = pc.fill_null(texts, "")
     _, offsets = utf8(texts)
-    for first, last in blocks(offsets):
+    for first, last in blocks(offsets, BLOCK):
         yield first, last, *chunk_ids(texts.slice(first, last - first), path)
 
 
