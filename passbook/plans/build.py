@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from passbook.functions.calendar import AsOf
 from passbook.operators import quality
-from passbook.operators.categorize import UNKNOWN
 from passbook.operators.quality import ERROR, WARN, Check
 from passbook.plans import marts, star
 from passbook.session import configure, scratch_path
 from passbook.sources.defaults import CALENDAR_END, CALENDAR_START
+from passbook.sources.folders import remove_folder
 from passbook.sources.seeds import merchant_catalog, pay_rates
-from passbook.sources.snapshots import read_snapshots
+from passbook.sources.snapshots import flatten_accounts, flatten_transactions, read_snapshots
 from passbook.sources.tables import read_table, write_table
 
 # Detail tables are clustered by time, which their reports filter on.
@@ -34,34 +34,46 @@ def build_all(
     as_of: AsOf = None,
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END),
     snapshots: DataFrame | None = None,
+    stores: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Write all tables in dependency order and return the check report.
 
     Each table is read back by its consumers, so none is computed twice and
-    every later plan starts from columnar files.
+    every later plan starts from columnar files.  ``stores`` are the current rows of
+    a transaction store and an account store (``passbook.streaming``); with them no
+    raw file is read.  Else raw documents are parsed once, into a Parquet copy that
+    both flattened forms read and that is removed at the end.
     """
     configure(spark)
+    scratch: list[str] = []
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(scratch_path(spark, name))
+        df.write.parquet(scratch[-1])
+        return spark.read.parquet(scratch[-1])
 
     def store(table: str, df: DataFrame) -> DataFrame:
         write_table(df, root, table, CLUSTERED_BY.get(table))
         return read_table(spark, root, table)
 
-    raw = read_snapshots(spark, root) if snapshots is None else snapshots
+    if stores is None:
+        raw = read_snapshots(spark, root) if snapshots is None else snapshots
+        raw = staged(raw, "bronze")
+        stores = flatten_transactions(raw), flatten_accounts(raw)
+    flat_transactions, flat_accounts = stores
     catalog = store(
         "map_merchant_category_regex",
         merchant_catalog(spark, regex_csv, regex_overlay_csv),
     )
     rates = store("stg_payrate", pay_rates(spark, payrate_csv))
-    accounts = store("dim_accounts", star.dim_accounts(raw))
-    fact = store("fact_transactions", star.fact_transactions(raw))
+    accounts = store("dim_accounts", star.accounts_from_flat(flat_accounts))
+    fact = store("fact_transactions", star.fact_from_flat(flat_transactions))
     days = store("dim_date", star.dim_date(spark, *calendar))
     pay = store("fact_daily_pay", star.fact_daily_pay(days, rates, as_of))
     merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
 
     # One collapse and one join of the fact serve all three detail marts.
-    shared = scratch_path(spark, "labelled-transactions")
-    marts.labelled_transactions(fact, merchants).write.parquet(shared)
-    labelled = spark.read.parquet(shared)
+    labelled = staged(marts.labelled_transactions(fact, merchants), "labelled-transactions")
     expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
     income = store("rpt_income_detail", marts.income_of(labelled))
     unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))
@@ -70,6 +82,9 @@ def build_all(
     store("rpt_mom_performance", marts.rpt_mom_performance(fact, overunder, as_of))
     top = store("rpt_top_expenses", marts.rpt_top_expenses(merchants))
 
+    for path in scratch:
+        remove_folder(spark, path)
+
     tables = {
         "map_merchant_category_regex": catalog,
         "stg_payrate": rates,
@@ -83,7 +98,7 @@ def build_all(
     return check_tables(tables)
 
 
-# Columns that must not be NULL, with the severity of a failure.
+# Columns that must not be NULL, with the severity of a failure.
 NOT_NULL = {
     "map_merchant_category_regex": {
         "merchant_category": WARN,
@@ -117,6 +132,7 @@ NOT_NULL = {
     },
 }
 
+# Columns that must be unique, with the severity of a failure.
 UNIQUE = {
     "map_merchant_category_regex": ("merchant_subcategory", ERROR),
     "dim_accounts": ("bank_account_id", ERROR),
@@ -145,7 +161,3 @@ def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
     ]
     return reduce(DataFrame.unionByName, nulls, quality.run_checks(checks))
 
-
-def coverage(merchants: DataFrame) -> DataFrame:
-    """Unknown keys among all merchants; the caller decides what to do."""
-    return quality.coverage_summary(merchants, UNKNOWN)

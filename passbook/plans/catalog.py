@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passbook.operators.contract import enforce_contract
-from passbook.operators.lookup import salted_lookup
 from passbook.operators.quality import ERROR, WARN, Check, duplicated, orphans
 
 DEFAULT_PRIORITY = 10
-MAX_TOKENS = 10_000
 
 # The category taxonomy and the characters a token may not hold.
 KNOWN_CATEGORIES = (
@@ -35,42 +33,21 @@ def _wrapped(body: Column) -> Column:
     return F.concat(F.lit("^.*("), body, F.lit(").*$"))
 
 
-def build_catalog(
-    merchants: DataFrame,
-    structural: DataFrame | None = None,
-    max_tokens: int = MAX_TOKENS,
-) -> DataFrame:
+def build_catalog(merchants: DataFrame, structural: DataFrame | None = None) -> DataFrame:
     """One pattern per category and subcategory from its merchants' tokens.
 
     ``merchants`` has category, subcategory, token and priority (NULL means 10);
     ``structural`` has category, subcategory, regex and priority.  Tokens are
-    made distinct before they are gathered.  A group of more than ``max_tokens``
-    is written as several patterns of equal rank, which together match what one
-    long pattern would.
+    made distinct before they are gathered into the one row their group is.  A
+    NULL category or subcategory is a group like any other.
     """
     group = ["category", "subcategory"]
     tokens = merchants.groupBy(*group, "token").agg(
         F.min(F.coalesce("priority", F.lit(DEFAULT_PRIORITY))).alias("priority")
     )
-    groups = tokens.groupBy(*group).agg(
-        F.count("*").alias("_tokens"), F.min("priority").alias("priority")
-    )
-    pieces = F.ceil(F.col("_tokens") / F.lit(max_tokens)).cast("int")
-    sized = salted_lookup(
-        tokens.drop("priority"),
-        groups.withColumn("_pieces", pieces),
-        group,
-        weight="_tokens",
-        spread="token",
-    )
-    rows = (
-        sized.withColumn("_piece", F.pmod(F.xxhash64("token"), "_pieces"))
-        .groupBy(*group, "_piece")
-        .agg(
-            F.array_join(F.array_sort(F.collect_list("token")), "|").alias("regex"),
-            F.min("priority").alias("priority"),
-        )
-        .drop("_piece")
+    rows = tokens.groupBy(*group).agg(
+        F.array_join(F.array_sort(F.collect_list("token")), "|").alias("regex"),
+        F.min("priority").alias("priority"),
     )
     if structural is not None:
         rows = rows.unionByName(

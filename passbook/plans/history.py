@@ -7,12 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passbook.operators.lookup import salted_lookup
+from passbook.schemas import ORG
 
 # Fixed value: days of history one snapshot covers.
 WINDOW_DAYS = 88
 DAY_SECONDS = 86_400
-MAX_CHUNK = 10_000
 
 
 def as_of_dates(as_of: str, start: str, every_days: int) -> list[dt.date]:
@@ -39,15 +38,18 @@ def balances_as_of(
     ``accounts`` has account and end_balance; ``ledger`` account,
     posted_at_timestamp and amount.
     """
-    steps = len(as_of_dates(as_of, start, every_days))
+    dates = as_of_dates(as_of, start, every_days)
+    steps = len(dates)
     newest = F.lit(as_of).cast("timestamp")
     age_seconds = F.unix_micros(newest) - F.unix_micros("posted_at_timestamp")
     step_micros = every_days * DAY_SECONDS * 1_000_000
     first_step = F.when(age_seconds < 0, F.lit(0)).otherwise(
         F.floor(age_seconds / F.lit(step_micros)) + 1
     )
+    # Movements up to the oldest date count for none; the plain range reaches the scan.
     moved = (
-        ledger.withColumn("step", first_step.cast("int"))
+        ledger.where(F.col("posted_at_timestamp") > F.lit(str(dates[-1])).cast("timestamp"))
+        .withColumn("step", first_step.cast("int"))
         .where(F.col("step") < steps)
         .groupBy("account", "step")
         .agg(F.sum("amount").cast("decimal(38,2)").alias("moved"))
@@ -83,7 +85,15 @@ def trailing_windows(
     The snapshots that hold a row follow from its date by arithmetic, so the
     range join becomes a short sequence per row.  The end day counts whole.
     """
-    steps = len(as_of_dates(as_of, start, every_days))
+    dates = as_of_dates(as_of, start, every_days)
+    steps = len(dates)
+    # No window holds a row outside this plain range, which reaches the scan.
+    posted = F.col("posted_at_timestamp")
+    first_day = dates[-1] - dt.timedelta(days=window_days)
+    after_last = dates[0] + dt.timedelta(days=1)
+    within = (posted >= F.lit(str(first_day)).cast("timestamp")) & (
+        posted < F.lit(str(after_last)).cast("timestamp")
+    )
     age = F.datediff(F.lit(as_of).cast("date"), F.col("posted_at_timestamp").cast("date"))
     # Snapshot k ends k * every_days before as_of: it holds ages from that to
     # window_days more; at midnight sharp the oldest day counts too.
@@ -91,7 +101,8 @@ def trailing_windows(
     lowest = F.greatest(oldest, F.lit(0)).cast("int")
     highest = F.least(F.floor(age / F.lit(every_days)), F.lit(steps - 1)).cast("int")
     return (
-        ledger.withColumn("_low", lowest)
+        ledger.where(within)
+        .withColumn("_low", lowest)
         .withColumn("_high", highest)
         .where(F.col("_low") <= F.col("_high"))
         .withColumn("_step", F.explode(F.sequence("_low", "_high")))
@@ -100,32 +111,52 @@ def trailing_windows(
     )
 
 
-def trailing_snapshots(
-    fact: DataFrame,
-    as_of: str,
-    start: str,
-    every_days: int,
-    window_days: int = WINDOW_DAYS,
-    max_chunk: int = MAX_CHUNK,
+def trailing_rows(
+    fact: DataFrame, as_of: str, start: str, every_days: int, window_days: int = WINDOW_DAYS
 ) -> DataFrame:
-    """Nested transactions per snapshot and account, newest first.
+    """The rows of every snapshot with their ``position`` per date and account.
 
-    An account with more than ``max_chunk`` transactions is written in several
-    chunks, so no task gathers more than about ``max_chunk`` rows per list;
-    readers explode the lists and see the same rows either way.
+    Position 1 is the newest row, ties go by id.  It is the number of rows of
+    newer days, summed over the small table of daily counts, plus the place within
+    the day, so no task sorts more than one day of an account.
     """
-    account = "bank_account_name"
-    sizes = fact.groupBy(account).agg(F.count("*").alias("_rows")).withColumn(
-        "_chunks", F.ceil(F.col("_rows") / F.lit(max_chunk)).cast("int")
+    rows = trailing_windows(fact, as_of, start, every_days, window_days)
+    rows = rows.withColumn("posted_on", F.col("posted_at_timestamp").cast("date"))
+    day = ["as_of_date", "bank_account_name", "posted_on"]
+    newer_days = (
+        Window.partitionBy("as_of_date", "bank_account_name")
+        .orderBy(F.col("posted_on").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    daily = (
+        rows.groupBy(*day)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            F.struct(*day).alias("day"),
+            F.coalesce(F.sum("n").over(newer_days), F.lit(0)).alias("before"),
+        )
     )
-    sized = salted_lookup(fact, sizes, [account], weight="_rows", spread="txn_id")
-    chunked = sized.withColumn("chunk", F.pmod(F.xxhash64("txn_id"), "_chunks").cast("int"))
-    windowed = trailing_windows(chunked, as_of, start, every_days, window_days)
+    newest = [F.col("posted_at_timestamp").desc(), F.col("txn_id").asc()]
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy(*day).orderBy(*newest)))
+    # A struct of the keys joins a NULL account to itself.
+    joined = placed.withColumn("day", F.struct(*day)).join(daily, "day")
+    return joined.withColumn("position", (F.col("before") + F.col("place")).cast("long")).drop(
+        "day", "before", "place"
+    )
+
+
+def trailing_snapshots(
+    fact: DataFrame, as_of: str, start: str, every_days: int, window_days: int = WINDOW_DAYS
+) -> DataFrame:
+    """Nested transactions per snapshot, account and posting day, newest first.
 
+    A day of one account is the grain at every size; ``trailing_rows`` gives the
+    order over the whole account.
+    """
+    rows = trailing_rows(fact, as_of, start, every_days, window_days)
     posted = F.unix_seconds("posted_at_timestamp")
     txn = F.struct(
-        # Sort fields first: newest posting, then the id.
-        (-posted).alias("newest"),
+        "position",
         F.col("txn_id").alias("id"),
         posted.alias("posted"),
         F.col("amount").cast("string").alias("amount"),
@@ -133,7 +164,7 @@ def trailing_snapshots(
         F.col("payee").alias("payee"),
     )
     ordered = F.sort_array(F.collect_list(txn))
-    return windowed.groupBy("as_of_date", account, "chunk").agg(
+    return rows.groupBy("as_of_date", "bank_account_name", "posted_on").agg(
         F.max("bank_account_id").alias("bank_account_id"),
         F.transform(
             ordered,
@@ -151,20 +182,54 @@ def trailing_snapshots(
     )
 
 
-def snapshot_documents(snapshots: DataFrame) -> DataFrame:
-    """The nested lists as snapshot documents, in the raw read schema."""
+def snapshot_documents(
+    snapshots: DataFrame, balances: DataFrame | None = None, org: str | None = None
+) -> DataFrame:
+    """The nested lists as snapshot documents, in the raw read schema.
+
+    ``balances`` has as_of_date, bank_account_name, bank_account_id, balance and
+    available_balance, one row per date and account.  Each of its rows is a
+    document with the balances and no transactions, so accounts without any in the
+    window are there too; the transactions follow in documents of one account and
+    day, which carry no balance.  Readers take both alike.
+    """
     nothing = F.lit(None).cast("string")
+    lists = snapshots.select(
+        "as_of_date",
+        "bank_account_name",
+        "bank_account_id",
+        nothing.alias("balance"),
+        nothing.alias("available_balance"),
+        F.lit(None).cast("timestamp").alias("balance_at"),
+        "transactions",
+    )
+    if balances is not None:
+        heads = balances.select(
+            "as_of_date",
+            "bank_account_name",
+            "bank_account_id",
+            F.col("balance").cast("string").alias("balance"),
+            F.col("available_balance").cast("string").alias("available_balance"),
+            F.col("as_of_date").cast("timestamp").alias("balance_at"),
+            F.array().cast(snapshots.schema["transactions"].dataType).alias("transactions"),
+        )
+        lists = lists.unionByName(heads)
+    else:
+        lists = lists.withColumn("balance_at", F.col("as_of_date").cast("timestamp"))
     account = F.struct(
         F.col("bank_account_id").alias("id"),
         F.col("bank_account_name").alias("name"),
         F.lit("USD").alias("currency"),
-        nothing.alias("balance"),
-        nothing.alias("available-balance"),
-        F.unix_timestamp(F.col("as_of_date").cast("timestamp")).alias("balance-date"),
+        "balance",
+        F.col("available_balance").alias("available-balance"),
+        F.unix_timestamp("balance_at").alias("balance-date"),
         "transactions",
         F.array().cast("array<string>").alias("holdings"),
+        F.struct(
+            *[F.lit(org if f.name == "name" else None).cast("string").alias(f.name) for f in ORG.fields]
+        ).alias("org"),
     )
-    return snapshots.select(
+    return lists.select(
         F.array().cast("array<string>").alias("errors"),
         F.array(account).alias("accounts"),
     )

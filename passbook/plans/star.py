@@ -41,9 +41,12 @@ def latest_accounts(flat: DataFrame) -> DataFrame:
 
 
 def dim_accounts(snapshots: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
-    newest = latest_accounts(flatten_accounts(snapshots))
+    return accounts_from_flat(flatten_accounts(snapshots), loaded_at)
+
+
+def accounts_from_flat(flat: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
     return enforce_contract(
-        newest.withColumn("record_loaded_at_timestamp", as_timestamp(loaded_at)),
+        latest_accounts(flat).withColumn("record_loaded_at_timestamp", as_timestamp(loaded_at)),
         "dim_accounts",
     )
 

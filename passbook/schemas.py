@@ -60,6 +60,17 @@ FLAT_TRANSACTION = _struct(
     filename=TEXT,
 )
 
+# One row per account per snapshot.
+FLAT_ACCOUNT = _struct(
+    bank_account_id=TEXT,
+    bank_account_name=TEXT,
+    currency=TEXT,
+    actual_balance=_money(14),
+    available_balance=_money(14),
+    balance_as_of_timestamp=INSTANT,
+    filename=TEXT,
+)
+
 _MOM_COUNTS = {
     name: dtype
     for color in ("green", "red", "grey", "black")

@@ -36,6 +36,21 @@ def read_snapshots(
     )
 
 
+def read_arrivals(spark: SparkSession, root: str, glob: str = SNAPSHOT_GLOB) -> DataFrame:
+    """One row per file for the admission rule, also for files that do not parse.
+
+    A file that is empty or holds no such document has NULL accounts, which the
+    rule counts as empty.  The tables are never built from this reader.
+    """
+    files = spark.read.text(data_path(root, glob), wholetext=True)
+    document = F.from_json("value", SNAPSHOT, {"mode": "PERMISSIVE"})
+    return files.select(
+        document["errors"].alias("errors"),
+        document["accounts"].alias("accounts"),
+        F.col("_metadata.file_path").alias("filename"),
+    )
+
+
 def stream_snapshots(
     spark: SparkSession,
     root: str,

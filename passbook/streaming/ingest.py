@@ -6,125 +6,154 @@ already stored are absorbed again without effect, missing ones are added.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from passbook.plans.history import WINDOW_DAYS
 from passbook.plans.star import latest_accounts, latest_transactions
+from passbook.schemas import FLAT_ACCOUNT, FLAT_TRANSACTION
+from passbook.sources.folders import complete_folders, remove_folder
 
-
-def first_seen(flat: DataFrame, delay_days: int = 2 * WINDOW_DAYS) -> DataFrame:
-    """A stream of transactions not seen before, by id.
-
-    State is kept for ``delay_days`` of posting time, twice the window of a
-    snapshot, so a pull may arrive a whole window late.  Rows older than that
-    are late for this stream; ``LatestStore`` takes them at any age.
-
-    The first step deduplicates per id and input task, which spreads an id that
-    is repeated very often; the second sees one row per id and task.
-    """
-    return (
-        flat.withWatermark("posted_at_timestamp", f"{delay_days} days")
-        .withColumn("_task", F.spark_partition_id())
-        .dropDuplicatesWithinWatermark(["txn_id", "_task"])
-        .drop("_task")
-        .dropDuplicatesWithinWatermark(["txn_id"])
-    )
+# Segments of one level that are merged into one of the next.
+FAN_IN = 4
 
 
 @dataclass(frozen=True)
 class LatestStore:
     """A table that keeps the newest row per key across micro-batches.
 
-    Each batch lands in its own folder, named by its id, already reduced to one
-    row per key: a retried batch overwrites itself.  Reading picks the newest
-    over all folders; compacting writes that result once so that later reads
-    start from it.
+    Every batch is a segment of level 0, already reduced to one row per key and
+    named by stream and batch, so a retried batch overwrites itself and streams
+    with other checkpoints cannot meet.  ``compact`` merges ``FAN_IN`` segments of
+    a level into one of the next, so a row is rewritten once per level and not once
+    per batch.  A merged segment counts from the moment its write has ended; the
+    names it covers are written before, so a merge that broke off is never read and
+    a covered segment is never read twice.
     """
 
     path: str
     pick: Callable[[DataFrame], DataFrame]
+    schema: T.StructType
 
-    def absorb(self, batch: DataFrame, batch_id: int) -> None:
-        """The ``foreachBatch`` sink."""
-        folder = f"{self.path}/log/batch_id={batch_id}"
-        self.pick(batch).write.mode("overwrite").parquet(folder)
+    def absorb(self, batch: DataFrame, batch_id: int, stream: str = "direct") -> None:
+        """Store one batch; the ``foreachBatch`` sink of ``absorb_available``."""
+        name = f"level0-{stream}-{batch_id}"
+        if name not in self._covered(batch.sparkSession, self._names(batch.sparkSession)):
+            self.pick(batch).write.mode("overwrite").parquet(f"{self.path}/segments/{name}")
 
     def current(self, spark: SparkSession) -> DataFrame:
         """One row per key: the newest of everything absorbed so far."""
-        log = self._log(spark)
-        base, through = self._base(spark)
-        if base is None:
-            return self.pick(log.drop("batch_id"))
-        if through == self._newest(spark):
-            return base
-        newer = log.where(F.col("batch_id") > through).drop("batch_id")
-        return self.pick(base.unionByName(newer))
-
-    def compact(self, spark: SparkSession) -> None:
-        """Store the current rows; log folders up to now are no longer read."""
-        newest = self._newest(spark)
-        _, through = self._base(spark)
-        if through != newest:
-            folder = f"{self.path}/base/through={newest}"
-            self.current(spark).write.mode("overwrite").parquet(folder)
-
-    def _log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/log")
-
-    def _newest(self, spark: SparkSession) -> int:
-        return self._log(spark).agg(F.max("batch_id")).first()[0]
-
-    def _base(self, spark: SparkSession) -> tuple[DataFrame | None, int | None]:
-        try:
-            bases = spark.read.parquet(f"{self.path}/base")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None, None
-        through = bases.agg(F.max("through")).first()[0]
-        return bases.where(F.col("through") == through).drop("through"), through
+        live = self._live(spark)
+        if not live:
+            return spark.createDataFrame([], self.schema)
+        rows = self._read(spark, live)
+        return rows if len(live) == 1 else self.pick(rows)
+
+    def compact(self, spark: SparkSession, fan_in: int = FAN_IN) -> None:
+        """Merge levels that have ``fan_in`` segments and remove what they cover."""
+        while full := self._full_level(spark, fan_in):
+            level, names = full
+            merged = f"level{level + 1}-{uuid.uuid4().hex}"
+            covered = spark.createDataFrame([(name,) for name in names], "name string")
+            covered.coalesce(1).write.parquet(f"{self.path}/covers/{merged}")
+            rows = self.pick(self._read(spark, names))
+            rows.write.parquet(f"{self.path}/segments/{merged}")
+            for name in names:
+                remove_folder(spark, f"{self.path}/segments/{name}")
+
+    def _full_level(self, spark: SparkSession, fan_in: int) -> tuple[int, list[str]] | None:
+        levels: dict[int, list[str]] = {}
+        for name in self._live(spark):
+            levels.setdefault(int(name.split("-")[0].removeprefix("level")), []).append(name)
+        return next(((k, names) for k, names in sorted(levels.items()) if len(names) >= fan_in), None)
+
+    def _read(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(*[f"{self.path}/segments/{n}" for n in names])
+
+    def _names(self, spark: SparkSession) -> list[str]:
+        return complete_folders(spark, f"{self.path}/segments")
+
+    def _covered(self, spark: SparkSession, names: list[str]) -> set[str]:
+        """Names that complete merged segments stand for, a few per batch absorbed."""
+        lists = set(complete_folders(spark, f"{self.path}/covers")) & set(names)
+        if not lists:
+            return set()
+        rows = spark.read.parquet(*[f"{self.path}/covers/{name}" for name in sorted(lists)])
+        return {row.name for row in rows.collect()}
+
+    def _live(self, spark: SparkSession) -> list[str]:
+        names = self._names(spark)
+        covered = self._covered(spark, names)
+        return [name for name in names if name not in covered]
 
 
 def transaction_store(path: str) -> LatestStore:
     """Exact latest-wins per transaction id."""
-    return LatestStore(path, latest_transactions)
+    return LatestStore(path, latest_transactions, FLAT_TRANSACTION)
 
 
 def account_store(path: str) -> LatestStore:
     """Newest balance per account name."""
-    return LatestStore(path, latest_accounts)
+    return LatestStore(path, latest_accounts, FLAT_ACCOUNT)
 
 
-def absorb_available(flat: DataFrame, store: LatestStore, checkpoint: str) -> StreamingQuery:
-    """Absorb every file that has arrived, then stop."""
-    query = (
-        flat.writeStream.foreachBatch(store.absorb)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+def _drain(
+    flat: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int, str], None]
+) -> StreamingQuery:
+    """Hand every batch that has arrived to ``sink``, with the stream's lasting id."""
+    started, name = threading.Event(), []
 
+    def batch_sink(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        sink(batch, batch_id, name[0])
 
-def append_available(
-    flat: DataFrame, path: str, checkpoint: str, delay_days: int = 2 * WINDOW_DAYS
-) -> StreamingQuery:
-    """Append first-seen transactions to a parquet sink, then stop."""
     query = (
-        first_seen(flat, delay_days)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        flat.writeStream.foreachBatch(batch_sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    name.append(query.id)
+    started.set()
     query.awaitTermination()
     return query
+
+
+def absorb_available(flat: DataFrame, store: LatestStore, checkpoint: str) -> StreamingQuery:
+    """Absorb every file that has arrived, then stop."""
+    return _drain(flat, checkpoint, store.absorb)
+
+
+def first_seen(spark: SparkSession, path: str) -> DataFrame:
+    """All transactions first seen so far."""
+    names = complete_folders(spark, path)
+    if not names:
+        return spark.createDataFrame([], FLAT_TRANSACTION)
+    return spark.read.schema(FLAT_TRANSACTION).parquet(*[f"{path}/{name}" for name in names])
+
+
+def append_available(flat: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append transactions whose id is not stored yet, of any age, then stop.
+
+    A batch is reduced to one row per id, which combines on the map side, and
+    anti-joined with the stored ids, of which only the id column is read.  Its
+    folder is named by stream and batch, so a retry replaces itself.
+    """
+
+    def sink(batch: DataFrame, batch_id: int, stream: str) -> None:
+        spark = batch.sparkSession
+        own = f"{stream}-{batch_id}"
+        others = [name for name in complete_folders(spark, path) if name != own]
+        fresh = latest_transactions(batch)
+        if others:
+            stored = spark.read.schema(FLAT_TRANSACTION).parquet(*[f"{path}/{n}" for n in others])
+            fresh = fresh.join(stored.select("txn_id"), "txn_id", "left_anti")
+        fresh.select(*FLAT_TRANSACTION.names).write.mode("overwrite").parquet(f"{path}/{own}")
+
+    return _drain(flat, checkpoint, sink)

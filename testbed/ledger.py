@@ -7,7 +7,6 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passbook.operators.partitioning import spread_small_scan
 from passbook.plans import marts, star
 from passbook.schemas import CONTRACTS
 from passbook.session import configure, shared_dir
@@ -72,20 +71,14 @@ def cents(price: Column) -> Column:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat ledger rows, with repeated ids and near duplicates."""
-    line = spread_small_scan(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            "l_extendedprice",
-            "l_returnflag",
-            "l_linestatus",
-            "l_shipdate",
-        ),
+    line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
+        "l_suppkey",
+        "l_extendedprice",
+        "l_returnflag",
+        "l_linestatus",
         "l_shipdate",
     )
     orders = table(spark, sf_dir, "orders")
@@ -132,11 +125,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot document per order, holding its customer's two accounts."""
-    orders = spread_small_scan(
-        table(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
-        ),
-        "o_orderkey",
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
     customer = table(spark, sf_dir, "customer")
     epoch = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))

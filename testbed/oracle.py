@@ -463,6 +463,19 @@ SELECTS: dict[str, str] = {
         UNION ALL
         SELECT 'region', r_name, '^.*(' || lower(r_name) || ' fee).*$', r_regionkey::INTEGER
         FROM region""",
+    "catalog_build_large": """
+        SELECT nullif(l_returnflag, 'R') AS merchant_category,
+               nullif(l_linestatus, 'F') AS merchant_subcategory,
+               '^.*(' || string_agg(DISTINCT l_orderkey || '-' || l_linenumber, '|'
+                  ORDER BY l_orderkey || '-' || l_linenumber) || ').*$' AS regex_match_pat,
+               10::INTEGER AS match_priority
+        FROM lineitem GROUP BY ALL""",
+    "catalog_overlay": """
+        SELECT lower(p_type) AS merchant_category, p_brand AS merchant_subcategory,
+               '^.*(' || string_agg(DISTINCT split_part(p_name, ' ', 2), '|'
+                  ORDER BY split_part(p_name, ' ', 2)) || ').*$' AS regex_match_pat,
+               3::INTEGER AS match_priority
+        FROM part GROUP BY ALL""",
     "catalog_csv_scan": """
         SELECT lower(p_type) AS merchant_category, p_brand AS merchant_subcategory,
                '^.*(' || string_agg(DISTINCT split_part(p_name, ' ', 2), '|'
@@ -474,10 +487,23 @@ SELECTS: dict[str, str] = {
                (1000 - coalesce(sum(amount) FILTER (WHERE posted > moment), 0))::DOUBLE AS balance
         FROM fact CROSS JOIN as_of_days GROUP BY ALL""",
     "trailing_snapshot": """
-        SELECT moment::TIMESTAMP AS as_of_date, account_name AS bank_account_name,
-               txn_id AS id, epoch(posted)::BIGINT AS posted,
-               amount::VARCHAR AS amount, description, payee
-        FROM fact JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment""",
+        SELECT as_of_date, bank_account_name,
+               row_number() OVER (PARTITION BY as_of_date, bank_account_name
+                                  ORDER BY posted DESC, id) AS position,
+               id, posted, amount, description, payee
+        FROM (SELECT moment::TIMESTAMP AS as_of_date,
+                     CASE WHEN account_name NOT LIKE '%7' THEN account_name END AS bank_account_name,
+                     txn_id AS id, epoch(posted)::BIGINT AS posted,
+                     amount::VARCHAR AS amount, description, payee
+              FROM fact JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment)""",
+    "snapshot_scan_accounts": f"""
+        SELECT account_id AS bank_account_id, account_name AS bank_account_name,
+               'USD' AS currency, balance::DOUBLE AS actual_balance,
+               (balance - 1)::DOUBLE AS available_balance,
+               TIMESTAMP '{AS_OF}' AS balance_as_of_timestamp
+        FROM (SELECT max(account_id) AS account_id, account_name,
+                     1000 - coalesce(sum(amount) FILTER (WHERE posted > DATE '{AS_OF}'), 0) AS balance
+              FROM fact GROUP BY account_name)""",
     "snapshot_scan_fact": """
         SELECT account_name AS bank_account_name, txn_id, description AS txn_description,
                merchant AS merchant_category_key, payee, amount::DOUBLE AS amount,
@@ -498,7 +524,25 @@ SELECTS: dict[str, str] = {
                                                WHERE o_orderdate < DATE '{AS_OF}')
                     THEN epoch(o_orderdate)::BIGINT END AS marker
         FROM orders JOIN customer ON c_custkey = o_custkey""",
+    "snapshot_admission_unreadable": f"""
+        WITH f AS (SELECT 'f' || o_orderkey AS filename, o_orderkey % 100 = 1 AS cut, epoch(o_orderdate) AS e
+                   FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 100 < 2)
+        SELECT 'nothing' AS stored, filename, CASE WHEN cut THEN 'empty' ELSE 'new' END AS decision FROM f
+        UNION ALL
+        SELECT 'all', filename, CASE WHEN cut THEN 'empty'
+                 WHEN (SELECT bool_or(e >= epoch(DATE '{AS_OF}') AND e < epoch(DATE '{AS_OF}') + 86400)
+                       FROM f WHERE NOT cut) THEN 'captured_today' ELSE 'not_newer' END FROM f
+        UNION ALL SELECT 'today', filename, 'captured_today' FROM f""",
+    "freshness_names": f"""
+        SELECT 's3a://bucket/transactions/' || strftime(o_orderdate, '%Y/%m/%d') || '/' || o_orderkey
+                 || CASE WHEN o_orderkey % 3 = 0 THEN 'Z.json'
+                         ELSE 'Z_bd' || epoch(o_orderdate)::BIGINT || '.json' END AS filename,
+               CASE WHEN o_orderkey % 3 <> 0 THEN epoch(o_orderdate)::BIGINT END AS balance_epoch,
+               o_orderdate::DATE BETWEEN DATE '{AS_OF}' - 1 AND DATE '{AS_OF}' AS recent
+        FROM orders""",
     # Streams
+    "stream_two_checkpoints": _FACT,
+    "stream_late_backfill": "SELECT txn_id FROM fact",
     "stream_latest_transactions": _FACT,
     "stream_first_seen": "SELECT txn_id FROM fact",
     "stream_latest_accounts": """SELECT id AS bank_account_id,
@@ -507,5 +551,9 @@ SELECTS: dict[str, str] = {
         FROM accounts""",
 }
 
+# The whole build ends in the same marts.
+SELECTS["build_monthly_savings"] = SELECTS["monthly_savings"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(select) for name, select in SELECTS.items()}

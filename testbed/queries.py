@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,20 @@ from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN
 from passbook.operators.listing import with_total_row
 from passbook.plans import arrivals, catalog, history, marts, reports, star
+from passbook.plans.build import build_all
 from passbook.session import configure, scratch_path
 from passbook.sources.seeds import merchant_catalog
 from passbook.sources.snapshots import (
     flatten_accounts,
+    read_arrivals,
     read_snapshots,
 )
+from passbook.sources.tables import read_table
 from passbook.streaming.ingest import (
     absorb_available,
     account_store,
     append_available,
+    first_seen,
     transaction_store,
 )
 from testbed.ledger import (
@@ -33,6 +38,8 @@ from testbed.ledger import (
     table,
     transaction_snapshots,
 )
+from testbed.ledger import catalog as testbed_catalog
+from testbed.ledger import pay_rates as testbed_pay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +107,28 @@ def catalog_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.build_catalog(merchant_tokens(spark, sf_dir), structural)
 
 
+def catalog_build_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers as tokens: groups of many thousands, and NULL group names."""
+    line = table(spark, sf_dir, "lineitem")
+    merchants = line.select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("category"),
+        F.when(F.col("l_linestatus") != "F", F.col("l_linestatus")).alias("subcategory"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("token"),
+        F.lit(None).cast("int").alias("priority"),
+    )
+    return catalog.build_catalog(merchants)
+
+
+def catalog_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default catalog with derived rows laid over it, from CSV."""
+    tokens = merchant_tokens(spark, sf_dir).withColumn("priority", F.lit(3))
+    path = scratch_path(spark, "overlay-csv")
+    catalog.build_catalog(tokens).write.option("header", True).option("escape", '"').csv(path)
+    both = merchant_catalog(spark, overlay=path)
+    base = merchant_catalog(spark)
+    return both.join(base, both.columns, "left_anti")
+
+
 def catalog_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A derived catalog written as CSV and scanned back as a replacement."""
     tokens = merchant_tokens(spark, sf_dir).withColumn("priority", F.lit(None).cast("int"))
@@ -118,27 +147,56 @@ def balance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.balances_as_of(accounts, moves, **HISTORY)
 
 
-def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = Warehouse(spark, sf_dir).table("fact_transactions")
-    return history.trailing_snapshots(fact, **HISTORY)
+def _without_some_names(fact: DataFrame) -> DataFrame:
+    name = F.col("bank_account_name")
+    return fact.withColumn("bank_account_name", F.when(~name.endswith("7"), name))
 
 
 def trailing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested lists unfolded, which is the same however they are chunked."""
-    return _nested(spark, sf_dir).select(
-        "as_of_date", "bank_account_name", F.inline("transactions")
-    ).select("as_of_date", "bank_account_name", "id", "posted", "amount", "description", "payee")
+    """Every snapshot's rows in order, some of accounts without a name."""
+    fact = _without_some_names(Warehouse(spark, sf_dir).table("fact_transactions"))
+    return history.trailing_rows(fact, **HISTORY).select(
+        "as_of_date",
+        "bank_account_name",
+        "position",
+        F.col("txn_id").alias("id"),
+        F.unix_seconds("posted_at_timestamp").alias("posted"),
+        F.col("amount").cast("string").alias("amount"),
+        F.col("txn_description").alias("description"),
+        "payee",
+    )
 
 
-def snapshot_scan_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing snapshots written as JSON, scanned and deduplicated again."""
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing snapshots with balances, written as JSON and scanned again."""
+    fact = Warehouse(spark, sf_dir).table("fact_transactions")
+    ids = fact.groupBy(F.col("bank_account_name").alias("account")).agg(
+        F.max("bank_account_id").alias("bank_account_id")
+    )
+    balances = balance_as_of(spark, sf_dir).join(ids, "account").select(
+        "as_of_date",
+        F.col("account").alias("bank_account_name"),
+        "bank_account_id",
+        "balance",
+        (F.col("balance") - 1).cast("decimal(14,2)").alias("available_balance"),
+    )
+    nested = history.trailing_snapshots(fact, **HISTORY)
+    documents = history.snapshot_documents(nested, balances, "Bank")
     root = scratch_path(spark, "snapshots")
-    documents = history.snapshot_documents(_nested(spark, sf_dir))
     documents.write.option("ignoreNullFields", False).json(f"{root}/transactions/2001/06/15")
-    raw = read_snapshots(spark, root, one_document_per_file=False)
+    return read_snapshots(spark, root, one_document_per_file=False)
+
+
+def snapshot_scan_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _documents(spark, sf_dir)
     return star.fact_transactions(raw, LOADED_AT).drop("bank_account_id", "filename")
 
 
+def snapshot_scan_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest balance of each account, out of the written documents."""
+    return star.dim_accounts(_documents(spark, sf_dir), LOADED_AT).drop("filename")
+
+
 # Arrivals -----------------------------------------------------------------
 
 
@@ -155,6 +213,56 @@ def snapshot_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("filename", "decision", "marker")
 
 
+def snapshot_admission_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order files of which every tenth is cut short, judged twice.
+
+    Once with nothing stored, where cut files count as empty, and once with a file
+    of the day stored, where nothing is taken any more.
+    """
+    rows = account_snapshots(spark, sf_dir).select(
+        F.regexp_extract("filename", "[0-9]+", 0).cast("long").alias("k"),
+        F.to_json(F.struct(F.array().cast("array<string>").alias("errors"), "accounts")).alias("text"),
+    ).where("k % 100 < 2")
+    cut = F.when(F.col("k") % 100 == 1, F.left("text", F.lit(40))).otherwise(F.col("text"))
+    root = scratch_path(spark, "arrivals")
+    day = f"{root}/transactions/2001/06/15"
+    files = rows.select(cut.alias("value"), F.concat(F.lit("f"), F.col("k")).alias("name"))
+    # One file per document: a folder per name stands for it.
+    files.write.partitionBy("name").text(day)
+    raw = read_arrivals(spark, root, "transactions/*/*/*/*/*.txt").withColumn(
+        "filename", F.regexp_extract("filename", "name=(f[0-9]+)", 1)
+    )
+    fresh = arrivals.freshness_from_content(raw)
+    now = f"{AS_OF} 18:00:00"
+    stored = fresh.where("balance_epoch IS NOT NULL")
+    today = F.unix_timestamp(F.lit(AS_OF).cast("timestamp"))
+    marked = stored.limit(1).withColumn("balance_epoch", today)
+    first = arrivals.admit(fresh, stored.where("false"), now).withColumn("stored", F.lit("nothing"))
+    again = arrivals.admit(fresh, stored, now).withColumn("stored", F.lit("all"))
+    later = arrivals.admit(fresh, marked, now).withColumn("stored", F.lit("today"))
+    every = first.unionByName(again).unionByName(later)
+    return every.select("stored", "filename", "decision")
+
+
+def freshness_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of stored files and whether they are of the as-of day or the day before."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy/MM/dd")
+    files = orders.select(
+        F.concat(
+            F.lit("s3a://bucket/transactions/"), day, F.lit("/"), "o_orderkey",
+            F.when(F.col("o_orderkey") % 3 == 0, "Z.json").otherwise(
+                F.concat(F.lit("Z_bd"), F.unix_timestamp(F.col("o_orderdate").cast("timestamp")), F.lit(".json"))
+            ),
+        ).alias("filename")
+    )
+    named = arrivals.freshness_from_names(files)
+    recent = arrivals.stored_recently(named, f"{AS_OF} 18:00:00").select("filename", F.lit(True).alias("recent"))
+    return named.join(recent, "filename", "left").select(
+        "filename", "balance_epoch", F.coalesce("recent", F.lit(False)).alias("recent")
+    )
+
+
 # Quality ------------------------------------------------------------------
 
 
@@ -242,19 +350,41 @@ def stream_latest_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _ledger_stream(spark, sf_dir)
     store = transaction_store(scratch_path(spark, "transaction-store"))
     absorb_available(stream, store, scratch_path(spark, "checkpoint"))
-    store.compact(spark)
+    store.compact(spark, fan_in=2)
     return star.as_fact(store.current(spark), LOADED_AT)
 
 
-def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-seen ids over overlapping pulls that arrive in any order.
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One store fed by two streams, one of them before and one after a merge."""
+    configure(spark)
+    store = transaction_store(scratch_path(spark, "transaction-store"))
+    rows = ledger(spark, sf_dir)
+    late = F.year("posted_at_timestamp") >= 1996
+    for part in (rows.where(late), rows.where(~late)):
+        path = _overlapping_files(spark, part, "posted_at_timestamp", "pulls")
+        absorb_available(_stream_of(spark, path, part.schema), store, scratch_path(spark, "checkpoint"))
+        store.compact(spark, fan_in=2)
+    return star.as_fact(store.current(spark), LOADED_AT)
 
-    State is kept for ten years, longer than the data, so no row is late.
-    """
+
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen ids over overlapping pulls that arrive in any order."""
     stream = _ledger_stream(spark, sf_dir)
     path = scratch_path(spark, "first-seen")
-    append_available(stream, path, scratch_path(spark, "checkpoint"), delay_days=3653)
-    return spark.read.parquet(path).select("txn_id")
+    append_available(stream, path, scratch_path(spark, "checkpoint"))
+    return first_seen(spark, path).select("txn_id")
+
+
+def stream_late_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen ids when all pulls before 1995 arrive years late, as another stream."""
+    configure(spark)
+    path = scratch_path(spark, "first-seen")
+    rows = ledger(spark, sf_dir)
+    old = F.year("posted_at_timestamp") < 1995
+    for part in (rows.where(~old), rows.where(old)):
+        files = _overlapping_files(spark, part, "posted_at_timestamp", "pulls")
+        append_available(_stream_of(spark, files, part.schema), path, scratch_path(spark, "checkpoint"))
+    return first_seen(spark, path).select("txn_id")
 
 
 def stream_latest_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +398,37 @@ def stream_latest_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.current(spark)
 
 
+# The whole build -----------------------------------------------------------
+
+
+def _whole_build(spark: SparkSession, sf_dir: str) -> str:
+    """Every table from nested documents, with the pay rates and catalog as CSV."""
+    configure(spark)
+    root = scratch_path(spark, "build")
+    raw = transaction_snapshots(spark, sf_dir).select("accounts")
+    raw.write.json(f"{root}/transactions/2001/06/15")
+    documents = read_snapshots(spark, root, one_document_per_file=False)
+    pay = scratch_path(spark, "pay-csv")
+    testbed_pay(spark).write.option("header", True).csv(pay)
+    patterns = scratch_path(spark, "patterns-csv")
+    testbed_catalog(spark).write.option("header", True).option("escape", '"').csv(patterns)
+    first, last = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    build_all(
+        spark,
+        root,
+        regex_csv=patterns,
+        payrate_csv=pay,
+        as_of=AS_OF,
+        calendar=(str(first)[:10], str(last + dt.timedelta(days=1))[:10]),
+        snapshots=documents,
+    )
+    return root
+
+
+def build_monthly_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _whole_build(spark, sf_dir), "rpt_monthly_savings")
+
+
 # Registry -----------------------------------------------------------------
 
 FACT, MERCHANT = "fact_transactions", "dim_merchant"
@@ -376,17 +537,26 @@ QUERIES: dict[str, Query] = {
         quality.unknown_merchants, MERCHANT, unknown=UNKNOWN
     ),
     "quality_catalog_rules": quality_catalog_rules,
+    # The whole build
+    "build_monthly_savings": build_monthly_savings,
     # Catalog, history, arrivals
     "catalog_build": catalog_build,
+    "catalog_build_large": catalog_build_large,
     "catalog_csv_scan": catalog_csv_scan,
+    "catalog_overlay": catalog_overlay,
     "balance_as_of": balance_as_of,
     "trailing_snapshot": trailing_snapshot,
     "snapshot_scan_fact": snapshot_scan_fact,
+    "snapshot_scan_accounts": snapshot_scan_accounts,
     "snapshot_freshness": snapshot_freshness,
     "snapshot_admission": snapshot_admission,
+    "snapshot_admission_unreadable": snapshot_admission_unreadable,
+    "freshness_names": freshness_names,
     # Streams
     "stream_latest_transactions": stream_latest_transactions,
+    "stream_two_checkpoints": stream_two_checkpoints,
     "stream_first_seen": stream_first_seen,
+    "stream_late_backfill": stream_late_backfill,
     "stream_latest_accounts": stream_latest_accounts,
 }
 

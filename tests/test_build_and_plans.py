@@ -9,7 +9,9 @@ import pytest
 
 from passbook.operators.quality import raise_on_errors
 from passbook.plans import marts, reports, star
-from passbook.plans.build import build_all, coverage
+from passbook.operators import quality
+from passbook.operators.categorize import UNKNOWN
+from passbook.plans.build import build_all
 from passbook.schemas import CONTRACTS
 from passbook.sources.tables import read_table
 from tests.rows import account, txn, write_snapshot
@@ -61,7 +63,7 @@ def test_build_results(spark, root):
     assert table("rpt_monthly_savings").count() == 2
     assert table("rpt_unknown_transactions").first().txn_description == "who knows"
     assert table("rpt_daily_overunder").count() == 59
-    summary = coverage(table("dim_merchant")).first()
+    summary = quality.coverage_summary(table("dim_merchant"), UNKNOWN).first()
     assert (summary.unique_transactions, summary.merchant_keys, summary.unknown_keys) == (7, 6, 1)
     categories = {r.merchant_name: r.merchant_category for r in table("dim_merchant").collect()}
     assert categories["acme"] == "payments" and categories["piggly"] == "cost-of-living"

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from passbook.operators import quality
 from passbook.operators.lookup import salted_lookup
-from passbook.operators.partitioning import spread_small_scan
 from passbook.operators.quality import WARN, Check, QualityError
-from passbook.plans import arrivals, catalog, history
+from passbook.plans import arrivals, catalog, history, star
 from passbook.plans.build import check_tables
 from passbook.sources.snapshots import flatten_transactions
 from tests.rows import at, epoch, fact, flat_row
@@ -62,14 +61,6 @@ def test_hot_key_is_spread_over_salts(spark):
     assert sum(r["count"] for r in sizes) == 3000
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2400
 
-
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
-    few = spark.range(0, 100, 1, 2)
-    many = spark.range(0, 100, 1, 64)
-    assert spread_small_scan(few, "id").rdd.getNumPartitions() == 8
-    assert spread_small_scan(many, "id") is many
-
-
 # Quality ------------------------------------------------------------------
 
 
@@ -147,6 +138,17 @@ def test_catalog_from_merchants(spark):
     ]
 
 
+def test_catalog_keeps_null_groups_whole(spark):
+    merchants = spark.range(10_001).select(
+        F.lit("food").alias("category"),
+        F.lit(None).cast("string").alias("subcategory"),
+        F.concat(F.lit("t"), "id").alias("token"),
+        F.lit(None).cast("int").alias("priority"),
+    )
+    (row,) = catalog.build_catalog(merchants).collect()
+    assert row.regex_match_pat.count("|") == 10_000 and row.merchant_subcategory is None
+
+
 def test_catalog_rules(spark):
     merchants = spark.createDataFrame(
         [("a", "vice", 1, 2), ("a", "travel", 3, 2), ("b|c", "spaceflight", 1, 1)],
@@ -199,30 +201,56 @@ def test_balances_equal_a_sum_per_date(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("max_chunk", [10_000, 2])
-def test_trailing_snapshots_hold_every_row_of_their_window(spark, max_chunk):
+def test_trailing_snapshots_hold_every_row_of_their_window(spark):
     rows = [flat_row(i, t, a) for i, t, a in MOVES]
+    rows += [flat_row("n1", "2026-03-30T00:00:00", "1.00", account=None)]
     f = fact(spark, rows)
-    nested = history.trailing_snapshots(f, "2026-03-31", "2026-01-15", 30, 88, max_chunk)
-    flat = nested.select("as_of_date", F.explode("transactions").alias("t")).collect()
-    got = sorted((r.as_of_date, r.t.id) for r in flat)
+    dates = ("2026-03-31", "2026-01-15", 30)
     want = sorted(
         (date, r[2])
-        for date in history.as_of_dates("2026-03-31", "2026-01-15", 30)
+        for date in history.as_of_dates(*dates)
         for r in rows
         if 0 <= (date - r[6].date()).days <= 88
     )
-    assert got == want
+    placed = history.trailing_rows(f, *dates).collect()
+    assert sorted((r.as_of_date, r.txn_id) for r in placed) == want
+    for date, name in {(r.as_of_date, r.bank_account_name) for r in placed}:
+        mine = sorted(
+            (r.position, r.posted_at_timestamp)
+            for r in placed
+            if (r.as_of_date, r.bank_account_name) == (date, name)
+        )
+        assert [k for k, _ in mine] == list(range(1, len(mine) + 1))
+        assert [t for _, t in mine] == sorted((t for _, t in mine), reverse=True)
+    nested = history.trailing_snapshots(f, *dates)
     for row in nested.collect():
         posted = [t.posted for t in row.transactions]
         assert posted == sorted(posted, reverse=True)
-    if max_chunk == 2:
-        assert nested.groupBy("as_of_date").count().where("count > 1").count() > 0
-    # The documents read back as the same transactions.
-    documents = history.snapshot_documents(nested).withColumn("filename", F.lit("f"))
+    # The documents read back as the same transactions, and every account is there.
+    balances = spark.createDataFrame(
+        [(dt.date(2026, 3, 31), name, "i", Decimal("5.00"), None) for name in ("Checking", "Idle")],
+        "as_of_date date, bank_account_name string, bank_account_id string,"
+        " balance decimal(14,2), available_balance decimal(14,2)",
+    )
+    documents = history.snapshot_documents(nested, balances, "Bank").withColumn("filename", F.lit("f"))
     again = flatten_transactions(documents).select("txn_id", "amount").distinct()
-    kept = {r[1] for r in want}
-    assert {r.txn_id for r in again.collect()} == kept
+    assert {r.txn_id for r in again.collect()} == {r[1] for r in want}
+    newest = {r.bank_account_name: r.actual_balance for r in star.dim_accounts(documents).collect()}
+    assert newest == {"Checking": Decimal("5.00"), "Idle": Decimal("5.00"), None: None}
+
+
+def test_windows_reach_the_scan_as_a_range(spark, tmp_path):
+    rows = [flat_row(i, t, a) for i, t, a in MOVES]
+    fact(spark, rows).write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    moves = stored.withColumnRenamed("bank_account_name", "account")
+    accounts = moves.select("account").distinct().withColumn("end_balance", F.lit(1))
+    for df in (
+        history.trailing_rows(stored, "2026-03-31", "2026-01-15", 30),
+        history.balances_as_of(accounts, moves, "2026-03-31", "2026-01-15", 30),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan" in plan.split("PushedFilters", 1)[1]
 
 
 # Arrivals -----------------------------------------------------------------

@@ -15,6 +15,7 @@ from passbook.streaming.ingest import (
     absorb_available,
     account_store,
     append_available,
+    first_seen,
     transaction_store,
 )
 from tests.rows import account, txn, write_snapshot
@@ -55,8 +56,9 @@ def test_stores_equal_the_batch_result(spark, tmp_path, order):
         want = star.latest_transactions(flatten_transactions(raw))
         assert rows(txns.current(spark)) == rows(want)
         if step == 1:
-            txns.compact(spark)
-            txns.compact(spark)  # nothing new: no second base
+            txns.compact(spark, fan_in=2)
+            txns.compact(spark, fan_in=2)  # nothing new: no second merge
+            assert len(txns._live(spark)) == 1
             assert rows(txns.current(spark)) == rows(want)
     want = star.latest_accounts(flatten_accounts(read_snapshots(spark, str(root))))
     assert rows(balances.current(spark)) == rows(want)
@@ -78,14 +80,52 @@ def test_retried_batch_changes_nothing(spark, tmp_path):
     assert rows(store.current(spark)) == before
 
 
+def test_empty_store_reads_as_no_rows(spark, tmp_path):
+    store = transaction_store(str(tmp_path / "store"))
+    assert store.current(spark).count() == 0
+    store.compact(spark)
+    assert first_seen(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_second_checkpoint_adds_to_the_first(spark, tmp_path, merge):
+    store = transaction_store(str(tmp_path / "store"))
+    for number, as_of in enumerate(SNAPSHOTS):
+        root = tmp_path / f"raw{number}"
+        pull(root, as_of)
+        stream = flatten_transactions(stream_snapshots(spark, str(root)))
+        absorb_available(stream, store, str(tmp_path / f"c{number}"))
+        if merge:
+            store.compact(spark, fan_in=2)
+    assert {r.txn_id for r in store.current(spark).collect()} == {"t1", "t2", "t3", "t4"}
+
+
+def test_merge_that_broke_off_is_not_read(spark, tmp_path):
+    root = tmp_path / "raw"
+    for as_of in SNAPSHOTS:
+        pull(root, as_of)
+    flat = flatten_transactions(read_snapshots(spark, str(root)))
+    store = transaction_store(str(tmp_path / "store"))
+    store.absorb(flat, 0)
+    before = rows(store.current(spark))
+    # Covers are written first, then rows, then the mark that the write has ended.
+    spark.createDataFrame([("level0-direct-0",)], "name string").write.parquet(
+        str(tmp_path / "store/covers/level1-x")
+    )
+    broken = str(tmp_path / "store/segments/level1-x")
+    flat.limit(1).write.parquet(broken)
+    (tmp_path / "store/segments/level1-x/_SUCCESS").unlink()
+    assert rows(store.current(spark)) == before
+
+
 def test_first_seen_is_unique_and_takes_late_windows(spark, tmp_path):
     root = tmp_path / "raw"
     times = list(SNAPSHOTS)
-    for index in (2, 0, 1):  # January arrives after March, within two windows
+    for index in (2, 0, 1):  # January arrives after March
         pull(root, times[index])
         stream = stream_snapshots(spark, str(root))
         append_available(
             flatten_transactions(stream), str(tmp_path / "out"), str(tmp_path / "ckpt")
         )
-    ids = [r.txn_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    ids = [r.txn_id for r in first_seen(spark, str(tmp_path / "out")).collect()]
     assert sorted(ids) == ["t1", "t2", "t3", "t4"]
