@@ -19,9 +19,9 @@ documents are linked when their sets overlap by 75 % or more.
 6. Connected components over all links.
 
 Cases: a NULL or wordless text has no shingles and is linked with nothing; a NULL
-doc_id is never linked, and its component is NULL; rows with one doc_id are one
-node, with the row of the largest set as its text; an empty table gives an empty
-result; other columns are not read.
+doc_id is never linked, and its component is NULL; rows of one doc_id are one node,
+linked by any of its texts to an equal one and else by its largest set; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ SHINGLE = 5
 BINS = 160
 ROWS = 4
 BLOCK = 1024
-LEAST_BITS, MOST_BITS = 256, 65_536
+SPACE = 16
+LEAST_BITS, MOST_BITS = 256, 262_144
 EMPTY = np.uint64(2**64 - 1)
 
 FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bits binary, bands array<long>"
@@ -92,8 +93,8 @@ def bands(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """A bit per low hash value, four or more bits per shingle up to ``MOST_BITS``."""
-    wanted = 1 << max(0, 4 * len(hashes) - 1).bit_length()
+    """A bit per low hash value, ``SPACE`` or more bits per shingle up to ``MOST_BITS``."""
+    wanted = 1 << max(0, SPACE * len(hashes) - 1).bit_length()
     size = min(max(wanted, LEAST_BITS), MOST_BITS)
     flags = np.zeros(size, bool)
     flags[(hashes & U64(size - 1)).astype(np.int64)] = True
@@ -189,6 +190,8 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
     docs, comps = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
     sizes, block = rows["n_shingles"].to_numpy(), rows["block"].to_numpy()
+    bucket = rows["bucket"][0].as_py()
+    keys = np.array(rows["bands"].to_pylist(), np.int64)
     data = rows["bits"].to_pylist()
     widths = np.array([len(one) for one in data])
     a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -200,7 +203,7 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
             more = _folded(np.array([np.frombuffer(data[i], np.uint64) for i in wide]))
             bits = np.concatenate([bits, more])
         which = np.concatenate([own, wide])
-        n, c, d, p = sizes[which], comps[which], docs[which], block[which]
+        n, c, d, p, k = sizes[which], comps[which], docs[which], block[which], keys[which]
         for i in range(len(own)):
             rest = slice(i + 1, None)
             good = (c[rest] != c[i]) & (4 * np.minimum(n[rest], n[i]) >= 3 * np.maximum(n[rest], n[i]))
@@ -210,6 +213,9 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
             if len(at):
                 apart = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 at = at[apart <= most_difference(n[at], n[i])]
+                # Of all buckets of a pair, the one with the least key tells it.
+                first = np.where(k[at] == k[i], k[i], np.iinfo(np.int64).max).min(axis=1)
+                at = at[first == bucket]
                 a_out.append(np.minimum(d[at], d[i]))
                 b_out.append(np.maximum(d[at], d[i]))
     return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
@@ -254,7 +260,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("hub"),
         F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("content"),
     )
-    # Buckets with the same members count once.
+    # Buckets with the same members count once, as the one with the least key.
     full = full.where("n > 1").groupBy("n", "hub", "content").agg(F.min("bucket").alias("bucket"))
     full = stored(full.select("bucket", "n", "hub"), "buckets")
     shared = stored(banded.join(full, "bucket"), "shared-buckets")
@@ -282,7 +288,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = (
         placed.join(open_, "bucket")
-        .join(sketch, "doc_id")
+        .join(features, "doc_id")
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .select(
@@ -294,6 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             "n_shingles",
             "block",
             "bits",
+            "bands",
         )
     )
     rest = rows.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
