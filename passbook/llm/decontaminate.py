@@ -28,7 +28,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from passbook.llm.tables import stored
+from passbook.llm.tables import Temporary, stored
 
 WINDOW = 13
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -48,7 +48,7 @@ def small(terms: DataFrame, column: str) -> DataFrame:
     return F.broadcast(terms) if fits else terms
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
+def _items(benchmark: DataFrame, keep) -> DataFrame:
     """Distinct items: ``item`` (a key), ``item_id``, ``item_words``, ``size`` of a window."""
     found = benchmark.select("item_id", words(F.col("text")).alias("item_words")).distinct()
     found = found.where(F.size("item_words") > 0).select(
@@ -57,7 +57,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
         "item_words",
         F.least(F.size("item_words"), F.lit(WINDOW)).alias("size"),
     )
-    return stored(found, "items")
+    return keep(found, "items")
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -66,12 +66,12 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(key, words(F.col("text")).alias("doc_words"))
 
 
-def _anchors(items: DataFrame, documents: DataFrame) -> DataFrame:
+def _anchors(items: DataFrame, documents: DataFrame, keep) -> DataFrame:
     """For each window its two rarest terms and their places in the item."""
     vocabulary = items.select(F.explode("item_words").alias("term")).distinct()
-    vocabulary = small(stored(vocabulary, "terms"), "term")
+    vocabulary = small(keep(vocabulary, "terms"), "term")
     seen = documents.select(F.explode("doc_words").alias("term")).join(vocabulary, "term")
-    counts = stored(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
+    counts = keep(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     windows = items.select(
         "item",
         "size",
@@ -95,13 +95,13 @@ def _anchors(items: DataFrame, documents: DataFrame) -> DataFrame:
         F.min(F.struct("rank", place.alias("place"), "term")).alias("one"),
         F.max(F.struct("rank", place.alias("place"), "term")).alias("two"),
     )
-    return stored(anchors, "anchors")
+    return keep(anchors, "anchors")
 
 
-def postings(documents: DataFrame, terms: DataFrame) -> DataFrame:
+def postings(documents: DataFrame, terms: DataFrame, keep=stored) -> DataFrame:
     """The positional index: ``term``, ``key`` and ``pos`` of each given term."""
     all_ = documents.select("key", F.posexplode("doc_words").alias("pos", "term"))
-    return all_.join(small(stored(terms.distinct(), "terms"), "term"), "term")
+    return all_.join(small(keep(terms.distinct(), "terms"), "term"), "term")
 
 
 def _alignments(index: DataFrame, anchors: DataFrame, which: str) -> DataFrame:
@@ -112,19 +112,19 @@ def _alignments(index: DataFrame, anchors: DataFrame, which: str) -> DataFrame:
     )
 
 
-def contaminated_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated_windows(docs: DataFrame, benchmark: DataFrame, keep=stored) -> DataFrame:
     """``key``, ``item_id`` and the ``places`` of its windows that occur, and their ``size``."""
-    items, documents = _items(benchmark), _documents(docs)
-    anchors = _anchors(items, documents)
+    items, documents = _items(benchmark, keep), _documents(docs)
+    anchors = _anchors(items, documents, keep)
     terms = anchors.select("one.term").union(anchors.select("two.term"))
-    index = stored(postings(documents, terms), "postings")
+    index = keep(postings(documents, terms, keep), "postings")
     both = _alignments(index, anchors, "one").join(
         _alignments(index, anchors, "two").drop("size"), ["key", "item", "start", "shift"], "left_semi"
     )
     aligned = both.where("shift + start >= 0").groupBy("key", "item", "shift", "size").agg(
         F.collect_set("start").alias("starts")
     )
-    aligned = stored(aligned, "alignments")
+    aligned = keep(aligned, "alignments")
     texts = docs.select(
         F.struct("doc_id", F.xxhash64("text").alias("version")).alias("key"), "text"
     ).dropDuplicates(["key"])
@@ -140,8 +140,8 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def proximity(docs: DataFrame, benchmark: DataFrame, within: int = WINDOW) -> DataFrame:
     """Documents that hold the two rarest terms of a window at most ``within`` words apart."""
-    items, documents = _items(benchmark), _documents(docs)
-    anchors = _anchors(items, documents).where("one.term <> two.term")
+    items, documents = _items(benchmark, stored), _documents(docs)
+    anchors = _anchors(items, documents, stored).where("one.term <> two.term")
     terms = anchors.select("one.term").union(anchors.select("two.term"))
     index = stored(postings(documents, terms), "postings")
     near = anchors.select("item", "one.term", F.col("two.term").alias("other")).distinct()
@@ -155,16 +155,21 @@ def proximity(docs: DataFrame, benchmark: DataFrame, within: int = WINDOW) -> Da
     return named.select("key.doc_id", "item_id").distinct()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id``, ``version`` and the hits of every row of ``docs``."""
-    found = contaminated_windows(docs, benchmark)
+def _hits(found: DataFrame) -> DataFrame:
+    """Per document the number of words that are hit and its items."""
     ranges = F.flatten(
         F.transform("places", lambda p: F.sequence(p, p + F.col("size") - 1))
     )
-    hits = found.groupBy("key").agg(
+    return found.groupBy("key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.array_distinct(ranges))))).alias("hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"),
     )
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id``, ``version`` and the hits of every row of ``docs``."""
+    with Temporary() as temp:
+        hits = stored(_hits(contaminated_windows(docs, benchmark, temp)), "hits")
     all_ = _documents(docs).select("key", F.size("doc_words").cast("long").alias("n_words"))
     joined = all_.join(hits, "key", "left")
     n_hit = F.coalesce(F.col("hit"), F.lit(0)).cast("long")

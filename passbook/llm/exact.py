@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passbook.llm.tables import stored
+from passbook.llm.tables import Temporary, stored
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 FIRST_DIGIT = 32
@@ -35,23 +35,23 @@ def squeezed(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
 
 
-def _shared(digits: DataFrame, keys: list[str]) -> DataFrame:
+def _shared(digits: DataFrame, keys: list[str], temp: Temporary) -> DataFrame:
     """Members of the groups of at least two rows, with the new group's number."""
     groups = digits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("next"))
     # Stored, so that both sides of the join are exchanged and a hot group can be split.
-    return digits.join(stored(groups.where("n > 1").drop("n"), "groups"), keys)
+    return digits.join(temp(groups.where("n > 1").drop("n"), "groups"), keys)
 
 
-def _members(rows: DataFrame) -> DataFrame:
+def _members(rows: DataFrame, temp: Temporary) -> DataFrame:
     """``row`` and ``group`` of every row that equals another one."""
     heads = rows.select("row", F.col("head").alias("digit"))
-    parted = _shared(heads, ["digit"])
+    parted = _shared(heads, ["digit"], temp)
     width, done = FIRST_DIGIT, []
     ended = F.length("digit") < width
     first = parted.select("row", F.col("next").alias("group"), ended.alias("ended"))
     texts = rows.select("row", squeezed(F.col("document.text")).cast("binary").alias("rest"))
     rest = F.when(~F.col("ended"), F.expr(f"substring(rest, {width + 1})"))
-    level = stored(
+    level = temp(
         first.join(texts, "row").select("row", "group", "ended", rest.alias("rest")), "radix"
     )
     while True:
@@ -61,14 +61,14 @@ def _members(rows: DataFrame) -> DataFrame:
             return reduce(DataFrame.unionByName, done)
         width *= WIDER
         digits = active.select("row", "group", F.expr(f"substring(rest, 1, {width})").alias("digit"))
-        parted = _shared(digits, ["group", "digit"]).select(
+        parted = _shared(digits, ["group", "digit"], temp).select(
             "row",
             F.col("next").alias("group"),
             (F.length("digit") < width).alias("ended"),
         )
         kept = active.select("row", F.expr(f"substring(rest, {width + 1})").alias("rest"))
         rest = F.when(~F.col("ended"), F.col("rest"))
-        level = stored(
+        level = temp(
             parted.join(kept, "row").select("row", "group", "ended", rest.alias("rest")), "radix"
         )
 
@@ -93,7 +93,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "exact-rows",
     )
-    members = _members(rows)
+    with Temporary() as temp:
+        members = stored(_members(rows, temp), "members")
     grouped = rows.select("row", F.col("document.doc_id").alias("doc_id"), "points").join(
         members, "row"
     )

@@ -101,6 +101,8 @@ def fit(samples: dict[str, list[bytes]]) -> Model:
     """Trees of every language in ``samples``."""
     languages = sorted(samples)
     model = Model(languages, [], [], [], [])
+    if not languages:
+        return model
     data = [np.frombuffer(_padded(samples[name]), np.uint8) for name in languages]
     inside = []  # places that are no padding
     for name in languages:
@@ -135,14 +137,22 @@ def training_sample(
     docs_per_language: int = DOCS_PER_LANGUAGE,
     doc_bytes: int = DOC_BYTES,
 ) -> DataFrame:
-    """``lang`` and ``text`` of the bounded sample of rows with both and a letter."""
+    """``lang`` and ``text`` of the bounded sample of rows with both and a letter.
+
+    A language's rows are first thinned by hash to about four times the sample, so the
+    ranking gets a like number of rows whatever the size of the corpus.
+    """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    order = [
-        (F.octet_length("text") > doc_bytes).asc(),
-        F.xxhash64("doc_id").asc(),
-        F.col("doc_id").asc(),
-    ]
-    ranked = usable.select(
+    slim = usable.select("lang", "doc_id", (F.octet_length("text") <= doc_bytes).alias("short"))
+    sizes = slim.groupBy("lang").agg(
+        F.count_if("short").alias("n_short"), F.count(F.lit(1)).alias("n_all")
+    )
+    enough = F.col("n_short") >= docs_per_language
+    share = 4.0 * docs_per_language / F.when(enough, F.col("n_short")).otherwise(F.col("n_all"))
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
+    thinned = slim.join(sizes, "lang").where((F.col("short") | ~enough) & (draw < share))
+    order = [F.col("short").desc(), F.xxhash64("doc_id").asc(), F.col("doc_id").asc()]
+    ranked = thinned.select(
         "lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).alias("at")
     )
     # At most docs_per_language ids for each language, whatever the size of the input.

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passbook.llm.components import components
-from passbook.llm.tables import stored
+from passbook.llm.tables import Temporary, stored
 from passbook.llm.words import U64, mixed, windows, word_hashes
 
 SHINGLE = 5
@@ -221,98 +221,100 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, temp: Temporary) -> DataFrame:
     """The pairs whose full sets are linked."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     some = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
     sets = some.mapInArrow(_sets, "doc_id long, hashes binary")
-    sets = stored(sets.groupBy("doc_id").agg(F.max_by("hashes", F.length("hashes")).alias("hashes")), "sets")
+    sets = temp(sets.groupBy("doc_id").agg(F.max_by("hashes", F.length("hashes")).alias("hashes")), "sets")
     linked = F.arrow_udf(_annotated(_linked, 2), "boolean")
     both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("b_set")), "b").join(
         sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("a_set")), "a"
     )
-    return stored(both.where(linked("a_set", "b_set")).select("a", "b"), "links")
+    return temp(both.where(linked("a_set", "b_set")).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
-    every = stored(docs.mapInArrow(_features, FEATURES), "features")
-    usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # One row per doc_id: repeated rows agree, other texts under one id go by size.
-    classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes, "classes")
-    same = ["n_shingles", "set_a", "set_b"]
-    member = stored(usable.select("doc_id", *same).join(classes, same).select("doc_id", "rep"), "members")
-    reps = member.where("doc_id = rep").select("doc_id").distinct()
-    features = usable.join(reps, "doc_id", "left_semi").withColumn(
-        "at", F.struct("n_shingles", "set_a", "set_b")
-    )
-    features = stored(
-        features.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "bits", "bands"), "at").alias("f"))
-        .select("doc_id", "f.*"),
-        "representatives",
-    )
+    with Temporary() as temp:
+        docs = docs.select("doc_id", "text")
+        every = temp(docs.mapInArrow(_features, FEATURES), "features")
+        sizes = stored(every.select("doc_id", "n_shingles"), "sizes")
+        usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        # One row per doc_id: repeated rows agree, other texts under one id go by size.
+        classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
+        classes = temp(classes, "classes")
+        same = ["n_shingles", "set_a", "set_b"]
+        member = temp(usable.select("doc_id", *same).join(classes, same).select("doc_id", "rep"), "members")
+        reps = member.where("doc_id = rep").select("doc_id").distinct()
+        features = usable.join(reps, "doc_id", "left_semi").withColumn(
+            "at", F.struct("n_shingles", "set_a", "set_b")
+        )
+        features = temp(
+            features.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "bits", "bands"), "at").alias("f"))
+            .select("doc_id", "f.*"),
+            "representatives",
+        )
 
-    banded = features.select("doc_id", F.explode("bands").alias("bucket"))
-    full = banded.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("doc_id").alias("hub"),
-        F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("content"),
-    )
-    # Buckets with the same members count once, as the one with the least key.
-    full = full.where("n > 1").groupBy("n", "hub", "content").agg(F.min("bucket").alias("bucket"))
-    full = stored(full.select("bucket", "n", "hub"), "buckets")
-    shared = stored(banded.join(full, "bucket"), "shared-buckets")
-
-    star = shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    sketch = features.select("doc_id", "n_shingles", "bits")
-    side = lambda s: sketch.select(
-        F.col("doc_id").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
-    )
-    may_link = F.arrow_udf(_annotated(_may_link, 4), "boolean")
-    compared = star.distinct().join(side("b"), "b").join(side("a"), "a")
-    likely = compared.where(may_link("a_bits", "b_bits", "a_n", "b_n")).select("a", "b")
-    links = _confirmed(stored(likely, "star-pairs"), docs)
-
-    found = components(links)
-    labels = found.select(F.col("node").alias("doc_id"), "component")
-    placed = shared.join(labels, "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
-    )
-    placed = stored(placed.select("bucket", "n", "doc_id", "component"), "placed")
-    mixed_ones = placed.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    open_ = stored(mixed_ones.where("least < most").select("bucket"), "open-buckets")
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = (
-        placed.join(open_, "bucket")
-        .join(features, "doc_id")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .select(
-            "bucket",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "doc_id",
-            "component",
-            "n_shingles",
-            "block",
-            "bits",
-            "bands",
+        banded = features.select("doc_id", F.explode("bands").alias("bucket"))
+        full = banded.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("doc_id").alias("hub"),
+            F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("content"),
         )
-    )
-    rest = rows.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
-    more = _confirmed(stored(rest.distinct(), "rest-pairs"), docs)
-    again = components(
-        more.unionByName(links).unionByName(
-            member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        # Buckets with the same members count once, as the one with the least key.
+        full = full.where("n > 1").groupBy("n", "hub", "content").agg(F.min("bucket").alias("bucket"))
+        full = temp(full.select("bucket", "n", "hub"), "buckets")
+        shared = temp(banded.join(full, "bucket"), "shared-buckets")
+
+        star = shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+        sketch = features.select("doc_id", "n_shingles", "bits")
+        side = lambda s: sketch.select(
+            F.col("doc_id").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
+        )
+        may_link = F.arrow_udf(_annotated(_may_link, 4), "boolean")
+        compared = star.distinct().join(side("b"), "b").join(side("a"), "a")
+        likely = compared.where(may_link("a_bits", "b_bits", "a_n", "b_n")).select("a", "b")
+        links = _confirmed(temp(likely, "star-pairs"), docs, temp)
+
+        found = components(links)
+        labels = found.select(F.col("node").alias("doc_id"), "component")
+        placed = shared.join(labels, "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        )
+        placed = temp(placed.select("bucket", "n", "doc_id", "component"), "placed")
+        mixed_ones = placed.groupBy("bucket").agg(
+            F.min("component").alias("least"), F.max("component").alias("most")
+        )
+        open_ = temp(mixed_ones.where("least < most").select("bucket"), "open-buckets")
+        parts = F.ceil(F.col("n") / BLOCK).cast("int")
+        rows = (
+            placed.join(open_, "bucket")
+            .join(features, "doc_id")
+            .withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .select(
+                "bucket",
+                F.least("block", "other").alias("low"),
+                F.greatest("block", "other").alias("high"),
+                "doc_id",
+                "component",
+                "n_shingles",
+                "block",
+                "bits",
+                "bands",
+            )
+        )
+        rest = rows.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
+        more = _confirmed(temp(rest.distinct(), "rest-pairs"), docs, temp)
+        again = components(
+            more.unionByName(links).unionByName(
+                member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+            )
         )
-    )
     final = again.select(F.col("node").alias("doc_id"), "component")
     return (
-        every.select("doc_id", "n_shingles")
+        sizes
         .join(final, "doc_id", "left")
         .select(
             "doc_id",

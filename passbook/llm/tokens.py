@@ -19,7 +19,7 @@ from passbook.llm.texts import blocks, utf8
 from passbook.llm.words import lowered
 
 TOKENIZER = "word_bpe_49k.json"
-STORED_CHUNKS = 800_000
+STORED_CHUNKS = 300_000
 BLOCK = 4 << 20
 STORED_CHUNK_BYTES = 64
 IDS = np.dtype("<u4")
