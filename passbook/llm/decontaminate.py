@@ -127,7 +127,13 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, keep=stored) ->
     aligned = keep(aligned, "alignments")
     texts = docs.select(
         F.struct("doc_id", F.xxhash64("text").alias("version")).alias("key"), "text"
-    ).dropDuplicates(["key"])
+    )
+    # Only documents with an alignment are read again; their keys, of some 64 bytes
+    # each, are broadcast if they fit, else joined by shuffle.
+    wanted = keep(aligned.select("key").distinct(), "keys")
+    if wanted.count() * 64 <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    texts = texts.join(wanted, "key", "left_semi").dropDuplicates(["key"])
     checked = aligned.join(items.drop("size"), "item").join(texts, "key").select(
         "key", "item_id", "size", "shift", "starts", "item_words", words(F.col("text")).alias("doc_words")
     )

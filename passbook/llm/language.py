@@ -150,7 +150,8 @@ def training_sample(
     enough = F.col("n_short") >= docs_per_language
     share = 4.0 * docs_per_language / F.when(enough, F.col("n_short")).otherwise(F.col("n_all"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
-    thinned = slim.join(sizes, "lang").where((F.col("short") | ~enough) & (draw < share))
+    # One row per language: small enough to send to every task.
+    thinned = slim.join(F.broadcast(sizes), "lang").where((F.col("short") | ~enough) & (draw < share))
     order = [F.col("short").desc(), F.xxhash64("doc_id").asc(), F.col("doc_id").asc()]
     ranked = thinned.select(
         "lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).alias("at")
