@@ -533,6 +533,20 @@ SELECTS: dict[str, str] = {
                  WHEN (SELECT bool_or(e >= epoch(DATE '{AS_OF}') AND e < epoch(DATE '{AS_OF}') + 86400)
                        FROM f WHERE NOT cut) THEN 'captured_today' ELSE 'not_newer' END FROM f
         UNION ALL SELECT 'today', filename, 'captured_today' FROM f""",
+    "snapshot_admission_by_day": f"""
+        WITH f AS (SELECT o_orderdate::DATE AS day, (o_orderdate::DATE - DATE '1970-01-01') % 10 = 0 AS cut,
+                          (2 * count(*))::INTEGER AS n
+                   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderdate::DATE),
+             s AS (SELECT 'nothing' AS stored, NULL::DATE AS newest, false AS taken
+                   UNION ALL SELECT 'before', max(day), false FROM f WHERE NOT cut AND day < DATE '{AS_OF}'
+                   UNION ALL SELECT 'all', max(day), coalesce(bool_or(day = DATE '{AS_OF}'), false)
+                             FROM f WHERE NOT cut
+                   UNION ALL SELECT 'today', DATE '{AS_OF}', true)
+        SELECT stored, strftime(day, '%Y-%m-%d') AS filename,
+               CASE WHEN cut THEN 0 ELSE n END AS n_accounts,
+               CASE WHEN taken THEN 'captured_today' WHEN cut THEN 'empty'
+                    WHEN day <= newest THEN 'not_newer' ELSE 'new' END AS decision
+        FROM f CROSS JOIN s""",
     "freshness_names": f"""
         SELECT 's3a://bucket/transactions/' || strftime(o_orderdate, '%Y/%m/%d') || '/' || o_orderkey
                  || CASE WHEN o_orderkey % 3 = 0 THEN 'Z.json'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,10 +215,11 @@ def snapshot_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_admission_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order files of which every tenth is cut short, judged twice.
+    """A fiftieth of the order files, about half of them cut short, judged thrice.
 
-    Once with nothing stored, where cut files count as empty, and once with a file
-    of the day stored, where nothing is taken any more.
+    Once with nothing stored, where cut files count as empty, once with all readable
+    ones stored, and once with a file of the day stored, where nothing is taken any
+    more.  ``snapshot_admission_by_day`` reads every order.
     """
     rows = account_snapshots(spark, sf_dir).select(
         F.regexp_extract("filename", "[0-9]+", 0).cast("long").alias("k"),
@@ -244,6 +246,44 @@ def snapshot_admission_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame
     return every.select("stored", "filename", "decision")
 
 
+def snapshot_admission_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order, in one file for each order date; every tenth day's file is cut short.
+
+    Each file is judged with nothing stored, with the readable files before the as-of
+    date, with all readable files, and with a file of the as-of date itself.
+    """
+    orders = account_snapshots(spark, sf_dir).select(
+        F.to_date(F.timestamp_seconds(F.col("accounts")[0]["balance-date"])).alias("day"), "accounts"
+    )
+    days = orders.groupBy("day").agg(F.flatten(F.collect_list("accounts")).alias("accounts"))
+    text = F.to_json(F.struct(F.array().cast("array<string>").alias("errors"), "accounts"))
+    short = F.left(text, F.length(text) / 2)
+    value = F.when(F.unix_date("day") % 10 == 0, short).otherwise(text)
+    root = scratch_path(spark, "arrivals-by-day")
+    # The rows of a day are in one task, so its folder gets one file.
+    files = days.select(value.alias("value"), F.date_format("day", "yyyy-MM-dd").alias("name"))
+    files.write.partitionBy("name").text(f"{root}/transactions/2001/06/15")
+    raw = read_arrivals(spark, root, "transactions/*/*/*/*/*.txt").withColumn(
+        "filename", F.regexp_extract("filename", "name=([0-9-]+)", 1)
+    )
+    fresh = arrivals.freshness_from_content(raw)
+    readable = fresh.where("balance_epoch IS NOT NULL")
+    today = F.unix_timestamp(F.lit(AS_OF).cast("timestamp"))
+    states = {
+        "nothing": readable.where("false"),
+        "before": readable.where(F.col("balance_epoch") < today),
+        "all": readable,
+        "today": spark.range(1).select(today.alias("balance_epoch")),
+    }
+    judged = [
+        arrivals.admit(fresh, stored, f"{AS_OF} 18:00:00").select(
+            F.lit(name).alias("stored"), "filename", "n_accounts", "decision"
+        )
+        for name, stored in states.items()
+    ]
+    return reduce(DataFrame.unionByName, judged)
+
+
 def freshness_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of stored files and whether they are of the as-of day or the day before."""
     orders = table(spark, sf_dir, "orders")
@@ -551,6 +591,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_freshness": snapshot_freshness,
     "snapshot_admission": snapshot_admission,
     "snapshot_admission_unreadable": snapshot_admission_unreadable,
+    "snapshot_admission_by_day": snapshot_admission_by_day,
     "freshness_names": freshness_names,
     # Streams
     "stream_latest_transactions": stream_latest_transactions,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from testbed import oracle, queries
@@ -28,5 +29,17 @@ def test_matches_oracle(spark, duck, name):
     assert difference(spark, duck, name, QUERIES[name], ORACLE[name], SF_DIR) is None
 
 
+def test_every_order_is_judged(spark):
+    """Not a sample of them: each date has a file, with two accounts an order if it is whole."""
+    days = spark.read.parquet(f"{SF_DIR}/orders.parquet").groupBy(F.to_date("o_orderdate").alias("day")).count()
+    want = {str(r.day): 2 * r["count"] for r in days.collect()}
+    rows = QUERIES["snapshot_admission_by_day"](spark, SF_DIR).collect()
+    for stored in ("nothing", "before", "all", "today"):
+        got = {r.filename: r.n_accounts for r in rows if r.stored == stored}
+        assert got.keys() == want.keys()
+        assert all(n in (0, want[day]) for day, n in got.items())
+    assert {r.decision for r in rows} == {"captured_today", "empty", "not_newer", "new"}
+
+
 def test_entry_returns_months(spark):
     assert entry.entry(spark).count() > 12
