@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from passbook.llm.decontaminate import decontaminate
 from passbook.llm.exact import exact_duplicates
-from passbook.llm.language import UNDETERMINED, held_out, predict, train
+from passbook.llm.language import held_out, predict, train
 from passbook.llm.minhash import near_duplicates
 from passbook.llm.packing import pack_documents
 from passbook.llm.tables import stored
@@ -24,10 +24,10 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which the language can be told; others hold no letter at all."""
+    """Documents that hold a letter, whatever their language is taken for."""
     learned = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
     told = predict(F.col("text"), train(learned))
-    return docs.where(told["lang_pred"] != UNDETERMINED)
+    return docs.where(~told["rejected"])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,8 @@ one size.  The prediction reads every text whole, in blocks of about a megabyte.
 
 Cases: a text that is NULL or has no letter is ``und`` with score 0; equal code
 lengths go to the language first by name; without any training row everything is
-``und``; rows repeated or with a NULL doc_id are predicted like any other; other
+``und``; ``rejected`` alone tells texts without a letter, so ``und`` may be a learned
+label too; rows repeated or with a NULL doc_id are predicted like any other; other
 columns are left as they are.
 """
 
@@ -182,8 +183,8 @@ def has_letter(text: Column) -> Column:
 
 
 def predict(text: Column, model: Model) -> Column:
-    """Struct of ``lang_pred`` and ``score`` for a text column."""
-    out = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+    """Struct of ``lang_pred``, ``score`` and ``rejected`` for a text column."""
+    out = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
     names = np.array([*model.languages, UNDETERMINED], dtype=object)
 
     def batch(lowered: pa.Array, letter: pa.Array) -> pa.Array:
@@ -199,7 +200,7 @@ def predict(text: Column, model: Model) -> Column:
             good = usable[first:last]
             best[first:last] = np.where(good, bits.argmin(axis=1), best[first:last])
             score[first:last] = np.where(good, share, 0.0)
-        fields = [pa.array(names[best], pa.string()), pa.array(score)]
+        fields = [pa.array(names[best], pa.string()), pa.array(score), pa.array(~usable)]
         return pa.StructArray.from_arrays(fields, fields=list(out))
 
     def batches(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -210,7 +211,7 @@ def predict(text: Column, model: Model) -> Column:
         "columns": Iterator[tuple[pa.Array, pa.Array]],
         "return": Iterator[pa.Array],
     }
-    udf = F.arrow_udf(batches, "lang_pred string, score double")
+    udf = F.arrow_udf(batches, "lang_pred string, score double, rejected boolean")
     return udf(letters(text), has_letter(text))
 
 
@@ -220,14 +221,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
+    """``doc_id``, ``held_out``, ``lang_pred``, ``score`` and ``rejected`` of every row."""
     learned = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
     told = docs.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         predict(F.col("text"), train(learned)).alias("told"),
     )
-    return told.select("doc_id", "held_out", "told.lang_pred", "told.score")
+    return told.select("doc_id", "held_out", "told.lang_pred", "told.score", "told.rejected")
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

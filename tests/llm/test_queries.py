@@ -192,3 +192,12 @@ def test_stages_keep_columns(spark, odd):
     docs = spark.read.parquet(f"{odd[0]}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, odd[0]).columns == docs.columns
+
+
+@pytest.mark.parametrize("langs", [[None], ["und"], ["und", "en"]])
+def test_language_stage_keeps_every_text_with_a_letter(spark, langs):
+    texts = ["plain words of prose", "mehr davon hier", "12 34 !", "", None, "é"] * 10
+    rows = [(k, text, langs[k % len(langs)]) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {row.doc_id for row in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert got == {k for k, text, _ in rows if any(c.isalpha() for c in text or "")}
