@@ -9,9 +9,10 @@ exact code length of a text is a sum over its bytes, and the language with the
 shortest code wins.  ``score`` is that language's share of the summed 2**-bits.
 
 Training takes a bounded sample: of the labelled rows given, for each language the
-``docs_per_language`` first ones in hash order of doc_id, of which texts up to
-``doc_bytes`` long come first, so the model and what reaches the driver stay of
-one size.  The prediction reads every text whole, in blocks of about a megabyte.
+``docs_per_language`` first distinct texts in hash order of doc_id, of which texts up to
+``doc_bytes`` long come first.  Rows equal in doc_id and text count as one.  Of each
+text the trees read the first ``doc_bytes`` bytes, so the model and what reaches the
+driver stay of one size.  The prediction reads every text whole, in blocks of about a megabyte.
 
 Cases: a text that is NULL or has no letter is ``und`` with score 0; equal code
 lengths go to the language first by name; without any training row everything is
@@ -140,32 +141,49 @@ def training_sample(
 ) -> DataFrame:
     """``lang`` and ``text`` of the bounded sample of rows with both and a letter.
 
-    A language's rows are first thinned by hash to about four times the sample, so the
-    ranking gets a like number of rows whatever the size of the corpus.
+    ``text`` is what the trees read of it, at most ``doc_bytes`` characters.  A language's
+    rows are first thinned by hash to about four times the sample, so the ranking gets a
+    like number of rows whatever the size of the corpus; the size of a language is a
+    sketch of its distinct texts, so that repeated rows take no other's place.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    slim = usable.select("lang", "doc_id", (F.octet_length("text") <= doc_bytes).alias("short"))
+    usable = usable.withColumn("version", F.xxhash64("text"))
+    short = (F.octet_length("text") <= doc_bytes).alias("short")
+    slim = usable.select("lang", "doc_id", "version", short)
+    row = F.xxhash64("doc_id", "version")
     sizes = slim.groupBy("lang").agg(
-        F.count_if("short").alias("n_short"), F.count(F.lit(1)).alias("n_all")
+        F.approx_count_distinct(F.when(F.col("short"), row)).alias("n_short"),
+        F.approx_count_distinct(row).alias("n_all"),
     )
-    enough = F.col("n_short") >= docs_per_language
+    # A sketch is off by a few per cent: short texts alone only where they are plainly enough.
+    enough = F.col("n_short") >= 2 * docs_per_language
     share = 4.0 * docs_per_language / F.when(enough, F.col("n_short")).otherwise(F.col("n_all"))
-    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "version"), F.lit(1_000_000_007)) / 1_000_000_007
     # One row per language: small enough to send to every task.
     thinned = slim.join(F.broadcast(sizes), "lang").where((F.col("short") | ~enough) & (draw < share))
-    order = [F.col("short").desc(), F.xxhash64("doc_id").asc(), F.col("doc_id").asc()]
-    ranked = thinned.select(
-        "lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).alias("at")
+    key = ["lang", "doc_id", "version"]
+    order = [F.col("short").desc(), F.xxhash64("doc_id").asc(), F.col("doc_id").asc(), F.col("version").asc()]
+    ranked = thinned.select(*key, "short").distinct().select(
+        *key, F.row_number().over(Window.partitionBy("lang").orderBy(*order)).alias("at")
     )
-    # At most docs_per_language ids for each language, whatever the size of the input.
-    chosen = ranked.where(F.col("at") <= docs_per_language).select("lang", "doc_id").distinct()
-    return usable.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text")
+    # At most docs_per_language keys for each language, whatever the size of the input.
+    chosen = ranked.where(F.col("at") <= docs_per_language).select(
+        "lang", F.col("doc_id").alias("chosen_id"), "version"
+    )
+    read = usable.join(
+        F.broadcast(chosen.withColumnRenamed("version", "chosen_version").withColumnRenamed("lang", "chosen_lang")),
+        (F.col("lang") == F.col("chosen_lang"))
+        & F.col("doc_id").eqNullSafe(F.col("chosen_id"))
+        & (F.col("version") == F.col("chosen_version")),
+        "left_semi",
+    ).select(*key, F.left(letters("text"), F.lit(doc_bytes)).alias("text"))
+    return read.groupBy(*key).agg(F.min("text").alias("text")).select("lang", "text")
 
 
-def train(labelled: DataFrame, **bounds: int) -> Model:
+def train(labelled: DataFrame, doc_bytes: int = DOC_BYTES, **bounds: int) -> Model:
     samples: dict[str, list[bytes]] = {}
-    for lang, text in training_sample(labelled, **bounds).select("lang", letters("text")).collect():
-        samples.setdefault(lang, []).append(text.encode())
+    for lang, text in training_sample(labelled, doc_bytes=doc_bytes, **bounds).collect():
+        samples.setdefault(lang, []).append(text.encode()[:doc_bytes])
     return fit(samples)
 
 

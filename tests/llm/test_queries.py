@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from passbook.llm import line_dedup, registry, token_counts, token_output
+from passbook.llm import language, line_dedup, registry, token_counts, token_output
 from tests.compare import connect, difference
 from tests.llm import brute
 
@@ -201,3 +201,14 @@ def test_language_stage_keeps_every_text_with_a_letter(spark, langs):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {row.doc_id for row in corpus_pipeline.language_id(spark, docs, "").collect()}
     assert got == {k for k, text, _ in rows if any(c.isalpha() for c in text or "")}
+
+
+def test_training_sample_is_bounded(spark):
+    rows = [(1, f"same id, other text {chr(97 + k % 26) * (k // 26 + 1)}", "en") for k in range(200)]
+    rows += [(2, "repeated row", "de")] * 2000 + [(k, f"eigener Text {chr(97 + k % 26) * 9}", "de") for k in range(3, 60)]
+    rows += [(k, "lang " * 9000, "nl") for k in range(100, 110)] + [(None, "no id", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.training_sample(docs, docs_per_language=20, doc_bytes=1000).collect()
+    assert Counter(row.lang for row in got) == {"en": 20, "de": 20, "nl": 10, "fr": 1}
+    assert max(len(row.text) for row in got) == 1000
+    assert sum(row.text == "repeated row" for row in got) <= 1
