@@ -1,11 +1,11 @@
-"""Passages of 13 or more words repeated from earlier documents, by relative
-Lempel-Ziv parsing.
+"""Passages of 13 or more words repeated from earlier documents, by a join of window
+hashes that takes the place of a relative Lempel-Ziv parse.
 
 Every document is parsed against all documents of smaller doc_id as its reference.
 A word window of ``WINDOW`` words is a match when an earlier document holds the same
-words.  Runs of matching windows are the factors of the greedy parse; a factor ends
-where no earlier document continues it, and both of its ends are settled window by
-window.  The words of all factors are the duplicate spans.
+words.  Runs of words covered by matching windows are called factors here; no longest
+match with a source position is sought, and one run may have several sources.  Both of
+its ends are settled window by window.  The words of all factors are the duplicate spans.
 
 The reference is indexed by content, so no document is compared with a block that
 shares nothing with it:
