@@ -11,6 +11,8 @@ from passbook.llm import (
     minhash,
     packing,
     pii,
+    prefix_trie,
+    resampling,
     substrings,
     token_counts,
     token_output,
@@ -29,6 +31,8 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_exact_dedup": exact.op10_exact_dedup,
+        "op12_importance_resampling": resampling.op12_importance_resampling,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -38,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_dedup.OP1_SQL,
         "op8_decontamination": decontaminate.OP8_SQL,
         "op10_exact_dedup": exact.OP10_SQL,
+        "op13_prefix_trie": prefix_trie.OP13_SQL,
     }

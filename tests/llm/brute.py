@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -205,3 +206,67 @@ def edited(text, edits):
         parts += [text[at:start], new]
         at = end
     return "".join(parts) + text[at:]
+
+
+def resampled(rows, items):
+    """(doc_id, n_features, weight, score, rank) of every row."""
+    def features(text):
+        words = TERM.findall((text or "").translate(LOW))
+        runs = [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(run.encode()) % 10000 for run in runs]
+
+    docs = [(doc_id, *features(text)) for doc_id, text in rows]
+    corpus = Counter(b for *_, buckets in docs for b in buckets)
+    target = Counter(b for _, text in items for b in features(text)[1])
+    s_all, t_all = corpus.total() + 10000, target.total() + 10000
+    gain = [
+        math.floor(1000 * math.log((target[b] + 1) * s_all / ((corpus[b] + 1) * t_all))) for b in range(10000)
+    ]
+    scored = []
+    for doc_id, n_words, buckets in docs:
+        h = int(sha(f"42:{'' if doc_id is None else doc_id}")[:8], 16)
+        weight = sum(gain[b] for b in buckets)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((doc_id, len(buckets), weight, weight + noise, n_words >= 20))
+    able = sorted((r for r in scored if r[4]), key=lambda r: (-r[3], r[0] is None, r[0]))
+    drawn = 5 * len(able) // 100
+    out = Counter((*r[:4], k + 1 if k < drawn else None) for k, r in enumerate(able))
+    return out + Counter((*r[:4], None) for r in scored if not r[4])
+
+
+def trie(rows):
+    """The contract's rows for (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            tie = sha(f"{len(role.encode())}:{role}{text}")
+            own[conv].append((turn is not None, turn or 0, tie, role, text))
+    turns = {c: [t[3:] for t in sorted(all_)] for c, all_ in own.items()}
+    nodes = defaultdict(list)
+    for c in sorted(turns):
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        whole = tuple(turns.get(base, [])[:h] + turns[c][h:])
+        for d in range(len(whole) + 1):
+            nodes[whole[:d]].append((c, d == len(whole)))
+    children = Counter(node[:-1] for node in nodes if node)
+    leaves, saved = Counter(), Counter()
+    for node, members in nodes.items():
+        cost = (len(members) - 1) * len(WORD.findall(node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += cost
+    return Counter(
+        (
+            members[0][0],
+            len(node),
+            nodes[node[:-1]][0][0] if node else None,
+            len(members),
+            children[node],
+            leaves[node],
+            saved[node],
+            sha(",".join(str(c) for c, ends in members if ends)),
+        )
+        for node, members in nodes.items()
+    )

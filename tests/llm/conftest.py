@@ -66,6 +66,24 @@ def _items(rows: list[tuple]) -> list[tuple]:
     ]
 
 
+CONVERSATIONS = "conv_id long, turn long, role string, text string, start string, depth int"
+
+
+def _turns() -> list[tuple]:
+    """Shared heads, copies, a long conversation, tied and NULL turns, few or no turns."""
+    pick = random.Random(11)
+    words = ["yes", "no ", " ok\t", "a b", "", "\x0bx", "é ß"]
+    rows: list[tuple] = []
+    for conv in [*range(-25, 3), *range(18, 64), 4096, 8191, 10**15]:
+        for turn in range(pick.choice([1, 2, 3, 5, 9, 17])):
+            rows.append((conv, turn, pick.choice(["user", "bot"]), pick.choice(words)))
+    rows += [(conv, turn, "user", f"same {turn % 5}") for conv in range(70, 79) for turn in range(40)]
+    rows += [(conv, turn, "user", f"long {turn % 7}") for conv in (80, 100, 101, 102) for turn in range(300 + conv)]
+    rows += [(79, None, None, None), (79, None, None, None), (79, 3, None, "x"), (79, 3, "x", None)]
+    rows += rows[:9] + [(None, 1, "user", "nobody"), (None, None, None, None)]
+    return [(*row, "clash", 7) for row in rows]
+
+
 @pytest.fixture(scope="session")
 def odd(spark: SparkSession, tmp_path_factory):  # noqa: F811
     """A folder of small tables, and the rows of each."""
@@ -74,6 +92,7 @@ def odd(spark: SparkSession, tmp_path_factory):  # noqa: F811
     spark.createDataFrame(rows, DOCUMENTS).repartition(3).write.parquet(f"{path}/documents.parquet")
     items = _items(rows)
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame(_turns(), CONVERSATIONS).repartition(3).write.parquet(f"{path}/conversations.parquet")
     return str(path), [(row[0], row[1]) for row in rows], items, [(row[0], row[3], row[1]) for row in rows]
 
 
@@ -82,6 +101,7 @@ def empty(spark: SparkSession, tmp_path_factory):  # noqa: F811
     path = tmp_path_factory.mktemp("empty")
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame([], CONVERSATIONS).write.parquet(f"{path}/conversations.parquet")
     return str(path)
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from passbook.llm import language, line_dedup, registry, token_counts, token_output
+from passbook.llm import language, line_dedup, prefix_trie, registry, resampling, token_counts, token_output
 from tests.compare import connect, difference
 from tests.llm import brute
 
@@ -39,6 +39,10 @@ FULL = {
         ["doc_id", "n_words", "n_removed", "kept_sha256"],
         lambda rows, items, hosts: brute.repeats(rows),
     ),
+    "op12_importance_resampling": (
+        ["doc_id", "n_features", "weight", "score", "rank"],
+        lambda rows, items, hosts: brute.resampled(rows, items),
+    ),
     "op10_exact_dedup": (
         ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
         lambda rows, items, hosts: brute.exact(rows),
@@ -212,3 +216,39 @@ def test_training_sample_is_bounded(spark):
     assert Counter(row.lang for row in got) == {"en": 20, "de": 20, "nl": 10, "fr": 1}
     assert max(len(row.text) for row in got) == 1000
     assert sum(row.text == "repeated row" for row in got) <= 1
+
+
+TRIE = "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+
+
+@pytest.mark.parametrize("table", ["odd", "real"])
+@pytest.mark.parametrize("run", [2, prefix_trie.RUN])
+def test_trie_equals_brute_force(spark, request, monkeypatch, table, run):
+    monkeypatch.setattr(prefix_trie, "RUN", run)
+    path = request.getfixturevalue(table)[0]
+    turns = spark.read.parquet(f"{path}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    got, want = bag(QUERIES["op13_prefix_trie"](spark, path), TRIE), brute.trie([tuple(t) for t in turns])
+    assert got - want == Counter() and want - got == Counter()
+
+
+def test_trie_with_hot_nodes_and_small_chunks(spark, odd, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "HOT_NODE", 2)
+    monkeypatch.setattr(prefix_trie, "CHUNK_BITS", 1)
+    turns = spark.read.parquet(f"{odd[0]}/conversations.parquet")
+    want = brute.trie([tuple(t) for t in turns.select("conv_id", "turn", "role", "text").collect()])
+    assert bag(prefix_trie.prefix_trie(turns), TRIE) == want
+
+
+def test_features_are_all_runs_of_words():
+    words, buckets = resampling.feature_buckets("Ab, ab\u00e9--C1  x".encode())
+    runs = ["ab", "ab\u00e9", "c1", "x", "ab ab\u00e9", "ab\u00e9 c1", "c1 x", "ab ab\u00e9 c1", "ab\u00e9 c1 x"]
+    assert words == 4 and sorted(buckets.tolist()) == sorted(brute.zlib.crc32(r.encode()) % 10000 for r in runs)
+
+
+def test_every_row_is_ranked_once(spark):
+    text = "one two three four five six seven eight nine ten " * 3
+    rows = [(k % 7 if k % 3 else 5, text) for k in range(1000)] + [(None, text)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = resampling.resample(docs, docs.limit(0), percent=30).where("rank IS NOT NULL")
+    ranks = [row["rank"] for row in got.orderBy("rank").collect()]
+    assert ranks == list(range(1, 1050 * 30 // 100 + 1))
