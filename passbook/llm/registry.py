@@ -9,6 +9,7 @@ from passbook.llm import (
     language,
     line_dedup,
     minhash,
+    mixing,
     packing,
     pii,
     prefix_trie,
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_substring_dedup": substrings.op9_substring_dedup,
         "op10_exact_dedup": exact.op10_exact_dedup,
+        "op11_context_mixing": mixing.op11_context_mixing,
         "op12_importance_resampling": resampling.op12_importance_resampling,
         "op13_prefix_trie": prefix_trie.op13_prefix_trie,
         "pipeline": corpus_pipeline.run,

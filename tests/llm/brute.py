@@ -234,6 +234,61 @@ def resampled(rows, items):
     return out + Counter((*r[:4], None) for r in scored if not r[4])
 
 
+def base_scores(rows):
+    """doc_id, held_out, n_tokens, n_known, train_tokens and base score of every row, in order."""
+    def tokens(text):
+        return [*WORD.findall((text or "").translate(LOW)), ""]
+
+    out = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
+    counts = Counter(t for (_, text), o in zip(rows, out, strict=True) if not o for t in tokens(text))
+    bottom = counts.total() + 0.1 * (len(counts) + 1)
+    found = []
+    for (doc_id, text), o in zip(rows, out, strict=True):
+        words = tokens(text)
+        score = sum(math.log10((counts[t] + 0.1) / bottom) for t in words)
+        found.append((doc_id, o, len(words), sum(counts[t] > 0 for t in words), counts.total(), score))
+    return found
+
+
+def code_length(text, tables):
+    """Bits of a text by the mixing model, a bit at a time over plain lists."""
+    from passbook.llm import mixing as m
+
+    whole = bytes(m.LOOK_BACK) + text + bytes([m.END])
+    bits = 0.0
+    for start in range(m.LOOK_BACK, len(whole), m.SEGMENT):
+        weights = defaultdict(lambda: [m.WEIGHT] * m.PREDICTORS)
+        maps = {}
+        for at in range(start, min(start + m.SEGMENT, len(whole))):
+            symbol, back = whole[at], whole[at - m.LOOK_BACK : at]
+            keys = []
+            for order in m.ORDERS:
+                keys.append(int.from_bytes(bytes([order]) + back[-order:][::-1], "big"))
+            word = back[max((i + 1 for i, c in enumerate(back) if c in b"\0\t\n\v\f\r "), default=0) :]
+            keys.append(sum((c + 1) * pow(m._BASE, i, 1 << 64) for i, c in enumerate(word)) + len(word))
+            for j in range(8):
+                half, votes = symbol >> 4 if j < 4 else symbol & 15, []
+                for k, key in enumerate(keys):
+                    high = key * (m._BASE + 2 * k) % (1 << 64)
+                    low = ((high ^ (high >> 29)) + (symbol >> 4) + 1) * m._SPREAD % (1 << 64)
+                    tree = ((high if j < 4 else low) >> (64 - m.SLOT_BITS + 4)) << 4
+                    votes.append(int(np.array([tables[k][tree + half]], np.uint32).view(np.int8)[j % 4]))
+                gate, one = (j, sum(v != 0 for v in votes)), (symbol >> (7 - j)) & 1
+                x, w = [v / m.STEP for v in votes], weights[gate]
+                mix = sum(a * b for a, b in zip(x, w, strict=True))
+                p = 1 / (1 + math.exp(-mix))
+                weights[gate] = [b + (one - p) * m.RATE * a for a, b in zip(x, w, strict=True)]
+                place = (min(max(mix, -m.MAP_REACH + 1e-3), m.MAP_REACH - 1e-3) + m.MAP_REACH) * 2
+                cell, part = int(place), place - int(place)
+                got = [maps.get((j, c), 1 / (1 + math.exp(m.MAP_REACH - c / 2))) for c in (cell, cell + 1)]
+                p = (p + got[0] + part * (got[1] - got[0])) / 2
+                near = cell + (part > 0.5)
+                maps[j, near] = got[near - cell] + (one - got[near - cell]) * m.MAP_RATE
+                p = (p if one else 1 - p) * (1 - 2 * m.LEAST) + m.LEAST
+                bits -= math.log2(p)
+    return bits
+
+
 def trie(rows):
     """The contract's rows for (conv_id, turn, role, text)."""
     own = defaultdict(list)

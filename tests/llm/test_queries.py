@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from passbook.llm import language, line_dedup, prefix_trie, registry, resampling, token_counts, token_output
+from passbook.llm import language, line_dedup, mixing, prefix_trie, registry, resampling, token_counts, token_output
 from tests.compare import connect, difference
 from tests.llm import brute
 
@@ -252,3 +252,67 @@ def test_every_row_is_ranked_once(spark):
     got = resampling.resample(docs, docs.limit(0), percent=30).where("rank IS NOT NULL")
     ranks = [row["rank"] for row in got.orderBy("rank").collect()]
     assert ranks == list(range(1, 1050 * 30 // 100 + 1))
+
+
+def _order(row):
+    return tuple((value is not None, value or 0) for value in row[:6])
+
+
+@pytest.mark.parametrize("table", ["odd", "real"])
+@pytest.mark.parametrize("hot", [3, mixing.HOT])
+def test_base_scores_equal_brute_force(spark, request, monkeypatch, table, hot):
+    monkeypatch.setattr(mixing, "HOT", hot)
+    monkeypatch.setattr(mixing, "WORDS_IN_TASK", 50)
+    path, rows, *_ = request.getfixturevalue(table)
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
+    got = sorted((tuple(r) for r in QUERIES["op11_context_mixing"](spark, path).select(*columns).collect()), key=_order)
+    want = sorted(brute.base_scores(rows), key=_order)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
+
+
+def test_mixing_equals_bit_by_bit(monkeypatch):
+    pick = np.random.default_rng(5)
+    words = ["the", "an", "\u00e9a", "tion", "x1", "\n", "\x00", "longerthantwelvebytes"]
+    texts = [" ".join(pick.choice(words, pick.integers(0, 60))).encode() for _ in range(12)]
+    counts = mixing._Counts()
+    counts.add([part for text in texts[:9] for part in mixing.segments(text)])
+    tables = np.stack([mixing.votes(c).view(np.uint32).ravel() for c in counts.cells])
+    monkeypatch.setattr(mixing, "SEGMENT", 100)
+    got = [mixing.code_lengths(list(mixing.segments(text)), tables).sum() for text in texts]
+    together = [part for text in texts for part in mixing.segments(text)]
+    assert np.isclose(mixing.code_lengths(together, tables).sum(), sum(got), rtol=1e-6)
+    assert np.allclose(got, [brute.code_length(text, tables) for text in texts], rtol=1e-3)
+
+
+def test_mixing_is_a_probability():
+    """Over every next byte after the same text the probabilities add up to one."""
+    counts = np.random.default_rng(1).integers(0, 4, (mixing.PREDICTORS, 1 << mixing.SLOT_BITS))
+    tables = np.stack([mixing.votes(c).view(np.uint32).ravel() for c in counts])
+    before = bytes(mixing.LOOK_BACK) + b"some text"
+    lengths = mixing.code_lengths([before + bytes([c]) for c in range(256)], tables)
+    start = mixing.code_lengths([before], tables)
+    assert np.isclose(np.exp2(start - lengths).sum(), 1, atol=1e-3)
+
+
+def test_vote_tables_add_up(spark, odd):
+    docs = spark.read.parquet(f"{odd[0]}/documents.parquet").select("text")
+    counts = mixing._Counts()
+    for row in docs.collect():
+        for part in mixing.segments((row.text or "").encode().lower()):
+            counts.add([part])
+    salted = docs.repartition(5).select("text", (F.spark_partition_id() % 3).alias("salt"))
+    tables = mixing.vote_tables(salted.mapInArrow(mixing._count, mixing.COUNTED))
+    want = np.stack([mixing.votes(c).view(np.uint32).ravel() for c in counts.cells])
+    # A vote of a context that was never met is read by no text of the table.
+    assert (tables == want)[counts.cells > 0].all()
+
+
+def test_scores_beat_the_base_on_held_out_rows(spark):
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    told = QUERIES["op11_context_mixing"](spark, path).where("held_out").join(docs, "doc_id")
+    row = told.agg(
+        F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum(F.octet_length("text")).alias("size")
+    ).first()
+    assert row.score > row.base and -row.score / np.log10(2) / row["size"] < 3
