@@ -1,17 +1,27 @@
-"""Assign each description the category of its best matching pattern."""
+"""Assign each description the category of its best matching pattern.
 
-from __future__ import annotations
+The catalog is an inverted index.  A pattern is a set of alternatives, and what an
+alternative matches must hold its literal text, so also each three-character piece (gram)
+of it.  Every alternative is filed under the one of its grams that the fewest distinct
+descriptions hold; descriptions meet patterns by equality of grams, and the regular
+expression runs on these hits alone.
+
+A pattern with an alternative without three literal characters in a row, or of a form
+that ``literal_grams`` does not read, could match any text.  It is filed under the empty
+gram, which every description holds too; both sides spread over ``SPREAD`` salts there.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passbook.functions.text import java_pattern, java_pattern_column
+from passbook.functions.text import java_pattern_column
+from passbook.operators.latest import first_per_key
 
 UNKNOWN = "**UNKNOWN**"
-MAX_INLINE_PATTERNS = 1000
-MAX_BROADCAST_PATTERNS = 200_000
+GRAM = 3
+SPREAD = 64
 
 CATALOG_ORDER = (
     "match_priority",
@@ -20,100 +30,115 @@ CATALOG_ORDER = (
     "regex_match_pat",
 )
 
+# Stands for whatever is no literal character of a pattern.
+GAP = "\u0001"
 
-def _best_first() -> list[Column]:
-    return [F.col(name).asc_nulls_last() for name in CATALOG_ORDER]
+# Escapes of letters and digits other than classes and word edges, inline flags and
+# look-arounds, counted repeats, and quoted text: forms that are not read.
+UNREAD = r"\\[^\WdDwWsSbB]|\(\?[^:]|[{}]|\x01"
+ESCAPE_OR_CLASS = r"(?s)\\.|\[\^?\]?(?:\\.|[^\]])*\]"
 
 
-def _literal(text: str | None) -> str:
-    """A SQL string literal; the dollar is escaped against variable substitution."""
-    if text is None:
-        return "CAST(NULL AS STRING)"
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
-    return f"'{escaped}'"
+def _grams(text: Column) -> Column:
+    """All distinct runs of ``GRAM`` characters of a text."""
+    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1)))
+    pieces = F.transform(starts, lambda at: F.substring(text, at, F.lit(GRAM)))
+    return F.array_distinct(F.coalesce(pieces, F.array().cast("array<string>")))
 
 
-def inline_categories(df: DataFrame, text: str, patterns: list[Row]) -> DataFrame:
-    """One CASE over constant patterns, best first.
+def literal_grams(pattern: Column) -> Column:
+    """For each alternative of a pattern the grams that any match must hold.
 
-    A projection: no join, no fan-out, no shuffle.  Constant patterns compile
-    once per task and evaluation stops at the first hit.  Written as one SQL
-    expression, since a long catalog costs a driver call per Column otherwise.
+    Reads patterns of alternatives without a group, or with one group around them that
+    is matched once or more.  An empty list tells that the pattern may match any text.
     """
-    nothing = "CAST(NULL AS STRUCT<category: STRING, subcategory: STRING, priority: INT>)"
-    branches = [
-        f"WHEN `{text}` RLIKE {_literal(java_pattern(row.regex_match_pat))}"
-        f" THEN named_struct('category', {_literal(row.merchant_category)},"
-        f" 'subcategory', {_literal(row.merchant_subcategory)},"
-        f" 'priority', CAST({'NULL' if row.match_priority is None else row.match_priority}"
-        " AS INT))"
-        for row in patterns
-    ]
-    case = f"CASE {' '.join(branches)} ELSE {nothing} END" if branches else nothing
-    return df.withColumn("_hit", F.expr(case))
-
-
-def joined_categories(
-    df: DataFrame, catalog: DataFrame, text: str, keys: list[str]
-) -> DataFrame:
-    """The same result by a theta join, for catalogs too long to inline.
-
-    The catalog side is broadcast in slices of bounded length; every slice adds
-    its matches and the best one is picked over all of them.
-    """
-    patterns = catalog.withColumn(
-        "_pattern", java_pattern_column(F.col("regex_match_pat"))
+    plain = F.regexp_replace(pattern, ESCAPE_OR_CLASS, GAP)
+    plain = F.replace(plain, F.lit("(?:"), F.lit("("))
+    optional_group = plain.rlike(r"\)[*?]")
+    # What may be missing is a gap; what comes once or more is there once, then a gap.
+    plain = F.regexp_replace(plain, r"(?s)[^()|][*?][+?]?", GAP)
+    plain = F.regexp_replace(plain, r"\+[+?]?", GAP)
+    plain = F.regexp_replace(plain, r"[.^$]", GAP)
+
+    before = F.regexp_extract(plain, r"(?s)^([^()|]*)\(([^()]*)\)([^()|]*)$", 1)
+    inside = F.regexp_extract(plain, r"(?s)^([^()|]*)\(([^()]*)\)([^()|]*)$", 2)
+    after = F.regexp_extract(plain, r"(?s)^([^()|]*)\(([^()]*)\)([^()|]*)$", 3)
+    grouped = plain.rlike(r"(?s)^[^()|]*\([^()]*\)[^()|]*$")
+    # A group that may repeat joins its end to its start or to what follows it.
+    whole = F.transform(F.split(inside, r"\|", -1), lambda part: F.concat(before, part, after))
+    alternatives = (
+        F.when(pattern.rlike(UNREAD) | optional_group | plain.rlike(r"[\[\]*?]"), None)
+        .when(grouped, whole)
+        .when(~plain.rlike("[()]"), F.split(plain, r"\|", -1))
+    )
+    grams = F.transform(
+        alternatives,
+        lambda part: F.filter(_grams(part), lambda gram: ~F.contains(gram, F.lit(GAP))),
     )
-    slices = -(-patterns.count() // MAX_BROADCAST_PATTERNS) or 1
-    slice_of = F.pmod(F.xxhash64("regex_match_pat"), F.lit(slices))
-    pairs = reduce(
-        DataFrame.union,
-        [
-            df.join(
-                F.broadcast(patterns.where(slice_of == number)),
-                F.rlike(F.col(text), F.col("_pattern")),
-                "left",
-            )
-            for number in range(slices)
-        ],
+    readable = F.coalesce(~F.exists(grams, lambda found: F.size(found) == 0), F.lit(False))
+    return F.when(readable, grams).otherwise(F.array().cast("array<array<string>>"))
+
+
+def _held(texts: DataFrame) -> DataFrame:
+    """One row per text and gram in it, the empty gram with a salt included."""
+    salt = F.pmod(F.xxhash64("text"), F.lit(SPREAD)).cast("int")
+    grams = F.array_append(_grams(F.col("text")), F.lit(""))
+    held = texts.select("text", F.explode(grams).alias("gram"))
+    return held.withColumn("salt", F.when(F.col("gram") == "", salt).otherwise(0))
+
+
+def pattern_index(patterns: DataFrame, texts: DataFrame) -> DataFrame:
+    """``gram``, ``salt`` and ``pattern``: where to look for texts that a pattern may match."""
+    read = patterns.select("pattern", literal_grams(F.col("pattern")).alias("parts"))
+    filed = read.select("pattern", F.posexplode("parts").alias("part", "grams")).select(
+        "pattern", "part", F.explode("grams").alias("gram")
     )
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*_best_first()))
-    hit = F.when(
-        F.col("_pattern").isNotNull(),
-        F.struct(
-            F.col("merchant_category").alias("category"),
-            F.col("merchant_subcategory").alias("subcategory"),
-            F.col("match_priority").alias("priority"),
-        ),
+    wanted = filed.select("gram").distinct()
+    held = _held(texts).where("gram <> ''").join(wanted, "gram", "left_semi")
+    spread = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
+    # An alternative with a gram that no text holds matches nothing; else the rarest counts.
+    rarest = (
+        filed.join(spread, "gram", "left")
+        .withColumn("n_texts", F.coalesce("n_texts", F.lit(0)))
+        .groupBy("pattern", "part")
+        .agg(F.min(F.struct("n_texts", "gram")).alias("least"))
+        .where("least.n_texts > 0")
+        .select(F.col("least.gram").alias("gram"), F.lit(0).alias("salt"), "pattern")
     )
-    return (
-        pairs.withColumn("_rank", ranked)
-        .where(F.col("_rank") == 1)
-        .select(*df.columns, hit.alias("_hit"))
+    everywhere = read.where(F.size("parts") == 0).select(
+        F.lit("").alias("gram"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"), "pattern"
     )
+    return rarest.distinct().unionByName(everywhere)
 
 
-def categorize(
-    df: DataFrame,
-    catalog: DataFrame,
-    text: str,
-    keys: list[str],
-    max_inline: int = MAX_INLINE_PATTERNS,
-) -> DataFrame:
+def matches(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Distinct pairs of a ``text`` and a ``pattern`` that matches somewhere in it."""
+    texts = texts.where("text IS NOT NULL").distinct()
+    patterns = patterns.where("pattern IS NOT NULL").distinct()
+    hits = _held(texts).join(pattern_index(patterns, texts), ["gram", "salt"])
+    found = hits.where(F.rlike("text", java_pattern_column(F.col("pattern"))))
+    return found.select("text", "pattern").distinct()
+
+
+def categorize(df: DataFrame, catalog: DataFrame, text: str) -> DataFrame:
     """Add merchant_category, merchant_subcategory and match_priority.
 
-    ``keys`` identify a row of ``df``.  The lowest priority wins, then category,
-    subcategory and pattern; rows without a match become ``**UNKNOWN**``.
+    The lowest priority wins, then category, subcategory and pattern; rows without a
+    match become ``**UNKNOWN**``.  One path for a catalog of any length.
     """
-    usable = catalog.where(F.col("regex_match_pat").isNotNull())
-    head = usable.orderBy(*_best_first()).limit(max_inline + 1).collect()
-    if len(head) <= max_inline:
-        matched = inline_categories(df, text, head)
-    else:
-        matched = joined_categories(df, usable, text, keys)
-    return matched.select(
+    patterns = catalog.select(F.col("regex_match_pat").alias("pattern"))
+    found = matches(df.select(F.col(text).alias("text")), patterns)
+    ranked = found.join(catalog, F.col("pattern") == F.col("regex_match_pat"))
+    best = first_per_key(ranked, ["text"], [F.col(name).asc_nulls_last() for name in CATALOG_ORDER])
+    hit = best.select(
+        F.col("text").alias("_text"),
+        F.col("merchant_category").alias("_category"),
+        F.col("merchant_subcategory").alias("_subcategory"),
+        "match_priority",
+    )
+    return df.join(hit, F.col(text) == F.col("_text"), "left").select(
         *df.columns,
-        F.coalesce("_hit.category", F.lit(UNKNOWN)).alias("merchant_category"),
-        F.coalesce("_hit.subcategory", F.lit(UNKNOWN)).alias("merchant_subcategory"),
-        F.col("_hit.priority").alias("match_priority"),
+        F.coalesce("_category", F.lit(UNKNOWN)).alias("merchant_category"),
+        F.coalesce("_subcategory", F.lit(UNKNOWN)).alias("merchant_subcategory"),
+        "match_priority",
     )

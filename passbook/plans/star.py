@@ -185,9 +185,7 @@ def dim_merchant(
             merchant_key(F.col("merchant_name"), F.col("txn_description")),
         )
     )
-    labelled = categorize(
-        merchants, catalog, "txn_description", ["merchant_name", "txn_description"]
-    )
+    labelled = categorize(merchants, catalog, "txn_description")
 
     # Two payee and description pairs can share a key when they contain the
     # separator; the best categorised pair stands for it, periods cover both.

@@ -476,6 +476,24 @@ SELECTS: dict[str, str] = {
                   ORDER BY split_part(p_name, ' ', 2)) || ').*$' AS regex_match_pat,
                3::INTEGER AS match_priority
         FROM part GROUP BY ALL""",
+    "categorize_large": """
+        WITH c AS (SELECT c_custkey, lower(c_name) AS name, lower(c_mktsegment) AS segment, c_nationkey
+                   FROM customer),
+        rules AS (
+          SELECT segment AS category, 'nation ' || c_nationkey AS subcategory, c_custkey % 5 AS priority,
+                 CASE WHEN c_custkey % 100 = 99 THEN '^[a-m]+ .*' || c_nationkey || '[05]$'
+                      ELSE '^.*(' || name || '|r#' || lpad((c_custkey + 7)::VARCHAR, 9, '0') || ').*$'
+                 END AS pattern
+          FROM c),
+        texts AS (SELECT c_custkey, segment || ' ' || name AS description FROM c),
+        hits AS (
+          SELECT t.*, r.*, row_number() OVER (PARTITION BY c_custkey
+                   ORDER BY priority, category, subcategory, pattern) AS place
+          FROM texts t JOIN rules r ON regexp_matches(description, pattern))
+        SELECT t.c_custkey, t.description, coalesce(category, '**UNKNOWN**') AS merchant_category,
+               coalesce(subcategory, '**UNKNOWN**') AS merchant_subcategory,
+               priority::INTEGER AS match_priority
+        FROM texts t LEFT JOIN hits h ON h.c_custkey = t.c_custkey AND place = 1""",
     "catalog_csv_scan": """
         SELECT lower(p_type) AS merchant_category, p_brand AS merchant_subcategory,
                '^.*(' || string_agg(DISTINCT split_part(p_name, ' ', 2), '|'

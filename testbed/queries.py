@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passbook.operators import quality
-from passbook.operators.categorize import UNKNOWN
+from passbook.operators.categorize import UNKNOWN, categorize
 from passbook.operators.listing import with_total_row
 from passbook.plans import arrivals, catalog, history, marts, reports, star
 from passbook.plans.build import build_all
@@ -198,6 +198,28 @@ def snapshot_scan_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_accounts(_documents(spark, sf_dir), LOADED_AT).drop("filename")
 
 
+def categorize_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer against a catalog with a pattern for every customer.
+
+    A pattern names two customers, some end in a class, and a few have no literal text.
+    """
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.lower("c_name").alias("name"), F.lower("c_mktsegment").alias("segment"), "c_nationkey"
+    )
+    other = F.lpad((F.col("c_custkey") + 7).cast("string"), 9, "0")
+    pattern = F.when(
+        F.col("c_custkey") % 100 == 99, F.concat(F.lit("^[a-m]+ .*"), F.col("c_nationkey"), F.lit("[05]$"))
+    ).otherwise(F.concat(F.lit("^.*("), F.col("name"), F.lit("|r#"), other, F.lit(").*$")))
+    rules = customer.select(
+        F.col("segment").alias("merchant_category"),
+        F.concat(F.lit("nation "), "c_nationkey").alias("merchant_subcategory"),
+        pattern.alias("regex_match_pat"),
+        (F.col("c_custkey") % 5).cast("int").alias("match_priority"),
+    )
+    texts = customer.select("c_custkey", F.concat_ws(" ", "segment", "name").alias("description"))
+    return categorize(texts, rules, "description")
+
+
 # Arrivals -----------------------------------------------------------------
 
 
@@ -578,6 +600,7 @@ QUERIES: dict[str, Query] = {
     ),
     "quality_catalog_rules": quality_catalog_rules,
     # The whole build
+    "categorize_large": categorize_large,
     "build_monthly_savings": build_monthly_savings,
     # Catalog, history, arrivals
     "catalog_build": catalog_build,

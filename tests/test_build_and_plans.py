@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-
 import pytest
 
 from passbook.operators.quality import raise_on_errors
@@ -14,6 +11,7 @@ from passbook.operators.categorize import UNKNOWN
 from passbook.plans.build import build_all
 from passbook.schemas import CONTRACTS
 from passbook.sources.tables import read_table
+from tests.plan import plan_of
 from tests.rows import account, txn, write_snapshot
 
 
@@ -76,13 +74,6 @@ def test_build_report_warns_but_does_not_fail(root):
     assert status["unique fact_transactions.txn_id"] == "pass"
 
 
-def plan_of(df) -> str:
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()
-
-
 def test_dedup_limits_groups_before_the_exchange(spark, root):
     fact = read_table(spark, root[0], "fact_transactions")
     plan = plan_of(star.latest_transactions(fact.drop("merchant_category_key", "record_loaded_at_timestamp")))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import re
 from decimal import Decimal
 
 import duckdb
@@ -12,10 +14,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from passbook.functions.text import java_pattern, java_pattern_column
-from passbook.operators import categorize as categorize_module
-from passbook.operators.categorize import categorize
+from passbook.operators.categorize import categorize, literal_grams, matches
 from passbook.operators.latest import collapse_near_duplicates
 from passbook.plans import star
+from tests.plan import plan_of
 from tests.rows import catalog, fact, flat, flat_row, rates
 
 RULES = [
@@ -135,16 +137,59 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_limit", [200_000, 2])
-def test_inlined_and_joined_categories_agree(spark, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(categorize_module, "MAX_BROADCAST_PATTERNS", broadcast_limit)
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id int, text string")
-    rules = catalog(spark, RULES)
-    inline = categorize(df, rules, "text", ["id"])
-    joined = categorize(df, rules, "text", ["id"], max_inline=0)
-    assert sorted(map(tuple, inline.collect()), key=str) == sorted(
-        map(tuple, joined.collect()), key=str
-    )
+PATTERNS = [
+    r"^.*(bolt|gear).*$", r"a\$|[$]b$", r"(x$|y)", r"\\$", r"^[]$]+$", "shop$", "", "(fee|)", "(?i)FEE", r"f\x65e",
+    "co?rner", "cor+ner", "(cor|mar)+ket", "(corner )?shop", "(corner|zero) (shop|market)", "o.neil", "wal.?mart",
+    r"bad ?daddy", r"transfer (to|from)", "corner shop|fee", "a|b", "shop{1}", "[a-z]*hop", "x(?:$|a)", "((shop))",
+    "credit card$", "no such text", r"shop\b", r"(?!fee)f", "e+", "fe+?$", "ma*rket", "s.*?p", r"\Qfee\E", "$$", "'",
+]
+
+
+def test_categories_equal_a_search_of_all_pairs(spark):
+    texts = [*TEXTS, "corket", "marcorket", "corrrner", "wal-mart", "walmart", "baddaddy", "bad daddy", "FEE", "x", "y", "\x01"]
+    con = duckdb.connect()
+    rules = [(f"c{i % 5}", f"s{i}", pattern, i % 3) for i, pattern in enumerate(PATTERNS) if "(?!" not in pattern]
+    rules += [("c0", "again", "shop$", 0), ("c0", None, None, 0), (None, "s", "shop", None)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r.id: r for r in categorize(df, catalog(spark, rules), "text").collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        fits = [
+            ((rule[3] is None, rule[3] or 0, rule[0] is None, rule[0] or "", rule[1] or "", rule[2]), rule)
+            for rule in rules
+            if text is not None and rule[2] is not None
+            and con.execute("SELECT regexp_matches(?, ?)", [text, rule[2]]).fetchone()[0]
+        ]
+        best = min(fits)[1] if fits else (None, None, None, None)
+        want = (best[0] or "**UNKNOWN**", best[1] or "**UNKNOWN**", best[3])
+        row = got[i]
+        assert (row.merchant_category, row.merchant_subcategory, row.match_priority) == want, text
+
+
+def test_all_matching_pairs_are_found(spark):
+    pieces = ["ab", "abc", "b+", "c?", "(ab|bc)", "(a|cab)+", "[abc]", ".", "a*", r"\w", "cab", "(?:bca|ca)", "|", "^", "(abc)?"]
+    pick = random.Random(3)
+    patterns = {"".join(pick.choices(pieces, k=pick.randint(1, 4))) for _ in range(150)}
+    texts = ["".join(pick.choices("abc", k=pick.randint(0, 9))) for _ in range(60)]
+    as_column = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    got = {tuple(r) for r in matches(as_column(texts, "text"), as_column(patterns, "pattern")).collect()}
+    assert got == {(t, p) for t in texts for p in patterns if re.search(p, t)}
+
+
+def test_the_index_reads_alternatives(spark):
+    grams = spark.createDataFrame([(p,) for p in PATTERNS], "p string").select("p", literal_grams(F.col("p")).alias("g"))
+    read = {r.p: [sorted(part) for part in r.g] for r in grams.collect()}
+    assert read["^.*(bolt|gear).*$"] == [["bol", "olt"], ["ear", "gea"]]
+    assert read["co?rner"] == [["ner", "rne"]] and read["cor+ner"] == [["cor", "ner"]]
+    assert read["wal.?mart"] == [["art", "mar", "wal"]]
+    for pattern in ("", "(fee|)", "(?i)FEE", r"f\x65e", "a|b", "(corner )?shop", "((shop))", r"\Qfee\E", "shop{1}"):
+        assert read[pattern] == [], pattern
+
+
+def test_categories_meet_by_equality(spark):
+    df = spark.createDataFrame([(1, "corner shop")], "id int, text string")
+    plan = plan_of(categorize(df, catalog(spark, RULES), "text"))
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
 def test_patterns_match_like_the_oracle_engine(spark):
