@@ -51,9 +51,10 @@ MERGES = 64
 PRIOR = 0.1  # added to the zeros and to the ones of a slot
 STEP = 16  # votes are kept as multiples of 1 / STEP
 
-SEGMENT = 4096
+SEGMENT = 2048
 LANES = 1024
-TILE = 32
+TILE = 64
+STEPS = 8   # symbols of a tile that are prepared at once for mixing
 LOOK_BACK = 12  # bytes before a segment that its contexts read; longest word context
 END = 0xFF
 GATES = 8 * (PREDICTORS + 1)
@@ -63,13 +64,15 @@ MAP_CELLS = 33
 MAP_REACH = 8.0
 MAP_RATE = 0.02
 LEAST = 1.0 / 65536
+_HALF = np.float32(MAP_CELLS // 2)
 
-HOT = 50_000
-HOT_BYTES = 64
+HOT = 1_000_000
+HOT_BYTES = 32
 WORDS_IN_TASK = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _SET = np.dtype(np.complex128)  # one set of four weights, moved as one item
+_WHITE = np.isin(np.arange(256), [0, 9, 10, 11, 12, 13, 32]).astype(np.int32)
 _SPREAD = 0xD6E8FEB86659FD93
 _POWERS = np.array([pow(_BASE, i, 1 << 64) for i in range(LOOK_BACK + TILE + 1)], U64)
 _INVERSES = np.array([pow(_BASE, -i, 1 << 64) for i in range(LOOK_BACK + TILE + 1)], U64)
@@ -111,27 +114,32 @@ def cells_of(tile: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     wide = tile.astype(U64)
     count = tile.shape[1] - LOOK_BACK
     symbols = wide[:, LOOK_BACK:]
-    contexts = []
-    for order in ORDERS:
+    pairs = (wide[:, :-1] << U64(8)) | wide[:, 1:]
+
+    def last(order: int) -> np.ndarray:
+        """The last ``order`` bytes before each symbol, as a number after the order's own."""
         key = np.full(symbols.shape, order, U64)
-        for back in range(1, order + 1):
-            key = (key << U64(8)) | wide[:, LOOK_BACK - back : LOOK_BACK - back + count]
-        contexts.append(key)
-    white = (tile == 32) | (tile <= 13) & (tile >= 9) | (tile == 0)
-    places = np.arange(tile.shape[1])
-    after = np.maximum.accumulate(np.where(white, places + 1, 0), axis=1)[:, LOOK_BACK - 1 : -1]
-    ends = places[LOOK_BACK:][None, :]
-    begins = np.maximum(after, ends - LOOK_BACK)
+        for back in range(order, 1, -2):
+            key = (key << U64(16)) | pairs[:, LOOK_BACK - back : LOOK_BACK - back + count]
+        return (key << U64(8)) | wide[:, LOOK_BACK - 1 : -1] if order % 2 else key
+
+    white = _WHITE[tile]
+    places = np.arange(tile.shape[1], dtype=np.int32)
+    after = np.maximum.accumulate(white * (places + np.int32(1)), axis=1)[:, LOOK_BACK - 1 : -1]
+    ends = places[LOOK_BACK:]
+    begins = np.maximum(after, ends - np.int32(LOOK_BACK))
     sums = np.zeros((len(tile), tile.shape[1] + 1), U64)
     np.cumsum((wide + U64(1)) * _POWERS[: tile.shape[1]], axis=1, out=sums[:, 1:])
-    rows = np.arange(len(tile))[:, None]
-    word = (sums[rows, ends] - sums[rows, begins]) * _INVERSES[begins]
-    contexts.append(word + (ends - begins).astype(U64))
+    word = sums[:, LOOK_BACK:-1] - np.take_along_axis(sums, begins, axis=1)
+    word *= _INVERSES.take(begins)
+    word += (ends - begins).astype(U64)
+
     shift = U64(64 - SLOT_BITS + 4)
     upper, lower = (symbols >> U64(4)).astype(np.int32), (symbols & U64(15)).astype(np.int32)
-    for k, key in enumerate(contexts):
+    step = (symbols >> U64(4)) + U64(1)
+    for k, key in enumerate([*map(last, ORDERS), word]):
         high = key * U64(_BASE + 2 * k)
-        low = ((high ^ (high >> U64(29))) + (symbols >> U64(4)) + U64(1)) * U64(_SPREAD)
+        low = ((high ^ (high >> U64(29))) + step) * U64(_SPREAD)
         cells = [(half >> shift).astype(np.int32) << 4 for half in (high, low)]
         yield cells[0] | upper, cells[1] | lower
 
@@ -280,64 +288,73 @@ def code_lengths(parts: list[bytes], tables: np.ndarray) -> np.ndarray:
 
     Sets of weights and maps are parted by the bit's place, so the eight bits of a byte
     touch none in common: one step codes a byte of every lane and equals eight steps of a
-    bit.  Arrays go by nibble, lane and bit of the nibble.
+    bit.  Arrays go by lane and bit; lanes that are still running come first.
     """
     data, sizes, order = lanes(parts)
     n = len(parts)
-    weights = np.full((n * GATES, PREDICTORS), WEIGHT, np.float32)
-    sets = weights.view(_SET).ravel()
+    sets = np.full((n * GATES, PREDICTORS), WEIGHT, np.float32).view(_SET).ravel()
     reach = np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS)
     maps = np.tile((1 / (1 + np.exp(-reach))).astype(np.float32), n * 8)
-    bit = np.arange(8).reshape(2, 1, 4)
-    lane = np.arange(n).reshape(1, n, 1)
-    set_of = lane * GATES + bit * (PREDICTORS + 1)
-    map_of = ((lane * 8 + bit) * MAP_CELLS).astype(np.int32)
+    place_of = np.arange(n)[:, None] * 8 + np.arange(8)
+    set_of = place_of * (PREDICTORS + 1)
+    middle = (place_of * MAP_CELLS + MAP_CELLS // 2).astype(np.int32)
     scale = np.float32((MAP_CELLS - 1) / (2 * MAP_REACH))
-    limit = np.float32(MAP_REACH - 1e-3)
     out = np.zeros(n)
-    for start in range(0, int(sizes[0]), TILE):
+    for start in range(0, int(sizes[0]), STEPS):
         live = int(np.searchsorted(-sizes, -start, side="left"))
-        tile = data[:live, start : start + LOOK_BACK + TILE]
-        shape = (TILE, 2, live, 4)
+        if start % TILE == 0:
+            tile = data[:live, start : start + LOOK_BACK + TILE]
+            cells = [[half.T.copy() for half in halves] for halves in cells_of(tile)]
+            symbols = np.ascontiguousarray(tile[:, LOOK_BACK:].T)
+        part = slice(start % TILE, start % TILE + STEPS)
+        shape = (STEPS, live, 8)
         inputs = np.empty((*shape, PREDICTORS), np.float32)
         known = np.zeros(shape, np.int8)
-        for k, halves in enumerate(cells_of(tile)):
-            packed = np.stack([tables[k].take(half.T) for half in halves], axis=1)
-            found = packed.view(np.int8).reshape(shape)
+        for k, halves in enumerate(cells):
+            packed = np.empty((STEPS, live, 2), np.uint32)
+            for side, half in enumerate(halves):
+                packed[:, :, side] = tables[k].take(half[part, :live])
+            found = packed.view(np.int8)
             inputs[..., k] = found
             known += found != 0
         inputs *= np.float32(1 / STEP)
-        symbols = tile[:, LOOK_BACK:].T
-        ones = np.unpackbits(np.ascontiguousarray(symbols)[..., None], axis=2)
-        ones = ones.reshape(TILE, live, 2, 4).transpose(0, 2, 1, 3).astype(np.float32)
+        ones = np.unpackbits(symbols[part, :live, None], axis=2).astype(np.float32)
         told = np.ones(shape, np.float32)
-        for step in range(TILE):
+        for step in range(STEPS):
             live = int(np.searchsorted(-sizes[:live], -(start + step), side="left"))
             if live == 0:
                 break
-            x, one = inputs[step, :, :live], ones[step, :, :live]
-            at = set_of[:, :live] + known[step, :, :live]
-            w = sets.take(at).view(np.float32).reshape(*at.shape, PREDICTORS)
-            mix = np.einsum("nlbk,nlbk->nlb", w, x)
-            p = np.reciprocal(np.exp(-mix) + np.float32(1))
-            w += ((one - p) * np.float32(RATE))[..., None] * x
-            sets[at] = w.reshape(*at.shape[:2], -1).view(_SET)
-
-            place = (np.clip(mix, -limit, limit) + np.float32(MAP_REACH)) * scale
-            cell = place.astype(np.int32)
-            part = place - cell
-            cell += map_of[:, :live]
-            below, above = maps.take(cell), maps.take(cell + 1)
-            p += below + part * (above - below)
+            x, one = inputs[step, :live], ones[step, :live]
+            at = set_of[:live] + known[step, :live]
+            w = sets.take(at).view(np.float32).reshape(live, 8, PREDICTORS)
+            products = w * x
+            mix = products[..., 0] + products[..., 1]
+            mix += products[..., 2]
+            mix += products[..., 3]
+            p = np.exp(-mix)
+            p += np.float32(1)
+            np.reciprocal(p, out=p)
+            x *= np.repeat((one - p) * np.float32(RATE), PREDICTORS).reshape(x.shape)
+            w += x
+            sets[at] = w.view(_SET)[..., 0]
+
+            mix *= scale
+            cell = np.rint(np.minimum(np.maximum(mix, -_HALF), _HALF)).astype(np.int32)
+            cell += middle[:live]
+            refined = maps.take(cell)
+            p += refined
             p *= np.float32(0.5)
-            told[step, :, :live] = np.abs(one + p - np.float32(1))
-            cell += part > 0.5
-            nearest = maps.take(cell)
-            maps[cell] = nearest + (one - nearest) * np.float32(MAP_RATE)
+            told[step, :live] = np.abs(one + p - np.float32(1))
+            refined += (one - refined) * np.float32(MAP_RATE)
+            maps[cell] = refined
         # Mixing with a fair coin keeps certain bits from costing too much when they fail.
-        inside = start + np.arange(TILE)[:, None, None, None] < sizes[None, None, : told.shape[2], None]
-        told = np.where(inside, told.astype(np.float64) * (1 - 2 * LEAST) + LEAST, 1.0)
-        out[: told.shape[2]] -= np.log2(told).sum(axis=(0, 1, 3))
+        told *= np.float32(1 - 2 * LEAST)
+        told += np.float32(LEAST)
+        bytes_ = told[..., 0].astype(np.float64)
+        for j in range(1, 8):
+            bytes_ *= told[..., j]
+        inside = start + np.arange(STEPS)[:, None] < sizes[None, : told.shape[1]]
+        out[: told.shape[1]] -= np.log2(np.where(inside, bytes_, 1.0)).sum(axis=0)
     lengths = np.empty(n)
     lengths[order] = out
     return lengths
@@ -350,59 +367,79 @@ def _score(tables, hot, seen: int, vocabulary: int):
     """Rows of documents, then one row per word of a document that is not hot."""
     bottom = seen + 0.1 * (vocabulary + 1)
 
+    def base_of(text: bytes) -> tuple[int, int, float, dict[bytes, int]]:
+        """Tokens, hot tokens and their score, and the counts of the other words."""
+        words = Counter(text.split())
+        words[b""] += 1
+        rare, known, total = {}, 0, 0.0
+        for word, n in words.items():
+            if (count := hot.value.get(word)) is None:
+                rare[word] = n
+            else:
+                total += n * math.log10((count + 0.1) / bottom)
+                known += n
+        return words.total(), known, total, rare
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, votes_ = hot.value, tables.value
         for batch in batches:
-            ids, numbers = batch.column(1), batch.column(0).to_pylist()
-            pending: list[bytes] = []
-            owner: list[int] = []
-            lengths = np.zeros(len(batch))
-
-            def flush() -> None:
-                np.add.at(lengths, owner, code_lengths(pending, votes_))
-                pending.clear()
-                owner.clear()
-
-            n_tokens, n_known, base, rare = [], [], [], ([], [], [])
+            ids, numbers = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            done = _Rows()
+            parts: list[bytes] = []
+            owners: list[int] = []
             for i, text in enumerate(_lowered(batch.column(2))):
-                words = Counter(text.split())
-                words[b""] += 1
-                total, known = 0.0, 0
-                for word, n in words.items():
-                    if (count := known_words.get(word)) is not None:
-                        total += n * math.log10((count + 0.1) / bottom)
-                        known += n
-                    else:
-                        for column, value in zip(rare, (numbers[i], word, n), strict=True):
-                            column.append(value)
-                n_tokens.append(words.total())
-                n_known.append(known)
-                base.append(total)
+                done.add(numbers[i], ids[i], *base_of(text))
                 for part in segments(text):
-                    pending.append(part)
-                    owner.append(i)
-                    if len(pending) == LANES:
-                        flush()
-            if pending:
-                flush()
-            blank = [None] * len(rare[0])
-            score = (-lengths * math.log10(2)).tolist()
-            ids = ids.to_pylist()
-            columns = {
-                "row": pa.array(numbers + rare[0], pa.int64()),
-                "doc_id": pa.array(ids + blank, pa.int64()),
-                "n_tokens": pa.array(n_tokens + blank, pa.int64()),
-                "n_known": pa.array(n_known + blank, pa.int64()),
-                "base": pa.array(base + blank, pa.float64()),
-                "score": pa.array(score + blank, pa.float64()),
-                "token": pa.array([None] * len(batch) + rare[1], pa.binary()),
-                "n": pa.array([None] * len(batch) + rare[2], pa.int64()),
-            }
-            yield pa.RecordBatch.from_pydict(columns)
+                    parts.append(part)
+                    owners.append(done.count - 1)
+                    if len(parts) == LANES:
+                        done.code(owners, code_lengths(parts, tables.value))
+                        parts, owners = [], []
+                # Rows leave once they fill some lanes or hold many words.
+                if len(parts) > LANES - LANES // 8 or len(done.rare) > LANES * 64:
+                    if parts:
+                        done.code(owners, code_lengths(parts, tables.value))
+                        parts, owners = [], []
+                    yield done.batch()
+                    done = _Rows()
+            if parts:
+                done.code(owners, code_lengths(parts, tables.value))
+            if done.count:
+                yield done.batch()
 
     return rows
 
 
+class _Rows:
+    """Documents told so far, then the words of theirs whose counts a join must find."""
+
+    def __init__(self) -> None:
+        self.count = 0
+        self.documents: list[tuple] = []
+        self.bits: list[float] = []
+        self.rare: list[tuple] = []
+
+    def add(self, row: int, doc_id: int | None, n_tokens: int, n_known: int, base: float, rare: dict) -> None:
+        self.count += 1
+        self.documents.append((row, doc_id, n_tokens, n_known, base))
+        self.bits.append(0.0)
+        self.rare += [(row, word, n) for word, n in rare.items()]
+
+    def code(self, owners: list[int], lengths: np.ndarray) -> None:
+        for owner, length in zip(owners, lengths.tolist(), strict=True):
+            self.bits[owner] += length
+
+    def batch(self) -> pa.RecordBatch:
+        scores_ = [-bits * math.log10(2) for bits in self.bits]
+        documents = [(*d, score, None, None) for d, score in zip(self.documents, scores_, strict=True)]
+        words = [(row, None, None, None, None, None, word, n) for row, word, n in self.rare]
+        types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.binary(), pa.int64()]
+        names = [field.split()[0] for field in SCORED.split(", ")]
+        columns = zip(*(documents + words), strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(column), kind) for column, kind in zip(columns, types, strict=True)], names=names
+        )
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, counts of tokens, ``base_score`` and ``score`` of every row."""
     context = docs.sparkSession.sparkContext
