@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passbook.schemas import SNAPSHOT
 from passbook.sources.paths import data_path
@@ -69,6 +70,39 @@ def stream_snapshots(
     return _with_lineage(reader.json(data_path(root, glob)))
 
 
+def stream_documents(
+    spark: SparkSession,
+    root: str,
+    glob: str = SNAPSHOT_GLOB,
+    one_document_per_file: bool = True,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """The files as a stream that no bad document ends.
+
+    Every file, or every line, is one row.  ``reason`` is NULL for a readable document;
+    else it tells why none could be read: ``empty``, ``not json`` (cut short, too) or
+    ``no accounts``, as in a document of another kind or one that reports only errors.
+    """
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    broken = "_unread"
+    wanted = T.StructType([*SNAPSHOT.fields, T.StructField(broken, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    text = reader.text(data_path(root, glob), wholetext=one_document_per_file)
+    document = text.select(
+        F.from_json("value", wanted, options).alias("d"),
+        ~F.col("value").rlike(r"\S"),
+        F.col("_metadata.file_path").alias("filename"),
+    ).toDF("d", "blank", "filename")
+    reason = (
+        F.when(F.col("blank"), "empty")
+        .when(F.col("d").isNull() | F.col(f"d.{broken}").isNotNull(), "not json")
+        .when(F.col("d.accounts").isNull(), "no accounts")
+    )
+    return document.select("d.errors", "d.accounts", "filename", reason.alias("reason"))
+
+
 def flatten_accounts(snapshots: DataFrame) -> DataFrame:
     """One row per account per snapshot."""
     account = snapshots.select(F.explode("accounts").alias("a"), "filename")

@@ -7,100 +7,31 @@ already stored are absorbed again without effect, missing ones are added.
 from __future__ import annotations
 
 import threading
-import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from passbook.plans.star import latest_accounts, latest_transactions
 from passbook.schemas import FLAT_ACCOUNT, FLAT_TRANSACTION
-from passbook.sources.folders import complete_folders, remove_folder
-
-# Segments of one level that are merged into one of the next.
-FAN_IN = 4
-
-
-@dataclass(frozen=True)
-class LatestStore:
-    """A table that keeps the newest row per key across micro-batches.
-
-    Every batch is a segment of level 0, already reduced to one row per key and
-    named by stream and batch, so a retried batch overwrites itself and streams
-    with other checkpoints cannot meet.  ``compact`` merges ``FAN_IN`` segments of
-    a level into one of the next, so a row is rewritten once per level and not once
-    per batch.  A merged segment counts from the moment its write has ended; the
-    names it covers are written before, so a merge that broke off is never read and
-    a covered segment is never read twice.
-    """
-
-    path: str
-    pick: Callable[[DataFrame], DataFrame]
-    schema: T.StructType
-
-    def absorb(self, batch: DataFrame, batch_id: int, stream: str = "direct") -> None:
-        """Store one batch; the ``foreachBatch`` sink of ``absorb_available``."""
-        name = f"level0-{stream}-{batch_id}"
-        if name not in self._covered(batch.sparkSession, self._names(batch.sparkSession)):
-            self.pick(batch).write.mode("overwrite").parquet(f"{self.path}/segments/{name}")
-
-    def current(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the newest of everything absorbed so far."""
-        live = self._live(spark)
-        if not live:
-            return spark.createDataFrame([], self.schema)
-        rows = self._read(spark, live)
-        return rows if len(live) == 1 else self.pick(rows)
-
-    def compact(self, spark: SparkSession, fan_in: int = FAN_IN) -> None:
-        """Merge levels that have ``fan_in`` segments and remove what they cover."""
-        while full := self._full_level(spark, fan_in):
-            level, names = full
-            merged = f"level{level + 1}-{uuid.uuid4().hex}"
-            covered = spark.createDataFrame([(name,) for name in names], "name string")
-            covered.coalesce(1).write.parquet(f"{self.path}/covers/{merged}")
-            rows = self.pick(self._read(spark, names))
-            rows.write.parquet(f"{self.path}/segments/{merged}")
-            for name in names:
-                remove_folder(spark, f"{self.path}/segments/{name}")
-
-    def _full_level(self, spark: SparkSession, fan_in: int) -> tuple[int, list[str]] | None:
-        levels: dict[int, list[str]] = {}
-        for name in self._live(spark):
-            levels.setdefault(int(name.split("-")[0].removeprefix("level")), []).append(name)
-        return next(((k, names) for k, names in sorted(levels.items()) if len(names) >= fan_in), None)
-
-    def _read(self, spark: SparkSession, names: list[str]) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(*[f"{self.path}/segments/{n}" for n in names])
-
-    def _names(self, spark: SparkSession) -> list[str]:
-        return complete_folders(spark, f"{self.path}/segments")
-
-    def _covered(self, spark: SparkSession, names: list[str]) -> set[str]:
-        """Names that complete merged segments stand for, a few per batch absorbed."""
-        lists = set(complete_folders(spark, f"{self.path}/covers")) & set(names)
-        if not lists:
-            return set()
-        rows = spark.read.parquet(*[f"{self.path}/covers/{name}" for name in sorted(lists)])
-        return {row.name for row in rows.collect()}
-
-    def _live(self, spark: SparkSession) -> list[str]:
-        names = self._names(spark)
-        covered = self._covered(spark, names)
-        return [name for name in names if name not in covered]
+from passbook.session import scratch_path
+from passbook.streaming.segments import FirstSeenStore, LatestStore, Segments
 
 
 def transaction_store(path: str) -> LatestStore:
     """Exact latest-wins per transaction id."""
-    return LatestStore(path, latest_transactions, FLAT_TRANSACTION)
+    return LatestStore(path, latest_transactions, FLAT_TRANSACTION, ("txn_id",))
 
 
 def account_store(path: str) -> LatestStore:
     """Newest balance per account name."""
-    return LatestStore(path, latest_accounts, FLAT_ACCOUNT)
+    return LatestStore(path, latest_accounts, FLAT_ACCOUNT, ("bank_account_name",))
+
+
+def first_seen_store(path: str) -> FirstSeenStore:
+    """Transactions by the first batch that held their id."""
+    return FirstSeenStore(path, FLAT_TRANSACTION, "txn_id", latest_transactions, scratch_path)
 
 
 def _drain(
@@ -125,35 +56,49 @@ def _drain(
     return query
 
 
-def absorb_available(flat: DataFrame, store: LatestStore, checkpoint: str) -> StreamingQuery:
+def absorb_available(flat: DataFrame, store: Segments, checkpoint: str) -> StreamingQuery:
     """Absorb every file that has arrived, then stop."""
     return _drain(flat, checkpoint, store.absorb)
 
 
 def first_seen(spark: SparkSession, path: str) -> DataFrame:
     """All transactions first seen so far."""
-    names = complete_folders(spark, path)
-    if not names:
-        return spark.createDataFrame([], FLAT_TRANSACTION)
-    return spark.read.schema(FLAT_TRANSACTION).parquet(*[f"{path}/{name}" for name in names])
+    return first_seen_store(path).rows(spark)
 
 
 def append_available(flat: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append transactions whose id is not stored yet, of any age, then stop.
+    """Append transactions whose id is not stored yet, of any age, then stop."""
+    store = first_seen_store(path)
+
+    def sink(batch: DataFrame, batch_id: int, stream: str) -> None:
+        store.absorb(batch, batch_id, stream)
+        store.compact(batch.sparkSession)
+
+    return _drain(flat, checkpoint, sink)
 
-    A batch is reduced to one row per id, which combines on the map side, and
-    anti-joined with the stored ids, of which only the id column is read.  Its
-    folder is named by stream and batch, so a retry replaces itself.
+
+def absorb_documents(
+    documents: DataFrame,
+    store: Segments,
+    flatten: Callable[[DataFrame], DataFrame],
+    dead_letters: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Absorb the readable documents that have arrived; file the others with their reason.
+
+    ``documents`` comes from ``stream_documents``.  A batch's dead letters are a folder
+    named by stream and batch, so a retry replaces them, and the stream goes on.
     """
 
     def sink(batch: DataFrame, batch_id: int, stream: str) -> None:
-        spark = batch.sparkSession
-        own = f"{stream}-{batch_id}"
-        others = [name for name in complete_folders(spark, path) if name != own]
-        fresh = latest_transactions(batch)
-        if others:
-            stored = spark.read.schema(FLAT_TRANSACTION).parquet(*[f"{path}/{n}" for n in others])
-            fresh = fresh.join(stored.select("txn_id"), "txn_id", "left_anti")
-        fresh.select(*FLAT_TRANSACTION.names).write.mode("overwrite").parquet(f"{path}/{own}")
+        letters = batch.where("reason IS NOT NULL").select("filename", "reason")
+        letters.write.mode("overwrite").parquet(f"{dead_letters}/batch={stream}-{batch_id}")
+        store.absorb(flatten(batch.where("reason IS NULL")), batch_id, stream)
 
-    return _drain(flat, checkpoint, sink)
+    return _drain(documents, checkpoint, sink)
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """``filename`` and ``reason`` of every document that could not be read."""
+    letters = spark.read.schema("filename string, reason string, batch string").parquet(path)
+    return letters.select("filename", "reason").where(F.col("filename").isNotNull())
