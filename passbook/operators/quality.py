@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ERROR = "error"
 WARN = "warn"
+ROWS = "_rows"
 
 
 class QualityError(AssertionError):
@@ -98,6 +99,62 @@ def null_checks(table: str, df: DataFrame, severities: dict[str, str]) -> DataFr
     )
 
 
+def status_of(n_failures: int, severity: str) -> str:
+    return "pass" if n_failures == 0 else "warn" if severity == WARN else "fail"
+
+
+def told_checks(spark: SparkSession, counts: dict[str, tuple[str, int]]) -> DataFrame:
+    """Check rows from counts that are known already: name to severity and failures."""
+    rows = [(name, severity, n, status_of(n, severity)) for name, (severity, n) in counts.items()]
+    return spark.createDataFrame(rows, "check_name string, severity string, n_failures long, status string")
+
+
+def unique_checks(columns: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Check rows for unique columns, name to table, column and severity.
+
+    The values of all columns go through one aggregation, tagged by their check.  NULLs
+    are left out, and a check without any value passes.
+    """
+    values = [
+        df.select(F.lit(name).alias("check_name"), F.col(column).cast("string").alias("value"))
+        for name, (df, column, _) in columns.items()
+    ]
+    repeated = (
+        reduce(DataFrame.unionByName, values)
+        .where("value IS NOT NULL")
+        .groupBy("check_name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("check_name")
+        .agg(F.count_if(F.col("n") > 1).alias("n_failures"))
+    )
+    spark = next(iter(columns.values()))[0].sparkSession
+    names = [(name, severity) for name, (_, _, severity) in columns.items()]
+    failures = F.coalesce("n_failures", F.lit(0))
+    return (
+        spark.createDataFrame(names, "check_name string, severity string")
+        .join(repeated, "check_name", "left")
+        .select(
+            "check_name",
+            "severity",
+            failures.alias("n_failures"),
+            F.when(failures == 0, "pass")
+            .when(F.col("severity") == WARN, "warn")
+            .otherwise("fail")
+            .alias("status"),
+        )
+    )
+
+
+def watched(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of its rows and of the NULLs of ``columns``.
+
+    The counts are taken by the action that writes ``df``, so no scan is spent on them.
+    """
+    seen = Observation()
+    nulls = [F.count_if(F.col(name).isNull()).alias(name) for name in columns]
+    return df.observe(seen, F.count(F.lit(1)).alias(ROWS), *nulls), seen
+
+
 def raise_on_errors(report: DataFrame) -> DataFrame:
     """Raise when an ``error`` check failed; warnings pass through."""
     failed = [row.check_name for row in report.where("status = 'fail'").collect()]

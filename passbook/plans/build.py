@@ -15,7 +15,7 @@ from passbook.sources.defaults import CALENDAR_END, CALENDAR_START
 from passbook.sources.folders import remove_folder
 from passbook.sources.seeds import merchant_catalog, pay_rates
 from passbook.sources.snapshots import flatten_accounts, flatten_transactions, read_snapshots
-from passbook.sources.tables import read_table, write_table
+from passbook.sources.tables import Release
 
 # Detail tables are clustered by time, which their reports filter on.
 CLUSTERED_BY = {
@@ -36,7 +36,10 @@ def build_all(
     snapshots: DataFrame | None = None,
     stores: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Write all tables in dependency order and return the check report.
+    """Write all tables in dependency order, publish them and return the check report.
+
+    Readers see the new tables all at once, at the end; a build that breaks off leaves
+    nothing behind.
 
     Each table is read back by its consumers, so none is computed twice and
     every later plan starts from columnar files.  ``stores`` are the current rows of
@@ -50,40 +53,45 @@ def build_all(
     def staged(df: DataFrame, name: str) -> DataFrame:
         scratch.append(scratch_path(spark, name))
         df.write.parquet(scratch[-1])
-        return spark.read.parquet(scratch[-1])
-
-    def store(table: str, df: DataFrame) -> DataFrame:
-        write_table(df, root, table, CLUSTERED_BY.get(table))
-        return read_table(spark, root, table)
-
-    if stores is None:
-        raw = read_snapshots(spark, root) if snapshots is None else snapshots
-        raw = staged(raw, "bronze")
-        stores = flatten_transactions(raw), flatten_accounts(raw)
-    flat_transactions, flat_accounts = stores
-    catalog = store(
-        "map_merchant_category_regex",
-        merchant_catalog(spark, regex_csv, regex_overlay_csv),
-    )
-    rates = store("stg_payrate", pay_rates(spark, payrate_csv))
-    accounts = store("dim_accounts", star.accounts_from_flat(flat_accounts))
-    fact = store("fact_transactions", star.fact_from_flat(flat_transactions))
-    days = store("dim_date", star.dim_date(spark, *calendar))
-    pay = store("fact_daily_pay", star.fact_daily_pay(days, rates, as_of))
-    merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
-
-    # One collapse and one join of the fact serve all three detail marts.
-    labelled = staged(marts.labelled_transactions(fact, merchants), "labelled-transactions")
-    expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
-    income = store("rpt_income_detail", marts.income_of(labelled))
-    unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))
-    overunder = store("rpt_daily_overunder", marts.rpt_daily_overunder(expenses, pay))
-    store("rpt_monthly_savings", marts.rpt_monthly_savings(expenses, income))
-    store("rpt_mom_performance", marts.rpt_mom_performance(fact, overunder, as_of))
-    top = store("rpt_top_expenses", marts.rpt_top_expenses(merchants))
-
-    for path in scratch:
-        remove_folder(spark, path)
+        return spark.read.schema(df.schema).parquet(scratch[-1])
+
+    try:
+        with Release(spark, root) as release:
+
+            def store(table: str, df: DataFrame) -> DataFrame:
+                watch = list(NOT_NULL.get(table, ())) if table in WATCHED else None
+                return release.write(df, table, CLUSTERED_BY.get(table), watch)
+
+            if stores is None:
+                raw = read_snapshots(spark, root) if snapshots is None else snapshots
+                raw = staged(raw, "bronze")
+                stores = flatten_transactions(raw), flatten_accounts(raw)
+            flat_transactions, flat_accounts = stores
+            catalog = store(
+                "map_merchant_category_regex",
+                merchant_catalog(spark, regex_csv, regex_overlay_csv),
+            )
+            rates = store("stg_payrate", pay_rates(spark, payrate_csv))
+            accounts = store("dim_accounts", star.accounts_from_flat(flat_accounts))
+            fact = store("fact_transactions", star.fact_from_flat(flat_transactions))
+            days = store("dim_date", star.dim_date(spark, *calendar))
+            pay = store("fact_daily_pay", star.fact_daily_pay(days, rates, as_of))
+            merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
+
+            # One collapse and one join of the fact serve all three detail marts.
+            labelled = staged(marts.labelled_transactions(fact, merchants), "labelled-transactions")
+            expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
+            income = store("rpt_income_detail", marts.income_of(labelled))
+            unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))
+            overunder = store("rpt_daily_overunder", marts.rpt_daily_overunder(expenses, pay))
+            store("rpt_monthly_savings", marts.rpt_monthly_savings(expenses, income))
+            store("rpt_mom_performance", marts.rpt_mom_performance(fact, overunder, as_of))
+            top = store("rpt_top_expenses", marts.rpt_top_expenses(merchants))
+            release.publish()
+            counts = release.counts
+    finally:
+        for path in scratch:
+            remove_folder(spark, path)
 
     tables = {
         "map_merchant_category_regex": catalog,
@@ -95,7 +103,7 @@ def build_all(
         "rpt_unknown_transactions": unknown,
         "rpt_top_expenses": top,
     }
-    return check_tables(tables)
+    return check_tables(tables, counts)
 
 
 # Columns that must not be NULL, with the severity of a failure.
@@ -141,23 +149,41 @@ UNIQUE = {
 }
 
 
-def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """The standing checks of the built tables, one row each."""
-    checks = [
-        Check(f"unique {table}.{column}", quality.duplicated(tables[table], column), severity)
+# Tables whose checks need counts of rows or NULLs, taken while they are written.
+WATCHED = {*NOT_NULL, "rpt_unknown_transactions"}
+
+
+def check_tables(
+    tables: dict[str, DataFrame], counts: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
+    """The standing checks of the built tables, one row each.
+
+    ``counts`` are rows and NULLs seen while the tables were written; without them every
+    table is scanned once more for its NULLs.
+    """
+    uniques = {
+        f"unique {table}.{column}": (tables[table], column, severity)
         for table, (column, severity) in UNIQUE.items()
-    ]
+    }
     key = "merchant_category_key"
     unparented = quality.orphans(
         tables["fact_transactions"], key, tables["dim_merchant"], key
     )
-    checks += [
-        Check(f"relationship fact_transactions.{key}", unparented, WARN),
-        Check("no unknown merchants", tables["rpt_unknown_transactions"], WARN),
-    ]
-    nulls = [
-        quality.null_checks(table, tables[table], severities)
-        for table, severities in NOT_NULL.items()
-    ]
-    return reduce(DataFrame.unionByName, nulls, quality.run_checks(checks))
-
+    orphaned = Check(f"relationship fact_transactions.{key}", unparented, WARN)
+    unknown = "no unknown merchants"
+    if counts is None:
+        rest = [quality.run_checks([Check(unknown, tables["rpt_unknown_transactions"], WARN)])]
+        rest += [
+            quality.null_checks(table, tables[table], severities)
+            for table, severities in NOT_NULL.items()
+        ]
+    else:
+        told = {
+            f"not_null {table}.{column}": (severity, counts[table][column])
+            for table, severities in NOT_NULL.items()
+            for column, severity in severities.items()
+        }
+        told[unknown] = (WARN, counts["rpt_unknown_transactions"][quality.ROWS])
+        rest = [quality.told_checks(tables["fact_transactions"].sparkSession, told)]
+    every = [quality.unique_checks(uniques), quality.run_checks([orphaned]), *rest]
+    return reduce(DataFrame.unionByName, every)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 DONE = "_SUCCESS"
@@ -27,3 +29,44 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+
+
+def file_names(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return []
+    names = (s.getPath().getName() for s in files.listStatus(place) if s.isFile())
+    return sorted(n for n in names if n.endswith(suffix) and not n.startswith("."))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, files = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that appears whole under a name; False when the name is taken."""
+    place, files = _place(spark, path)
+    if files.exists(place):
+        return False
+    part, _ = _place(spark, f"{path}.{uuid.uuid4().hex}.part")
+    stream = files.create(part, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.rename(part, place):
+        return True
+    files.delete(part, False)
+    return False

@@ -8,9 +8,10 @@ from passbook.operators.quality import raise_on_errors
 from passbook.plans import marts, reports, star
 from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN
-from passbook.plans.build import build_all
+from passbook.plans.build import NOT_NULL, build_all, check_tables
 from passbook.schemas import CONTRACTS
-from passbook.sources.tables import read_table
+from passbook.sources.snapshots import read_snapshots
+from passbook.sources.tables import read_table, unpublished
 from tests.plan import plan_of
 from tests.rows import account, txn, write_snapshot
 
@@ -74,6 +75,29 @@ def test_build_report_warns_but_does_not_fail(root):
     assert status["unique fact_transactions.txn_id"] == "pass"
 
 
+def test_checks_of_the_write_equal_checks_by_scan(spark, root):
+    tables = {name: read_table(spark, root[0], name) for name in CONTRACTS}
+    scanned = check_tables(tables)
+    told, want = ({tuple(r) for r in report.collect()} for report in (root[1], scanned))
+    assert told == want and len(told) == 27
+    scans = [plan_of(report).count("Location: InMemoryFileIndex") for report in (root[1], scanned)]
+    assert scans[0] == 6 and scans[1] > scans[0] + len(NOT_NULL)
+
+
+def test_a_build_that_breaks_off_changes_no_table(spark, root, monkeypatch):
+    names = ("fact_transactions", "dim_merchant", "rpt_expenses_detail", "rpt_top_expenses")
+    before = {name: read_table(spark, root[0], name).count() for name in names}
+
+    def lost(*_, **__):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(marts, "rpt_top_expenses", lost)
+    with pytest.raises(RuntimeError):
+        build_all(spark, root[0], as_of="2026-02-20", snapshots=read_snapshots(spark, root[0]).limit(1))
+    assert {name: read_table(spark, root[0], name).count() for name in names} == before
+    assert unpublished(spark, root[0]) == []
+
+
 def test_dedup_limits_groups_before_the_exchange(spark, root):
     fact = read_table(spark, root[0], "fact_transactions")
     plan = plan_of(star.latest_transactions(fact.drop("merchant_category_key", "record_loaded_at_timestamp")))

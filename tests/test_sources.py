@@ -16,7 +16,8 @@ from passbook.sources.paths import data_path, table_path
 from passbook.sources.seeds import merchant_catalog, pay_rates
 from passbook.sources.snapshots import read_snapshots
 from passbook.sources.spine import date_spine
-from passbook.sources.tables import read_table, write_table
+from passbook.sources.folders import create_text, file_names, read_text, sub_folders
+from passbook.sources.tables import Release, current_path, read_table, unpublished, write_table
 from tests.rows import account, txn, write_snapshot
 
 
@@ -132,6 +133,61 @@ def test_table_round_trip_overwrites(spark, tmp_path):
     assert stored.schema == CONTRACTS["dim_date"]
 
 
+def january(spark, days):
+    return star.dim_date(spark, "2026-01-01", f"2026-01-{days + 1:02d}")
+
+
+def test_a_write_that_breaks_off_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(january(spark, 10), root, "dim_date")
+    before = read_table(spark, root, "dim_date")  # a reader that is under way
+    broken = january(spark, 20).withColumn(
+        "date_week", F.when(F.dayofmonth("full_date") == 15, F.raise_error(F.lit("lost"))).otherwise(F.col("date_week"))
+    )
+    broken = broken.withColumn("date_week", F.col("date_week").cast(CONTRACTS["dim_date"]["date_week"].dataType))
+    for clustered in (None, ["full_date", "date_week"]):
+        with pytest.raises(PySparkException):
+            write_table(broken, root, "dim_date", clustered)
+        assert read_table(spark, root, "dim_date").count() == 10 == before.count()
+    assert unpublished(spark, root) == [] and len(sub_folders(spark, f"{root}/_releases")) == 1
+
+
+def test_tables_of_a_release_appear_together(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(january(spark, 10), root, "dim_date")
+    rates = pay_rates(spark)
+    with Release(spark, root) as release:
+        release.write(january(spark, 20), "dim_date")
+        release.write(rates, "stg_payrate")
+        assert read_table(spark, root, "dim_date").count() == 10
+        assert unpublished(spark, root) == [release.name]
+        release.publish()
+    assert read_table(spark, root, "dim_date").count() == 20
+    assert read_table(spark, root, "stg_payrate").count() == 1
+    with Release(spark, root) as release:  # given up: nothing changes
+        release.write(january(spark, 5), "dim_date")
+    assert read_table(spark, root, "dim_date").count() == 20 and unpublished(spark, root) == []
+
+
+def test_releases_out_of_use_go_and_others_stay(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(pay_rates(spark), root, "stg_payrate")
+    kept = current_path(spark, root, "stg_payrate")
+    for days in (3, 4, 5, 6):
+        last = read_table(spark, root, "dim_date") if days > 3 else None
+        write_table(january(spark, days), root, "dim_date")
+        assert last is None or last.count() == days - 1  # the release before the newest
+    assert len(sub_folders(spark, f"{root}/_releases")) == 3  # two of dim_date, one of stg_payrate
+    assert current_path(spark, root, "stg_payrate") == kept and read_table(spark, root, "stg_payrate").count() == 1
+    assert file_names(spark, f"{root}/_manifests", ".json") == ["000000000004.json", "000000000005.json"]
+
+
+def test_a_name_is_taken_once(spark, tmp_path):
+    path = str(tmp_path / "m/1.json")
+    assert create_text(spark, path, "é") and not create_text(spark, path, "b")
+    assert read_text(spark, path) == "é" and file_names(spark, str(tmp_path / "m"), ".json") == ["1.json"]
+
+
 def test_contract_names_every_problem(spark):
     days = star.dim_date(spark, "2026-01-01", "2026-01-02")
     wrong = days.drop("date_week").withColumn("extra", F.lit(1)).withColumn(
