@@ -179,6 +179,14 @@ BLOCKS: dict[str, str] = {
                               for c in _COLORS)}
                    FROM overunder WHERE day(d) <= {int(AS_OF[-2:])} GROUP BY ALL)
           USING (y, mth)""",
+    "offered": f"""
+        SELECT o_orderkey::VARCHAR AS id, n AS name, b AS bal,
+               CASE WHEN o_orderstatus <> 'P' THEN b END AS avail, o_orderdate AS moment
+        FROM (SELECT *, {_PRODUCT} || ' ' || c_name AS n, o_totalprice::DECIMAL(14,2) AS b
+              FROM orders JOIN customer ON c_custkey = o_custkey
+              UNION ALL
+              SELECT *, 'Reserve ' || c_name, c_acctbal::DECIMAL(14,2)
+              FROM orders JOIN customer ON c_custkey = o_custkey)""",
     "accounts": f"""
         SELECT id, name, bal, avail, moment, filename FROM (
           SELECT o_orderkey::VARCHAR AS id, n AS name, b AS bal,
@@ -283,6 +291,25 @@ _FACT = """SELECT account_id AS bank_account_id, account_name AS bank_account_na
     txn_id, description AS txn_description, merchant AS merchant_category_key, payee,
     amount::DOUBLE AS amount, posted AS posted_at_timestamp, filename FROM fact"""
 
+
+def _judged_days(cut_every: int) -> str:
+    return f"""
+        WITH f AS (SELECT o_orderdate::DATE AS day,
+                          (o_orderdate::DATE - DATE '1970-01-01') % {cut_every} = 0 AS cut,
+                          (2 * count(*))::INTEGER AS n
+                   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderdate::DATE),
+             s AS (SELECT 'nothing' AS stored, NULL::DATE AS newest, false AS taken
+                   UNION ALL SELECT 'before', max(day), false FROM f WHERE NOT cut AND day < DATE '{AS_OF}'
+                   UNION ALL SELECT 'all', max(day), coalesce(bool_or(day = DATE '{AS_OF}'), false)
+                             FROM f WHERE NOT cut
+                   UNION ALL SELECT 'today', DATE '{AS_OF}', true)
+        SELECT stored, strftime(day, '%Y-%m-%d') AS filename,
+               CASE WHEN cut THEN 0 ELSE n END AS n_accounts,
+               CASE WHEN taken THEN 'captured_today' WHEN cut THEN 'empty'
+                    WHEN day <= newest THEN 'not_newer' ELSE 'new' END AS decision
+        FROM f CROSS JOIN s"""
+
+
 _MISSING = "NOT EXISTS (SELECT 1 FROM {parent} WHERE {key} = {value})"
 
 SELECTS: dict[str, str] = {
@@ -434,6 +461,22 @@ SELECTS: dict[str, str] = {
         FROM merchant""",
     "quality_unknown_merchants": """SELECT name AS merchant_name,
         txns AS total_transactions FROM merchant WHERE category = '**UNKNOWN**'""",
+    "quality_contract": """
+        SELECT t AS table_name, c AS column_name, d AS difference, f AS found, w AS wanted,
+               m AS mends_itself, CASE WHEN t = 'rpt_unknown_transactions' THEN n END AS rows_conformed
+        FROM (VALUES
+          ('rpt_income_detail', 'posted_at_timestamp', 'missing', NULL, 'timestamp', false),
+          ('rpt_income_detail', 'merchant_subcategory', 'missing', NULL, 'string', false),
+          ('rpt_income_detail', 'o_orderdate', 'extra', 'timestamp_ntz', NULL, false),
+          ('rpt_income_detail', 'account', 'order', '0', '3', true),
+          ('rpt_income_detail', 'merchant_category', 'order', '1', '0', true),
+          ('rpt_income_detail', 'merchant', 'order', '2', '1', true),
+          ('rpt_income_detail', 'amount_earned', 'type', 'decimal(13,1)', 'decimal(14,2)', true),
+          ('rpt_income_detail', 'txn_description', 'type', 'bigint', 'string', false),
+          ('rpt_unknown_transactions', 'amount', 'type', 'decimal(12,2)', 'decimal(14,2)', true),
+          ('rpt_unknown_transactions', 'merchant_category', 'order', '3', '4', true),
+          ('rpt_unknown_transactions', 'txn_description', 'type', 'void', 'string', true)
+        ) AS v(t, c, d, f, w, m) CROSS JOIN (SELECT count(*) AS n FROM lineitem)""",
     "quality_catalog_rules": """
         WITH m AS (SELECT split_part(p_name, ' ', 2) || CASE WHEN p_size > 45
                      THEN '+' ELSE '' END AS token, lower(p_type) AS category,
@@ -522,6 +565,11 @@ SELECTS: dict[str, str] = {
         FROM (SELECT max(account_id) AS account_id, account_name,
                      1000 - coalesce(sum(amount) FILTER (WHERE posted > DATE '{AS_OF}'), 0) AS balance
               FROM fact GROUP BY account_name)""",
+    "snapshot_scan_documents": """
+        SELECT id AS bank_account_id, name AS bank_account_name, 'USD' AS currency,
+               bal::DOUBLE AS actual_balance, avail::DOUBLE AS available_balance,
+               moment AS balance_as_of_timestamp, strftime(moment, '%Y-%m-%d') AS filename
+        FROM offered""",
     "snapshot_scan_fact": """
         SELECT account_name AS bank_account_name, txn_id, description AS txn_description,
                merchant AS merchant_category_key, payee, amount::DOUBLE AS amount,
@@ -542,29 +590,8 @@ SELECTS: dict[str, str] = {
                                                WHERE o_orderdate < DATE '{AS_OF}')
                     THEN epoch(o_orderdate)::BIGINT END AS marker
         FROM orders JOIN customer ON c_custkey = o_custkey""",
-    "snapshot_admission_unreadable": f"""
-        WITH f AS (SELECT 'f' || o_orderkey AS filename, o_orderkey % 100 = 1 AS cut, epoch(o_orderdate) AS e
-                   FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 100 < 2)
-        SELECT 'nothing' AS stored, filename, CASE WHEN cut THEN 'empty' ELSE 'new' END AS decision FROM f
-        UNION ALL
-        SELECT 'all', filename, CASE WHEN cut THEN 'empty'
-                 WHEN (SELECT bool_or(e >= epoch(DATE '{AS_OF}') AND e < epoch(DATE '{AS_OF}') + 86400)
-                       FROM f WHERE NOT cut) THEN 'captured_today' ELSE 'not_newer' END FROM f
-        UNION ALL SELECT 'today', filename, 'captured_today' FROM f""",
-    "snapshot_admission_by_day": f"""
-        WITH f AS (SELECT o_orderdate::DATE AS day, (o_orderdate::DATE - DATE '1970-01-01') % 10 = 0 AS cut,
-                          (2 * count(*))::INTEGER AS n
-                   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderdate::DATE),
-             s AS (SELECT 'nothing' AS stored, NULL::DATE AS newest, false AS taken
-                   UNION ALL SELECT 'before', max(day), false FROM f WHERE NOT cut AND day < DATE '{AS_OF}'
-                   UNION ALL SELECT 'all', max(day), coalesce(bool_or(day = DATE '{AS_OF}'), false)
-                             FROM f WHERE NOT cut
-                   UNION ALL SELECT 'today', DATE '{AS_OF}', true)
-        SELECT stored, strftime(day, '%Y-%m-%d') AS filename,
-               CASE WHEN cut THEN 0 ELSE n END AS n_accounts,
-               CASE WHEN taken THEN 'captured_today' WHEN cut THEN 'empty'
-                    WHEN day <= newest THEN 'not_newer' ELSE 'new' END AS decision
-        FROM f CROSS JOIN s""",
+    "snapshot_admission_unreadable": _judged_days(2),
+    "snapshot_admission_by_day": _judged_days(10),
     "freshness_names": f"""
         SELECT 's3a://bucket/transactions/' || strftime(o_orderdate, '%Y/%m/%d') || '/' || o_orderkey
                  || CASE WHEN o_orderkey % 3 = 0 THEN 'Z.json'
@@ -577,15 +604,36 @@ SELECTS: dict[str, str] = {
     "stream_late_backfill": "SELECT txn_id FROM fact",
     "stream_latest_transactions": _FACT,
     "stream_first_seen": "SELECT txn_id FROM fact",
+    "stream_json_snapshots": """
+        SELECT id AS bank_account_id, name AS bank_account_name, 'USD' AS currency,
+               bal::DOUBLE AS actual_balance, avail::DOUBLE AS available_balance,
+               moment AS balance_as_of_timestamp, strftime(moment, '%Y-%m-%d') AS filename,
+               NULL::VARCHAR AS reason
+        FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY moment DESC, id DESC) AS r
+              FROM offered WHERE (moment::DATE - DATE '1970-01-01') % 10 <> 0)
+        WHERE r = 1
+        UNION ALL
+        SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, NULL::TIMESTAMP, strftime(moment, '%Y-%m-%d'), 'not json'
+        FROM offered WHERE (moment::DATE - DATE '1970-01-01') % 10 = 0""",
     "stream_latest_accounts": """SELECT id AS bank_account_id,
         name AS bank_account_name, 'USD' AS currency, bal::DOUBLE AS actual_balance,
         avail::DOUBLE AS available_balance, moment AS balance_as_of_timestamp, filename
         FROM accounts""",
 }
 
-# The whole build ends in the same marts.
-SELECTS["build_monthly_savings"] = SELECTS["monthly_savings"]
+# The whole build ends in the same tables.  There, rows of one id and time come from one
+# file, so the order by file does not choose among them.
+OF_BUILD = {
+    "build_monthly_savings": SELECTS["monthly_savings"],
+    "build_fact_transactions": _FACT.replace(", filename FROM", " FROM"),
+    "build_daily_pay": SELECTS["daily_pay"],
+}
+
+
+def _of_build(select: str) -> str:
+    return compose(select).replace("ORDER BY posted DESC,\n                filename DESC, ", "ORDER BY posted DESC, ")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: compose(select) for name, select in SELECTS.items()}
+    found = {name: compose(select) for name, select in SELECTS.items()}
+    return found | {name: _of_build(select) for name, select in OF_BUILD.items()}

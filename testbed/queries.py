@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN, categorize
+from passbook.operators.contract import conform, drift_report
 from passbook.operators.listing import with_total_row
 from passbook.plans import arrivals, catalog, history, marts, reports, star
 from passbook.plans.build import build_all
@@ -21,13 +22,16 @@ from passbook.sources.snapshots import (
     flatten_accounts,
     read_arrivals,
     read_snapshots,
+    stream_documents,
 )
 from passbook.sources.tables import read_table
 from passbook.streaming.ingest import (
     absorb_available,
+    absorb_documents,
     account_store,
     append_available,
     first_seen,
+    read_dead_letters,
     transaction_store,
 )
 from testbed.ledger import (
@@ -236,58 +240,42 @@ def snapshot_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("filename", "decision", "marker")
 
 
-def snapshot_admission_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fiftieth of the order files, about half of them cut short, judged thrice.
-
-    Once with nothing stored, where cut files count as empty, once with all readable
-    ones stored, and once with a file of the day stored, where nothing is taken any
-    more.  ``snapshot_admission_by_day`` reads every order.
-    """
-    rows = account_snapshots(spark, sf_dir).select(
-        F.regexp_extract("filename", "[0-9]+", 0).cast("long").alias("k"),
-        F.to_json(F.struct(F.array().cast("array<string>").alias("errors"), "accounts")).alias("text"),
-    ).where("k % 100 < 2")
-    cut = F.when(F.col("k") % 100 == 1, F.left("text", F.lit(40))).otherwise(F.col("text"))
-    root = scratch_path(spark, "arrivals")
-    day = f"{root}/transactions/2001/06/15"
-    files = rows.select(cut.alias("value"), F.concat(F.lit("f"), F.col("k")).alias("name"))
-    # One file per document: a folder per name stands for it.
-    files.write.partitionBy("name").text(day)
-    raw = read_arrivals(spark, root, "transactions/*/*/*/*/*.txt").withColumn(
-        "filename", F.regexp_extract("filename", "name=(f[0-9]+)", 1)
-    )
-    fresh = arrivals.freshness_from_content(raw)
-    now = f"{AS_OF} 18:00:00"
-    stored = fresh.where("balance_epoch IS NOT NULL")
-    today = F.unix_timestamp(F.lit(AS_OF).cast("timestamp"))
-    marked = stored.limit(1).withColumn("balance_epoch", today)
-    first = arrivals.admit(fresh, stored.where("false"), now).withColumn("stored", F.lit("nothing"))
-    again = arrivals.admit(fresh, stored, now).withColumn("stored", F.lit("all"))
-    later = arrivals.admit(fresh, marked, now).withColumn("stored", F.lit("today"))
-    every = first.unionByName(again).unionByName(later)
-    return every.select("stored", "filename", "decision")
-
+def _daily_documents(
+    spark: SparkSession, sf_dir: str, name: str, cut_every: int | None = None, indent: bool = False
+) -> str:
+    """Every order, in one file for each order date; the root of the files.
 
-def snapshot_admission_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order, in one file for each order date; every tenth day's file is cut short.
-
-    Each file is judged with nothing stored, with the readable files before the as-of
-    date, with all readable files, and with a file of the as-of date itself.
+    The file of every ``cut_every``-th day is cut short.  A day is one string here, which
+    suits a test's data; nothing of the library builds files this way.
     """
     orders = account_snapshots(spark, sf_dir).select(
         F.to_date(F.timestamp_seconds(F.col("accounts")[0]["balance-date"])).alias("day"), "accounts"
     )
     days = orders.groupBy("day").agg(F.flatten(F.collect_list("accounts")).alias("accounts"))
-    text = F.to_json(F.struct(F.array().cast("array<string>").alias("errors"), "accounts"))
-    short = F.left(text, F.length(text) / 2)
-    value = F.when(F.unix_date("day") % 10 == 0, short).otherwise(text)
-    root = scratch_path(spark, "arrivals-by-day")
+    document = F.struct(F.array().cast("array<string>").alias("errors"), "accounts")
+    text = F.to_json(document, {"pretty": str(indent).lower()})
+    if cut_every:
+        short = F.left(text, F.length(text) / 2)
+        text = F.when(F.unix_date("day") % cut_every == 0, short).otherwise(text)
+    root = scratch_path(spark, name)
     # The rows of a day are in one task, so its folder gets one file.
-    files = days.select(value.alias("value"), F.date_format("day", "yyyy-MM-dd").alias("name"))
+    files = days.select(text.alias("value"), F.date_format("day", "yyyy-MM-dd").alias("name"))
     files.write.partitionBy("name").text(f"{root}/transactions/2001/06/15")
-    raw = read_arrivals(spark, root, "transactions/*/*/*/*/*.txt").withColumn(
-        "filename", F.regexp_extract("filename", "name=([0-9-]+)", 1)
-    )
+    return root
+
+
+DAILY_GLOB = "transactions/*/*/*/*/*.txt"
+
+
+def _day_of(filename: str = "filename"):
+    return F.regexp_extract(filename, "name=([0-9-]+)", 1)
+
+
+def _judged_days(spark: SparkSession, sf_dir: str, cut_every: int) -> DataFrame:
+    """Each day's file judged with nothing stored, with the readable files before the
+    as-of date, with all readable files, and with a file of the as-of date itself."""
+    root = _daily_documents(spark, sf_dir, "arrivals-by-day", cut_every)
+    raw = read_arrivals(spark, root, DAILY_GLOB).withColumn("filename", _day_of())
     fresh = arrivals.freshness_from_content(raw)
     readable = fresh.where("balance_epoch IS NOT NULL")
     today = F.unix_timestamp(F.lit(AS_OF).cast("timestamp"))
@@ -306,6 +294,23 @@ def snapshot_admission_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, judged)
 
 
+def snapshot_admission_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order, in one file for each order date; every tenth day's file is cut short."""
+    return _judged_days(spark, sf_dir, 10)
+
+
+def snapshot_admission_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order, with every second day's file cut short."""
+    return _judged_days(spark, sf_dir, 2)
+
+
+def snapshot_scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accounts of files that hold one indented document each."""
+    root = _daily_documents(spark, sf_dir, "documents", indent=True)
+    rows = flatten_accounts(read_snapshots(spark, root, DAILY_GLOB))
+    return rows.withColumn("filename", _day_of())
+
+
 def freshness_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of stored files and whether they are of the as-of day or the day before."""
     orders = table(spark, sf_dir, "orders")
@@ -378,6 +383,32 @@ def quality_catalog_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks(catalog.catalog_checks(merchants, references))
 
 
+def quality_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines offered as two marts: each way to differ from a contract, with the
+    rows that ``conform`` lets through."""
+    orders, line = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    income = orders.select(
+        F.col("o_custkey").cast("string").alias("account"),
+        F.col("o_orderpriority").alias("merchant_category"),
+        F.col("o_orderstatus").alias("merchant"),
+        F.col("o_totalprice").cast("decimal(13,1)").alias("amount_earned"),
+        F.col("o_orderkey").alias("txn_description"),
+        "o_orderdate",
+    )
+    unknown = line.select(
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
+        F.col("l_shipdate").cast("timestamp").alias("posted_at_timestamp"),
+        F.col("l_returnflag").alias("payee"),
+        F.col("l_linestatus").alias("merchant_category"),
+        F.lit(None).alias("txn_description"),
+    )
+    offered = {"rpt_income_detail": income, "rpt_unknown_transactions": unknown}
+    passed = conform(unknown, "rpt_unknown_transactions").agg(
+        F.lit("rpt_unknown_transactions").alias("table_name"), F.count(F.lit(1)).alias("rows_conformed")
+    )
+    return drift_report(spark, offered).join(F.broadcast(passed), "table_name", "left")
+
+
 # Streams ------------------------------------------------------------------
 
 
@@ -460,15 +491,42 @@ def stream_latest_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.current(spark)
 
 
+def stream_json_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest balances from streamed files of which every tenth is cut short, and the
+    files that could not be read."""
+    configure(spark)
+    root = _daily_documents(spark, sf_dir, "json-stream", 10)
+    store = account_store(scratch_path(spark, "account-store"))
+    letters = scratch_path(spark, "dead-letters")
+    documents = stream_documents(spark, root, DAILY_GLOB)
+    absorb_documents(documents, store, flatten_accounts, letters, scratch_path(spark, "checkpoint"))
+    accounts = store.current(spark).withColumn("reason", F.lit(None).cast("string"))
+    dead = read_dead_letters(spark, letters)
+    return accounts.unionByName(dead, allowMissingColumns=True).withColumn("filename", _day_of())
+
+
 # The whole build -----------------------------------------------------------
 
 
+_builds: dict[tuple[str, str], str] = {}
+
+
 def _whole_build(spark: SparkSession, sf_dir: str) -> str:
-    """Every table from nested documents, with the pay rates and catalog as CSV."""
+    """Every table from nested documents, with the pay rates and catalog as CSV.
+
+    The documents of a month are one file, so rows of one id and time share their file and
+    the other columns choose among them, however the rows were dealt before.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _builds:
+        return _builds[key]
     configure(spark)
     root = scratch_path(spark, "build")
     raw = transaction_snapshots(spark, sf_dir).select("accounts")
-    raw.write.json(f"{root}/transactions/2001/06/15")
+    posted = F.timestamp_seconds(F.col("accounts")[0]["transactions"][0]["posted"])
+    raw = raw.withColumns({"year": F.year(posted), "month": F.month(posted), "day": F.lit(1)})
+    pull = ["year", "month", "day"]
+    raw.repartition(*pull).write.partitionBy(*pull).json(f"{root}/transactions")
     documents = read_snapshots(spark, root, one_document_per_file=False)
     pay = scratch_path(spark, "pay-csv")
     testbed_pay(spark).write.option("header", True).csv(pay)
@@ -484,11 +542,12 @@ def _whole_build(spark: SparkSession, sf_dir: str) -> str:
         calendar=(str(first)[:10], str(last + dt.timedelta(days=1))[:10]),
         snapshots=documents,
     )
+    _builds[key] = root
     return root
 
 
-def build_monthly_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, _whole_build(spark, sf_dir), "rpt_monthly_savings")
+def _of_build(name: str, *dropped: str) -> Query:
+    return lambda spark, sf_dir: read_table(spark, _whole_build(spark, sf_dir), name).drop(*dropped)
 
 
 # Registry -----------------------------------------------------------------
@@ -599,9 +658,12 @@ QUERIES: dict[str, Query] = {
         quality.unknown_merchants, MERCHANT, unknown=UNKNOWN
     ),
     "quality_catalog_rules": quality_catalog_rules,
+    "quality_contract": quality_contract,
     # The whole build
     "categorize_large": categorize_large,
-    "build_monthly_savings": build_monthly_savings,
+    "build_monthly_savings": _of_build("rpt_monthly_savings"),
+    "build_fact_transactions": _of_build("fact_transactions", "filename"),
+    "build_daily_pay": _of_build("fact_daily_pay"),
     # Catalog, history, arrivals
     "catalog_build": catalog_build,
     "catalog_build_large": catalog_build_large,
@@ -611,6 +673,7 @@ QUERIES: dict[str, Query] = {
     "trailing_snapshot": trailing_snapshot,
     "snapshot_scan_fact": snapshot_scan_fact,
     "snapshot_scan_accounts": snapshot_scan_accounts,
+    "snapshot_scan_documents": snapshot_scan_documents,
     "snapshot_freshness": snapshot_freshness,
     "snapshot_admission": snapshot_admission,
     "snapshot_admission_unreadable": snapshot_admission_unreadable,
@@ -620,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "stream_latest_transactions": stream_latest_transactions,
     "stream_two_checkpoints": stream_two_checkpoints,
     "stream_first_seen": stream_first_seen,
+    "stream_json_snapshots": stream_json_snapshots,
     "stream_late_backfill": stream_late_backfill,
     "stream_latest_accounts": stream_latest_accounts,
 }
