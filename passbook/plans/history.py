@@ -7,11 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passbook.operators.position import placed
 from passbook.schemas import ORG
 
 # Fixed value: days of history one snapshot covers.
 WINDOW_DAYS = 88
 DAY_SECONDS = 86_400
+# Transactions in one nested list at most.
+LIST_ROWS = 10_000
 
 
 def as_of_dates(as_of: str, start: str, every_days: int) -> list[dt.date]:
@@ -116,44 +119,24 @@ def trailing_rows(
 ) -> DataFrame:
     """The rows of every snapshot with their ``position`` per date and account.
 
-    Position 1 is the newest row, ties go by id.  It is the number of rows of
-    newer days, summed over the small table of daily counts, plus the place within
-    the day, so no task sorts more than one day of an account.
+    Position 1 is the newest row, ties go by id.  The rows are range-sorted once, so an
+    account, or one day of it, that holds much of all rows spreads over tasks.
     """
     rows = trailing_windows(fact, as_of, start, every_days, window_days)
-    rows = rows.withColumn("posted_on", F.col("posted_at_timestamp").cast("date"))
-    day = ["as_of_date", "bank_account_name", "posted_on"]
-    newer_days = (
-        Window.partitionBy("as_of_date", "bank_account_name")
-        .orderBy(F.col("posted_on").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    daily = (
-        rows.groupBy(*day)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.struct(*day).alias("day"),
-            F.coalesce(F.sum("n").over(newer_days), F.lit(0)).alias("before"),
-        )
-    )
     newest = [F.col("posted_at_timestamp").desc(), F.col("txn_id").asc()]
-    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy(*day).orderBy(*newest)))
-    # A struct of the keys joins a NULL account to itself.
-    joined = placed.withColumn("day", F.struct(*day)).join(daily, "day")
-    return joined.withColumn("position", (F.col("before") + F.col("place")).cast("long")).drop(
-        "day", "before", "place"
-    )
+    return placed(rows, ["as_of_date", "bank_account_name"], newest, "position")
 
 
 def trailing_snapshots(
     fact: DataFrame, as_of: str, start: str, every_days: int, window_days: int = WINDOW_DAYS
 ) -> DataFrame:
-    """Nested transactions per snapshot, account and posting day, newest first.
+    """Nested transactions per snapshot, account and ``part``, newest first.
 
-    A day of one account is the grain at every size; ``trailing_rows`` gives the
-    order over the whole account.
+    A part is ``LIST_ROWS`` successive positions of one account, numbered from 0, so no
+    list outgrows a row however busy an account is.
     """
     rows = trailing_rows(fact, as_of, start, every_days, window_days)
+    rows = rows.withColumn("part", F.floor((F.col("position") - 1) / LIST_ROWS))
     posted = F.unix_seconds("posted_at_timestamp")
     txn = F.struct(
         "position",
@@ -164,7 +147,7 @@ def trailing_snapshots(
         F.col("payee").alias("payee"),
     )
     ordered = F.sort_array(F.collect_list(txn))
-    return rows.groupBy("as_of_date", "bank_account_name", "posted_on").agg(
+    return rows.groupBy("as_of_date", "bank_account_name", "part").agg(
         F.max("bank_account_id").alias("bank_account_id"),
         F.transform(
             ordered,
@@ -190,8 +173,8 @@ def snapshot_documents(
     ``balances`` has as_of_date, bank_account_name, bank_account_id, balance and
     available_balance, one row per date and account.  Each of its rows is a
     document with the balances and no transactions, so accounts without any in the
-    window are there too; the transactions follow in documents of one account and
-    day, which carry no balance.  Readers take both alike.
+    window are there too; the transactions follow in documents of one part of an
+    account, which carry no balance.  Readers take both alike.
     """
     nothing = F.lit(None).cast("string")
     lists = snapshots.select(

@@ -26,6 +26,11 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/{DONE}")))
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)

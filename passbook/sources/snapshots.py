@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passbook.schemas import SNAPSHOT
+from passbook.sources.folders import folder_exists
 from passbook.sources.paths import data_path
 
 # Layout of the raw files, YYYY/MM/DD/<time>Z_bd<epoch>.json.
@@ -52,6 +55,25 @@ def read_arrivals(spark: SparkSession, root: str, glob: str = SNAPSHOT_GLOB) ->
     )
 
 
+def list_files(
+    spark: SparkSession, root: str, glob: str = SNAPSHOT_GLOB, days: list[dt.date] | None = None
+) -> DataFrame:
+    """``filename``, ``modified_at`` and ``length`` of stored files, without their content.
+
+    ``days`` keeps the listing to the folders of these dates, where there are any.
+    """
+    head, _, last = data_path(root, glob).rpartition("/")
+    paths = [data_path(root, glob)]
+    if days is not None:
+        folder = head.removesuffix("/*/*/*")
+        every = [f"{folder}/{day:%Y/%m/%d}" for day in days]
+        paths = [f"{path}/{last}" for path in every if folder_exists(spark, path)]
+    if not paths:
+        return spark.createDataFrame([], "filename string, modified_at timestamp, length long")
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(F.col("path").alias("filename"), F.col("modificationTime").alias("modified_at"), "length")
+
+
 def stream_snapshots(
     spark: SparkSession,
     root: str,

@@ -557,6 +557,15 @@ SELECTS: dict[str, str] = {
                      txn_id AS id, epoch(posted)::BIGINT AS posted,
                      amount::VARCHAR AS amount, description, payee
               FROM fact JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment)""",
+    "trailing_snapshot_hot": """
+        SELECT as_of_date, bank_account_name,
+               row_number() OVER (PARTITION BY as_of_date, bank_account_name
+                                  ORDER BY posted DESC, id) AS position, id
+        FROM (SELECT moment::TIMESTAMP AS as_of_date, bank_account_name, id, posted
+              FROM (SELECT CASE WHEN hot THEN 'Busy' ELSE account_name END AS bank_account_name,
+                           txn_id AS id, CASE WHEN hot THEN TIMESTAMP '2001-06-01' ELSE posted END AS posted
+                    FROM (SELECT *, split_part(txn_id, '-', 1)::BIGINT % 3 = 0 AS hot FROM fact))
+              JOIN as_of_days ON posted::DATE BETWEEN moment - 88 AND moment)""",
     "snapshot_scan_accounts": f"""
         SELECT account_id AS bank_account_id, account_name AS bank_account_name,
                'USD' AS currency, balance::DOUBLE AS actual_balance,
@@ -599,6 +608,12 @@ SELECTS: dict[str, str] = {
                CASE WHEN o_orderkey % 3 <> 0 THEN epoch(o_orderdate)::BIGINT END AS balance_epoch,
                o_orderdate::DATE BETWEEN DATE '{AS_OF}' - 1 AND DATE '{AS_OF}' AS recent
         FROM orders""",
+    "freshness_listing": """
+        SELECT DISTINCT strftime(day, '%Y-%m-%d') || CASE WHEN bare THEN 'Z.json'
+                 ELSE 'Z_bd' || epoch(day)::BIGINT || '.json' END AS filename,
+               CASE WHEN NOT bare THEN epoch(day)::BIGINT END AS balance_epoch
+        FROM (SELECT o_orderdate::DATE AS day, (o_orderdate::DATE - DATE '1970-01-01') % 3 = 0 AS bare
+              FROM orders)""",
     # Streams
     "stream_two_checkpoints": _FACT,
     "stream_late_backfill": "SELECT txn_id FROM fact",

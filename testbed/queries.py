@@ -20,6 +20,7 @@ from passbook.session import configure, scratch_path
 from passbook.sources.seeds import merchant_catalog
 from passbook.sources.snapshots import (
     flatten_accounts,
+    list_files,
     read_arrivals,
     read_snapshots,
     stream_documents,
@@ -172,6 +173,23 @@ def trailing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trailing_snapshot_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions when one day of one account holds a third of all rows."""
+    fact = Warehouse(spark, sf_dir).table("fact_transactions")
+    hot = F.split_part("txn_id", F.lit("-"), F.lit(1)).cast("long") % 3 == 0
+    fact = fact.withColumns(
+        {
+            "bank_account_name": F.when(hot, "Busy").otherwise(F.col("bank_account_name")),
+            "posted_at_timestamp": F.when(hot, F.lit("2001-06-01").cast("timestamp")).otherwise(
+                F.col("posted_at_timestamp")
+            ),
+        }
+    )
+    return history.trailing_rows(fact, **HISTORY).select(
+        "as_of_date", "bank_account_name", "position", F.col("txn_id").alias("id")
+    )
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing snapshots with balances, written as JSON and scanned again."""
     fact = Warehouse(spark, sf_dir).table("fact_transactions")
@@ -330,6 +348,25 @@ def freshness_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def freshness_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balance dates of real files, one folder for each order date, from their listing.
+
+    A third of the days have no balance date in their name.
+    """
+    day = F.to_date("o_orderdate")
+    epoch = F.unix_timestamp(day.cast("timestamp"))
+    named = F.when(F.unix_date(day) % 3 == 0, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("Z.json"))).otherwise(
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("Z_bd"), epoch, F.lit(".json"))
+    )
+    root = scratch_path(spark, "listing")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string"), named.alias("name"))
+    orders.repartition("name").write.partitionBy("name").text(f"{root}/transactions/2001/06/15")
+    files = list_files(spark, root, "transactions/*/*/*/*/*.txt")
+    # Spark names a file itself, so its folder stands for it.
+    files = files.withColumn("filename", F.regexp_extract("filename", "name=([^/]+)/", 1))
+    return arrivals.freshness_from_names(files.select("filename").distinct())
+
+
 # Quality ------------------------------------------------------------------
 
 
@@ -671,6 +708,7 @@ QUERIES: dict[str, Query] = {
     "catalog_overlay": catalog_overlay,
     "balance_as_of": balance_as_of,
     "trailing_snapshot": trailing_snapshot,
+    "trailing_snapshot_hot": trailing_snapshot_hot,
     "snapshot_scan_fact": snapshot_scan_fact,
     "snapshot_scan_accounts": snapshot_scan_accounts,
     "snapshot_scan_documents": snapshot_scan_documents,
@@ -679,6 +717,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_admission_unreadable": snapshot_admission_unreadable,
     "snapshot_admission_by_day": snapshot_admission_by_day,
     "freshness_names": freshness_names,
+    "freshness_listing": freshness_listing,
     # Streams
     "stream_latest_transactions": stream_latest_transactions,
     "stream_two_checkpoints": stream_two_checkpoints,

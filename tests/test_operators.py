@@ -201,7 +201,7 @@ def test_balances_equal_a_sum_per_date(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
-def test_trailing_snapshots_hold_every_row_of_their_window(spark):
+def test_trailing_snapshots_hold_every_row_of_their_window(spark, monkeypatch):
     rows = [flat_row(i, t, a) for i, t, a in MOVES]
     rows += [flat_row("n1", "2026-03-30T00:00:00", "1.00", account=None)]
     f = fact(spark, rows)
@@ -223,6 +223,10 @@ def test_trailing_snapshots_hold_every_row_of_their_window(spark):
         assert [k for k, _ in mine] == list(range(1, len(mine) + 1))
         assert [t for _, t in mine] == sorted((t for _, t in mine), reverse=True)
     nested = history.trailing_snapshots(f, *dates)
+    monkeypatch.setattr(history, "LIST_ROWS", 2)
+    parts = history.trailing_snapshots(f, *dates).collect()
+    assert max(len(r.transactions) for r in parts) == 2
+    assert sum(len(r.transactions) for r in parts) == len(want)
     for row in nested.collect():
         posted = [t.posted for t in row.transactions]
         assert posted == sorted(posted, reverse=True)
@@ -246,7 +250,7 @@ def test_windows_reach_the_scan_as_a_range(spark, tmp_path):
     moves = stored.withColumnRenamed("bank_account_name", "account")
     accounts = moves.select("account").distinct().withColumn("end_balance", F.lit(1))
     for df in (
-        history.trailing_rows(stored, "2026-03-31", "2026-01-15", 30),
+        history.trailing_windows(stored, "2026-03-31", "2026-01-15", 30),
         history.balances_as_of(accounts, moves, "2026-03-31", "2026-01-15", 30),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passbook.operators import lookup
+from passbook.operators.position import placed, range_sorted
 from passbook.plans import marts
 from testbed.ledger import Warehouse
 from testbed.oracle import oracle_sql
@@ -83,3 +84,35 @@ def test_hot_merchant_is_spread(spark, skewed_dir, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) > 1
+
+
+def test_a_hot_account_and_day_spreads_over_files(spark, tmp_path):
+    """A third of the rows is one account and one instant; its places are still gapless."""
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(30_000).select(
+        F.when(hot, "busy").otherwise(F.concat(F.lit("a"), F.col("id") % 50)).alias("name"),
+        F.when(hot, 0).otherwise(F.col("id") % 900).alias("at"),
+        "id",
+    )
+    rows = rows.unionByName(rows.where("id % 30 = 0")).withColumn("name", F.when(F.col("name") != "a7", F.col("name")))
+    with_parts = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    before = {key: spark.conf.get(key) for key in with_parts}
+    try:
+        for key, value in with_parts.items():
+            spark.conf.set(key, value)
+        stored = range_sorted(rows, ["name"], [F.col("at").desc(), F.col("id").asc()], str(tmp_path / "sorted"))
+        sizes = sorted(r["count"] for r in stored.groupBy("_file").count().collect())
+        assert sizes[-1] < 10 * sizes[len(sizes) // 2]
+        assert stored.where("name = 'busy'").select("_file").distinct().count() > 10
+        got = placed(rows, ["name"], [F.col("at").desc(), F.col("id").asc()], "place").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    by_name: dict = {}
+    for row in got:
+        by_name.setdefault(row["name"], []).append((row.place, -row["at"], row.id))
+    assert len(got) == 31_000
+    for members in by_name.values():
+        members.sort()
+        assert [m[0] for m in members] == list(range(1, len(members) + 1))
+        assert [m[1:] for m in members] == sorted(m[1:] for m in members)

@@ -10,14 +10,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from passbook.operators.contract import ContractError, enforce_contract
-from passbook.plans import star
+from passbook.plans import arrivals, star
 from passbook.schemas import CONTRACTS
+from passbook.sources.folders import create_text, file_names, read_text, sub_folders
 from passbook.sources.paths import data_path, table_path
 from passbook.sources.seeds import merchant_catalog, pay_rates
-from passbook.sources.snapshots import read_snapshots
+from passbook.sources.snapshots import list_files, read_snapshots
 from passbook.sources.spine import date_spine
-from passbook.sources.folders import create_text, file_names, read_text, sub_folders
 from passbook.sources.tables import Release, current_path, read_table, unpublished, write_table
+from tests.plan import plan_of
 from tests.rows import account, txn, write_snapshot
 
 
@@ -60,6 +61,21 @@ def test_accounts_keep_the_newest_balance_per_name(spark, root):
     assert rows["Mortgage"].actual_balance is None  # safe cast
 
 
+def test_listing_reads_no_content_and_only_the_days_asked_for(spark, tmp_path):
+    for day in ("2026-01-30", "2026-01-31", "2026-02-01"):
+        write_snapshot(tmp_path, f"{day}T00:00:00", [account("A", "1", f"{day}T00:00:00", [])])
+    root = str(tmp_path)
+    files = list_files(spark, root)
+    plan = plan_of(files)
+    assert files.count() == 3 and "content" not in plan.split("ReadSchema")[1].split("\n")[0]
+    days = [dt.date(2026, 1, 31), dt.date(2026, 2, 1), dt.date(2030, 1, 1)]
+    some = list_files(spark, root, days=days)
+    assert {r.filename.split("/transactions/")[1][:10] for r in some.collect()} == {"2026/01/31", "2026/02/01"}
+    assert list_files(spark, root, days=days[2:]).count() == 0
+    recent = arrivals.stored_recently(arrivals.freshness_from_names(some), "2026-02-01 08:00:00")
+    assert recent.count() == 2 and recent.where("balance_epoch IS NULL").count() == 0
+
+
 def test_bad_amount_fails_the_fact(spark, tmp_path):
     bad = txn("t1", "2026-01-10T12:00:00", "12,00", "x", "y")
     write_snapshot(tmp_path, "2026-01-31T00:00:00", [account("A", "1", "2026-01-31T00:00:00", [bad])])
