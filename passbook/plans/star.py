@@ -153,15 +153,20 @@ def fact_daily_pay(
 
 
 def dim_merchant(
-    fact: DataFrame, catalog: DataFrame, loaded_at: Column | str | None = None
+    fact: DataFrame,
+    catalog: DataFrame,
+    loaded_at: Column | str | None = None,
+    newest: Column | None = None,
 ) -> DataFrame:
     """One row per merchant key with totals, period sums and a category.
 
     ``fact`` holds one row per transaction id, so counting ids counts distinct
     ids.  Patterns are matched after aggregation: once per distinct description,
-    not once per transaction.
+    not once per transaction.  Period sums end at ``newest``, by default the last
+    posting of ``fact``.
     """
-    newest = fact.agg(F.max("posted_at_timestamp")).scalar()
+    if newest is None:
+        newest = fact.agg(F.max("posted_at_timestamp")).scalar()
     posted, amount = F.col("posted_at_timestamp"), F.col("amount")
     merchants = (
         fact.select(

@@ -636,12 +636,25 @@ SELECTS: dict[str, str] = {
         FROM accounts""",
 }
 
-# The whole build ends in the same tables.  There, rows of one id and time come from one
-# file, so the order by file does not choose among them.
+# A build, and a refresh after late rows, end in the same tables.  There, rows of one id and
+# time come from one file, so the order by file does not choose among them.
 OF_BUILD = {
     "build_monthly_savings": SELECTS["monthly_savings"],
     "build_fact_transactions": _FACT.replace(", filename FROM", " FROM"),
     "build_daily_pay": SELECTS["daily_pay"],
+    "refresh_fact_transactions": _FACT.replace(", filename FROM", " FROM"),
+} | {
+    f"refresh_{name}": SELECTS[name]
+    for name in (
+        "dim_merchant",
+        "expenses_detail",
+        "income_detail",
+        "unknown_transactions",
+        "daily_overunder",
+        "monthly_savings",
+        "mom_performance",
+        "top_expenses",
+    )
 }
 
 

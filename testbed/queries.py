@@ -16,6 +16,7 @@ from passbook.operators.contract import conform, drift_report
 from passbook.operators.listing import with_total_row
 from passbook.plans import arrivals, catalog, history, marts, reports, star
 from passbook.plans.build import build_all
+from passbook.plans.refresh import refresh_all
 from passbook.session import configure, scratch_path
 from passbook.sources.seeds import merchant_catalog
 from passbook.sources.snapshots import (
@@ -587,6 +588,44 @@ def _of_build(name: str, *dropped: str) -> Query:
     return lambda spark, sf_dir: read_table(spark, _whole_build(spark, sf_dir), name).drop(*dropped)
 
 
+_refreshed: dict[tuple[str, str], str] = {}
+
+
+def _refreshed_build(spark: SparkSession, sf_dir: str) -> str:
+    """A build without the rows before 1995 and without every seventh order, then a
+    refresh with these and with all rows of 1996 once more."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _refreshed:
+        return _refreshed[key]
+    configure(spark)
+    root = scratch_path(spark, "refreshed")
+    rows = ledger(spark, sf_dir).withColumn("filename", F.lit("ledger"))
+    order = F.split_part("txn_id", F.lit("-"), F.lit(1)).cast("long")
+    year = F.year("posted_at_timestamp")
+    late = (year < 1995) | (order % 7 == 0)
+    accounts = flatten_accounts(account_snapshots(spark, sf_dir))
+    pay, patterns = scratch_path(spark, "pay-csv"), scratch_path(spark, "patterns-csv")
+    testbed_pay(spark).write.option("header", True).csv(pay)
+    testbed_catalog(spark).write.option("header", True).option("escape", '"').csv(patterns)
+    first, last = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    build_all(
+        spark,
+        root,
+        regex_csv=patterns,
+        payrate_csv=pay,
+        as_of=AS_OF,
+        calendar=(str(first)[:10], str(last + dt.timedelta(days=1))[:10]),
+        stores=(rows.where(~late), accounts),
+    )
+    refresh_all(spark, root, rows.where(late | (year == 1996)), AS_OF)
+    _refreshed[key] = root
+    return root
+
+
+def _of_refresh(name: str, *dropped: str) -> Query:
+    return lambda spark, sf_dir: read_table(spark, _refreshed_build(spark, sf_dir), name).drop(*dropped)
+
+
 # Registry -----------------------------------------------------------------
 
 FACT, MERCHANT = "fact_transactions", "dim_merchant"
@@ -701,6 +740,15 @@ QUERIES: dict[str, Query] = {
     "build_monthly_savings": _of_build("rpt_monthly_savings"),
     "build_fact_transactions": _of_build("fact_transactions", "filename"),
     "build_daily_pay": _of_build("fact_daily_pay"),
+    "refresh_fact_transactions": _of_refresh("fact_transactions", "filename"),
+    "refresh_dim_merchant": _of_refresh(MERCHANT),
+    "refresh_expenses_detail": _of_refresh(EXPENSES),
+    "refresh_income_detail": _of_refresh(INCOME),
+    "refresh_unknown_transactions": _of_refresh("rpt_unknown_transactions"),
+    "refresh_daily_overunder": _of_refresh(OVERUNDER),
+    "refresh_monthly_savings": _of_refresh(SAVINGS),
+    "refresh_mom_performance": _of_refresh("rpt_mom_performance"),
+    "refresh_top_expenses": _of_refresh("rpt_top_expenses"),
     # Catalog, history, arrivals
     "catalog_build": catalog_build,
     "catalog_build_large": catalog_build_large,

@@ -9,11 +9,12 @@ from passbook.plans import marts, reports, star
 from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN
 from passbook.plans.build import NOT_NULL, build_all, check_tables
-from passbook.schemas import CONTRACTS
+from passbook.plans.refresh import refresh_all
+from passbook.schemas import CONTRACTS, FLAT_ACCOUNT
 from passbook.sources.snapshots import read_snapshots
 from passbook.sources.tables import read_table, unpublished
 from tests.plan import plan_of
-from tests.rows import account, txn, write_snapshot
+from tests.rows import account, flat, flat_row, txn, write_snapshot
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +76,59 @@ def test_build_report_warns_but_does_not_fail(root):
     assert status["unique fact_transactions.txn_id"] == "pass"
 
 
+LOAD_TIMES = {"record_loaded_at_timestamp", "record_updated_at", "filename"}
+REFRESHED = (
+    "fact_transactions", "dim_merchant", "rpt_expenses_detail", "rpt_income_detail", "rpt_unknown_transactions",
+    "rpt_daily_overunder", "rpt_monthly_savings", "rpt_mom_performance", "rpt_top_expenses",
+)
+
+
+def contents(spark, root, name):
+    df = read_table(spark, root, name)
+    return sorted(map(str, df.drop(*LOAD_TIMES).collect()))
+
+
+def test_refresh_equals_a_build_of_everything(spark, tmp_path):
+    """A late refund turns a merchant's sign (K7); a posting moves; an id is known already."""
+    first = [
+        flat_row("1", "2026-01-05T10:00:00", "-20.00", "netflix one", "N"),
+        flat_row("2", "2026-01-06T10:00:00", "-5.00", "target a", "T"),
+        flat_row("3", "2026-01-07T10:00:00", "2000.00", "who knows", "W"),
+        flat_row("4", "2026-02-07T10:00:00", "-75.00", "netflix one", "N"),
+        flat_row("5", "2026-03-01T10:00:00", "-1.00", "costco", None),
+        flat_row("6", "2024-01-01T10:00:00", "-9.00", "old costco", "C"),
+    ]
+    late = [
+        flat_row("7", "2026-01-20T10:00:00", "500.00", "netflix one", "N"),
+        flat_row("2", "2026-01-08T10:00:00", "-5.50", "target b", "T"),
+        flat_row("3", "2026-01-07T10:00:00", "2000.00", "who knows", "W"),
+    ]
+    newer = [flat_row("8", "2026-03-09T10:00:00", "-3.00", "aldi", "A")]
+    calendar = ("2024-01-01", "2026-04-01")
+    accounts = spark.createDataFrame([], FLAT_ACCOUNT)
+
+    def build(rows, name):
+        root = str(tmp_path / name)
+        build_all(spark, root, as_of="2026-03-31", calendar=calendar, stores=(flat(spark, rows), accounts))
+        return root
+
+    root = build(first, "first")
+    redone = refresh_all(spark, root, flat(spark, late), "2026-03-31")
+    assert redone == {"transactions": 2, "merchants": 3, "days": 4, "months": 2}
+    whole = build(first + late, "whole")
+    for name in REFRESHED:
+        assert contents(spark, root, name) == contents(spark, whole, name), name
+    # Nothing new: nothing is redone.
+    assert set(refresh_all(spark, root, flat(spark, late), "2026-03-31").values()) == {0}
+    # The newest posting moves: merchants without a posting in the year before stay.
+    redone = refresh_all(spark, root, flat(spark, newer), "2026-03-31")
+    whole = build(first + late + newer, "newer")
+    assert redone["transactions"] == 1 and redone["merchants"] == 5
+    assert read_table(spark, root, "dim_merchant").count() == 6
+    for name in REFRESHED:
+        assert contents(spark, root, name) == contents(spark, whole, name), name
+
+
 def test_checks_of_the_write_equal_checks_by_scan(spark, root):
     tables = {name: read_table(spark, root[0], name) for name in CONTRACTS}
     scanned = check_tables(tables)
