@@ -51,3 +51,24 @@ def placed(rows: DataFrame, keys: list[str], order: list[Column], name: str) ->
         .withColumn(name, place)
         .drop("_key", "_file", "_at", "_first", "_before")
     )
+
+
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """The rows of a sorted DataFrame with their place ``name`` from 1 on.
+
+    A sorted DataFrame lies in its partitions in order; it is stored as it lies, and a row's
+    place is its place in its file plus the rows of the files before.
+    """
+    spark = ordered.sparkSession
+    path = scratch_path(spark, f"ordered-{name}")
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    at.write.parquet(path)
+    table = spark.read.schema(at.schema).parquet(path).withColumn("_file", F.shiftright("_at", FILE_BITS))
+    files = table.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    # One row per file of the sort.
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return table.join(F.broadcast(starts), "_file").withColumn(name, place).drop(
+        "_file", "_at", "_first", "_before"
+    )

@@ -636,6 +636,31 @@ SELECTS: dict[str, str] = {
         FROM accounts""",
 }
 
+def _positions(select: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({select})"
+
+
+def _ascending(names: str) -> str:
+    return ", ".join(f"{name} ASC NULLS LAST" for name in names.split())
+
+
+SELECTS["positions_all_expenses"] = _positions(
+    SELECTS["q10_rows_all_expenses"],
+    "posted_date DESC NULLS LAST, " + _ascending("amount_spent merchant category subcategory description account"),
+)
+SELECTS["positions_expense_categories"] = _positions(
+    "SELECT category, subcategory, sum(spent)::DOUBLE AS total_spend FROM listing GROUP BY ALL",
+    _ascending("category subcategory total_spend"),
+)
+SELECTS["positions_top_expenses"] = _positions(
+    SELECTS["top_expenses"],
+    "total_spend DESC NULLS LAST, "
+    + _ascending(
+        "merchant_name category subcategory past_day past_week past_month past_quarter past_year"
+        " earliest_txn_at latest_txn_at total_transactions avg_spend_per_txn"
+    ),
+)
+
 # A build, and a refresh after late rows, end in the same tables.  There, rows of one id and
 # time come from one file, so the order by file does not choose among them.
 OF_BUILD = {

@@ -14,6 +14,7 @@ from passbook.operators import quality
 from passbook.operators.categorize import UNKNOWN, categorize
 from passbook.operators.contract import conform, drift_report
 from passbook.operators.listing import with_total_row
+from passbook.operators.position import numbered
 from passbook.plans import arrivals, catalog, history, marts, reports, star
 from passbook.plans.build import build_all
 from passbook.plans.refresh import refresh_all
@@ -647,6 +648,12 @@ def _cc_spend_with_total(expenses: DataFrame) -> DataFrame:
     return with_total_row(reports.rows_cc_spend(expenses), ["amount_spent"])
 
 
+def _positions(build: Callable[..., DataFrame], *tables: str, **options: object) -> Query:
+    """A sorted listing with the place of each row."""
+    listing = _report(build, *tables, **options)
+    return lambda spark, sf_dir: numbered(listing(spark, sf_dir), "position")
+
+
 QUERIES: dict[str, Query] = {
     # Star schema
     "fact_dedup": _built(FACT),
@@ -671,6 +678,9 @@ QUERIES: dict[str, Query] = {
     ),
     "top_expenses": _built("rpt_top_expenses"),
     "top_expenses_corrected": _report(marts.rpt_top_expenses, MERCHANT, corrected=True),
+    "positions_all_expenses": _positions(reports.rows_all_expenses, EXPENSES),
+    "positions_expense_categories": _positions(reports.flt_chart_col_expenses, EXPENSES),
+    "positions_top_expenses": _positions(reports.top_expenses_ranked, "rpt_top_expenses"),
     "top_expenses_ranked": _report(reports.top_expenses_ranked, "rpt_top_expenses"),
     # Report queries
     "q01_total_assets_minus_mortgage": _report(reports.total_assets_minus_mortgage, ACCOUNTS),
