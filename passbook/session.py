@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Results depend on the first three; the others let Spark re-plan at run time.
@@ -22,6 +24,7 @@ SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_scratch: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,6 +52,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, unique to this call."""
+    """A new path under the shared folder, unique to this call.
+
+    What is not removed before goes when the application ends.
+    """
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_dir(spark)}/{app}"
+    if app not in _scratch:
+        _scratch[app] = folder
+        atexit.register(remove_scratch, app)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(app: str) -> None:
+    """Remove an application's scratch folder, if the application still runs."""
+    context, folder = SparkContext._active_spark_context, _scratch.get(app)
+    if folder is None or context is None or context._jsc is None or context.applicationId != app:
+        return
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 DONE = "_SUCCESS"
+MARKS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 def _place(spark: SparkSession, path: str):
@@ -17,10 +18,15 @@ def _place(spark: SparkSession, path: str):
 
 
 def complete_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders under ``path`` whose write has ended."""
+    """Names of the folders under ``path`` whose write has ended.
+
+    That is told by the marker Spark leaves; without markers no folder could be trusted.
+    """
     place, files = _place(spark, path)
     if not files.exists(place):
         return []
+    if not spark.sparkContext._jsc.hadoopConfiguration().getBoolean(MARKS, True):
+        raise RuntimeError(f"{MARKS} is off: complete folders cannot be told from broken ones")
     jvm = spark.sparkContext._jvm
     names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
     return sorted(n for n in names if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/{DONE}")))

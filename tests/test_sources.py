@@ -9,10 +9,20 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from passbook import session
 from passbook.operators.contract import ContractError, enforce_contract
 from passbook.plans import arrivals, star
 from passbook.schemas import CONTRACTS
-from passbook.sources.folders import create_text, file_names, read_text, sub_folders
+from passbook.session import remove_scratch, scratch_path
+from passbook.sources.folders import (
+    MARKS,
+    complete_folders,
+    create_text,
+    file_names,
+    folder_exists,
+    read_text,
+    sub_folders,
+)
 from passbook.sources.paths import data_path, table_path
 from passbook.sources.seeds import merchant_catalog, pay_rates
 from passbook.sources.snapshots import list_files, read_snapshots
@@ -198,6 +208,29 @@ def test_releases_out_of_use_go_and_others_stay(spark, tmp_path):
     assert file_names(spark, f"{root}/_manifests", ".json") == ["000000000004.json", "000000000005.json"]
 
 
+def test_folders_without_markers_are_not_trusted(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "s/one"))
+    assert complete_folders(spark, str(tmp_path / "s")) == ["one"]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(MARKS, "false")
+    try:
+        with pytest.raises(RuntimeError, match="cannot be told"):
+            complete_folders(spark, str(tmp_path / "s"))
+    finally:
+        conf.unset(MARKS)
+
+
+def test_scratch_goes_with_the_application(spark, monkeypatch):
+    path = scratch_path(spark, "left")
+    spark.range(3).write.parquet(path)
+    app = spark.sparkContext.applicationId
+    assert not remove_scratch("another") and spark.read.parquet(path).count() == 3
+    session._scratch["part"] = path
+    monkeypatch.setattr(type(spark.sparkContext), "applicationId", "part")
+    remove_scratch("part")
+    assert not folder_exists(spark, path) and session._scratch[app] in path
+
+
 def test_a_name_is_taken_once(spark, tmp_path):
     path = str(tmp_path / "m/1.json")
     assert create_text(spark, path, "é") and not create_text(spark, path, "b")
