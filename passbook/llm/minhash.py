@@ -7,10 +7,11 @@ documents are linked when their sets overlap by 75 % or more.
 1. One permutation hashes each shingle into one of ``BINS`` bins, where the least
    value counts; empty bins take the value of a bin found by optimal densification
    (a hash of bin and attempt, until a full bin is hit).
-2. Documents with equal sets are one class, and its smallest doc_id stands for it.
+2. Every row is a node of its own.  Rows with equal sets are one class, and its first
+   row stands for it.
 3. Each ``ROWS`` bins are one band and documents with equal bands share a bucket: a
    pair at 75 % misses all ``BINS / ROWS`` buckets with a chance of 3e-7.
-4. A bucket proposes a star: its smallest doc_id with each other member.  Pairs that
+4. A bucket proposes a star: its first node with each other member.  Pairs that
    a lossless bound on small bitmaps cannot rule out are compared on full sets.
 5. Stars alone lose a link between two members that both differ from the centre.  So
    buckets that hold more than one component after that are compared in blocks of
@@ -19,9 +20,9 @@ documents are linked when their sets overlap by 75 % or more.
 6. Connected components over all links.
 
 Cases: a NULL or wordless text has no shingles and is linked with nothing; a NULL
-doc_id is never linked, and its component is NULL; rows of one doc_id are one node,
-linked by any of its texts to an equal one and else by its largest set; an empty table
-gives an empty result; other columns are not read.
+doc_id is never linked, and its component is NULL; rows of one doc_id are linked only by
+their own texts, so one of them may be kept and another not; texts of any length are read
+whole; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,16 +37,18 @@ from pyspark.sql import functions as F
 from passbook.llm.components import components
 from passbook.llm.tables import Temporary, stored
 from passbook.llm.words import U64, mixed, windows, word_hashes
+from passbook.operators.lookup import salted_lookup
 
 SHINGLE = 5
 BINS = 160
 ROWS = 4
 BLOCK = 1024
+HOT_COMPONENT = 1024
 SPACE = 16
 LEAST_BITS, MOST_BITS = 256, 262_144
 EMPTY = np.uint64(2**64 - 1)
 
-FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bits binary, bands array<long>"
+FEATURES = "doc_id long, version long, n_shingles long, set_a long, set_b long, bits binary, bands array<long>"
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -103,7 +106,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, at = batch.column(0), 0
+        ids, versions, at = batch.column(0), batch.column(2), 0
         for sets in shingle_sets(batch.column(1)):
             full = [one for one in sets if len(one)]
             keys = iter(bands(signatures(full))) if full else iter(())
@@ -113,13 +116,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(at, len(sets)),
+                    versions.slice(at, len(sets)),
                     pa.array([len(one) for one in sets], pa.int64()),
                     signed(values),
                     signed(others),
                     pa.array([bitmap(one) for one in sets], pa.binary()),
                     pa.array([next(keys) if len(one) else [] for one in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bits", "bands"],
+                names=["doc_id", "version", "n_shingles", "set_a", "set_b", "bits", "bands"],
             )
             at += len(sets)
 
@@ -130,7 +134,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in shingle_sets(batch.column(1)):
             data = pa.array([one.tobytes() for one in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, len(sets)), data], names=["doc_id", "hashes"]
+                [ids.slice(at, len(sets)), data], names=["node", "hashes"]
             )
             at += len(sets)
 
@@ -188,7 +192,7 @@ def _annotated(f, count: int):
 def _block_pairs(rows: pa.Table) -> pa.Table:
     """Pairs across components that may be linked, between two blocks or within one."""
     low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
-    docs, comps = rows["doc_id"].to_numpy(), rows["component"].to_numpy()
+    docs, comps = rows["node"].to_numpy(), rows["component"].to_numpy()
     sizes, block = rows["n_shingles"].to_numpy(), rows["block"].to_numpy()
     bucket = rows["bucket"][0].as_py()
     keys = np.array(rows["bands"].to_pylist(), np.int64)
@@ -221,83 +225,80 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, temp: Temporary) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, keys: DataFrame, temp: Temporary) -> DataFrame:
     """The pairs whose full sets are linked."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    some = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    sets = some.mapInArrow(_sets, "doc_id long, hashes binary")
-    sets = temp(sets.groupBy("doc_id").agg(F.max_by("hashes", F.length("hashes")).alias("hashes")), "sets")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = keys.join(wanted, "node", "left_semi").select("node", "doc_id", "version")
+    some = docs.join(wanted, ["doc_id", "version"]).select("node", "text")
+    sets = some.mapInArrow(_sets, "node long, hashes binary")
+    # Rows repeated in full give a node its text more than once.
+    sets = temp(sets.groupBy("node").agg(F.any_value("hashes").alias("hashes")), "sets")
     linked = F.arrow_udf(_annotated(_linked, 2), "boolean")
-    both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("b_set")), "b").join(
-        sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("a_set")), "a"
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_set")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_set")), "a"
     )
     return temp(both.where(linked("a_set", "b_set")).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``."""
+    """``doc_id``, ``version``, ``n_shingles``, ``component_id``, ``kept`` and ``stays`` of every row.
+
+    ``version`` is ``xxhash64(text)``.  ``kept`` tells the rows of the component's smallest
+    doc_id; of these, ``stays`` tells the one version that stands for the component.
+    """
     with Temporary() as temp:
-        docs = docs.select("doc_id", "text")
-        every = temp(docs.mapInArrow(_features, FEATURES), "features")
-        sizes = stored(every.select("doc_id", "n_shingles"), "sizes")
+        docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
+        every = docs.mapInArrow(_features, FEATURES).withColumn("node", F.monotonically_increasing_id())
+        every = temp(every, "features")
+        rows = stored(every.select("node", "doc_id", "version", "n_shingles"), "sizes")
         usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        # One row per doc_id: repeated rows agree, other texts under one id go by size.
-        classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
+        classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("node").alias("rep"))
         classes = temp(classes, "classes")
         same = ["n_shingles", "set_a", "set_b"]
-        member = temp(usable.select("doc_id", *same).join(classes, same).select("doc_id", "rep"), "members")
-        reps = member.where("doc_id = rep").select("doc_id").distinct()
-        features = usable.join(reps, "doc_id", "left_semi").withColumn(
-            "at", F.struct("n_shingles", "set_a", "set_b")
-        )
-        features = temp(
-            features.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "bits", "bands"), "at").alias("f"))
-            .select("doc_id", "f.*"),
-            "representatives",
-        )
+        member = temp(usable.select("node", *same).join(classes, same).select("node", "rep"), "members")
+        reps = classes.select(F.col("rep").alias("node"))
+        features = usable.join(reps, "node", "left_semi").select("node", "n_shingles", "bits", "bands")
+        features = temp(features, "representatives")
 
-        banded = features.select("doc_id", F.explode("bands").alias("bucket"))
+        banded = features.select("node", F.explode("bands").alias("bucket"))
         full = banded.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("n"),
-            F.min("doc_id").alias("hub"),
-            F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("content"),
+            F.min("node").alias("hub"),
+            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("content"),
         )
         # Buckets with the same members count once, as the one with the least key.
         full = full.where("n > 1").groupBy("n", "hub", "content").agg(F.min("bucket").alias("bucket"))
         full = temp(full.select("bucket", "n", "hub"), "buckets")
         shared = temp(banded.join(full, "bucket"), "shared-buckets")
 
-        star = shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-        sketch = features.select("doc_id", "n_shingles", "bits")
+        star = shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        sketch = features.select("node", "n_shingles", "bits")
         side = lambda s: sketch.select(
-            F.col("doc_id").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
+            F.col("node").alias(s), F.col("n_shingles").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")
         )
         may_link = F.arrow_udf(_annotated(_may_link, 4), "boolean")
         compared = star.distinct().join(side("b"), "b").join(side("a"), "a")
         likely = compared.where(may_link("a_bits", "b_bits", "a_n", "b_n")).select("a", "b")
-        links = _confirmed(temp(likely, "star-pairs"), docs, temp)
+        links = _confirmed(temp(likely, "star-pairs"), docs, rows, temp)
 
         found = components(links)
-        labels = found.select(F.col("node").alias("doc_id"), "component")
-        placed = shared.join(labels, "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        placed = temp(placed.select("bucket", "n", "doc_id", "component"), "placed")
+        placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = temp(placed.select("bucket", "n", "node", "component"), "placed")
         mixed_ones = placed.groupBy("bucket").agg(
             F.min("component").alias("least"), F.max("component").alias("most")
         )
         open_ = temp(mixed_ones.where("least < most").select("bucket"), "open-buckets")
         parts = F.ceil(F.col("n") / BLOCK).cast("int")
-        rows = (
+        blocks_ = (
             placed.join(open_, "bucket")
-            .join(features, "doc_id")
-            .withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+            .join(features, "node")
+            .withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
             .select(
                 "bucket",
                 F.least("block", "other").alias("low"),
                 F.greatest("block", "other").alias("high"),
-                "doc_id",
+                "node",
                 "component",
                 "n_shingles",
                 "block",
@@ -305,25 +306,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 "bands",
             )
         )
-        rest = rows.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
-        more = _confirmed(temp(rest.distinct(), "rest-pairs"), docs, temp)
+        rest = blocks_.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
+        more = _confirmed(temp(rest.distinct(), "rest-pairs"), docs, rows, temp)
         again = components(
             more.unionByName(links).unionByName(
-                member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+                member.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
             )
         )
-    final = again.select(F.col("node").alias("doc_id"), "component")
-    return (
-        sizes
-        .join(final, "doc_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component", "doc_id").alias("component_id"),
-            F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        linked = temp(rows.join(again, "node"), "linked")
+        heads = linked.groupBy("component").agg(
+            F.min(F.struct("doc_id", "version")).alias("head"), F.count(F.lit(1)).alias("n_rows")
         )
-    )
+        heads = temp(heads, "heads")
+        # A component may hold much of all rows, so its rows meet its head over salts.
+        named = salted_lookup(linked, heads, ["component"], "n_rows", "node", min_piece=HOT_COMPONENT)
+        own = F.struct("doc_id", "version")
+        named = named.select(
+            "doc_id", "version", "n_shingles", F.col("head.doc_id").alias("component_id"),
+            (F.col("doc_id") == F.col("head.doc_id")).alias("kept"), (own == F.col("head")).alias("stays"),
+        )
+        alone = rows.join(again, "node", "left_anti").select(
+            "doc_id", "version", "n_shingles", F.col("doc_id").alias("component_id"),
+            F.lit(True).alias("kept"), F.lit(True).alias("stays"),
+        )
+        return stored(named.unionByName(alone), "near-duplicates")
 
 
 def op4_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
