@@ -36,9 +36,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near-duplicates."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One text of each group of near-duplicates, of its smallest doc_id.
+
+    Rows are told apart by doc_id and text, so an unrelated text under the doc_id of one
+    that goes stays.
+    """
+    gone = near_duplicates(docs).where("NOT stays")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_version"])
+    return docs.join(gone, same, "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
