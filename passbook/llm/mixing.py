@@ -1,20 +1,21 @@
 """Language-model scores by online logistic mixing of hashed byte contexts.
 
 A text, A-Z in lower case and closed by a byte that UTF-8 never holds, is coded bit by
-bit.  Four contexts predict each bit: the last 3, 4 and 6 bytes, and the bytes of the word
-so far.  A context picks 16 of 2 ** ``SLOT_BITS`` hashed cells for the high half of the next
-byte and, with that half, 16 for the low one; cells count how often a value came, over all
-training texts.  At each bit the values still possible vote with the logarithm of the odds
-of a one.  The votes are added with weights from one of 40 sets, gated by the bit's place
-and by how many contexts were seen; after each bit the chosen weights move against the
-error.  An adaptive map from (bit place, mixed odds) to what bits came refines the result.
+bit.  A byte is one nibble, its place in ``FREQUENT``, or an escape nibble and its two
+halves.  Four contexts predict each bit: the last 3, 4 and 6 bytes, and the bytes of the
+word so far.  A context, with the nibbles of the byte so far, picks 16 of 2 ** ``SLOT_BITS``
+hashed cells; cells count how often a value came, over all training texts.  At each bit the
+values still possible vote with the logarithm of the odds of a one.  The votes are added
+with weights from one of 60 sets, gated by the bit's place and by how many contexts were
+seen; after each bit the chosen weights move against the error.  An adaptive map from (bit place, mixed odds) to what bits came refines the result.
 Weights and maps start anew every ``SEGMENT`` bytes, so a score depends on the text and the
-tables alone, and equals log10 of a probability of the text.
+tables alone.  It is log10 of a probability; the escapes of frequent bytes are never written,
+so that the probabilities of all texts add up to a little less than one.
 
 1. Counting.  Each task counts all bits of its texts into fixed arrays and its words into a
    table that is sent on when it is full; arrays leave as compressed pages and are added
    up page by page in two steps, one page in memory at a time.  What is gathered grows
-   with the texts; the votes have one size, 64 MB at four bytes a cell, and are broadcast.
+   with the texts; the votes have one size, 32 MB at four bytes a cell, and are broadcast.
 2. Words.  Words of more than one ``HOT``-th of all tokens and at most ``HOT_BYTES`` bytes
    are fewer than ``HOT``, and their counts are sent to all tasks; the others meet theirs
    in a join, so the vocabulary may be of any size.  Counts are of exact words.
@@ -44,20 +45,23 @@ from passbook.llm.words import U64
 
 ORDERS = (3, 4, 6)
 PREDICTORS = len(ORDERS) + 1
-SLOT_BITS = 22
-PAGE_BITS = 16
+SLOT_BITS = 21
+PAGE_BITS = 15
 PAGES = 1 << (SLOT_BITS - PAGE_BITS)
 MERGES = 64
 PRIOR = 0.1  # added to the zeros and to the ones of a slot
 STEP = 16  # votes are kept as multiples of 1 / STEP
 
-SEGMENT = 2048
+SEGMENT = 1024
 LANES = 1024
 TILE = 64
-STEPS = 8   # symbols of a tile that are prepared at once for mixing
+STEPS = 8  # nibbles of each lane that are prepared at once for mixing
 LOOK_BACK = 12  # bytes before a segment that its contexts read; longest word context
 END = 0xFF
-GATES = 8 * (PREDICTORS + 1)
+FREQUENT = b" etaoinshrdlucm"  # bytes of one nibble; the choice changes costs, not validity
+ESCAPE = len(FREQUENT)
+PLACES = 12  # four bits of a first, an upper and a lower nibble
+GATES = PLACES * (PREDICTORS + 1)
 WEIGHT = 0.3
 RATE = 0.01
 MAP_CELLS = 33
@@ -72,6 +76,8 @@ WORDS_IN_TASK = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _SET = np.dtype(np.complex128)  # one set of four weights, moved as one item
+_FIRST = np.full(256, ESCAPE, np.uint8)
+_FIRST[list(FREQUENT)] = np.arange(ESCAPE)
 _WHITE = np.isin(np.arange(256), [0, 9, 10, 11, 12, 13, 32]).astype(np.int32)
 _SPREAD = 0xD6E8FEB86659FD93
 _POWERS = np.array([pow(_BASE, i, 1 << 64) for i in range(LOOK_BACK + TILE + 1)], U64)
@@ -93,22 +99,35 @@ def segments(text: bytes) -> Iterator[bytes]:
         yield whole[start : start + LOOK_BACK + SEGMENT]
 
 
-def lanes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte matrix of the parts, longest first, their symbol counts, and their order."""
-    sizes = np.array([len(part) - LOOK_BACK for part in parts])
-    order = np.argsort(-sizes, kind="stable")
-    width = LOOK_BACK + -(-int(sizes.max()) // TILE) * TILE
-    data = np.zeros((len(parts), width), np.uint8)
-    for row, k in enumerate(order):
-        data[row, : len(parts[k])] = np.frombuffer(parts[k], np.uint8)
-    return data, sizes[order], order
+class Lanes:
+    """Parts as rows of one byte matrix, those of most nibbles first."""
 
+    def __init__(self, parts: list[bytes]) -> None:
+        sizes = np.array([len(part) - LOOK_BACK for part in parts])
+        width = LOOK_BACK + -(-int(sizes.max()) // TILE) * TILE
+        data = np.zeros((len(parts), width), np.uint8)
+        for row, part in zip(data, parts, strict=True):
+            row[: len(part)] = np.frombuffer(part, np.uint8)
+        inside = np.arange(width - LOOK_BACK) < sizes[:, None]
+        escapes = (_FIRST[data[:, LOOK_BACK:]] == ESCAPE) & inside
+        nibbles = sizes + 2 * np.count_nonzero(escapes, axis=1)
+        self.order = np.argsort(-nibbles, kind="stable")
+        self.data, self.sizes, self.nibbles = data[self.order], sizes[self.order], nibbles[self.order]
 
-def cells_of(tile: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each predictor, the cells of high and low nibble of each symbol of a tile.
+    def tiles(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each tile its bytes, which of its symbols exist, and their first nibbles."""
+        for start in range(0, int(self.sizes.max()), TILE):
+            tile = self.data[:, start : start + LOOK_BACK + TILE]
+            inside = start + np.arange(TILE) < self.sizes[:, None]
+            yield tile, inside, np.where(inside, _FIRST[tile[:, LOOK_BACK:]], 0)
 
-    A context picks 16 cells for the high nibble, and together with that nibble 16 for the
-    low one; the nibble's value picks one of them.  ``tile`` holds ``LOOK_BACK`` columns
+
+def cells_of(tile: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each predictor, the cells of the first nibble of each symbol of a tile, and of
+    the upper and lower nibbles of its escaped symbols, row by row.
+
+    A context picks 16 cells for a first nibble, 16 after an escape, and 16 after the upper
+    half; the nibble's value picks one of them.  ``tile`` holds ``LOOK_BACK`` columns
     before the symbols.
     """
     wide = tile.astype(U64)
@@ -134,14 +153,20 @@ def cells_of(tile: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     word *= _INVERSES.take(begins)
     word += (ends - begins).astype(U64)
 
-    shift = U64(64 - SLOT_BITS + 4)
-    upper, lower = (symbols >> U64(4)).astype(np.int32), (symbols & U64(15)).astype(np.int32)
-    step = (symbols >> U64(4)) + U64(1)
+    shift, four, turn, spread = U64(64 - SLOT_BITS + 4), U64(4), U64(29), U64(_SPREAD)
+    escaped = first == ESCAPE
+    symbol = symbols[escaped]
+    upper, lower = symbol >> four, symbol & U64(15)
+
+    def cell(tree: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return (((tree >> shift) << four) | value).astype(np.int32)
+
     for k, key in enumerate([*map(last, ORDERS), word]):
-        high = key * U64(_BASE + 2 * k)
-        low = ((high ^ (high >> U64(29))) + step) * U64(_SPREAD)
-        cells = [(half >> shift).astype(np.int32) << 4 for half in (high, low)]
-        yield cells[0] | upper, cells[1] | lower
+        key = key * U64(_BASE + 2 * k)
+        after = key[escaped]
+        after = ((after ^ (after >> turn)) + U64(1)) * spread
+        whole = ((after ^ (after >> turn)) + upper) * spread
+        yield cell(key, first.astype(U64)), cell(after, upper), cell(whole, lower)
 
 
 # Training: counts of bits and words.
@@ -154,14 +179,10 @@ class _Counts:
         self.cells = np.zeros((PREDICTORS, 1 << SLOT_BITS), np.uint32)
 
     def add(self, parts: list[bytes]) -> None:
-        data, sizes, _ = lanes(parts)
         found: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
-        for start in range(0, int(sizes[0]), TILE):
-            live = int(np.searchsorted(-sizes, -start, side="left"))
-            tile = data[:live, start : start + LOOK_BACK + TILE]
-            inside = np.arange(start, start + TILE)[None, :] < sizes[:live, None]
-            for k, halves in enumerate(cells_of(tile)):
-                found[k] += [half[inside] for half in halves]
+        for tile, inside, first in Lanes(parts).tiles():
+            for k, (cells, *halves) in enumerate(cells_of(tile, first)):
+                found[k] += [cells[inside], *halves]
         for k in range(PREDICTORS):
             counts = np.bincount(np.concatenate(found[k]), minlength=1 << SLOT_BITS)
             self.cells[k] += counts.astype(np.uint32)
@@ -283,50 +304,68 @@ def vote_tables(counted: DataFrame) -> np.ndarray:
 # Scoring: online mixing over lanes.
 
 
+def _nibbles_of(group: Lanes, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By nibble and lane: the packed votes of each predictor, the kind, and the value."""
+    n, longest = len(group.sizes), int(group.nibbles[0])
+    # One row more takes what the tiles hold beyond the ends of their lanes.
+    packed = np.empty((PREDICTORS, longest + 1, n), np.uint32)
+    kinds, values = (np.zeros((longest + 1, n), np.uint8) for _ in range(2))
+    lane, done = np.arange(n)[:, None], np.zeros((n, 1), np.int64)
+    for tile, inside, first in group.tiles():
+        escaped = first == ESCAPE
+        before = np.cumsum(escaped, axis=1)
+        at = done + np.arange(TILE) + 2 * (before - escaped)
+        done = done + TILE + 2 * before[:, -1:]
+        at = np.where(inside, at, longest)
+        rows = np.nonzero(escaped)[0]
+        upper, symbol = at[escaped] + 1, tile[:, LOOK_BACK:][escaped]
+        values[at, lane] = first
+        for kind, value in ((1, symbol >> 4), (2, symbol & 15)):
+            kinds[upper + kind - 1, rows] = kind
+            values[upper + kind - 1, rows] = value
+        for k, (cells, high, low) in enumerate(cells_of(tile, first)):
+            packed[k][at, lane] = tables[k].take(cells)
+            packed[k][upper, rows] = tables[k].take(high)
+            packed[k][upper + 1, rows] = tables[k].take(low)
+    return packed, kinds, values
+
+
 def code_lengths(parts: list[bytes], tables: np.ndarray) -> np.ndarray:
     """-log2 of the probability of each part's symbols after what comes before.
 
-    Sets of weights and maps are parted by the bit's place, so the eight bits of a byte
-    touch none in common: one step codes a byte of every lane and equals eight steps of a
+    Sets of weights and maps are parted by the bit's place, so the four bits of a nibble
+    touch none in common: one step codes a nibble of every lane and equals four steps of a
     bit.  Arrays go by lane and bit; lanes that are still running come first.
     """
-    data, sizes, order = lanes(parts)
-    n = len(parts)
+    group = Lanes(parts)
+    n, nibbles = len(parts), group.nibbles
+    packed, kinds, values = _nibbles_of(group, tables)
     sets = np.full((n * GATES, PREDICTORS), WEIGHT, np.float32).view(_SET).ravel()
     reach = np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS)
-    maps = np.tile((1 / (1 + np.exp(-reach))).astype(np.float32), n * 8)
-    place_of = np.arange(n)[:, None] * 8 + np.arange(8)
-    set_of = place_of * (PREDICTORS + 1)
-    middle = (place_of * MAP_CELLS + MAP_CELLS // 2).astype(np.int32)
+    maps = np.tile((1 / (1 + np.exp(-reach))).astype(np.float32), n * PLACES)
+    place_of = np.arange(n)[:, None] * PLACES + np.arange(4)
     scale = np.float32((MAP_CELLS - 1) / (2 * MAP_REACH))
     out = np.zeros(n)
-    for start in range(0, int(sizes[0]), STEPS):
-        live = int(np.searchsorted(-sizes, -start, side="left"))
-        if start % TILE == 0:
-            tile = data[:live, start : start + LOOK_BACK + TILE]
-            cells = [[half.T.copy() for half in halves] for halves in cells_of(tile)]
-            symbols = np.ascontiguousarray(tile[:, LOOK_BACK:].T)
-        part = slice(start % TILE, start % TILE + STEPS)
-        shape = (STEPS, live, 8)
+    for start in range(0, int(nibbles[0]), STEPS):
+        live = int(np.searchsorted(-nibbles, -start, side="left"))
+        part = slice(start, min(start + STEPS, int(nibbles[0])))
+        shape = (part.stop - part.start, live, 4)
         inputs = np.empty((*shape, PREDICTORS), np.float32)
         known = np.zeros(shape, np.int8)
-        for k, halves in enumerate(cells):
-            packed = np.empty((STEPS, live, 2), np.uint32)
-            for side, half in enumerate(halves):
-                packed[:, :, side] = tables[k].take(half[part, :live])
-            found = packed.view(np.int8)
+        for k in range(PREDICTORS):
+            found = np.ascontiguousarray(packed[k, part, :live]).view(np.int8).reshape(shape)
             inputs[..., k] = found
             known += found != 0
         inputs *= np.float32(1 / STEP)
-        ones = np.unpackbits(symbols[part, :live, None], axis=2).astype(np.float32)
+        places = place_of[:live] + 4 * kinds[part, :live, None].astype(np.int64)
+        chosen = places * (PREDICTORS + 1) + known
+        middles = (places * MAP_CELLS + MAP_CELLS // 2).astype(np.int32)
+        ones = np.unpackbits(values[part, :live, None] << 4, axis=2, count=4).astype(np.float32)
         told = np.ones(shape, np.float32)
-        for step in range(STEPS):
-            live = int(np.searchsorted(-sizes[:live], -(start + step), side="left"))
-            if live == 0:
-                break
-            x, one = inputs[step, :live], ones[step, :live]
-            at = set_of[:live] + known[step, :live]
-            w = sets.take(at).view(np.float32).reshape(live, 8, PREDICTORS)
+        for step in range(shape[0]):
+            live = int(np.searchsorted(-nibbles[:live], -(start + step), side="left"))
+            x, at, one = inputs[step, :live], chosen[step, :live], ones[step, :live]
+            w = sets.take(at).view(np.float32).reshape(live, 4, PREDICTORS)
             products = w * x
             mix = products[..., 0] + products[..., 1]
             mix += products[..., 2]
@@ -340,7 +379,7 @@ def code_lengths(parts: list[bytes], tables: np.ndarray) -> np.ndarray:
 
             mix *= scale
             cell = np.rint(np.minimum(np.maximum(mix, -_HALF), _HALF)).astype(np.int32)
-            cell += middle[:live]
+            cell += middles[step, :live]
             refined = maps.take(cell)
             p += refined
             p *= np.float32(0.5)
@@ -350,13 +389,13 @@ def code_lengths(parts: list[bytes], tables: np.ndarray) -> np.ndarray:
         # Mixing with a fair coin keeps certain bits from costing too much when they fail.
         told *= np.float32(1 - 2 * LEAST)
         told += np.float32(LEAST)
-        bytes_ = told[..., 0].astype(np.float64)
-        for j in range(1, 8):
-            bytes_ *= told[..., j]
-        inside = start + np.arange(STEPS)[:, None] < sizes[None, : told.shape[1]]
-        out[: told.shape[1]] -= np.log2(np.where(inside, bytes_, 1.0)).sum(axis=0)
+        whole = told[..., 0].astype(np.float64)
+        for j in range(1, 4):
+            whole *= told[..., j]
+        inside = start + np.arange(shape[0])[:, None] < nibbles[None, : shape[1]]
+        out[: shape[1]] -= np.log2(np.where(inside, whole, 1.0)).sum(axis=0)
     lengths = np.empty(n)
-    lengths[order] = out
+    lengths[group.order] = out
     return lengths
 
 
