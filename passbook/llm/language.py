@@ -12,7 +12,9 @@ Training takes a bounded sample: of the labelled rows given, for each language t
 ``docs_per_language`` first distinct texts in hash order of doc_id, of which texts up to
 ``doc_bytes`` long come first.  Rows equal in doc_id and text count as one.  Of each
 text the trees read the first ``doc_bytes`` bytes, so the model and what reaches the
-driver stay of one size.  The prediction reads every text whole, in blocks of about a megabyte.
+driver stay of one size.  The prediction reads every text whole, a text beyond
+``PIECE_BYTES`` in pieces that carry the ``ORDER`` bytes before them, so memory does not
+grow with a text.
 
 Cases: a text that is NULL or has no letter is ``und`` with score 0; equal code
 lengths go to the language first by name; without any training row everything is
@@ -38,6 +40,7 @@ UNDETERMINED = "und"
 LAST_RESORT_BITS = 8.0
 DOCS_PER_LANGUAGE = 300
 DOC_BYTES = 8192
+PIECE_BYTES = 1 << 18
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,18 +89,34 @@ class Model:
         return out
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of each text in each language."""
-        data = np.frombuffer(_padded(texts), np.uint8)
-        ends = np.cumsum([len(text) + ORDER for text in texts]) - ORDER
-        starts = ends - np.array([len(text) for text in texts])
+        """Bits of each text in each language, coded from its start on."""
         bits = np.zeros((len(texts), len(self.languages)))
-        full = np.flatnonzero(ends > starts)
-        if len(full):
-            cost = np.append(self.cost(_keys(data, ORDER)), np.zeros((1, bits.shape[1]), np.float32), axis=0)
-            edges = np.column_stack([starts[full], ends[full]]).ravel()
-            bits[full] = np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[::2]
+        parts: list[bytes] = []
+        owners: list[int] = []
+        size = 0
+        for i, text in enumerate(texts):
+            padded = bytes(ORDER) + text
+            for start in range(0, len(text), PIECE_BYTES):
+                parts.append(padded[start : start + ORDER + PIECE_BYTES])
+                owners.append(i)
+                size += len(parts[-1])
+                if size >= PIECE_BYTES:
+                    np.add.at(bits, owners, self._lengths(parts))
+                    parts, owners, size = [], [], 0
+        if parts:
+            np.add.at(bits, owners, self._lengths(parts))
         return bits
 
+    def _lengths(self, parts: list[bytes]) -> np.ndarray:
+        """Bits of each part after its first ``ORDER`` bytes; no part is without others."""
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        ends = np.cumsum([len(part) for part in parts]) - ORDER
+        starts = ends - np.array([len(part) for part in parts]) + ORDER
+        cost = self.cost(_keys(data, ORDER))
+        cost = np.append(cost, np.zeros((1, cost.shape[1]), np.float32), axis=0)
+        edges = np.column_stack([starts, ends]).ravel()
+        return np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[::2]
+
 
 def fit(samples: dict[str, list[bytes]]) -> Model:
     """Trees of every language in ``samples``."""

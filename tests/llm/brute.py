@@ -59,17 +59,18 @@ class Union:
 
 
 def near(rows):
-    sets = {doc_id: shingles(text) for doc_id, text in rows if doc_id is not None}
-    groups, ids = Union(), sorted(d for d in sets if sets[d])
-    for k, a in enumerate(ids):
-        for b in ids[:k]:
+    """Rows are linked by their own texts; (doc_id, text) tells them apart."""
+    sets = {row: shingles(row[1]) for row in rows if row[0] is not None}
+    groups, keys = Union(), sorted((r for r in sets if sets[r]), key=lambda r: (r[0], r[1]))
+    for k, a in enumerate(keys):
+        for b in keys[:k]:
             both = len(sets[a] & sets[b])
             if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 groups.join(a, b)
     out = Counter()
-    for doc_id, text in rows:
-        root = None if doc_id is None else groups.find(doc_id)
-        out[doc_id, len(shingles(text)), root, root == doc_id] += 1
+    for row in rows:
+        root = None if row[0] is None else groups.find(row)[0]
+        out[row[0], len(shingles(row[1])), root, root == row[0]] += 1
     return out
 
 
@@ -137,16 +138,23 @@ def token_pieces(rows, size=4096):
 
 
 def contamination(rows, items):
-    windows = defaultdict(set)
+    terms_of = lambda text: TERM.findall((text or "").translate(LOW))
+    windows, pairs = defaultdict(set), defaultdict(set)
+    texts = {(d, t): terms_of(t) for d, t in rows}
+    seen = Counter(word for d, t in rows for word in texts[d, t])
     for item_id, text in items:
-        words = TERM.findall((text or "").translate(LOW))
+        words = terms_of(text)
         size = min(13, len(words))
         for i in range(len(words) - size + 1 if words else 0):
-            windows[tuple(words[i : i + size])].add(item_id)
+            window = words[i : i + size]
+            windows[tuple(window)].add(item_id)
+            if all(seen[w] for w in window):
+                rare = sorted((seen[w], w, k) for k, w in enumerate(window))
+                pairs[item_id, tuple(words)].add((rare[0][1], rare[min(1, size - 1)][1], size == 1))
     sizes = {len(w) for w in windows}
     out = Counter()
     for doc_id, text in rows:
-        words = TERM.findall((text or "").translate(LOW))
+        words = texts[doc_id, text]
         hit, ids = set(), set()
         for size in sizes:
             for i in range(len(words) - size + 1):
@@ -155,7 +163,18 @@ def contamination(rows, items):
                     ids |= found
         names = sorted(str(i) for i in ids if i is not None)
         bad = len(hit) > 0 and 20 * len(hit) >= len(words)
-        out[doc_id, len(words), len(hit), len(names), sha(",".join(names)), bad] += 1
+        places = defaultdict(list)
+        for k, word in enumerate(words):
+            places[word].append(k)
+        near = sum(
+            any(
+                alone or any(p != q and abs(p - q) <= 13 for p in places[one] for q in places[two])
+                for one, two, alone in rules
+                if places[one] and places[two]
+            )
+            for rules in pairs.values()
+        )
+        out[doc_id, len(words), len(hit), len(names), sha(",".join(names)), bad, near] += 1
     return out
 
 
@@ -263,32 +282,63 @@ def code_length(text, tables):
             symbol, back = whole[at], whole[at - m.LOOK_BACK : at]
             keys = []
             for order in m.ORDERS:
-                keys.append(int.from_bytes(bytes([order]) + back[-order:][::-1], "big"))
+                keys.append(int.from_bytes(bytes([order]) + back[-order:], "big"))
             word = back[max((i + 1 for i, c in enumerate(back) if c in b"\0\t\n\v\f\r "), default=0) :]
             keys.append(sum((c + 1) * pow(m._BASE, i, 1 << 64) for i, c in enumerate(word)) + len(word))
-            for j in range(8):
-                half, votes = symbol >> 4 if j < 4 else symbol & 15, []
+            nibbles = [(0, m.FREQUENT.find(symbol))]
+            if nibbles[0][1] < 0:
+                nibbles = [(0, m.ESCAPE), (1, symbol >> 4), (2, symbol & 15)]
+            for j, (kind, value) in [(j, nibble) for nibble in nibbles for j in range(4)]:
+                votes, j = [], 4 * kind + j
                 for k, key in enumerate(keys):
-                    high = key * (m._BASE + 2 * k) % (1 << 64)
-                    low = ((high ^ (high >> 29)) + (symbol >> 4) + 1) * m._SPREAD % (1 << 64)
-                    tree = ((high if j < 4 else low) >> (64 - m.SLOT_BITS + 4)) << 4
-                    votes.append(int(np.array([tables[k][tree + half]], np.uint32).view(np.int8)[j % 4]))
-                gate, one = (j, sum(v != 0 for v in votes)), (symbol >> (7 - j)) & 1
+                    key = key * (m._BASE + 2 * k) % (1 << 64)
+                    if kind > 0:
+                        key = ((key ^ (key >> 29)) + 1) * m._SPREAD % (1 << 64)
+                    if kind > 1:
+                        key = ((key ^ (key >> 29)) + (symbol >> 4)) * m._SPREAD % (1 << 64)
+                    tree = (key >> (64 - m.SLOT_BITS + 4)) << 4
+                    votes.append(int(np.array([tables[k][tree + value]], np.uint32).view(np.int8)[j % 4]))
+                gate, one = (j, sum(v != 0 for v in votes)), (value >> (3 - j % 4)) & 1
                 x, w = [v / m.STEP for v in votes], weights[gate]
                 mix = sum(a * b for a, b in zip(x, w, strict=True))
                 p = 1 / (1 + math.exp(-mix))
                 weights[gate] = [b + (one - p) * m.RATE * a for a, b in zip(x, w, strict=True)]
-                place = (min(max(mix, -m.MAP_REACH + 1e-3), m.MAP_REACH - 1e-3) + m.MAP_REACH) * 2
-                cell, part = int(place), place - int(place)
-                got = [maps.get((j, c), 1 / (1 + math.exp(m.MAP_REACH - c / 2))) for c in (cell, cell + 1)]
-                p = (p + got[0] + part * (got[1] - got[0])) / 2
-                near = cell + (part > 0.5)
-                maps[j, near] = got[near - cell] + (one - got[near - cell]) * m.MAP_RATE
+                cell = round(min(max(mix * 2, -16), 16))
+                refined = maps.get((j, cell), 1 / (1 + math.exp(-cell / 2)))
+                p = (p + refined) / 2
+                maps[j, cell] = refined + (one - refined) * m.MAP_RATE
                 p = (p if one else 1 - p) * (1 - 2 * m.LEAST) + m.LEAST
                 bits -= math.log2(p)
     return bits
 
 
+def ppm_bits(samples, text, order=3):
+    """Bits of a text in each language of ``samples``, by counts in plain dicts."""
+    out = {}
+    for lang, texts in samples.items():
+        counts = defaultdict(Counter)
+        for one in texts:
+            padded = bytes(order) + one
+            for at in range(order, len(padded)):
+                for n in range(order + 1):
+                    counts[padded[at - n : at]][padded[at]] += 1
+        bits, padded = 0.0, bytes(order) + text
+        for at in range(order, len(padded)):
+            for n in range(order, -1, -1):
+                seen = counts.get(padded[at - n : at])
+                if seen is None:
+                    continue
+                total, distinct = seen.total(), len(seen)
+                if padded[at] in seen:
+                    bits += math.log2((total + distinct) / seen[padded[at]])
+                    break
+                bits += math.log2((total + distinct) / distinct)
+            else:
+                bits += 8
+        out[lang] = bits
+    return out
+
+
 def trie(rows):
     """The contract's rows for (conv_id, turn, role, text)."""
     own = defaultdict(list)
