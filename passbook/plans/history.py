@@ -15,6 +15,8 @@ WINDOW_DAYS = 88
 DAY_SECONDS = 86_400
 # Transactions in one nested list at most.
 LIST_ROWS = 10_000
+# What the place of a row in its snapshot depends on.
+PLACED_BY = ("bank_account_name", "posted_at_timestamp", "txn_id")
 
 
 def as_of_dates(as_of: str, start: str, every_days: int) -> list[dt.date]:
@@ -115,13 +117,22 @@ def trailing_windows(
 
 
 def trailing_rows(
-    fact: DataFrame, as_of: str, start: str, every_days: int, window_days: int = WINDOW_DAYS
+    fact: DataFrame,
+    as_of: str,
+    start: str,
+    every_days: int,
+    window_days: int = WINDOW_DAYS,
+    columns: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """The rows of every snapshot with their ``position`` per date and account.
 
     Position 1 is the newest row, ties go by id.  The rows are range-sorted once, so an
-    account, or one day of it, that holds much of all rows spreads over tasks.
+    account, or one day of it, that holds much of all rows spreads over tasks.  Every
+    column of ``fact`` is sorted and stored with its row; ``columns`` names those that the
+    caller reads, beside the account, the time and the id.
     """
+    if columns is not None:
+        fact = fact.select(*dict.fromkeys([*PLACED_BY, *columns]))
     rows = trailing_windows(fact, as_of, start, every_days, window_days)
     newest = [F.col("posted_at_timestamp").desc(), F.col("txn_id").asc()]
     return placed(rows, ["as_of_date", "bank_account_name"], newest, "position")
@@ -135,7 +146,8 @@ def trailing_snapshots(
     A part is ``LIST_ROWS`` successive positions of one account, numbered from 0, so no
     list outgrows a row however busy an account is.
     """
-    rows = trailing_rows(fact, as_of, start, every_days, window_days)
+    columns = ("bank_account_id", "amount", "txn_description", "payee")
+    rows = trailing_rows(fact, as_of, start, every_days, window_days, columns)
     rows = rows.withColumn("part", F.floor((F.col("position") - 1) / LIST_ROWS))
     posted = F.unix_seconds("posted_at_timestamp")
     txn = F.struct(

@@ -21,6 +21,7 @@ from passbook.plans.refresh import refresh_all
 from passbook.session import configure, scratch_path
 from passbook.sources.seeds import merchant_catalog
 from passbook.sources.snapshots import (
+    SNAPSHOT_GLOB,
     flatten_accounts,
     list_files,
     read_arrivals,
@@ -163,7 +164,8 @@ def _without_some_names(fact: DataFrame) -> DataFrame:
 def trailing_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every snapshot's rows in order, some of accounts without a name."""
     fact = _without_some_names(Warehouse(spark, sf_dir).table("fact_transactions"))
-    return history.trailing_rows(fact, **HISTORY).select(
+    columns = ("amount", "txn_description", "payee")
+    return history.trailing_rows(fact, **HISTORY, columns=columns).select(
         "as_of_date",
         "bank_account_name",
         "position",
@@ -187,7 +189,7 @@ def trailing_snapshot_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         }
     )
-    return history.trailing_rows(fact, **HISTORY).select(
+    return history.trailing_rows(fact, **HISTORY, columns=()).select(
         "as_of_date", "bank_account_name", "position", F.col("txn_id").alias("id")
     )
 
@@ -208,8 +210,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = history.trailing_snapshots(fact, **HISTORY)
     documents = history.snapshot_documents(nested, balances, "Bank")
     root = scratch_path(spark, "snapshots")
-    documents.write.option("ignoreNullFields", False).json(f"{root}/transactions/2001/06/15")
-    return read_snapshots(spark, root, one_document_per_file=False)
+    # Snapshots overlap, so their text repeats itself; a file is what one task wrote.
+    writer = documents.write.option("ignoreNullFields", False).option("compression", "gzip")
+    writer.json(f"{root}/transactions/2001/06/15")
+    return read_snapshots(spark, root, f"{SNAPSHOT_GLOB}.gz", one_document_per_file=False)
 
 
 def snapshot_scan_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
