@@ -9,6 +9,10 @@ expression runs on these hits alone.
 A pattern with an alternative without three literal characters in a row, or of a form
 that ``literal_grams`` does not read, could match any text.  It is filed under the empty
 gram, which every description holds too; both sides spread over ``SPREAD`` salts there.
+
+Descriptions, patterns and what comes of them are joined by shuffle and sort.  Spark would
+judge their size by the compressed files they come from, where names that repeat are next
+to nothing, and gather millions of them in the driver for a broadcast.
 """
 
 from __future__ import annotations
@@ -115,7 +119,7 @@ def matches(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """Distinct pairs of a ``text`` and a ``pattern`` that matches somewhere in it."""
     texts = texts.where("text IS NOT NULL").distinct()
     patterns = patterns.where("pattern IS NOT NULL").distinct()
-    hits = _held(texts).join(pattern_index(patterns, texts), ["gram", "salt"])
+    hits = _held(texts).join(pattern_index(patterns, texts).hint("merge"), ["gram", "salt"])
     found = hits.where(F.rlike("text", java_pattern_column(F.col("pattern"))))
     return found.select("text", "pattern").distinct()
 
@@ -128,7 +132,7 @@ def categorize(df: DataFrame, catalog: DataFrame, text: str) -> DataFrame:
     """
     patterns = catalog.select(F.col("regex_match_pat").alias("pattern"))
     found = matches(df.select(F.col(text).alias("text")), patterns)
-    ranked = found.join(catalog, F.col("pattern") == F.col("regex_match_pat"))
+    ranked = found.hint("merge").join(catalog, F.col("pattern") == F.col("regex_match_pat"))
     best = first_per_key(ranked, ["text"], [F.col(name).asc_nulls_last() for name in CATALOG_ORDER])
     hit = best.select(
         F.col("text").alias("_text"),
@@ -136,7 +140,7 @@ def categorize(df: DataFrame, catalog: DataFrame, text: str) -> DataFrame:
         F.col("merchant_subcategory").alias("_subcategory"),
         "match_priority",
     )
-    return df.join(hit, F.col(text) == F.col("_text"), "left").select(
+    return df.join(hit.hint("merge"), F.col(text) == F.col("_text"), "left").select(
         *df.columns,
         F.coalesce("_category", F.lit(UNKNOWN)).alias("merchant_category"),
         F.coalesce("_subcategory", F.lit(UNKNOWN)).alias("merchant_subcategory"),

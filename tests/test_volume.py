@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from passbook.operators.categorize import categorize
 from passbook.plans import history
+from tests.plan import plan_of
 from tests.rows import fact, flat_row
 
 ROWS = [
@@ -29,3 +33,18 @@ def test_snapshots_place_only_the_columns_they_list(spark, monkeypatch):
     assert stored[1] == {"as_of_date", "bank_account_name", "posted_at_timestamp", "txn_id"}
     whole = history.trailing_rows(fact(spark, ROWS), *dates).select(*few.columns)
     assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_categories_are_not_gathered_for_a_broadcast(spark, tmp_path):
+    texts = spark.range(50).select(F.concat(F.lit("shop number "), "id").alias("text"))
+    texts.write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    rules = texts.select(
+        F.lit("c").alias("merchant_category"),
+        F.lit("s").alias("merchant_subcategory"),
+        F.concat(F.lit("^"), "text", F.lit("$")).alias("regex_match_pat"),
+        F.lit(1).alias("match_priority"),
+    )
+    found = categorize(texts, rules, "text")
+    assert plan_of(found).count("SortMergeJoin") >= 3
+    assert found.where("merchant_category = 'c'").count() == 50
