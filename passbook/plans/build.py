@@ -60,7 +60,7 @@ def build_all(
 
             def store(table: str, df: DataFrame) -> DataFrame:
                 watch = list(NOT_NULL.get(table, ())) if table in WATCHED else None
-                return release.write(df, table, CLUSTERED_BY.get(table), watch)
+                return release.write(df, table, CLUSTERED_BY.get(table), watch, star.derived_columns(table))
 
             if stores is None:
                 raw = read_snapshots(spark, root) if snapshots is None else snapshots

@@ -19,6 +19,7 @@ from passbook.functions.text import (
     EXPENSE_TRANSFER_WORDS,
     counts_as_spending,
     mentions,
+    merchant_key,
 )
 from passbook.operators.contract import enforce_contract
 from passbook.operators.latest import collapse_near_duplicates
@@ -35,10 +36,15 @@ def labelled_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
 
     The three detail marts are filters over this.  What they filter on is either
     a collapse key or fixed by one, so collapsing first gives the same rows, and
-    Catalyst still moves the filters below the collapse and the join.
+    Catalyst still moves the filters below the collapse and the join.  The merchant
+    key, a digest of two collapse keys, is taken anew after the collapse: as text it
+    would be a third of what the collapse shuffles.
     """
+    collapsed = collapse_near_duplicates(fact.drop("merchant_category_key"))
     return salted_lookup(
-        collapse_near_duplicates(fact),
+        collapsed.withColumn(
+            "merchant_category_key", merchant_key(F.col("payee"), F.col("txn_description"))
+        ),
         merchants.select(
             "merchant_category_key",
             "merchant_category",

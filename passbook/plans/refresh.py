@@ -74,7 +74,7 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
         with Release(spark, root) as release:
 
             def store(table: str, df: DataFrame) -> DataFrame:
-                return release.write(df, table, CLUSTERED_BY.get(table))
+                return release.write(df, table, CLUSTERED_BY.get(table), derived=star.derived_columns(table))
 
             fact, merchants = stored("fact_transactions"), stored("dim_merchant")
             arrived = staged(star.latest_transactions(arrived), "arrived")

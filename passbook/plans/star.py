@@ -72,6 +72,13 @@ def latest_transactions(flat: DataFrame) -> DataFrame:
     )
 
 
+def derived_columns(table: str) -> dict[str, Column]:
+    """Columns of a table that its other columns fix; a sort of its rows need not carry them."""
+    if table == "fact_transactions":
+        return {"merchant_category_key": merchant_key(F.col("payee"), F.col("txn_description"))}
+    return {}
+
+
 def as_fact(latest: DataFrame, loaded_at: Column | str | None = None) -> DataFrame:
     """Merchant key and load time added to rows that are unique by id."""
     fact = latest.withColumns(

@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from passbook.operators.contract import enforce_contract
@@ -84,6 +84,7 @@ class Release:
         table: str,
         clustered_by: list[str] | None = None,
         watch_nulls: list[str] | None = None,
+        derived: dict[str, Column] | None = None,
     ) -> DataFrame:
         """Store a table in this release and read it back from there.
 
@@ -91,6 +92,8 @@ class Release:
         on its first column skip files and row groups.  Give a second, near-unique
         column with it: a value that holds much of the table then spans many files.
         The rows are stored once before, as a range exchange reads its input twice.
+        ``derived`` columns follow from others by these expressions; they are left out of
+        the exchange and taken anew after it.
         ``watch_nulls`` counts rows and NULLs of these columns on the way; see ``counts``.
         """
         checked, path = enforce_contract(df, table), _release_path(self.root, self.name, table)
@@ -99,10 +102,12 @@ class Release:
         if clustered_by:
             staged = scratch_path(self.spark, f"unsorted-{table}")
             try:
-                checked.write.parquet(staged)
+                narrow = checked.drop(*(derived or {}))
+                narrow.write.parquet(staged)
                 order = [F.col(name).asc_nulls_last() for name in clustered_by]
-                rows = self.spark.read.schema(CONTRACTS[table]).parquet(staged)
-                rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+                rows = self.spark.read.schema(narrow.schema).parquet(staged)
+                rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+                rows.withColumns(derived or {}).select(*CONTRACTS[table].names).write.parquet(path)
             finally:
                 remove_folder(self.spark, staged)
         else:

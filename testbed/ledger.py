@@ -99,9 +99,10 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
         F.array(F.lit(""), F.lit("-again")),
     ).otherwise(F.array(F.lit("")))
+    # Orders meet their customers first, as there are fewer of them than lines.
+    orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return (
         line.join(orders, line.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
         .join(part, line.l_partkey == part.p_partkey)
         .select(
             F.col("o_custkey").cast("string").alias("bank_account_id"),

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from passbook.operators.categorize import categorize
-from passbook.plans import history
+from passbook.plans import history, marts, star
+from passbook.sources.tables import Release
 from tests.plan import plan_of
-from tests.rows import fact, flat_row
+from tests.rows import catalog, fact, flat_row
 
 ROWS = [
     flat_row("t1", "2026-03-01T10:00:00", "-5.00"),
@@ -48,3 +49,32 @@ def test_categories_are_not_gathered_for_a_broadcast(spark, tmp_path):
     found = categorize(texts, rules, "text")
     assert plan_of(found).count("SortMergeJoin") >= 3
     assert found.where("merchant_category = 'c'").count() == 50
+
+
+def test_the_collapse_shuffles_no_merchant_key(spark, tmp_path):
+    fact(spark, ROWS).write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    merchants = star.dim_merchant(stored, catalog(spark, [("food", "shop", "shop", 1)]))
+    merchants.write.parquet(str(tmp_path / "merchants"))
+    labelled = marts.labelled_transactions(stored, spark.read.parquet(str(tmp_path / "merchants")))
+    scan = next(s for s in plan_of(labelled).split("\n\n") if "Scan parquet" in s and "filename" in s)
+    assert "merchant_category_key" not in scan
+    keys = {r.txn_id: r.merchant_category_key for r in stored.collect()}
+    got = {r.txn_id: r.merchant_category_key for r in labelled.collect()}
+    assert got == {name: keys[name] for name in ("t1", "t3", "t4")}
+
+
+def test_derived_columns_are_taken_anew_after_the_sort(spark, tmp_path):
+    rows = fact(spark, ROWS)
+    with Release(spark, str(tmp_path)) as release:
+        back = release.write(
+            rows, "fact_transactions", ["posted_at_timestamp", "txn_id"], ["txn_id"], star.derived_columns("fact_transactions")
+        )
+        release.publish()
+    assert back.columns == rows.columns
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_tasks_read_bounded_pieces(spark):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
