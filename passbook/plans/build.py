@@ -17,7 +17,7 @@ from passbook.sources.seeds import merchant_catalog, pay_rates
 from passbook.sources.snapshots import flatten_accounts, flatten_transactions, read_snapshots
 from passbook.sources.tables import Release
 
-# Detail tables are clustered by time, which their reports filter on.
+# Files of these tables are sorted by time, which reports filter on.
 CLUSTERED_BY = {
     "fact_transactions": ["posted_at_timestamp", "txn_id"],
     "rpt_expenses_detail": ["posted_at_timestamp", "txn_description", "account"],
@@ -79,7 +79,8 @@ def build_all(
             merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
 
             # One collapse and one join of the fact serve all three detail marts.
-            labelled = staged(marts.labelled_transactions(fact, merchants), "labelled-transactions")
+            labelled = marts.labelled_transactions(fact, merchants).select(*marts.LABELLED)
+            labelled = staged(labelled, "labelled-transactions")
             expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
             income = store("rpt_income_detail", marts.income_of(labelled))
             unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))

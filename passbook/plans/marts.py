@@ -31,6 +31,18 @@ GREY_BAND = 25
 
 COLORS = ("green", "red", "grey", "black")
 
+# What the three detail marts read of a labelled transaction.
+LABELLED = (
+    "posted_at_timestamp",
+    "merchant_category",
+    "merchant_subcategory",
+    "merchant_total",
+    "payee",
+    "txn_description",
+    "bank_account_name",
+    "amount",
+)
+
 def labelled_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     """Near duplicates collapsed, then the merchant's columns attached.
 

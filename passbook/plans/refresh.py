@@ -37,12 +37,31 @@ def _matched(rows: DataFrame, keys: DataFrame, on: Column | str, name: str, how:
     return rows.join(wanted, value.eqNullSafe(F.col("_wanted")), how)
 
 
-def changed_transactions(fact: DataFrame, arrived: DataFrame) -> DataFrame:
-    """The arrived rows that take the place of a stored one or of none, by id."""
+def _digest(names: list[str]) -> Column:
+    """128 bits of a row's values; NULLs count, as a hash of columns passes over them."""
+    parts = [F.col(name) for name in names] + [F.col(name).isNull() for name in names]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
+
+
+def judged_arrivals(fact: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Arrived rows, one per id, that are not stored as they are; ``is_new`` if their id is not.
+
+    Of the fact only ids and digests are shuffled.  A row without id is never called new.
+    """
+    names = FLAT_TRANSACTION.names
+    known = fact.select(F.col("txn_id").alias("_id"), _digest(names).alias("_stored"))
+    met = star.latest_transactions(arrived.select(*names)).join(known, F.col("txn_id") == F.col("_id"), "left")
+    is_new = F.col("txn_id").isNotNull() & F.col("_id").isNull()
+    same = F.coalesce(F.col("_stored") == _digest(names), F.lit(False))
+    return met.where(~same).select(*names, is_new.alias("is_new"))
+
+
+def corrected_transactions(fact: DataFrame, judged: DataFrame) -> DataFrame:
+    """The judged rows that take the place of a stored one of their id."""
     names = FLAT_TRANSACTION.names
-    stored = _matched(fact, arrived, "txn_id", "txn_id", "left_semi").select(*names)
-    winners = star.latest_transactions(stored.unionByName(arrived.select(*names)))
-    return winners.subtract(stored)
+    contested = judged.where(~F.col("is_new")).select(*names)
+    stored = _matched(fact, contested, "txn_id", "txn_id", "left_semi").select(*names)
+    return star.latest_transactions(stored.unionByName(contested)).subtract(stored)
 
 
 def _differing(before: DataFrame, after: DataFrame, amount: str, step: Column) -> DataFrame:
@@ -77,10 +96,13 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 return release.write(df, table, CLUSTERED_BY.get(table), derived=star.derived_columns(table))
 
             fact, merchants = stored("fact_transactions"), stored("dim_merchant")
-            arrived = staged(star.latest_transactions(arrived), "arrived")
-            changed = staged(star.as_fact(changed_transactions(fact, arrived)), "changed")
-            replaced = _matched(fact, changed, "txn_id", "txn_id", "left_semi")
-            kept = _matched(fact, changed, "txn_id", "txn_id", "left_anti")
+            judged = staged(judged_arrivals(fact, arrived), "judged")
+            corrected = staged(corrected_transactions(fact, judged), "corrected")
+            fresh_rows = judged.where("is_new").drop("is_new")
+            changed = staged(star.as_fact(fresh_rows.unionByName(corrected)), "changed")
+            # New ids replace nothing: the fact meets the corrections alone.
+            replaced = _matched(fact, corrected, "txn_id", "txn_id", "left_semi")
+            kept = _matched(fact, corrected, "txn_id", "txn_id", "left_anti")
             fact_now = store("fact_transactions", kept.unionByName(changed))
 
             # Period sums end at the newest posting, so all that look back on it move.
@@ -91,14 +113,16 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 year_ago = F.lit(before) - F.expr(PERIODS["year"])
                 keys = keys.unionByName(merchants.where(F.col("latest_txn_at") >= year_ago).select(KEY))
             keys = staged(keys.distinct(), "merchants")
-            touched = staged(_matched(fact_now, keys, KEY, KEY, "left_semi"), "touched")
+            # The key follows from payee and description, and its readers take it anew.
+            touched = staged(_matched(fact_now, keys, KEY, KEY, "left_semi").drop(KEY), "touched")
             catalog = stored("map_merchant_category_regex")
             fresh = staged(star.dim_merchant(touched, catalog, newest=F.lit(now)), "fresh-merchants")
             merchants_now = store(
                 "dim_merchant", _matched(merchants, keys, KEY, KEY, "left_anti").unionByName(fresh)
             )
 
-            labelled = staged(marts.labelled_transactions(touched, fresh), "labelled")
+            labelled = marts.labelled_transactions(touched, fresh).select(*marts.LABELLED)
+            labelled = staged(labelled, "labelled")
             differing = {}
             details = {}
             for table, rows, payee, amount in (

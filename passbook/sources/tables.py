@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from passbook.operators.contract import enforce_contract
 from passbook.operators.quality import watched
 from passbook.schemas import CONTRACTS
-from passbook.session import scratch_path
 from passbook.sources.folders import create_text, file_names, read_text, remove_folder, sub_folders
 from passbook.sources.paths import data_path, table_path
 
@@ -88,28 +87,21 @@ class Release:
     ) -> DataFrame:
         """Store a table in this release and read it back from there.
 
-        ``clustered_by`` range-partitions and sorts the files, so that later filters
-        on its first column skip files and row groups.  Give a second, near-unique
-        column with it: a value that holds much of the table then spans many files.
-        The rows are stored once before, as a range exchange reads its input twice.
+        ``clustered_by`` sorts the rows of each file as the tasks hold them, without an
+        exchange: every file is a sorted run, of which a later filter on the first column
+        reads only the row groups and pages it meets.  A value that holds much of the table
+        lies in many files, as its rows are dealt by other columns before.
         ``derived`` columns follow from others by these expressions; they are left out of
-        the exchange and taken anew after it.
+        the sort and taken anew after it.
         ``watch_nulls`` counts rows and NULLs of these columns on the way; see ``counts``.
         """
         checked, path = enforce_contract(df, table), _release_path(self.root, self.name, table)
         if watch_nulls is not None:
             checked, self._seen[table] = watched(checked, watch_nulls)
         if clustered_by:
-            staged = scratch_path(self.spark, f"unsorted-{table}")
-            try:
-                narrow = checked.drop(*(derived or {}))
-                narrow.write.parquet(staged)
-                order = [F.col(name).asc_nulls_last() for name in clustered_by]
-                rows = self.spark.read.schema(narrow.schema).parquet(staged)
-                rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-                rows.withColumns(derived or {}).select(*CONTRACTS[table].names).write.parquet(path)
-            finally:
-                remove_folder(self.spark, staged)
+            order = [F.col(name).asc_nulls_last() for name in clustered_by]
+            rows = checked.drop(*(derived or {})).sortWithinPartitions(*order)
+            rows.withColumns(derived or {}).select(*CONTRACTS[table].names).write.parquet(path)
         else:
             checked.write.parquet(path)
         self._tables.append(table)

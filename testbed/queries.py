@@ -569,8 +569,9 @@ def _whole_build(spark: SparkSession, sf_dir: str) -> str:
     posted = F.timestamp_seconds(F.col("accounts")[0]["transactions"][0]["posted"])
     raw = raw.withColumns({"year": F.year(posted), "month": F.month(posted), "day": F.lit(1)})
     pull = ["year", "month", "day"]
-    raw.repartition(*pull).write.partitionBy(*pull).json(f"{root}/transactions")
-    documents = read_snapshots(spark, root, one_document_per_file=False)
+    writer = raw.repartition(*pull).write.partitionBy(*pull).option("compression", "gzip")
+    writer.json(f"{root}/transactions")
+    documents = read_snapshots(spark, root, f"{SNAPSHOT_GLOB}.gz", one_document_per_file=False)
     pay = scratch_path(spark, "pay-csv")
     testbed_pay(spark).write.option("header", True).csv(pay)
     patterns = scratch_path(spark, "patterns-csv")
@@ -604,7 +605,11 @@ def _refreshed_build(spark: SparkSession, sf_dir: str) -> str:
         return _refreshed[key]
     configure(spark)
     root = scratch_path(spark, "refreshed")
+    # Read by the build and by the refresh, so stored once.
+    path = scratch_path(spark, "ledger")
     rows = ledger(spark, sf_dir).withColumn("filename", F.lit("ledger"))
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
     order = F.split_part("txn_id", F.lit("-"), F.lit(1)).cast("long")
     year = F.year("posted_at_timestamp")
     late = (year < 1995) | (order % 7 == 0)

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from passbook.operators.categorize import categorize
 from passbook.plans import history, marts, star
+from passbook.plans.refresh import corrected_transactions, judged_arrivals
 from passbook.sources.tables import Release
 from tests.plan import plan_of
-from tests.rows import catalog, fact, flat_row
+from tests.rows import catalog, fact, flat, flat_row
 
 ROWS = [
     flat_row("t1", "2026-03-01T10:00:00", "-5.00"),
@@ -75,6 +76,45 @@ def test_derived_columns_are_taken_anew_after_the_sort(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 
+def test_files_are_sorted_runs_without_an_exchange(spark, tmp_path):
+    rows = [flat_row(f"t{k}", f"2026-03-{k % 28 + 1:02d}T10:00:00", "-5.00") for k in range(60)]
+    dealt = fact(spark, rows).repartition(4)
+    with Release(spark, str(tmp_path)) as release:
+        back = release.write(dealt, "fact_transactions", ["posted_at_timestamp", "txn_id"])
+        release.publish()
+    files: dict = {}
+    for row in back.select("_metadata.file_path", "_metadata.row_index", "posted_at_timestamp", "txn_id").collect():
+        files.setdefault(row.file_path, []).append((row.row_index, row.posted_at_timestamp, row.txn_id))
+    assert len(files) == 4 and back.count() == 60
+    for members in files.values():
+        in_file = [m[1:] for m in sorted(members)]
+        assert in_file == sorted(in_file)
+
+
+def test_arrivals_are_judged_by_ids_and_digests(spark, tmp_path):
+    fact(spark, [*ROWS, flat_row(None, "2026-03-01T10:00:00", "-1.00")]).write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    arrived = [
+        ROWS[0],
+        ROWS[2],
+        ROWS[2],
+        flat_row("t2", "2026-02-01T10:00:00", "-6.00"),
+        flat_row("t4", "2026-03-03T10:00:00", "9.00", description="now told"),
+        flat_row("t5", "2026-03-04T10:00:00", "1.00", payee=None),
+        flat_row(None, "2026-03-02T10:00:00", "-2.00"),
+    ]
+    flat(spark, arrived).write.parquet(str(tmp_path / "arrived"))
+    judged = judged_arrivals(stored, spark.read.parquet(str(tmp_path / "arrived")))
+    got = {r.txn_id: r.is_new for r in judged.collect()}
+    assert got == {"t2": False, "t4": False, "t5": True, None: False}
+    # An older posting and an unchanged row replace nothing.
+    corrected = corrected_transactions(stored, judged)
+    assert {(r.txn_id, str(r.amount)) for r in corrected.collect()} == {("t4", "9.00"), (None, "-2.00")}
+    # The fact's part of the shuffle is two columns.
+    exchanges = [part for part in plan_of(judged).split("\n\n") if "Exchange" in part and "_stored" in part]
+    assert exchanges and not any("txn_description" in part.split("Input", 1)[1].split("\n")[0] for part in exchanges)
+
+
 def test_tasks_read_bounded_pieces(spark):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
