@@ -249,16 +249,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     with Temporary() as temp:
         docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
         every = docs.mapInArrow(_features, FEATURES).withColumn("node", F.monotonically_increasing_id())
-        every = temp(every, "features")
-        rows = stored(every.select("node", "doc_id", "version", "n_shingles"), "sizes")
-        usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("node").alias("rep"))
-        classes = temp(classes, "classes")
-        same = ["n_shingles", "set_a", "set_b"]
-        member = temp(usable.select("node", *same).join(classes, same).select("node", "rep"), "members")
-        reps = classes.select(F.col("rep").alias("node"))
-        features = usable.join(reps, "node", "left_semi").select("node", "n_shingles", "bits", "bands")
-        features = temp(features, "representatives")
+        # All features go as soon as the representatives' are stored.
+        with Temporary() as first:
+            every = first(every, "features")
+            rows = stored(every.select("node", "doc_id", "version", "n_shingles"), "sizes")
+            usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
+            classes = usable.groupBy("n_shingles", "set_a", "set_b").agg(F.min("node").alias("rep"))
+            classes = first(classes, "classes")
+            same = ["n_shingles", "set_a", "set_b"]
+            member = temp(usable.select("node", *same).join(classes, same).select("node", "rep"), "members")
+            reps = classes.select(F.col("rep").alias("node"))
+            features = usable.join(reps, "node", "left_semi").select("node", "n_shingles", "bits", "bands")
+            features = temp(features, "representatives")
 
         banded = features.select("node", F.explode("bands").alias("bucket"))
         full = banded.groupBy("bucket").agg(

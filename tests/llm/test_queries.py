@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from passbook.llm import decontaminate, language, line_dedup, minhash, mixing, prefix_trie, registry, resampling, token_counts, token_output
+from passbook.session import shared_dir
+from passbook.sources.folders import sub_folders
 from tests.compare import connect, difference
 from tests.llm import brute
 
@@ -386,3 +388,21 @@ def test_memory_of_the_language_model_does_not_grow_with_a_text():
         peaks.append(tracemalloc.get_traced_memory()[1])
         tracemalloc.stop()
     assert peaks[1] < peaks[0] + 2 * (1 << 23)
+
+
+def test_all_features_go_before_buckets_are_compared(spark, monkeypatch):
+    seen = []
+    components = minhash.components
+
+    def look(links):
+        app = spark.sparkContext.applicationId
+        names = {name.rpartition("-")[0] for name in sub_folders(spark, f"{shared_dir(spark)}/{app}")}
+        seen.append(names & {"features", "representatives"})
+        return components(links)
+
+    monkeypatch.setattr(minhash, "components", look)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + " more")], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 1}
+    assert seen and all(names == {"representatives"} for names in seen)
