@@ -89,8 +89,9 @@ class Release:
 
         ``clustered_by`` sorts the rows of each file as the tasks hold them, without an
         exchange: every file is a sorted run, of which a later filter on the first column
-        reads only the row groups and pages it meets.  A value that holds much of the table
-        lies in many files, as its rows are dealt by other columns before.
+        can skip row groups and pages.  Timestamps have the statistics for that only where
+        ``spark.sql.parquet.outputTimestampType`` is ``TIMESTAMP_MICROS``; Spark's default
+        has none.  Rows lie in the files of the tasks that hold them.
         ``derived`` columns follow from others by these expressions; they are left out of
         the sort and taken anew after it.
         ``watch_nulls`` counts rows and NULLs of these columns on the way; see ``counts``.
