@@ -71,19 +71,27 @@ def cents(price: Column) -> Column:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat ledger rows, with repeated ids and near duplicates."""
+    price = cents(F.col("l_extendedprice"))
+    returned = F.col("l_returnflag") == "R"
+    # Rows are narrowed before they are shuffled for a join: few columns, each text made up already.
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        "l_extendedprice",
-        "l_returnflag",
-        "l_linestatus",
+        F.when(returned, price).otherwise((-price).cast("decimal(14,2)")).alias("amount"),
+        (returned & (F.col("l_linestatus") == "F")).alias("again"),
         "l_shipdate",
     )
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer")
-    part = table(spark, sf_dir, "part")
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat_ws(" ", _mapped(F.col("c_mktsegment"), PRODUCTS), "c_name").alias("account"),
+    )
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat_ws(" ", "p_type", "p_name").alias("text"),
+        F.when(F.col("p_brand") != "Brand#25", F.col("p_brand")).alias("payee"),
+    )
 
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     urgent = priority == "1-URGENT"
@@ -94,11 +102,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((priority == "2-HIGH") & (status == "F"), "Interest charge on ")
         .otherwise("")
     )
-    price = cents(F.col("l_extendedprice"))
-    again = F.when(
-        (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
-        F.array(F.lit(""), F.lit("-again")),
-    ).otherwise(F.array(F.lit("")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", prefix.alias("prefix"))
+    suffixes = F.when(F.col("again"), F.array(F.lit(""), F.lit("-again"))).otherwise(F.array(F.lit("")))
     # Orders meet their customers first, as there are fewer of them than lines.
     orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return (
@@ -106,18 +111,14 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, line.l_partkey == part.p_partkey)
         .select(
             F.col("o_custkey").cast("string").alias("bank_account_id"),
-            F.concat_ws(" ", _mapped(F.col("c_mktsegment"), PRODUCTS), "c_name").alias(
-                "bank_account_name"
-            ),
+            F.col("account").alias("bank_account_name"),
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("txn_id"),
-            F.concat(prefix, F.concat_ws(" ", "p_type", "p_name")).alias("txn_description"),
-            F.when(F.col("p_brand") != "Brand#25", F.col("p_brand")).alias("payee"),
-            F.when(F.col("l_returnflag") == "R", price)
-            .otherwise((-price).cast("decimal(14,2)"))
-            .alias("amount"),
+            F.concat("prefix", "text").alias("txn_description"),
+            "payee",
+            "amount",
             F.col("l_shipdate").cast("timestamp").alias("posted_at_timestamp"),
             F.concat_ws("/", "l_partkey", "l_suppkey").alias("filename"),
-            F.explode(again).alias("suffix"),
+            F.explode(suffixes).alias("suffix"),
         )
         .withColumn("txn_id", F.concat("txn_id", "suffix"))
         .drop("suffix")

@@ -8,6 +8,7 @@ from passbook.operators.categorize import categorize
 from passbook.plans import history, marts, star
 from passbook.plans.refresh import corrected_transactions, judged_arrivals
 from passbook.sources.tables import Release
+from testbed.ledger import ledger
 from tests.plan import plan_of
 from tests.rows import catalog, fact, flat, flat_row
 
@@ -118,3 +119,30 @@ def test_arrivals_are_judged_by_ids_and_digests(spark, tmp_path):
 def test_tasks_read_bounded_pieces(spark):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+
+
+def test_ledger_lines_are_narrow_when_they_meet_their_orders(spark, tmp_path):
+    one = spark.range(1)
+    tables = {
+        "lineitem": "1L l_orderkey, 1 l_linenumber, 1L l_partkey, 1L l_suppkey, 10.5D l_extendedprice,"
+        " 'R' l_returnflag, 'F' l_linestatus, date'2026-03-01' l_shipdate",
+        "orders": "1L o_orderkey, 1L o_custkey, '1-URGENT' o_orderpriority, 'O' o_orderstatus",
+        "customer": "1L c_custkey, 'Customer#1' c_name, 'FURNITURE' c_mktsegment",
+        "part": "1L p_partkey, 'SMALL TIN' p_type, 'red plate' p_name, 'Brand#1' p_brand",
+    }
+    for name, columns in tables.items():
+        one.selectExpr(*columns.replace(", ", ",").split(",")).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = ledger(spark, str(tmp_path))
+        plan = plan_of(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [p.split("Input", 1)[1].split("\n")[0] for p in plan.split("\n\n") if ") Exchange" in p and "Input" in p]
+    assert len(exchanges) == 6
+    for wide in ("l_extendedprice", "l_returnflag", "l_linestatus", "o_orderpriority", "c_mktsegment", "p_type"):
+        assert not any(wide in columns for columns in exchanges)
+    want = ("1", "Mortgage Loan Customer#1", "Transfer to mortgage SMALL TIN red plate", "Brand#1", "0.10", "1/1")
+    names = ("bank_account_id", "bank_account_name", "txn_description", "payee", "amount", "filename")
+    got = {r.txn_id: tuple(str(r[n]) for n in names) for r in rows.collect()}
+    assert got == {"1-1": want, "1-1-again": want}
