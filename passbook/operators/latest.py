@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,49 @@ NEAR_DUPLICATE_KEYS = (
 )
 
 
+# Marks of repeated keys: bits a key while they last, and the most of them in all (32 MB).
+BITS_A_KEY = 16
+MOST_BITS = 1 << 28
+
+# Stores a table under a name and reads it back.
+Staged = Callable[[DataFrame, str], DataFrame]
+
+
+def repeats_apart(
+    stored: DataFrame, keys: list[str], staged: Staged, bits: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose keys occur once, and all others or None; some of the former may be among the latter.
+
+    Only hashes of the keys are shuffled to find those that repeat.  They are marked in a
+    table of bits, bounded whatever their number, that every task gets, so no row is
+    shuffled to be told apart.  Rows of equal keys have equal hashes and are never parted;
+    the more marks there are, the more rows without a double are taken for one with.
+    ``stored`` is read three times and should be a stored table.
+    """
+    hashed = F.xxhash64(*keys)
+    counted = stored.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = staged(counted.where("n > 1").select("_hash"), "repeated-keys")
+    n = repeated.count()
+    if n == 0:
+        return stored, None
+    size = bits or min(MOST_BITS, 1 << max(12, (BITS_A_KEY * n).bit_length()))
+    places = repeated.selectExpr(f"pmod(_hash, {size}L) AS place")
+    words = places.groupBy(F.expr("place div 64 AS word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))").alias("bits")
+    )
+    chunks = words.groupBy(F.expr("word div 64 AS _chunk")).agg(
+        F.expr("map_from_entries(collect_list(struct(cast(word % 64 AS int) AS at, bits)))").alias("found")
+    )
+    marks = staged(
+        chunks.selectExpr("_chunk", "transform(sequence(0, 63), i -> coalesce(found[i], 0L)) AS _words"), "marks"
+    )
+    place = F.pmod(hashed, F.lit(size))
+    marked = stored.withColumn("_place", place).withColumn("_chunk", F.expr("_place div 4096"))
+    marked = marked.join(F.broadcast(marks), "_chunk", "left")
+    again = F.expr("coalesce(getbit(_words[cast((_place div 64) % 64 AS int)], cast(_place % 64 AS int)) = 1, false)")
+    return marked.where(~again).select(*stored.columns), marked.where(again).select(*stored.columns)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key under ``order``; NULL keys form one group.
 
@@ -34,8 +79,14 @@ def latest_by(
     return first_per_key(df, keys, order)
 
 
-def collapse_near_duplicates(fact: DataFrame) -> DataFrame:
-    """Treat equal account, description, payee, time and amount as one row."""
+def collapse_near_duplicates(fact: DataFrame, staged: Staged | None = None) -> DataFrame:
+    """Treat equal account, description, payee, time and amount as one row.
+
+    With ``staged`` only rows that may have a double are shuffled, see ``repeats_apart``.
+    """
+    if staged is not None:
+        once, several = repeats_apart(fact, list(NEAR_DUPLICATE_KEYS), staged)
+        return once if several is None else once.unionByName(collapse_near_duplicates(several))
     ties = ("record_loaded_at_timestamp", "filename", "txn_id")
     return first_per_key(
         fact,

@@ -14,6 +14,23 @@ from pyspark.sql import functions as F
 PIECES = 100_000
 MIN_PIECE = 100_000
 
+# A stored table of at most so many rows is sent whole to every task.
+SMALL = 200_000
+
+
+def is_small(stored: DataFrame) -> bool:
+    """Whether a table has at most ``SMALL`` rows; it is counted, so it should be a stored one."""
+    return stored.count() <= SMALL
+
+
+def small(stored: DataFrame) -> DataFrame:
+    """``stored``, marked for a broadcast if it is small.
+
+    A small table is joined without a shuffle of the rows on the other side, whatever size
+    the session broadcasts by itself.
+    """
+    return F.broadcast(stored) if is_small(stored) else stored
+
 
 def salted_lookup(
     rows: DataFrame,

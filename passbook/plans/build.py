@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from passbook.functions.calendar import AsOf
 from passbook.operators import quality
+from passbook.operators.lookup import small
 from passbook.operators.quality import ERROR, WARN, Check
 from passbook.plans import marts, star
 from passbook.session import configure, scratch_path
@@ -73,13 +74,14 @@ def build_all(
             )
             rates = store("stg_payrate", pay_rates(spark, payrate_csv))
             accounts = store("dim_accounts", star.accounts_from_flat(flat_accounts))
-            fact = store("fact_transactions", star.fact_from_flat(flat_transactions))
+            latest = star.latest_of_stored(flat_transactions, staged)
+            fact = store("fact_transactions", star.as_fact(latest))
             days = store("dim_date", star.dim_date(spark, *calendar))
             pay = store("fact_daily_pay", star.fact_daily_pay(days, rates, as_of))
             merchants = store("dim_merchant", star.dim_merchant(fact, catalog))
 
             # One collapse and one join of the fact serve all three detail marts.
-            labelled = marts.labelled_transactions(fact, merchants).select(*marts.LABELLED)
+            labelled = marts.labelled_transactions(fact, small(merchants), staged).select(*marts.LABELLED)
             labelled = staged(labelled, "labelled-transactions")
             expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
             income = store("rpt_income_detail", marts.income_of(labelled))

@@ -22,7 +22,7 @@ from passbook.functions.text import (
     merchant_key,
 )
 from passbook.operators.contract import enforce_contract
-from passbook.operators.latest import collapse_near_duplicates
+from passbook.operators.latest import Staged, collapse_near_duplicates
 from passbook.operators.lookup import salted_lookup
 from passbook.operators.periods import PERIODS
 
@@ -43,16 +43,17 @@ LABELLED = (
     "amount",
 )
 
-def labelled_transactions(fact: DataFrame, merchants: DataFrame) -> DataFrame:
+def labelled_transactions(fact: DataFrame, merchants: DataFrame, staged: Staged | None = None) -> DataFrame:
     """Near duplicates collapsed, then the merchant's columns attached.
 
     The three detail marts are filters over this.  What they filter on is either
     a collapse key or fixed by one, so collapsing first gives the same rows, and
     Catalyst still moves the filters below the collapse and the join.  The merchant
     key, a digest of two collapse keys, is taken anew after the collapse: as text it
-    would be a third of what the collapse shuffles.
+    would be a third of what the collapse shuffles.  ``staged`` is for a stored fact and
+    keeps rows without a double out of the shuffle.
     """
-    collapsed = collapse_near_duplicates(fact.drop("merchant_category_key"))
+    collapsed = collapse_near_duplicates(fact.drop("merchant_category_key"), staged)
     return salted_lookup(
         collapsed.withColumn(
             "merchant_category_key", merchant_key(F.col("payee"), F.col("txn_description"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from passbook.functions.calendar import AsOf
 from passbook.functions.text import merchant_key
+from passbook.operators.lookup import is_small, small
 from passbook.operators.periods import PERIODS
 from passbook.plans import marts, star
 from passbook.plans.build import CLUSTERED_BY
@@ -101,8 +102,9 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
             fresh_rows = judged.where("is_new").drop("is_new")
             changed = staged(star.as_fact(fresh_rows.unionByName(corrected)), "changed")
             # New ids replace nothing: the fact meets the corrections alone.
-            replaced = _matched(fact, corrected, "txn_id", "txn_id", "left_semi")
-            kept = _matched(fact, corrected, "txn_id", "txn_id", "left_anti")
+            ids = small(corrected.select("txn_id"))
+            replaced = _matched(fact, ids, "txn_id", "txn_id", "left_semi")
+            kept = _matched(fact, ids, "txn_id", "txn_id", "left_anti")
             fact_now = store("fact_transactions", kept.unionByName(changed))
 
             # Period sums end at the newest posting, so all that look back on it move.
@@ -113,15 +115,19 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 year_ago = F.lit(before) - F.expr(PERIODS["year"])
                 keys = keys.unionByName(merchants.where(F.col("latest_txn_at") >= year_ago).select(KEY))
             keys = staged(keys.distinct(), "merchants")
+            few = is_small(keys)
+            keys = F.broadcast(keys) if few else keys
             # The key follows from payee and description, and its readers take it anew.
-            touched = staged(_matched(fact_now, keys, KEY, KEY, "left_semi").drop(KEY), "touched")
+            touched = _matched(fact_now, keys, KEY, KEY, "left_semi").drop(KEY)
+            # Where its rows are not shuffled to find it, reading it twice beats storing it.
+            touched = touched if few else staged(touched, "touched")
             catalog = stored("map_merchant_category_regex")
             fresh = staged(star.dim_merchant(touched, catalog, newest=F.lit(now)), "fresh-merchants")
             merchants_now = store(
                 "dim_merchant", _matched(merchants, keys, KEY, KEY, "left_anti").unionByName(fresh)
             )
 
-            labelled = marts.labelled_transactions(touched, fresh).select(*marts.LABELLED)
+            labelled = marts.labelled_transactions(touched, small(fresh), staged).select(*marts.LABELLED)
             labelled = staged(labelled, "labelled")
             differing = {}
             details = {}
@@ -138,7 +144,7 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 differing[table] = staged(_differing(old, rows, amount, day), f"days-{table}")
 
             expenses, income = details["rpt_expenses_detail"], details["rpt_income_detail"]
-            days = differing["rpt_expenses_detail"]
+            days = small(differing["rpt_expenses_detail"])
             day = F.col("posted_at_timestamp").cast("date")
             pay = stored("fact_daily_pay")
             overunder = stored("rpt_daily_overunder")
@@ -152,7 +158,7 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
             )
 
             months = days.unionByName(differing["rpt_income_detail"])
-            months = months.select(F.trunc("at", "month").alias("at")).distinct()
+            months = small(staged(months.select(F.trunc("at", "month").alias("at")).distinct(), "months"))
             month = F.trunc(day, "month")
             savings = marts.rpt_monthly_savings(
                 _matched(expenses, months, month, "at", "left_semi"),

@@ -165,7 +165,11 @@ def account_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transaction_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger as nested documents, one account and transaction each."""
-    flat = ledger(spark, sf_dir)
+    return documents_of(ledger(spark, sf_dir)).select("accounts", "filename")
+
+
+def documents_of(flat: DataFrame) -> DataFrame:
+    """One document a row in ``accounts``, beside all other columns."""
     posted = F.unix_timestamp("posted_at_timestamp")
     txn = F.struct(
         F.col("txn_id").alias("id"),
@@ -179,7 +183,7 @@ def transaction_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("bank_account_name").alias("name"),
         F.array(txn).alias("transactions"),
     )
-    return flat.select(F.array(account).alias("accounts"), "filename")
+    return flat.withColumn("accounts", F.array(account))
 
 
 def catalog(spark: SparkSession) -> DataFrame:

@@ -43,6 +43,7 @@ from testbed.ledger import (
     LOADED_AT,
     Warehouse,
     account_snapshots,
+    documents_of,
     ledger,
     table,
     transaction_snapshots,
@@ -565,11 +566,12 @@ def _whole_build(spark: SparkSession, sf_dir: str) -> str:
         return _builds[key]
     configure(spark)
     root = scratch_path(spark, "build")
-    raw = transaction_snapshots(spark, sf_dir).select("accounts")
-    posted = F.timestamp_seconds(F.col("accounts")[0]["transactions"][0]["posted"])
-    raw = raw.withColumns({"year": F.year(posted), "month": F.month(posted), "day": F.lit(1)})
-    pull = ["year", "month", "day"]
-    writer = raw.repartition(*pull).write.partitionBy(*pull).option("compression", "gzip")
+    posted = F.col("posted_at_timestamp")
+    pull = {"year": F.year(posted), "month": F.month(posted), "day": F.lit(1)}
+    # Flat rows are shuffled, and nested where they are written.
+    rows = ledger(spark, sf_dir).drop("filename").withColumns(pull).repartition(*pull)
+    raw = documents_of(rows).select("accounts", *pull)
+    writer = raw.write.partitionBy(*pull).option("compression", "gzip")
     writer.json(f"{root}/transactions")
     documents = read_snapshots(spark, root, f"{SNAPSHOT_GLOB}.gz", one_document_per_file=False)
     pay = scratch_path(spark, "pay-csv")

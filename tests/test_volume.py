@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from passbook.operators.categorize import categorize
+from passbook.operators.latest import NEAR_DUPLICATE_KEYS, collapse_near_duplicates, repeats_apart
+from passbook.operators.lookup import small
 from passbook.plans import history, marts, star
 from passbook.plans.refresh import corrected_transactions, judged_arrivals
 from passbook.sources.tables import Release
-from testbed.ledger import ledger
 from tests.plan import plan_of
+from testbed.ledger import ledger
 from tests.rows import catalog, fact, flat, flat_row
 
 ROWS = [
@@ -121,6 +125,68 @@ def test_tasks_read_bounded_pieces(spark):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
 
 
+def _repeating(spark):
+    """Rows of a fact in which some ids and some near duplicates repeat."""
+
+    def row(k: int, name: str | None, filename: str = "f1") -> tuple:
+        return flat_row(name, f"2026-03-{k % 28 + 1:02d}T10:00:00", f"-{k}.00", filename=filename)
+
+    rows = [row(k, f"t{k}") for k in range(300)] + [row(k, f"t{k}b") for k in range(20)]
+    rows += [row(k, f"t{k}", "z") for k in range(5, 15)] + [row(k, None) for k in (1, 2, 2)]
+    return star.as_fact(flat(spark, rows), "2026-08-01 00:00:00")
+
+
+def _staging(spark, tmp_path):
+    def staged(df, name):
+        path = f"{tmp_path}/{name}-{len(list(tmp_path.iterdir()))}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return staged
+
+
+@pytest.mark.parametrize("bits", [None, 64, 4096])
+def test_rows_that_repeat_are_told_apart_whole(spark, tmp_path, bits):
+    staged = _staging(spark, tmp_path)
+    rows = staged(_repeating(spark), "fact")
+    for keys in (["txn_id"], list(NEAR_DUPLICATE_KEYS)):
+        once, several = repeats_apart(rows, keys, staged, bits)
+        assert once.columns == several.columns == rows.columns
+        both = [*map(tuple, once.collect()), *map(tuple, several.collect())]
+        assert sorted(both, key=str) == sorted(map(tuple, rows.collect()), key=str)
+        assert once.groupBy(*keys).count().where("count > 1").count() == 0
+        assert once.select(*keys).intersect(several.select(*keys)).count() == 0
+        assert bits == 64 or several.count() < 100
+    once, several = repeats_apart(rows.where("txn_id = 't7' AND filename <> 'z'"), ["txn_id"], staged)
+    assert several is None and once.count() == 1
+
+
+def test_only_rows_that_may_repeat_are_shuffled(spark, tmp_path):
+    staged = _staging(spark, tmp_path)
+    rows = staged(_repeating(spark), "fact")
+    for found, want in (
+        (star.latest_of_stored(rows, staged), star.latest_transactions(rows)),
+        (collapse_near_duplicates(rows, staged), collapse_near_duplicates(rows)),
+    ):
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        plan = plan_of(found)
+        assert plan.split("Exchange")[0].count("Union") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_details_broadcast_few_merchants_whatever_the_session_does(spark, tmp_path):
+    staged = _staging(spark, tmp_path)
+    rows = staged(fact(spark, ROWS), "fact")
+    merchants = staged(star.dim_merchant(rows, catalog(spark, [("food", "shop", "shop", 1)])), "merchants")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan_of(marts.labelled_transactions(rows, merchants))
+        labelled = marts.labelled_transactions(rows, small(merchants), staged)
+        assert "SortMergeJoin" not in plan_of(labelled)
+        assert {r.txn_id for r in labelled.collect()} == {"t1", "t3", "t4"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_ledger_lines_are_narrow_when_they_meet_their_orders(spark, tmp_path):
     one = spark.range(1)
     tables = {
