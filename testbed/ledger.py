@@ -7,9 +7,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passbook.operators.lookup import small
 from passbook.plans import marts, star
 from passbook.schemas import CONTRACTS
-from passbook.session import configure, shared_dir
+from passbook.session import configure, scratch_path, shared_dir
+from passbook.sources.folders import remove_folder
 from passbook.sources.inline import literal_table
 from passbook.sources.tables import read_table, write_table
 
@@ -194,6 +196,21 @@ def pay_rates(spark: SparkSession) -> DataFrame:
     return literal_table(spark, PAY_RATES, CONTRACTS["stg_payrate"])
 
 
+# The detail marts, as filters over labelled transactions.
+DETAILS = {
+    "rpt_expenses_detail": marts.expenses_of,
+    "rpt_income_detail": marts.income_of,
+    "rpt_unknown_transactions": marts.unknown_of,
+}
+
+
+# Like texts side by side are stored best, and shuffled best when a report sorts them.
+LIKE_TEXTS = {
+    "rpt_expenses_detail": ["txn_description", "merchant", "account"],
+    "rpt_income_detail": ["txn_description", "merchant", "account"],
+}
+
+
 class Warehouse:
     """Tables of one data directory, each built once and read from parquet.
 
@@ -216,11 +233,37 @@ class Warehouse:
         return getattr(self, f"_{name}")()
 
     def table(self, name: str) -> DataFrame:
+        self.tables(name)
+        return self._stored[(*self._key, name)]
+
+    def tables(self, *names: str) -> list[DataFrame]:
+        """Stored tables; details that are asked for together share one collapse and one join."""
+        missing = [name for name in DETAILS if name in names and (*self._key, name) not in self._stored]
+        if missing:
+            scratch: list[str] = []
+
+            def staged(df: DataFrame, name: str) -> DataFrame:
+                scratch.append(scratch_path(self.spark, name))
+                df.write.parquet(scratch[-1])
+                return self.spark.read.schema(df.schema).parquet(scratch[-1])
+
+            fact, merchants = self.tables("fact_transactions", "dim_merchant")
+            labelled = marts.labelled_transactions(fact, small(merchants), staged).select(*marts.LABELLED)
+            if len(missing) > 1:
+                labelled = staged(labelled.sortWithinPartitions("txn_description", "payee"), "labelled")
+            for name in missing:
+                self._store(name, DETAILS[name](labelled))
+            for path in scratch:
+                remove_folder(self.spark, path)
+        for name in names:
+            if (*self._key, name) not in self._stored:
+                self._store(name, self.plan(name))
+        return [self._stored[(*self._key, name)] for name in names]
+
+    def _store(self, name: str, rows: DataFrame) -> None:
         key = (*self._key, name)
-        if key not in self._stored:
-            write_table(self.plan(name), self.root, name)
-            self._stored[key] = read_table(self.spark, self.root, name)
-        return self._stored[key]
+        write_table(rows, self.root, name, LIKE_TEXTS.get(name))
+        self._stored[key] = read_table(self.spark, self.root, name)
 
     def _dim_accounts(self) -> DataFrame:
         return star.dim_accounts(account_snapshots(self.spark, self.sf_dir), LOADED_AT)
@@ -248,17 +291,17 @@ class Warehouse:
 
     def _rpt_expenses_detail(self) -> DataFrame:
         return marts.rpt_expenses_detail(
-            self.table("fact_transactions"), self.table("dim_merchant")
+            self.table("fact_transactions"), small(self.table("dim_merchant"))
         )
 
     def _rpt_income_detail(self) -> DataFrame:
         return marts.rpt_income_detail(
-            self.table("fact_transactions"), self.table("dim_merchant")
+            self.table("fact_transactions"), small(self.table("dim_merchant"))
         )
 
     def _rpt_unknown_transactions(self) -> DataFrame:
         return marts.rpt_unknown_transactions(
-            self.table("fact_transactions"), self.table("dim_merchant")
+            self.table("fact_transactions"), small(self.table("dim_merchant"))
         )
 
     def _rpt_daily_overunder(self) -> DataFrame:
@@ -267,9 +310,7 @@ class Warehouse:
         )
 
     def _rpt_monthly_savings(self) -> DataFrame:
-        return marts.rpt_monthly_savings(
-            self.table("rpt_expenses_detail"), self.table("rpt_income_detail")
-        )
+        return marts.rpt_monthly_savings(*self.tables("rpt_expenses_detail", "rpt_income_detail"))
 
     def _rpt_mom_performance(self) -> DataFrame:
         return marts.rpt_mom_performance(

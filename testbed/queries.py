@@ -80,7 +80,7 @@ def _report(build: Callable[..., DataFrame], *tables: str, **options: object) ->
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         warehouse = Warehouse(spark, sf_dir)
-        return build(*[warehouse.table(name) for name in tables], **options)
+        return build(*warehouse.tables(*tables), **options)
 
     return run
 
