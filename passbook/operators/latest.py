@@ -43,8 +43,23 @@ def repeats_apart(
     n = repeated.count()
     if n == 0:
         return stored, None
+    again = _marked(stored, hashed, repeated, n, staged, bits)
+    return again.where("NOT _again").drop("_again"), again.where("_again").drop("_again")
+
+
+def may_match(stored: DataFrame, key: str, wanted: DataFrame, staged: Staged) -> DataFrame:
+    """The rows of ``stored`` whose key is in ``wanted``, and a few others, without a shuffle."""
+    hashed = F.xxhash64(key)
+    hashes = staged(wanted.select(hashed.alias("_hash")), "wanted-keys")
+    return _marked(stored, hashed, hashes, hashes.count(), staged).where("_again").drop("_again")
+
+
+def _marked(
+    stored: DataFrame, hashed: Column, hashes: DataFrame, n: int, staged: Staged, bits: int | None = None
+) -> DataFrame:
+    """``stored`` with ``_again``, true where the hash is among the ``n`` of ``hashes``."""
     size = bits or min(MOST_BITS, 1 << max(12, (BITS_A_KEY * n).bit_length()))
-    places = repeated.selectExpr(f"pmod(_hash, {size}L) AS place")
+    places = hashes.selectExpr(f"pmod(_hash, {size}L) AS place")
     words = places.groupBy(F.expr("place div 64 AS word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))").alias("bits")
     )
@@ -58,7 +73,7 @@ def repeats_apart(
     marked = stored.withColumn("_place", place).withColumn("_chunk", F.expr("_place div 4096"))
     marked = marked.join(F.broadcast(marks), "_chunk", "left")
     again = F.expr("coalesce(getbit(_words[cast((_place div 64) % 64 AS int)], cast(_place % 64 AS int)) = 1, false)")
-    return marked.where(~again).select(*stored.columns), marked.where(again).select(*stored.columns)
+    return marked.select(*stored.columns, again.alias("_again"))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

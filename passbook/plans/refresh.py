@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from passbook.functions.calendar import AsOf
 from passbook.functions.text import merchant_key
+from passbook.operators.latest import Staged, may_match
 from passbook.operators.lookup import is_small, small
 from passbook.operators.periods import PERIODS
 from passbook.plans import marts, star
@@ -57,10 +58,14 @@ def judged_arrivals(fact: DataFrame, arrived: DataFrame) -> DataFrame:
     return met.where(~same).select(*names, is_new.alias("is_new"))
 
 
-def corrected_transactions(fact: DataFrame, judged: DataFrame) -> DataFrame:
-    """The judged rows that take the place of a stored one of their id."""
+def corrected_transactions(fact: DataFrame, judged: DataFrame, staged: Staged | None = None) -> DataFrame:
+    """The judged rows that take the place of a stored one of their id.
+
+    With ``staged`` hardly any other row of the fact is shuffled to meet them.
+    """
     names = FLAT_TRANSACTION.names
     contested = judged.where(~F.col("is_new")).select(*names)
+    fact = fact if staged is None else may_match(fact, "txn_id", contested, staged)
     stored = _matched(fact, contested, "txn_id", "txn_id", "left_semi").select(*names)
     return star.latest_transactions(stored.unionByName(contested)).subtract(stored)
 
@@ -98,7 +103,7 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
 
             fact, merchants = stored("fact_transactions"), stored("dim_merchant")
             judged = staged(judged_arrivals(fact, arrived), "judged")
-            corrected = staged(corrected_transactions(fact, judged), "corrected")
+            corrected = staged(corrected_transactions(fact, judged, staged), "corrected")
             fresh_rows = judged.where("is_new").drop("is_new")
             changed = staged(star.as_fact(fresh_rows.unionByName(corrected)), "changed")
             # New ids replace nothing: the fact meets the corrections alone.
