@@ -82,7 +82,7 @@ def build_all(
 
             # One collapse and one join of the fact serve all three detail marts.
             labelled = marts.labelled_transactions(fact, small(merchants), staged).select(*marts.LABELLED)
-            labelled = staged(labelled, "labelled-transactions")
+            labelled = staged(labelled.sortWithinPartitions(*marts.LIKE_TEXTS), "labelled-transactions")
             expenses = store("rpt_expenses_detail", marts.expenses_of(labelled))
             income = store("rpt_income_detail", marts.income_of(labelled))
             unknown = store("rpt_unknown_transactions", marts.unknown_of(labelled))

@@ -43,6 +43,10 @@ LABELLED = (
     "amount",
 )
 
+# Like texts side by side are stored best.
+LIKE_TEXTS = ("txn_description", "payee")
+
+
 def labelled_transactions(fact: DataFrame, merchants: DataFrame, staged: Staged | None = None) -> DataFrame:
     """Near duplicates collapsed, then the merchant's columns attached.
 

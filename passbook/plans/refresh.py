@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from passbook.functions.calendar import AsOf
 from passbook.functions.text import merchant_key
-from passbook.operators.latest import Staged, may_match
+from passbook.operators.latest import Staged, marked_apart, matches_apart, may_match, repeated_hashes
 from passbook.operators.lookup import is_small, small
 from passbook.operators.periods import PERIODS
 from passbook.plans import marts, star
@@ -45,17 +45,27 @@ def _digest(names: list[str]) -> Column:
     return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
 
 
-def judged_arrivals(fact: DataFrame, arrived: DataFrame) -> DataFrame:
+def judged_arrivals(fact: DataFrame, arrived: DataFrame, staged: Staged | None = None) -> DataFrame:
     """Arrived rows, one per id, that are not stored as they are; ``is_new`` if their id is not.
 
     Of the fact only ids and digests are shuffled.  A row without id is never called new.
+    With ``staged`` hashes of the ids tell which rows on both sides may share an id, and
+    only these meet; both tables are then read three times and should be stored ones.
     """
     names = FLAT_TRANSACTION.names
+    arrived, unmet = arrived.select(*names), None
+    if staged is not None:
+        shared = repeated_hashes([fact, arrived], ["txn_id"], staged)
+        unmet, arrived = marked_apart(arrived, "txn_id", shared, staged)
+        fact = marked_apart(fact, "txn_id", shared, staged)[1]
     known = fact.select(F.col("txn_id").alias("_id"), _digest(names).alias("_stored"))
-    met = star.latest_transactions(arrived.select(*names)).join(known, F.col("txn_id") == F.col("_id"), "left")
+    met = star.latest_transactions(arrived).join(known, F.col("txn_id") == F.col("_id"), "left")
     is_new = F.col("txn_id").isNotNull() & F.col("_id").isNull()
     same = F.coalesce(F.col("_stored") == _digest(names), F.lit(False))
-    return met.where(~same).select(*names, is_new.alias("is_new"))
+    judged = met.where(~same).select(*names, is_new.alias("is_new"))
+    if unmet is None:
+        return judged
+    return judged.unionByName(unmet.withColumn("is_new", F.col("txn_id").isNotNull()))
 
 
 def corrected_transactions(fact: DataFrame, judged: DataFrame, staged: Staged | None = None) -> DataFrame:
@@ -65,9 +75,15 @@ def corrected_transactions(fact: DataFrame, judged: DataFrame, staged: Staged |
     """
     names = FLAT_TRANSACTION.names
     contested = judged.where(~F.col("is_new")).select(*names)
-    fact = fact if staged is None else may_match(fact, "txn_id", contested, staged)
-    stored = _matched(fact, contested, "txn_id", "txn_id", "left_semi").select(*names)
-    return star.latest_transactions(stored.unionByName(contested)).subtract(stored)
+    if staged is None:
+        stored = _matched(fact, contested, "txn_id", "txn_id", "left_semi")
+    else:
+        stored = may_match(fact, "txn_id", contested, staged)
+    # Of rows that are alike the stored one wins, and what a stored row wins is no correction.
+    both = stored.select(*names, F.lit(1).alias("is_stored")).unionByName(
+        contested.withColumn("is_stored", F.lit(0))
+    )
+    return star.latest_transactions(both, "is_stored").where("is_stored = 0").drop("is_stored")
 
 
 def _differing(before: DataFrame, after: DataFrame, amount: str, step: Column) -> DataFrame:
@@ -82,7 +98,8 @@ def _differing(before: DataFrame, after: DataFrame, amount: str, step: Column) -
 def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf = None) -> dict[str, int]:
     """Publish all tables as a build of everything would; returns how much was redone.
 
-    ``arrived`` are flattened transactions, new, changed or known already.
+    ``arrived`` are flattened transactions, new, changed or known already.  They are read
+    three times and should be a stored table.
     """
     configure(spark)
     scratch: list[str] = []
@@ -102,14 +119,15 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 return release.write(df, table, CLUSTERED_BY.get(table), derived=star.derived_columns(table))
 
             fact, merchants = stored("fact_transactions"), stored("dim_merchant")
-            judged = staged(judged_arrivals(fact, arrived), "judged")
+            judged = staged(judged_arrivals(fact, arrived, staged), "judged")
             corrected = staged(corrected_transactions(fact, judged, staged), "corrected")
             fresh_rows = judged.where("is_new").drop("is_new")
             changed = staged(star.as_fact(fresh_rows.unionByName(corrected)), "changed")
             # New ids replace nothing: the fact meets the corrections alone.
             ids = small(corrected.select("txn_id"))
-            replaced = _matched(fact, ids, "txn_id", "txn_id", "left_semi")
-            kept = _matched(fact, ids, "txn_id", "txn_id", "left_anti")
+            others, near = matches_apart(fact, "txn_id", ids, staged)
+            replaced = _matched(near, ids, "txn_id", "txn_id", "left_semi")
+            kept = others.unionByName(_matched(near, ids, "txn_id", "txn_id", "left_anti"))
             fact_now = store("fact_transactions", kept.unionByName(changed))
 
             # Period sums end at the newest posting, so all that look back on it move.
@@ -133,7 +151,7 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
             )
 
             labelled = marts.labelled_transactions(touched, small(fresh), staged).select(*marts.LABELLED)
-            labelled = staged(labelled, "labelled")
+            labelled = staged(labelled.sortWithinPartitions(*marts.LIKE_TEXTS), "labelled")
             differing = {}
             details = {}
             for table, rows, payee, amount in (

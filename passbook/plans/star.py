@@ -51,11 +51,12 @@ def accounts_from_flat(flat: DataFrame, loaded_at: Column | str | None = None) -
     )
 
 
-def latest_transactions(flat: DataFrame) -> DataFrame:
+def latest_transactions(flat: DataFrame, *last_ties: str) -> DataFrame:
     """One row per transaction id, the latest posting wins.
 
     Overlapping snapshots repeat a transaction unchanged; the file name and the
-    remaining columns make the choice among equals deterministic.
+    remaining columns make the choice among equals deterministic.  Of rows alike in all
+    these, the larger ``last_ties`` win.
     """
     return latest_by(
         flat,
@@ -68,6 +69,7 @@ def latest_transactions(flat: DataFrame) -> DataFrame:
             "txn_description",
             "payee",
             "amount",
+            *last_ties,
         ],
     )
 

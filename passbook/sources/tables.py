@@ -25,6 +25,10 @@ MANIFESTS = "_manifests"
 RELEASES = "_releases"
 KEPT = 2
 
+# Parquet keeps a column as numbers of a dictionary up to this size.  By its default of 1 MB
+# tens of thousands of merchant keys of 32 characters would be written out in every row.
+DICTIONARY_BYTES = 4 << 20
+
 
 def _manifest(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
     """Number of the newest manifest, 0 if none, and the release of each of its tables."""
@@ -102,9 +106,8 @@ class Release:
         if clustered_by:
             order = [F.col(name).asc_nulls_last() for name in clustered_by]
             rows = checked.drop(*(derived or {})).sortWithinPartitions(*order)
-            rows.withColumns(derived or {}).select(*CONTRACTS[table].names).write.parquet(path)
-        else:
-            checked.write.parquet(path)
+            checked = rows.withColumns(derived or {}).select(*CONTRACTS[table].names)
+        checked.write.option("parquet.dictionary.page.size", DICTIONARY_BYTES).parquet(path)
         self._tables.append(table)
         return self.spark.read.schema(CONTRACTS[table]).parquet(path)
 

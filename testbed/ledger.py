@@ -108,9 +108,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffixes = F.when(F.col("again"), F.array(F.lit(""), F.lit("-again"))).otherwise(F.array(F.lit("")))
     # Orders meet their customers first, as there are fewer of them than lines.
     orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    # Parts come before orders: their texts are few, so lines shuffle well with them, and in the
+    # end the lines of an order, where ids repeat, lie side by side.
     return (
-        line.join(orders, line.l_orderkey == orders.o_orderkey)
-        .join(part, line.l_partkey == part.p_partkey)
+        line.join(part, line.l_partkey == part.p_partkey)
+        .join(orders, line.l_orderkey == orders.o_orderkey)
         .select(
             F.col("o_custkey").cast("string").alias("bank_account_id"),
             F.col("account").alias("bank_account_name"),
@@ -250,7 +252,7 @@ class Warehouse:
             fact, merchants = self.tables("fact_transactions", "dim_merchant")
             labelled = marts.labelled_transactions(fact, small(merchants), staged).select(*marts.LABELLED)
             if len(missing) > 1:
-                labelled = staged(labelled.sortWithinPartitions("txn_description", "payee"), "labelled")
+                labelled = staged(labelled.sortWithinPartitions(*marts.LIKE_TEXTS), "labelled")
             for name in missing:
                 self._store(name, DETAILS[name](labelled))
             for path in scratch:
