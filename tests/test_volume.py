@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import pyarrow.parquet as pq
 import pytest
 
-from passbook.operators.categorize import categorize
+from passbook.operators.categorize import _held, categorize, pattern_index
 from passbook.operators.latest import (
     NEAR_DUPLICATE_KEYS,
     collapse_near_duplicates,
@@ -65,6 +65,29 @@ def test_categories_are_not_gathered_for_a_broadcast(spark, tmp_path):
     assert found.where("merchant_category = 'c'").count() == 50
 
 
+def test_a_pattern_meets_few_texts_however_many_there_are(spark):
+    texts = spark.range(4000).select(F.concat(F.lit("shop#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("text"))
+    patterns = texts.select(F.concat(F.lit("^.*("), "text", F.lit(").*$")).alias("pattern"))
+    met = pattern_index(patterns, texts).join(_held(texts), "gram")
+    assert met.count() == 4000
+
+
+def test_few_bytes_of_texts_unfold_in_many_tasks(spark, tmp_path):
+    names = spark.range(300).select(F.concat(F.lit("shop number "), "id").alias("text"))
+    names.coalesce(1).write.parquet(str(tmp_path / "names"))
+    stored = spark.read.parquet(str(tmp_path / "names"))
+    rules = stored.select(
+        F.lit("c").alias("merchant_category"),
+        F.lit("s").alias("merchant_subcategory"),
+        F.concat(F.lit("^"), "text", F.lit("$")).alias("regex_match_pat"),
+        F.lit(1).alias("match_priority"),
+    )
+    found = categorize(stored, rules, "text")
+    assert found.where("merchant_category = 'c'").count() == 300
+    dealt = [line for line in plan_of(found).splitlines() if "REPARTITION_BY_NUM" in line and "xxhash64" in line]
+    assert dealt
+
+
 def test_the_collapse_shuffles_no_merchant_key(spark, tmp_path):
     fact(spark, ROWS).write.parquet(str(tmp_path / "fact"))
     stored = spark.read.parquet(str(tmp_path / "fact"))
