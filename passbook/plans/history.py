@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passbook.operators.lookup import MIN_PIECE, PIECES
 from passbook.operators.position import placed
 from passbook.schemas import ORG
 
@@ -138,16 +139,53 @@ def trailing_rows(
     return placed(rows, ["as_of_date", "bank_account_name"], newest, "position")
 
 
+def busy_accounts(rows: DataFrame, least: int | None = None) -> list[str | None]:
+    """Names of accounts with more than 1/``PIECES`` of all rows and more than ``least`` rows.
+
+    So there are fewer than ``PIECES``, however many rows there are.  ``least`` is
+    ``MIN_PIECE`` by default.
+    """
+    counted = rows.groupBy("bank_account_name").agg(F.count(F.lit(1)).alias("n"))
+    share = counted.agg(F.sum("n")).scalar() / F.lit(PIECES)
+    busy = counted.where(F.col("n") > F.greatest(share, F.lit(MIN_PIECE if least is None else least)))
+    return [row.bank_account_name for row in busy.collect()]
+
+
 def trailing_snapshots(
-    fact: DataFrame, as_of: str, start: str, every_days: int, window_days: int = WINDOW_DAYS
+    fact: DataFrame,
+    as_of: str,
+    start: str,
+    every_days: int,
+    window_days: int = WINDOW_DAYS,
+    busy_rows: int | None = None,
 ) -> DataFrame:
     """Nested transactions per snapshot, account and ``part``, newest first.
 
     A part is ``LIST_ROWS`` successive positions of one account, numbered from 0, so no
-    list outgrows a row however busy an account is.
+    list outgrows a row however busy an account is.  The rows of an account meet in one
+    task, each once, and unfold to its snapshots there; nothing is stored on the way.  Only
+    those of ``busy_accounts`` (with more than ``busy_rows`` rows) are placed over many tasks.
     """
     columns = ("bank_account_id", "amount", "txn_description", "payee")
-    rows = trailing_rows(fact, as_of, start, every_days, window_days, columns)
+    dates = (as_of, start, every_days, window_days)
+    fact = fact.select(*PLACED_BY, *columns)
+    busy = busy_accounts(fact, busy_rows)
+    quiet, loud = fact, fact.where(F.lit(False))
+    if busy:
+        names = fact.sparkSession.createDataFrame([(name,) for name in busy], "_busy string")
+        same = F.col("bank_account_name").eqNullSafe(F.col("_busy"))
+        quiet = fact.join(F.broadcast(names), same, "left_anti")
+        loud = fact.join(F.broadcast(names), same, "left_semi")
+    newest = Window.partitionBy("as_of_date", "bank_account_name").orderBy(
+        F.col("posted_at_timestamp").desc(), F.col("txn_id").asc()
+    )
+    rows = trailing_windows(quiet.repartition("bank_account_name"), *dates)
+    rows = rows.withColumn("position", F.row_number().over(newest).cast("long"))
+    return _nested(rows).unionByName(_nested(trailing_rows(loud, *dates, columns)))
+
+
+def _nested(rows: DataFrame) -> DataFrame:
+    """The rows of a snapshot, account and ``part`` as one list in the order of their positions."""
     rows = rows.withColumn("part", F.floor((F.col("position") - 1) / LIST_ROWS))
     posted = F.unix_seconds("posted_at_timestamp")
     txn = F.struct(

@@ -50,6 +50,32 @@ def test_snapshots_place_only_the_columns_they_list(spark, monkeypatch):
     assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
 
 
+def test_rows_of_quiet_accounts_are_shuffled_once_for_their_snapshots(spark, tmp_path, monkeypatch):
+    rows = [flat_row(f"t{k}", f"2026-0{k % 5 + 1}-{k % 28 + 1:02d}T10:00:00", "-5.00", account=f"A{k % 7}") for k in range(300)]
+    rows += [flat_row(f"n{k}", "2026-03-03T10:00:00", "1.00", account=None) for k in range(40)]
+    fact(spark, rows).write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    dates = ("2026-05-31", "2026-01-15", 30)
+    n_placed, place = [], history.placed
+
+    def seen(rows, *rest):
+        n_placed.append(rows.count())
+        return place(rows, *rest)
+
+    monkeypatch.setattr(history, "placed", seen)
+    quiet = history.trailing_snapshots(stored, *dates)
+    # No row is stored to be placed; they meet by the account alone, before they unfold.
+    assert n_placed == [0]
+    dealt = [line for line in plan_of(quiet).splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 1 and "bank_account_name" in dealt[0] and "as_of_date" not in dealt[0]
+    told = lambda df: sorted(map(str, df.collect()))
+    # Some accounts, the one without a name among them, or all of them over many tasks.
+    assert sorted(map(str, history.busy_accounts(stored, 39))) == [*(f"A{k}" for k in range(7)), "None"]
+    assert set(history.busy_accounts(stored, 42)) == {f"A{k}" for k in range(6)}
+    for busy_rows in (39, 42):
+        assert told(history.trailing_snapshots(stored, *dates, busy_rows=busy_rows)) == told(quiet)
+
+
 def test_categories_are_not_gathered_for_a_broadcast(spark, tmp_path):
     texts = spark.range(50).select(F.concat(F.lit("shop number "), "id").alias("text"))
     texts.write.parquet(str(tmp_path / "texts"))
