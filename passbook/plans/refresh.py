@@ -160,11 +160,12 @@ def refresh_all(spark: SparkSession, root: str, arrived: DataFrame, as_of: AsOf
                 ("rpt_unknown_transactions", marts.unknown_of(labelled), "payee", "amount"),
             ):
                 key = merchant_key(F.col(payee), F.col("txn_description"))
-                old = _matched(stored(table), keys, key, KEY, "left_semi")
                 rest = _matched(stored(table), keys, key, KEY, "left_anti")
                 details[table] = store(table, rest.unionByName(rows))
+                # The rest is in both and cancels out, so the old rows need not be found by their keys.
                 day = F.col("posted_at_timestamp").cast("date")
-                differing[table] = staged(_differing(old, rows, amount, day), f"days-{table}")
+                days = _differing(stored(table), details[table], amount, day)
+                differing[table] = staged(days, f"days-{table}")
 
             expenses, income = details["rpt_expenses_detail"], details["rpt_income_detail"]
             days = small(differing["rpt_expenses_detail"])

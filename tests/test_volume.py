@@ -16,9 +16,10 @@ from passbook.operators.latest import (
     repeats_apart,
 )
 from passbook.operators.lookup import small
-from passbook.plans import history, marts, star
+from passbook.plans import history, marts, refresh, star
+from passbook.plans.build import build_all
 from passbook.plans.refresh import corrected_transactions, judged_arrivals
-from passbook.schemas import FLAT_TRANSACTION
+from passbook.schemas import FLAT_ACCOUNT, FLAT_TRANSACTION
 from passbook.sources.tables import Release
 from tests.plan import plan_of
 from testbed.ledger import ledger
@@ -315,6 +316,25 @@ def test_details_broadcast_few_merchants_whatever_the_session_does(spark, tmp_pa
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_stored_details_meet_the_changed_merchants_once(spark, tmp_path, monkeypatch):
+    root, accounts = str(tmp_path / "root"), spark.createDataFrame([], FLAT_ACCOUNT)
+    first = [*ROWS, flat_row("t6", "2026-03-05T10:00:00", "-2.00", "corner shop", "Other")]
+    calendar = ("2026-01-01", "2026-04-01")
+    build_all(spark, root, as_of="2026-03-31", calendar=calendar, stores=(flat(spark, first), accounts))
+    met, matched = [], refresh._matched
+
+    def seen(rows, keys, on, name, how):
+        if name == refresh.KEY and {"amount_spent", "amount_earned"} & set(rows.columns):
+            met.append(how)
+        return matched(rows, keys, on, name, how)
+
+    monkeypatch.setattr(refresh, "_matched", seen)
+    late = [flat_row("t7", "2026-03-09T10:00:00", "-4.00", "corner shop", "Other")]
+    redone = refresh.refresh_all(spark, root, flat(spark, late), "2026-03-31")
+    assert met == ["left_anti", "left_anti"]
+    assert redone["days"] == 1 and redone["transactions"] == 1
+
+
 def test_ledger_lines_are_narrow_when_they_meet_their_orders(spark, tmp_path):
     one = spark.range(1)
     tables = {
