@@ -240,26 +240,32 @@ class Warehouse:
 
     def tables(self, *names: str) -> list[DataFrame]:
         """Stored tables; details that are asked for together share one collapse and one join."""
-        missing = [name for name in DETAILS if name in names and (*self._key, name) not in self._stored]
-        if missing:
-            scratch: list[str] = []
+        scratch: list[str] = []
 
-            def staged(df: DataFrame, name: str) -> DataFrame:
-                scratch.append(scratch_path(self.spark, name))
-                df.write.parquet(scratch[-1])
-                return self.spark.read.schema(df.schema).parquet(scratch[-1])
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            scratch.append(scratch_path(self.spark, name))
+            df.write.parquet(scratch[-1])
+            return self.spark.read.schema(df.schema).parquet(scratch[-1])
 
+        missing = [name for name in DETAILS if name in names and (*self._key, name) not in self._stored]
+        if missing:
             fact, merchants = self.tables("fact_transactions", "dim_merchant")
             labelled = marts.labelled_transactions(fact, small(merchants), staged).select(*marts.LABELLED)
             if len(missing) > 1:
                 labelled = staged(labelled.sortWithinPartitions(*marts.LIKE_TEXTS), "labelled")
             for name in missing:
                 self._store(name, DETAILS[name](labelled))
-            for path in scratch:
-                remove_folder(self.spark, path)
         for name in names:
-            if (*self._key, name) not in self._stored:
+            if (*self._key, name) in self._stored:
+                continue
+            if name == "fact_transactions":
+                # The ledger is stored, so that of its whole rows only those whose id may repeat are shuffled.
+                rows = staged(ledger(self.spark, self.sf_dir), "ledger")
+                self._store(name, star.as_fact(star.latest_of_stored(rows, staged), LOADED_AT))
+            else:
                 self._store(name, self.plan(name))
+        for path in scratch:
+            remove_folder(self.spark, path)
         return [self._stored[(*self._key, name)] for name in names]
 
     def _store(self, name: str, rows: DataFrame) -> None:
